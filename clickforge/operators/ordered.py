@@ -48,85 +48,92 @@ def _all_keys_present(keys) -> Column:
 
 
 def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int = DEFAULT_CHUNK_ROWS,
-               epoch: str = "epoch", order: str = "row_id", stats: DataFrame | None = None) -> DataFrame:
+               epoch: str = "epoch", order: str = "row_id", stats: DataFrame | None = None,
+               group_count: str | None = None) -> DataFrame:
     """Compute one key family.
 
     ``aggregates``: list of (name, op, column) group aggregates.
     ``ordered``:    list of (name, op, column, options-dict) with op in
                     cumcount | next | prev | cumsum | expmean.
     ``stats``:      optional precomputed group table (keys + aggregate
-                    names); built here from ``rows`` when not given.
-    Returns ``order`` + every feature name; one row per input row.
+                    names [+ ``group_count``]); built from ``rows`` if absent.
+    Returns ``order`` + every feature name, one row per row with all keys
+    present (rows with a null key form no group and are left out).
     """
     keys = list(keys)
     ordered = list(ordered)
     aggregates = list(aggregates)
+    if stats is None and aggregates:
+        group_count = "__gn"
+        keyed = rows.filter(_all_keys_present(keys))
+        stats = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(group_count),
+                                         *[agg_expr(op, c).alias(n) for n, op, c in aggregates])
+    if not ordered:
+        return _attach_stats(rows, keys, stats, [n for n, _, _ in aggregates], group_count,
+                             chunk_rows, order)
+
     need_epoch = any(op in ("next", "prev") for _, op, _, _ in ordered)
     sum_cols = sorted({c for _, op, c, _ in ordered if op in ("cumsum", "expmean")})
-    agg_cols = sorted({c for _, _, c in aggregates if c})
-    cols = [order, *keys] + ([epoch] if need_epoch else []) + [c for c in sorted(set(sum_cols) | set(agg_cols)) if c not in keys]
+    cols = [order, *keys] + ([epoch] if need_epoch else []) + [c for c in sum_cols if c not in keys]
     cols = list(dict.fromkeys(cols))
 
+    # Rows with a null key form no group (as in a pandas group-by); they are
+    # left out here and get the no-group value when joined back on row_id.
+    # The explicit not-null filters keep the branches below identical, so
+    # the (keys, chunk) shuffle is computed once and reused.
     parts = (rows.select(*cols)
-             .withColumn(CHUNK, F.floor(F.col(order) / F.lit(chunk_rows)).cast("long"))
+             .filter(_all_keys_present(keys + [order]))
+             .withColumn(CHUNK, F.expr(f"`{order}` div {int(chunk_rows)}"))
              .repartition(*keys, CHUNK))
 
-    # -- 2. local windows inside (keys, chunk) -------------------------------
+    # -- 2. local windows inside (keys, chunk), chunk stats alongside --------
     wl = Window.partitionBy(*keys, CHUNK).orderBy(order)
+    whole = wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = wl.rowsBetween(Window.unboundedPreceding, -1)
     upto = wl.rowsBetween(Window.unboundedPreceding, 0)
-    local_cols = [F.col(order), *[F.col(k) for k in keys], F.col(CHUNK)]
+    local_cols = [F.col(order), *[F.col(k) for k in keys], F.col(CHUNK),
+                  F.row_number().over(wl).alias("__rn"), F.count(F.lit(1)).over(whole).alias("__n")]
     if need_epoch:
-        local_cols += [F.col(epoch), F.lead(epoch).over(wl).alias("__lead"), F.lag(epoch).over(wl).alias("__lag")]
-    if any(op == "cumcount" for _, op, _, _ in ordered):
-        local_cols.append(F.row_number().over(wl).alias("__rn"))
+        local_cols += [F.col(epoch), F.lead(epoch).over(wl).alias("__lead"), F.lag(epoch).over(wl).alias("__lag"),
+                       F.first(epoch).over(whole).alias("__first"), F.last(epoch).over(whole).alias("__last")]
     for c in sum_cols:
         local_cols += [F.sum(c).over(upto).alias(f"__lsum_{c}"),
                        F.sum(c).over(before).alias(f"__lsumb_{c}"),
                        F.count(c).over(before).alias(f"__lcntb_{c}"),
-                       F.col(c).alias(f"__v_{c}")]
+                       F.sum(c).over(whole).alias(f"__csum_{c}"),
+                       F.count(c).over(whole).alias(f"__ccnt_{c}")]
     local = parts.select(*local_cols)
 
-    # -- 3. chunk table from the same shuffle ---------------------------------
-    chunk_aggs = [F.count(F.lit(1)).alias("__n")]
-    if need_epoch:
-        chunk_aggs += [F.min_by(epoch, order).alias("__first"), F.max_by(epoch, order).alias("__last")]
-    for c in sum_cols:
-        chunk_aggs += [F.sum(c).alias(f"__csum_{c}"), F.count(c).alias(f"__ccnt_{c}")]
-    chunks = parts.groupBy(*keys, CHUNK).agg(*chunk_aggs)
-
+    # -- 3. chunk table: one row per (keys, chunk), windows over the key -----
+    chunks = local.filter(F.col("__rn") == 1)
     wk = Window.partitionBy(*keys).orderBy(CHUNK)
     prior = wk.rowsBetween(Window.unboundedPreceding, -1)
-    ct_cols = [*[F.col(k) for k in keys], F.col(CHUNK)]
-    if ordered:
-        ct_cols.append(F.sum("__n").over(prior).alias("__off_n"))
-        if need_epoch:
-            ct_cols += [F.lead("__first").over(wk).alias("__next_first"),
-                        F.lag("__last").over(wk).alias("__prev_last")]
-        for c in sum_cols:
-            ct_cols += [F.sum(f"__csum_{c}").over(prior).alias(f"__off_sum_{c}"),
-                        F.sum(f"__ccnt_{c}").over(prior).alias(f"__off_cnt_{c}")]
+    ct_cols = [*[F.col(k) for k in keys], F.col(CHUNK), F.sum("__n").over(prior).alias("__off_n")]
+    if need_epoch:
+        ct_cols += [F.lead("__first").over(wk).alias("__next_first"),
+                    F.lag("__last").over(wk).alias("__prev_last")]
+    for c in sum_cols:
+        ct_cols += [F.sum(f"__csum_{c}").over(prior).alias(f"__off_sum_{c}"),
+                    F.sum(f"__ccnt_{c}").over(prior).alias(f"__off_cnt_{c}")]
     ct = chunks.select(*ct_cols)
 
-    # -- 4. group aggregates, partial aggregation, joined on the key ----------
+    # -- 4. group aggregates joined to the chunk table on the key ------------
     if aggregates:
-        if stats is None:
-            stats = parts.groupBy(*keys).agg(*[agg_expr(op, c).alias(n) for n, op, c in aggregates])
         ct = ct.join(stats.select(*keys, *[n for n, _, _ in aggregates]), keys, "left")
 
-    joined = local.join(ct, keys + [CHUNK], "left")
-    present = _all_keys_present(keys)
+    # Chunk table back to rows on (keys, chunk): no key skew on this join.
+    joined = local.join(ct, keys + [CHUNK], "inner")
 
     out = [F.col(order)]
     for name, op, col, opts in ordered:
         if op == "cumcount":
             v = F.coalesce(F.col("__off_n"), F.lit(0)) + F.col("__rn") - 1
         elif op == "next":
-            nxt = F.when(present, F.coalesce(F.col("__lead"), F.col("__next_first")))
+            nxt = F.coalesce(F.col("__lead"), F.col("__next_first"))
             fill = opts.get("fill", "sentinel")
             v = (F.coalesce(nxt, F.lit(S.FILL_NEXT)) if fill == "sentinel" else nxt) - F.col(epoch)
         elif op == "prev":
-            prv = F.when(present, F.coalesce(F.col("__lag"), F.col("__prev_last")))
+            prv = F.coalesce(F.col("__lag"), F.col("__prev_last"))
             first = opts.get("first", "null")
             if first == "zero":
                 prv = F.coalesce(prv, F.lit(0))
@@ -141,44 +148,88 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
             v = F.try_divide(s.cast("double"), n.cast("double"))
         else:
             raise ValueError(op)
-        if op != "next":
-            v = F.when(present, v)
         out.append(v.alias(name))
     for name, _, _ in aggregates:
         out.append(F.col(name))
     return joined.select(*out)
 
 
+def _attach_stats(rows: DataFrame, keys, stats: DataFrame, names, group_count: str | None,
+                  hot_rows: int, order: str) -> DataFrame:
+    """Group table back to rows, with hot keys split off.
+
+    A key with more than ``hot_rows`` rows is *hot*.  There are at most
+    n / hot_rows hot keys (a proven bound), so their group rows are
+    broadcast and joined map-side; only cold rows, whose groups are all
+    smaller than ``hot_rows``, go through the shuffle join on the key.
+    Without a group count (caller-supplied stats) the plain shuffle join is
+    used and AQE's skew-join splitting covers hot keys.
+    """
+    narrow = rows.select(order, *keys).filter(_all_keys_present(keys + [order]))
+    feats = stats.select(*keys, *names)
+    if group_count is None:
+        return narrow.join(feats, keys, "inner").select(order, *names)
+    hot = stats.filter(F.col(group_count) > F.lit(hot_rows)).select(
+        *keys, *names, F.lit(True).alias("__hot"))
+    tagged = narrow.join(F.broadcast(hot), keys, "left")
+    hot_part = tagged.filter(F.col("__hot").isNotNull()).select(order, *names)
+    cold_keys = tagged.filter(F.col("__hot").isNull()).select(order, *keys)
+    cold = stats.filter(F.col(group_count) <= F.lit(hot_rows)).select(*keys, *names)
+    cold_part = cold_keys.join(cold, keys, "inner").select(order, *names)
+    return hot_part.unionByName(cold_part)
+
+
 # ---------------------------------------------------------------------------
 # Convenience single-feature wrappers
 # ---------------------------------------------------------------------------
-def _attach(df: DataFrame, fam: DataFrame, order: str = "row_id") -> DataFrame:
-    return df.join(fam, order, "left")
+def no_group_value(op: str, opts: dict, epoch: str = "epoch") -> Column | None:
+    """Value of an ordered feature on a row whose key is null (no group)."""
+    if op == "next" and opts.get("fill", "sentinel") == "sentinel":
+        return F.lit(S.FILL_NEXT) - F.col(epoch)
+    if op == "prev" and opts.get("first", "null") == "zero":
+        return F.col(epoch)
+    if op == "prev" and opts.get("first") == "sentinel":
+        return F.col(epoch) - F.lit(S.FILL_NEXT)
+    return None
+
+
+def _attach(df: DataFrame, fam: DataFrame, order: str = "row_id", ordered=()) -> DataFrame:
+    out = df.join(fam, order, "left")
+    for name, op, _, opts in ordered:
+        fill = no_group_value(op, opts)
+        if fill is not None:
+            out = out.withColumn(name, F.coalesce(F.col(name), fill))
+    return out
 
 
 def cumcount(df, keys, name="cumcount", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W-CUMCNT: 0-based running row number per key."""
-    return _attach(df, key_family(df, keys, ordered=[(name, "cumcount", None, {})], chunk_rows=chunk_rows))
+    spec = [(name, "cumcount", None, {})]
+    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
 
 
 def next_gap(df, keys, name="next_click", fill="sentinel", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W-NEXT: seconds to the key's next row; last row gets FILL_NEXT - epoch."""
-    return _attach(df, key_family(df, keys, ordered=[(name, "next", None, {"fill": fill})], chunk_rows=chunk_rows))
+    spec = [(name, "next", None, {"fill": fill})]
+    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
 
 
 def prev_gap(df, keys, name="prev_click", first="null", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W-PREV / W-PREVB: seconds since the key's previous row."""
-    return _attach(df, key_family(df, keys, ordered=[(name, "prev", None, {"first": first})], chunk_rows=chunk_rows))
+    spec = [(name, "prev", None, {"first": first})]
+    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
 
 
 def running_sum(df, keys, column, name="cumsum", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W-CUMSUM: inclusive running sum per key."""
-    return _attach(df, key_family(df, keys, ordered=[(name, "cumsum", column, {})], chunk_rows=chunk_rows))
+    spec = [(name, "cumsum", column, {})]
+    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
 
 
 def expanding_mean(df, keys, column, name="expanding_mean", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W-EXPMEAN: mean of the key's earlier values (null on its first row)."""
-    return _attach(df, key_family(df, keys, ordered=[(name, "expmean", column, {})], chunk_rows=chunk_rows))
+    spec = [(name, "expmean", column, {})]
+    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
 
 
 def global_lag(df: DataFrame, column: str, name: str | None = None, order: str = "row_id") -> DataFrame:

@@ -23,7 +23,7 @@ from clickforge import schema as S
 from clickforge.functions.policy import cast_to
 from clickforge.functions.scalar import epoch_seconds
 from clickforge.operators.aggregate import agg_expr
-from clickforge.operators.ordered import DEFAULT_CHUNK_ROWS, key_family
+from clickforge.operators.ordered import DEFAULT_CHUNK_ROWS, key_family, no_group_value
 from clickforge.plans.specs import AGG_OPS, ORDERED_OPS, FeatureSpec, dedup, families
 
 
@@ -70,13 +70,18 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
             out = out.join(F.broadcast(stats.drop(_group_count(keys))), keys, "left")
         else:
             fam_tables.append(key_family(df, keys, aggs, ords, chunk_rows=chunk_rows,
-                                         epoch=epoch, order=order, stats=stats))
+                                         epoch=epoch, order=order, stats=stats,
+                                         group_count=_group_count(keys) if aggs else None))
     for t in fam_tables:
         out = out.join(t, order, "left")
 
     finals = []
     for s in uniq:
         c = F.col(s.name)
+        if s.op in ORDERED_OPS:
+            fill = no_group_value(s.op, dict(s.options), epoch)
+            if fill is not None:
+                c = F.coalesce(c, fill)
         pol = s.null_policy
         if pol == "zero":
             c = F.coalesce(c, F.lit(0))

@@ -191,3 +191,197 @@ def q_var_small_key(spark, sf):
     # (device, day): 65,536 x 31 groups at most -> shuffle path with AQE.
     return _one(spark, sf, FeatureSpec("var", ("device", "day"), "hour", "device_day_hour_var", "double"),
                 out_cast=r6)
+
+
+# ---------------------------------------------------------------------------
+# W-* ordered features (chunked windows; row order = row_id)
+# ---------------------------------------------------------------------------
+@register("cumcount", """
+SELECT row_id, CAST(row_number() OVER (PARTITION BY ip, device, os ORDER BY row_id) - 1 AS BIGINT) AS X1
+FROM clicks
+""")
+def q_cumcount(spark, sf):
+    return _one(spark, sf, FeatureSpec("cumcount", ("ip", "device", "os"), "app", "X1"))
+
+
+@register("next_gap", """
+SELECT row_id, CAST(coalesce(lead(epoch) OVER (PARTITION BY ip, app, device, os ORDER BY row_id), 3000000000)
+                    - epoch AS BIGINT) AS next_click
+FROM clicks
+""")
+def q_next_gap(spark, sf):
+    return _one(spark, sf, FeatureSpec("next", ("ip", "app", "device", "os"), None, "next_click", "long"))
+
+
+@register("next_gap_null_fill", """
+SELECT row_id, CAST(lead(epoch) OVER (PARTITION BY ip, channel ORDER BY row_id) - epoch AS BIGINT) AS next_click
+FROM clicks
+""")
+def q_next_gap_null_fill(spark, sf):
+    return _one(spark, sf, FeatureSpec("next", ("ip", "channel"), None, "next_click", "long", "keep",
+                                       (("fill", "null"),)))
+
+
+@register("prev_gap", """
+SELECT row_id, CAST(epoch - lag(epoch) OVER (PARTITION BY ip, app, device, os ORDER BY row_id) AS BIGINT)
+       AS prev_click
+FROM clicks
+""")
+def q_prev_gap(spark, sf):
+    return _one(spark, sf, FeatureSpec("prev", ("ip", "app", "device", "os"), None, "prev_click", "long"))
+
+
+@register("prev_gap_zero_first", """
+SELECT row_id, CAST(epoch - coalesce(lag(epoch) OVER (PARTITION BY ip, app, device, os ORDER BY row_id), 0)
+                    AS BIGINT) AS prev_click
+FROM clicks
+""")
+def q_prev_gap_zero_first(spark, sf):
+    return _one(spark, sf, FeatureSpec("prev", ("ip", "app", "device", "os"), None, "prev_click", "long",
+                                       "keep", (("first", "zero"),)))
+
+
+@register("prev_gap_sentinel_first", """
+SELECT row_id, CAST(epoch - coalesce(lag(epoch) OVER (PARTITION BY ip, app, device, os ORDER BY row_id),
+                                     3000000000) AS BIGINT) AS prev_click
+FROM clicks
+""")
+def q_prev_gap_sentinel_first(spark, sf):
+    return _one(spark, sf, FeatureSpec("prev", ("ip", "app", "device", "os"), None, "prev_click", "long",
+                                       "keep", (("first", "sentinel"),)))
+
+
+@register("cumsum", """
+SELECT row_id, CAST(sum(is_attributed) OVER (PARTITION BY ip, app, device, os ORDER BY row_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS label_cumsum
+FROM clicks
+""")
+def q_cumsum(spark, sf):
+    return _one(spark, sf, FeatureSpec("cumsum", ("ip", "app", "device", "os"), "is_attributed", "label_cumsum",
+                                       "long"))
+
+
+@register("expanding_mean", """
+SELECT row_id, round(coalesce(avg(is_attributed) OVER (PARTITION BY ip, app, device, os ORDER BY row_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS feat_expanding_mean
+FROM clicks
+""")
+def q_expanding_mean(spark, sf):
+    return _one(spark, sf, FeatureSpec("expmean", ("ip", "app", "device", "os"), "is_attributed",
+                                       "feat_expanding_mean", "double", "zero"), out_cast=r6)
+
+
+@register("log2_gap", """
+SELECT row_id, round(log2(1 + coalesce(lead(epoch) OVER (PARTITION BY ip, app, device, os ORDER BY row_id),
+                                       3000000000) - epoch), 6) AS log_next_click,
+       CAST(trunc(log2(1 + epoch - coalesce(lag(epoch) OVER (PARTITION BY ip, app, device, os ORDER BY row_id),
+                                            0))) AS SMALLINT) AS log_prev_click_i16
+FROM clicks
+""")
+def q_log2_gap(spark, sf):
+    specs = [FeatureSpec("next", ("ip", "app", "device", "os"), None, "nc", "long"),
+             FeatureSpec("prev", ("ip", "app", "device", "os"), None, "pc", "long", "keep", (("first", "zero"),))]
+    df = build_features(clicks(spark, sf), specs)
+    return df.select("row_id", r6(X.log2p1("nc")).alias("log_next_click"),
+                     X.log2p1("pc", as_smallint=True).alias("log_prev_click_i16"))
+
+
+@register("global_lag", """
+SELECT row_id, next_click, lag(next_click) OVER (ORDER BY row_id) AS next_click_shift
+FROM (SELECT row_id, CAST(coalesce(lead(epoch) OVER (PARTITION BY ip, app, device, os ORDER BY row_id),
+                                   3000000000) - epoch AS BIGINT) AS next_click FROM clicks)
+""")
+def q_global_lag(spark, sf):
+    df = build_features(clicks(spark, sf), [FeatureSpec("next", ("ip", "app", "device", "os"), None,
+                                                         "next_click", "long")], keep_columns=False)
+    return W.global_lag(df, "next_click", "next_click_shift").select("row_id", "next_click", "next_click_shift")
+
+
+@register("aligned_vector", """
+SELECT c.row_id, c.ip, v.X7
+FROM clicks c JOIN (SELECT row_id, CAST(row_number() OVER (PARTITION BY ip ORDER BY row_id) - 1 AS BIGINT) AS X7
+                    FROM clicks) v USING (row_id)
+""")
+def q_aligned_vector(spark, sf):
+    # J-ALIGN: a computed per-row vector attached by row_id, never by position.
+    base = C.load_clicks(spark, sf)
+    fam = W.key_family(base, ["ip"], ordered=[("X7", "cumcount", None, {})])
+    return base.join(fam, "row_id", "left").select("row_id", "ip", big("X7").alias("X7"))
+
+
+@register("hash_bucket_next_gap")
+def q_hash_bucket_next_gap(spark, sf):
+    # W-NEXTB / X-HASH: next click over a hashed composite key (2^26 buckets).
+    # xxhash64 has no DuckDB twin, so this one is checked on rows only.
+    df = clicks(spark, sf)
+    df = df.withColumn("category", X.hash_bucket(X.composite_key("ip", "app", "device", "os")))
+    out = build_features(df, [FeatureSpec("next", ("category",), None, "nextClick", "long")])
+    return out.select("row_id", "category", "nextClick")
+
+
+# ---------------------------------------------------------------------------
+# X-* scalar functions
+# ---------------------------------------------------------------------------
+@register("calendar_parts", """
+SELECT row_id,
+       CAST(extract(hour FROM click_time) AS INTEGER) AS hour,
+       CAST(extract(day FROM click_time) AS INTEGER) AS day,
+       CAST(extract(minute FROM click_time) AS INTEGER) AS minute,
+       CAST(floor(extract(second FROM click_time)) AS INTEGER) AS second,
+       CAST(isodow(click_time) - 1 AS INTEGER) AS wday,
+       CAST(floor(epoch(click_time)) AS BIGINT) AS epoch
+FROM clicks
+""")
+def q_calendar_parts(spark, sf):
+    df = X.with_calendar(C.load_clicks(spark, sf), ("hour", "day", "minute", "second", "wday", "epoch"))
+    return df.select("row_id", "hour", "day", "minute", "second", "wday", "epoch")
+
+
+@register("parse_timestamp", """
+SELECT row_id, strftime(click_time, '%Y-%m-%d %H:%M:%S') AS click_text,
+       CAST(floor(epoch(strptime(strftime(click_time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S'))) AS BIGINT)
+         AS reparsed_epoch,
+       CAST(ip AS VARCHAR) AS ip_text
+FROM clicks
+""")
+def q_parse_timestamp(spark, sf):
+    df = C.load_clicks(spark, sf).select(
+        "row_id", F.date_format("click_time", "yyyy-MM-dd HH:mm:ss").alias("click_text"),
+        X.to_text("ip").alias("ip_text"))
+    back = X.parse_time("click_text", "yyyy-MM-dd HH:mm:ss")
+    return df.select("row_id", "click_text", X.epoch_seconds(back).alias("reparsed_epoch"), "ip_text")
+
+
+@register("time_block", """
+SELECT row_id, CAST(floor((epoch - (SELECT arg_min(epoch, row_id) FROM clicks)) / 60) AS BIGINT) AS timeblock
+FROM clicks
+""")
+def q_time_block(spark, sf):
+    df = clicks(spark, sf, ("epoch",))
+    first = df.select(F.min_by("epoch", "row_id")).scalar()
+    return df.select("row_id", X.minutes_since("epoch", first).alias("timeblock"))
+
+
+@register("composite_key", """
+SELECT row_id, concat_ws('_', CAST(ip AS VARCHAR), CAST(app AS VARCHAR), CAST(device AS VARCHAR),
+                         CAST(os AS VARCHAR)) AS category
+FROM clicks
+""")
+def q_composite_key(spark, sf):
+    df = C.load_clicks(spark, sf)
+    return df.select("row_id", X.composite_key("ip", "app", "device", "os").alias("category"))
+
+
+@register("ratio_and_diff", """
+SELECT row_id, round(CAST(cs - is_attributed AS DOUBLE) / NULLIF(cc, 0), 6) AS ratio, cs - cc AS diff
+FROM (SELECT row_id, is_attributed,
+             CAST(sum(is_attributed) OVER w AS BIGINT) AS cs, CAST(row_number() OVER w - 1 AS BIGINT) AS cc
+      FROM clicks WINDOW w AS (PARTITION BY ip ORDER BY row_id))
+""")
+def q_ratio_and_diff(spark, sf):
+    # X-RATIO / X-DIFF: (cumsum - y) / cumcount with 0/0 -> null.
+    specs = [FeatureSpec("cumsum", ("ip",), "is_attributed", "cs", "long"),
+             FeatureSpec("cumcount", ("ip",), None, "cc")]
+    df = build_features(clicks(spark, sf), specs)
+    return df.select("row_id", r6(X.safe_ratio(F.col("cs") - F.col("is_attributed"), "cc")).alias("ratio"),
+                     (F.col("cs") - F.col("cc")).alias("diff"))
