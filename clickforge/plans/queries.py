@@ -72,13 +72,13 @@ def register(name: str, sql: str | None = None):
 # ---------------------------------------------------------------------------
 # Shared inputs
 # ---------------------------------------------------------------------------
-def clicks(spark: SparkSession, sf: str, parts=("hour", "day", "epoch")) -> DataFrame:
-    return X.with_calendar(C.load_clicks(spark, sf), parts)
+def clicks(spark: SparkSession, sf: str, parts=("hour", "day", "epoch"), extra=()) -> DataFrame:
+    return X.with_calendar(C.load_clicks(spark, sf, extra), parts)
 
 
-def framed(spark: SparkSession, sf: str) -> tuple[DataFrame, Column, Column]:
+def framed(spark: SparkSession, sf: str, extra=()) -> tuple[DataFrame, Column, Column]:
     """Click view with the label hidden on the last 20 % (the test part)."""
-    df = clicks(spark, sf)
+    df = clicks(spark, sf, extra=extra)
     n = C.n_rows(df)
     len_train = F.floor(n * F.lit(80) / F.lit(100)).cast("long")
     val_size = len_train - F.floor(n * F.lit(60) / F.lit(100)).cast("long")
@@ -385,3 +385,258 @@ def q_ratio_and_diff(spark, sf):
     df = build_features(clicks(spark, sf), specs)
     return df.select("row_id", r6(X.safe_ratio(F.col("cs") - F.col("is_attributed"), "cc")).alias("ratio"),
                      (F.col("cs") - F.col("cc")).alias("diff"))
+
+
+# ---------------------------------------------------------------------------
+# Feature catalogues: every spec of a script version in one plan
+# ---------------------------------------------------------------------------
+from clickforge.plans.oracle import FLOAT_TYPES, DOUBLE_TYPES, features_sql  # noqa: E402
+
+
+def _features_out(df: DataFrame, specs) -> DataFrame:
+    last = {s.name: s for s in specs}
+    cols = [F.col("row_id")]
+    for name, s in last.items():
+        t = s.out_dtype
+        cols.append((r6(name) if t in FLOAT_TYPES | DOUBLE_TYPES else big(name)).alias(name))
+    return df.select(*cols)
+
+
+def _catalogue_query(name: str, make_specs):
+    specs = make_specs()
+
+    def run(spark, sf):
+        return _features_out(build_features(clicks(spark, sf), specs), specs)
+    run.__name__ = f"q_{name}"
+    register(name, features_sql(specs))(run)
+
+
+_catalogue_query("features_v27", catalogue_v27)
+_catalogue_query("features_v26", catalogue_v26)
+_catalogue_query("features_v21", catalogue_v21)
+_catalogue_query("features_nb977", catalogue_nb977)
+
+
+# ---------------------------------------------------------------------------
+# Reports: A-DAY, P-BOOL, A-LABEL, A-STAT, A-FIRST, A-SHAPE
+# ---------------------------------------------------------------------------
+@register("rows_per_day", """
+SELECT day, count(*) AS n_rows FROM clicks GROUP BY day
+""")
+def q_rows_per_day(spark, sf):
+    return A.rows_per(clicks(spark, sf, ("day",)), "day")
+
+
+@register("count_where_day", """
+SELECT count(*) FILTER (WHERE day = 9) AS n_rows FROM clicks
+""")
+def q_count_where_day(spark, sf):
+    return A.count_where(clicks(spark, sf, ("day",)), F.col("day") == 9)
+
+
+@register("label_balance", """
+SELECT label, count(*) AS n_rows FROM labelled GROUP BY label
+""")
+def q_label_balance(spark, sf):
+    df, _, _ = framed(spark, sf)
+    return A.rows_per(df, "label")
+
+
+@register("feature_stats", """
+SELECT max(ip_app_count) AS ip_app_count_max, min(ip_app_count) AS ip_app_count_min,
+       round(avg(ip_app_count), 6) AS ip_app_count_mean,
+       max(next_click) AS next_click_max, min(next_click) AS next_click_min,
+       round(avg(next_click), 6) AS next_click_mean
+FROM (SELECT CAST(count(*) OVER (PARTITION BY ip, app) AS BIGINT) AS ip_app_count,
+             CAST(coalesce(lead(epoch) OVER (PARTITION BY ip, app, device, os ORDER BY row_id), 3000000000)
+                  - epoch AS BIGINT) AS next_click
+      FROM clicks)
+""")
+def q_feature_stats(spark, sf):
+    specs = [FeatureSpec("count", ("ip", "app"), None, "ip_app_count"),
+             FeatureSpec("next", ("ip", "app", "device", "os"), None, "next_click", "long")]
+    st = A.feature_stats(build_features(clicks(spark, sf), specs), ["ip_app_count", "next_click"])
+    return st.select(*[r6(c).alias(c) if c.endswith("_mean") else F.col(c) for c in st.columns])
+
+
+@register("first_value", """
+SELECT arg_min(epoch, row_id) AS first_epoch FROM clicks
+""")
+def q_first_value(spark, sf):
+    return A.first_value(clicks(spark, sf, ("epoch",)), "epoch", name="first_epoch")
+
+
+@register("split_shape", """
+SELECT split, count(*) AS n_rows, 14 AS n_cols
+FROM (SELECT CASE WHEN row_id >= len_train THEN 'test' WHEN row_id >= len_train - val_size THEN 'val'
+                  ELSE 'train' END AS split FROM labelled)
+GROUP BY split
+""")
+def q_split_shape(spark, sf):
+    df, lt, vs = framed(spark, sf)
+    return A.shape(T.assign_split(df, lt, vs), by="split")
+
+
+# ---------------------------------------------------------------------------
+# Projections, constants, row ranges, day filter, union, splits
+# ---------------------------------------------------------------------------
+@register("project_drop_rename", """
+SELECT row_id, ip AS user_ip, app, channel, CAST(-1 AS BIGINT) AS click_id FROM clicks
+""")
+def q_project_drop_rename(spark, sf):
+    df = C.load_clicks(spark, sf).drop("device", "os", "click_time", "is_attributed")
+    df = P.with_constant(df, "click_id", S.MISSING, "long").withColumnRenamed("ip", "user_ip")
+    return df.select("row_id", "user_ip", "app", "channel", "click_id")
+
+
+@register("row_range", """
+SELECT row_id, ip, app, channel FROM clicks
+WHERE row_id >= (SELECT count(*) FROM clicks) * 2 / 10 AND row_id < (SELECT count(*) FROM clicks) * 5 / 10
+""")
+def q_row_range(spark, sf):
+    # S-RANGE: rows [20 %, 50 %) of the log; the bound is pushed to the scan.
+    df = C.load_clicks(spark, sf)
+    n = C.n_rows(df)
+    return df.filter((F.col("row_id") >= n * 2 / 10) & (F.col("row_id") < n * 5 / 10)) \
+             .select("row_id", "ip", "app", "channel")
+
+
+@register("head_n", """
+SELECT row_id, ip, app FROM clicks ORDER BY row_id LIMIT 1000
+""")
+def q_head_n(spark, sf):
+    # S-HEAD: the first n rows is the feature itself (nrows=n).
+    return C.head(C.load_clicks(spark, sf), 1000).select("row_id", "ip", "app")
+
+
+@register("row_at", """
+SELECT row_id, ip, app, device, os, channel FROM clicks WHERE row_id = (SELECT count(*) FROM clicks) / 2
+""")
+def q_row_at(spark, sf):
+    df = C.load_clicks(spark, sf)
+    return df.filter(F.col("row_id") == C.n_rows(df) / 2).select("row_id", "ip", "app", "device", "os", "channel")
+
+
+@register("debug_sample")
+def q_debug_sample(spark, sf):
+    # S-DEBUG: seeded Bernoulli sample (no SQL twin for Spark's sampler).
+    return C.debug_sample(C.load_clicks(spark, sf), fraction=0.1, seed=7).select("row_id", "ip", "app")
+
+
+@register("day_filter", """
+SELECT row_id, ip, hour FROM clicks
+WHERE click_time >= TIMESTAMP '2024-01-09 00:00:00' AND click_time < TIMESTAMP '2024-01-10 00:00:00'
+""")
+def q_day_filter(spark, sf):
+    df = T.day_filter(clicks(spark, sf, ("hour",)), "2024-01-09 00:00:00")
+    return df.select("row_id", "ip", "hour")
+
+
+@register("union_unlabelled", """
+SELECT row_id, ip, app, is_attributed, CAST(-1 AS BIGINT) AS click_id FROM labelled WHERE row_id < len_train
+UNION ALL
+SELECT row_id, ip, app, -1 AS is_attributed, click_id FROM labelled WHERE row_id >= len_train
+""")
+def q_union_unlabelled(spark, sf):
+    df, lt, _ = framed(spark, sf)
+    train = df.filter(F.col("row_id") < lt).select("row_id", "ip", "app", "is_attributed")
+    test = df.filter(F.col("row_id") >= lt).select("row_id", "ip", "app", "click_id")
+    return C.union_labelled(train, test).select("row_id", "ip", "app", "is_attributed", "click_id")
+
+
+@register("split_assign", """
+SELECT row_id, CASE WHEN row_id >= len_train THEN 'test' WHEN row_id >= len_train - val_size THEN 'val'
+                    ELSE 'train' END AS split
+FROM labelled
+""")
+def q_split_assign(spark, sf):
+    df, lt, vs = framed(spark, sf)
+    return T.assign_split(df, lt, vs).select("row_id", "split")
+
+
+@register("train_slice", """
+SELECT row_id, ip, label FROM labelled
+WHERE row_id >= len_train - (SELECT count(*) FROM clicks) / 2 AND row_id < len_train - val_size
+""")
+def q_train_slice(spark, sf):
+    df, lt, vs = framed(spark, sf)
+    return T.train_slice(df, lt, C.n_rows(df) / 2, vs).select("row_id", "ip", "label")
+
+
+@register("impute_matrix", """,
+m AS (SELECT row_id, len_train, var_samp(hour) OVER (PARTITION BY ip, app, channel) AS a,
+             var_samp(day) OVER (PARTITION BY ip, app, os) AS b FROM labelled)
+SELECT row_id,
+       round(coalesce(a, (SELECT avg(a) FROM m WHERE row_id < len_train)), 6) AS a,
+       round(coalesce(b, (SELECT avg(b) FROM m WHERE row_id < len_train)), 6) AS b
+FROM m
+""")
+def q_impute_matrix(spark, sf):
+    # P-IMPALL: statistics fitted on the labelled slice, applied to all rows.
+    df, lt, _ = framed(spark, sf)
+    specs = [FeatureSpec("var", ("ip", "app", "channel"), "hour", "a", "double", "keep"),
+             FeatureSpec("var", ("ip", "app", "os"), "day", "b", "double", "keep")]
+    feats = build_features(df, specs)
+    out = P.impute_matrix(feats, ["a", "b"], fit_on=feats.filter(F.col("row_id") < lt))
+    return out.select("row_id", r6("a").alias("a"), r6("b").alias("b"))
+
+
+@register("pseudo_label_overwrite", """
+SELECT row_id,
+       CASE WHEN row_id >= len_train THEN CAST(least(value / 100, 1.0) > 0.5 AS INTEGER) ELSE label END AS label,
+       round(coalesce(avg(CASE WHEN row_id >= len_train THEN CAST(least(value / 100, 1.0) > 0.5 AS INTEGER)
+                               ELSE label END)
+             OVER (PARTITION BY ip, app, device, os ORDER BY row_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS feat_expanding_mean
+FROM labelled
+""")
+def q_pseudo_label_overwrite(spark, sf):
+    # P-THRESH + P-OVER, then W-EXPMEAN on the completed label (the
+    # pseudo-label flow).  Score here = min(value / 100, 1).
+    df, lt, _ = framed(spark, sf, extra=("value",))
+    score = F.least(F.col("value") / 100, F.lit(1.0))
+    df = df.withColumn("label", P.overwrite_unlabelled(F.col("label"), F.col("row_id") >= lt, P.hard_label(score)))
+    out = build_features(df, [FeatureSpec("expmean", ("ip", "app", "device", "os"), "label",
+                                          "feat_expanding_mean", "double", "zero")])
+    return out.select("row_id", "label", r6("feat_expanding_mean").alias("feat_expanding_mean"))
+
+
+# ---------------------------------------------------------------------------
+# O-SORT / O-TOPK / X-PCT, P-CAT, S-SUB format
+# ---------------------------------------------------------------------------
+@register("importance_sorted", """
+SELECT feature, round(gain, 6) AS gain, split FROM (
+  SELECT CAST(channel AS VARCHAR) AS feature, 100 * sum(value) / (SELECT sum(value) FROM clicks) AS gain,
+         count(*) AS split
+  FROM clicks GROUP BY channel)
+ORDER BY gain DESC, feature LIMIT 10
+""")
+def q_importance_sorted(spark, sf):
+    # Gain share per feature (here: per channel over value), top 10.
+    base = C.load_clicks(spark, sf, extra=("value",))
+    total = base.select(F.sum("value")).scalar()
+    g = base.groupBy("channel").agg(F.sum("value").alias("g"), F.count(F.lit(1)).alias("split"))
+    g = g.select(X.to_text("channel").alias("feature"), X.share_pct("g", total).alias("gain"), "split")
+    return g.orderBy(F.desc("gain"), "feature").limit(10).select("feature", r6("gain").alias("gain"), "split")
+
+
+@register("categorical_index", """
+SELECT c.row_id, c.channel, CAST(i.idx AS BIGINT) AS channel_idx
+FROM clicks c JOIN (SELECT channel, row_number() OVER (ORDER BY cnt DESC, channel) - 1 AS idx
+                    FROM (SELECT channel, count(*) AS cnt FROM clicks GROUP BY channel)) i USING (channel)
+""")
+def q_categorical_index(spark, sf):
+    out = P.categorical_index(C.load_clicks(spark, sf), "channel", "channel_idx")
+    return out.select("row_id", "channel", big("channel_idx").alias("channel_idx"))
+
+
+@register("format_submission", """
+SELECT click_id, printf('%.9f', least(value / 100, 1.0)) AS is_attributed
+FROM labelled WHERE row_id >= len_train
+""")
+def q_format_submission(spark, sf):
+    from clickforge.sources.store import submission_frame
+    df, lt, _ = framed(spark, sf, extra=("value",))
+    scored = df.filter(F.col("row_id") >= lt).withColumn(
+        "p", F.least(F.col("value") / 100, F.lit(1.0)))
+    return submission_frame(scored, "p")

@@ -27,7 +27,7 @@ def _app_code(event_type: Column) -> Column:
     return expr.otherwise(F.lit(S.APP_CODE_OTHER))
 
 
-def click_view(events: DataFrame) -> DataFrame:
+def click_view(events: DataFrame, extra=()) -> DataFrame:
     """The click log emulated over the driver's ``events`` table.
 
     event_id is dense and in time order, so it is the row index directly.
@@ -44,11 +44,12 @@ def click_view(events: DataFrame) -> DataFrame:
         k.alias("channel"),
         F.col("ts").alias("click_time"),
         (F.col("event_type") == F.lit("purchase")).cast("int").alias("is_attributed"),
+        *[F.col(c) for c in extra],
     )
 
 
-def load_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return click_view(table(spark, sf_dir, "events"))
+def load_clicks(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
+    return click_view(table(spark, sf_dir, "events"), extra)
 
 
 # --------------------------------------------------------------------------
