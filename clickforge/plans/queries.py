@@ -640,3 +640,132 @@ def q_format_submission(spark, sf):
     scored = df.filter(F.col("row_id") >= lt).withColumn(
         "p", F.least(F.col("value") / 100, F.lit(1.0)))
     return submission_frame(scored, "p")
+
+
+# ---------------------------------------------------------------------------
+# M-* model operators.  The model frame = v27 features on the framed click
+# view, written once per session to the shared checkpoint folder.
+# ---------------------------------------------------------------------------
+from clickforge.models import auc as M_AUC  # noqa: E402
+from clickforge.models import gbt as M  # noqa: E402
+
+MODEL_PARAMS = {"num_boost_round": 5, "max_depth": 3, "min_child_samples": 5, "max_bin": 32,
+                "scale_pos_weight": 2.0, "subsample": 0.8, "colsample_bytree": 0.7, "seed": 7}
+_MODEL_FRAMES: dict = {}
+
+
+def model_predictors() -> list[str]:
+    # `app` is derived from the label's source column in the click view, so it
+    # is left out of every model (see FIXTURES); day is only a key.
+    return ["device", "os", "channel", "hour"] + [s.name for s in catalogue_v27()]
+
+
+def model_frame(spark: SparkSession, sf: str) -> DataFrame:
+    key = (id(spark), sf)
+    if key not in _MODEL_FRAMES:
+        df, lt, vs = framed(spark, sf)
+        feats = T.assign_split(build_features(df, catalogue_v27()), lt, vs)
+        from clickforge.session import cut_lineage
+        _MODEL_FRAMES[key] = cut_lineage(feats)
+    return _MODEL_FRAMES[key]
+
+
+def _fitted(spark, sf, params=None):
+    mf = model_frame(spark, sf)
+    return mf, M.fit(mf.filter(F.col("split") == "train"), model_predictors(), "label", params or MODEL_PARAMS)
+
+
+@register("auc_rank", """,
+r AS (SELECT is_attributed AS y,
+             rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2.0 AS r
+      FROM clicks)
+SELECT round((sum(CASE WHEN y = 1 THEN r END) - count(CASE WHEN y = 1 THEN 1 END)
+              * (count(CASE WHEN y = 1 THEN 1 END) + 1) / 2.0)
+             / (count(CASE WHEN y = 1 THEN 1 END) * count(CASE WHEN y = 0 THEN 1 END)), 6) AS auc
+FROM r
+""")
+def q_auc_rank(spark, sf):
+    # M-AUC: exact tie-aware AUC of score = value against the label.
+    df = C.load_clicks(spark, sf, extra=("value",))
+    return M_AUC.auc(df, "value", "is_attributed").select(r6("auc").alias("auc"))
+
+
+@register("gbt_scores")
+def q_gbt_scores(spark, sf):
+    mf, model = _fitted(spark, sf)
+    out = M.score(model, mf.filter(F.col("split") == "test"), model_predictors())
+    return out.select("click_id", "p")
+
+
+@register("gbt_hard")
+def q_gbt_hard(spark, sf):
+    mf, model = _fitted(spark, sf)
+    out = M.score(model, mf.filter(F.col("split") == "test"), model_predictors())
+    return out.select("click_id", F.col("prediction").cast("int").alias("is_attributed"))
+
+
+@register("gbt_valid_auc")
+def q_gbt_valid_auc(spark, sf):
+    mf, model = _fitted(spark, sf)
+    val = M.score(model, mf.filter(F.col("split") == "val"), model_predictors())
+    return M_AUC.auc(val, "p", "label")
+
+
+@register("gbt_best_prefix")
+def q_gbt_best_prefix(spark, sf):
+    mf, model = _fitted(spark, sf)
+    best = M.best_iteration(model, mf.filter(F.col("split") == "val"), model_predictors(), "label", patience=3)
+    return mf.filter(F.col("split") == "val").agg(F.count(F.lit(1)).alias("n_valid")).select(
+        F.lit(best).alias("best_iteration"), F.lit(MODEL_PARAMS["num_boost_round"]).alias("n_rounds"), "n_valid")
+
+
+@register("gbt_importance")
+def q_gbt_importance(spark, sf):
+    _, model = _fitted(spark, sf)
+    return M.importance(spark, model, model_predictors())
+
+
+@register("rescore")
+def q_rescore(spark, sf):
+    # S-MODEL + M-RESCORE: save, load in a fresh reader, score the test part.
+    from clickforge.session import shared_path
+    mf, model = _fitted(spark, sf)
+    path = shared_path(spark, "model")
+    M.save(model, path)
+    again = M.load(path)
+    return M.score(again, mf.filter(F.col("split") == "test"), model_predictors()).select("click_id", "p")
+
+
+@register("rf_pseudo_labels")
+def q_rf_pseudo_labels(spark, sf):
+    # M-RF -> P-THRESH -> P-OVER -> W-EXPMEAN (pseudo-labelled target mean).
+    mf = model_frame(spark, sf)
+    preds = model_predictors()
+    done = M.rf_pseudo_labels(mf.filter(F.col("split") != "test"), F.col("split") == "test", preds, "label",
+                              num_trees=5, max_depth=4, seed=3, df=mf)
+    out = build_features(done, [FeatureSpec("expmean", ("ip", "app", "device", "os"), "label",
+                                            "feat_expanding_mean", "double", "zero")])
+    return out.select("row_id", "label", r6("feat_expanding_mean").alias("feat_expanding_mean"))
+
+
+@register("tune_trials")
+def q_tune_trials(spark, sf):
+    mf = model_frame(spark, sf)
+    trials = M.sample_params(3, seed=0, base={"num_boost_round": 3})
+    return M.evaluate_params(spark, mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "val"),
+                             model_predictors(), trials, "label", "trial")
+
+
+@register("best_trial")
+def q_best_trial(spark, sf):
+    return M.best_params(QUERIES["tune_trials"](spark, sf))
+
+
+@register("variants")
+def q_variants(spark, sf):
+    # M-VARIANT: the same snapshot re-fit with other subsample / bin settings.
+    mf = model_frame(spark, sf)
+    sets = [dict(MODEL_PARAMS, subsample=0.5), dict(MODEL_PARAMS, subsample=0.3),
+            dict(MODEL_PARAMS, max_bin=50)]
+    return M.evaluate_params(spark, mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "val"),
+                             model_predictors(), sets, "label", "variant")
