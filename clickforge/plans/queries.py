@@ -769,3 +769,123 @@ def q_variants(spark, sf):
             dict(MODEL_PARAMS, max_bin=50)]
     return M.evaluate_params(spark, mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "val"),
                              model_predictors(), sets, "label", "variant")
+
+
+# ---------------------------------------------------------------------------
+# S-* written tables: each query writes to the shared checkpoint folder and
+# returns what it reads back, so the oracle is the source query's SQL.
+# ---------------------------------------------------------------------------
+from clickforge.sources import store as ST  # noqa: E402
+from clickforge.session import shared_path  # noqa: E402
+
+_V27_SQL = ORACLE["features_v27"][len(CLICKS_CTE):]
+
+
+@register("csv_roundtrip", """
+SELECT row_id, ip, app, device, os, channel, click_time, is_attributed FROM clicks
+""")
+def q_csv_roundtrip(spark, sf):
+    # S-CSV: write the click log as CSV, read it back with an explicit schema.
+    from pyspark.sql import types as Ty
+    df = C.load_clicks(spark, sf)
+    path = shared_path(spark, "clicks-csv")
+    df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    schema = Ty.StructType([Ty.StructField("row_id", Ty.LongType())] +
+                           [Ty.StructField(c, Ty.IntegerType()) for c in ("ip", "app", "device", "os", "channel")] +
+                           [Ty.StructField("click_time", Ty.TimestampNTZType()),
+                            Ty.StructField("is_attributed", Ty.IntegerType())])
+    back = (spark.read.schema(schema).option("header", True)
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
+    return back.select(*C.CLICK_COLUMNS)
+
+
+@register("snapshot_roundtrip", _V27_SQL)
+def q_snapshot_roundtrip(spark, sf):
+    # S-SNAPW / S-SNAPR: features written partitioned by split, read back.
+    df, lt, vs = framed(spark, sf)
+    specs = catalogue_v27()
+    snap = T.assign_split(build_features(df, specs), lt, vs)
+    path = shared_path(spark, "snapshot")
+    ST.write_snapshot(snap, path)
+    return _features_out(ST.read_snapshot(spark, path), specs)
+
+
+@register("snapshot_test_split", """
+SELECT row_id, click_id FROM labelled WHERE row_id >= len_train
+""")
+def q_snapshot_test_split(spark, sf):
+    # Reading one split prunes the other partitions of the snapshot.
+    df, lt, vs = framed(spark, sf)
+    path = shared_path(spark, "snapshot-split")
+    ST.write_snapshot(T.assign_split(df, lt, vs).select("row_id", "click_id", "split"), path)
+    return ST.read_snapshot(spark, path, "test").select("row_id", "click_id")
+
+
+@register("load_or_build", """
+SELECT row_id, CAST(count(*) OVER (PARTITION BY ip, app) AS BIGINT) AS ip_app_count FROM clicks
+""")
+def q_load_or_build(spark, sf):
+    # S-CACHE: the second call reads the table the first call wrote.
+    path = shared_path(spark, "cache")
+    build = lambda: q_count_by_key(spark, sf)
+    ST.load_or_build(spark, path, build, partition_by=None)
+    return ST.load_or_build(spark, path, lambda: (_ for _ in ()).throw(RuntimeError("rebuilt")), None)
+
+
+@register("feature_cache", """
+SELECT row_id, CAST(count(DISTINCT channel) OVER (PARTITION BY ip) AS BIGINT) AS X0 FROM clicks
+""")
+def q_feature_cache(spark, sf):
+    # S-FCACHE: group table cached per (spec, input range), joined back.
+    df = clicks(spark, sf)
+    spec = FeatureSpec("nunique", ("ip",), "channel", "X0")
+    root = shared_path(spark, "fcache")
+    tag = "events:all"
+    compute = lambda: A.group_stats(df, spec.keys, [(spec.name, spec.op, spec.column)])
+    ST.cached_feature(spark, root, spec, tag, compute)
+    table = ST.cached_feature(spark, root, spec, tag, lambda: None)  # hit: not recomputed
+    return df.join(table, list(spec.keys), "left").select("row_id", big(spec.name).alias(spec.name))
+
+
+@register("manifest", """
+SELECT name, role, ordinal FROM (VALUES
+""" + ",\n".join(f"('{n}', '{'categorical' if n in ('device', 'os', 'channel', 'hour') else 'numeric'}', {i})"
+                 for i, n in enumerate(["device", "os", "channel", "hour"] + [s.name for s in catalogue_v27()]))
+      + """) AS t(name, role, ordinal)
+""")
+def q_manifest(spark, sf):
+    # S-MANI: predictor / categorical lists written next to the snapshot.
+    df = build_features(clicks(spark, sf), catalogue_v27())   # schema only, nothing runs
+    preds = model_predictors()
+    path = shared_path(spark, "manifest")
+    ST.write_manifest(spark, path, df, preds, ["device", "os", "channel", "hour"])
+    p2, cats = ST.read_manifest(spark, path)
+    assert p2 == preds and cats == ["device", "os", "channel", "hour"]
+    return spark.read.schema(ST.MANIFEST_SCHEMA).json(path).select("name", "role", "ordinal")
+
+
+@register("submission_csv", """
+SELECT click_id, printf('%.9f', least(value / 100, 1.0)) AS is_attributed
+FROM labelled WHERE row_id >= len_train
+""")
+def q_submission_csv(spark, sf):
+    # S-SUB: written with header, no index, 9 decimals; read back as text.
+    from pyspark.sql import types as Ty
+    df, lt, _ = framed(spark, sf, extra=("value",))
+    scored = df.filter(F.col("row_id") >= lt).withColumn("p", F.least(F.col("value") / 100, F.lit(1.0)))
+    path = shared_path(spark, "submission")
+    ST.write_submission(scored, "p", path)
+    schema = Ty.StructType([Ty.StructField("click_id", Ty.LongType()), Ty.StructField(S.LABEL, Ty.StringType())])
+    return ST.read_csv(spark, path, schema)
+
+
+@register("importance_csv")
+def q_importance_csv(spark, sf):
+    # S-IMP: importance table written as CSV and read back.
+    from pyspark.sql import types as Ty
+    imp = QUERIES["gbt_importance"](spark, sf)
+    path = shared_path(spark, "importance")
+    ST.write_importance(imp, path)
+    schema = Ty.StructType([Ty.StructField("feature", Ty.StringType()), Ty.StructField("gain", Ty.DoubleType()),
+                            Ty.StructField("split", Ty.IntegerType())])
+    return ST.read_csv(spark, path, schema)
