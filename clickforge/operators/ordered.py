@@ -49,7 +49,7 @@ def _all_keys_present(keys) -> Column:
 
 def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int = DEFAULT_CHUNK_ROWS,
                epoch: str = "epoch", order: str = "row_id", stats: DataFrame | None = None,
-               group_count: str | None = None) -> DataFrame:
+               group_count: str | None = None, n_rows: int | None = None) -> DataFrame:
     """Compute one key family.
 
     ``aggregates``: list of (name, op, column) group aggregates.
@@ -57,6 +57,10 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
                     cumcount | next | prev | cumsum | expmean.
     ``stats``:      optional precomputed group table (keys + aggregate
                     names [+ ``group_count``]); built from ``rows`` if absent.
+    ``n_rows``:     row count of ``rows`` if known.  When the whole input
+                    has at most ``chunk_rows`` rows no group can be larger,
+                    so one plain window / join pass is exact and just as
+                    skew-safe; the chunked plan is used above that.
     Returns ``order`` + every feature name, one row per row with all keys
     present (rows with a null key form no group and are left out).
     """
@@ -68,9 +72,12 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
         keyed = rows.filter(_all_keys_present(keys))
         stats = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(group_count),
                                          *[agg_expr(op, c).alias(n) for n, op, c in aggregates])
+    small = n_rows is not None and n_rows <= chunk_rows
     if not ordered:
-        return _attach_stats(rows, keys, stats, [n for n, _, _ in aggregates], group_count,
-                             chunk_rows, order)
+        return _attach_stats(rows, keys, stats, [n for n, _, _ in aggregates],
+                             None if small else group_count, chunk_rows, order)
+    if small:
+        return _plain_family(rows, keys, aggregates, ordered, epoch, order, stats)
 
     need_epoch = any(op in ("next", "prev") for _, op, _, _ in ordered)
     sum_cols = sorted({c for _, op, c, _ in ordered if op in ("cumsum", "expmean")})
@@ -154,6 +161,55 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
     return joined.select(*out)
 
 
+def _feature_value(name, op, col, opts, epoch, nxt, prv, cnt_before, sum_upto, sum_before, n_before):
+    """Final value of an ordered feature from its parts (shared by both plans)."""
+    if op == "cumcount":
+        return cnt_before
+    if op == "next":
+        fill = opts.get("fill", "sentinel")
+        return (F.coalesce(nxt, F.lit(S.FILL_NEXT)) if fill == "sentinel" else nxt) - F.col(epoch)
+    if op == "prev":
+        first = opts.get("first", "null")
+        if first == "zero":
+            prv = F.coalesce(prv, F.lit(0))
+        elif first == "sentinel":
+            prv = F.coalesce(prv, F.lit(S.FILL_NEXT))
+        return F.col(epoch) - prv
+    if op == "cumsum":
+        return sum_upto
+    if op == "expmean":
+        return F.try_divide(sum_before.cast("double"), n_before.cast("double"))
+    raise ValueError(op)
+
+
+def _plain_family(rows, keys, aggregates, ordered, epoch, order, stats) -> DataFrame:
+    """One window pass over (keys) ordered by row: used when the input is
+    too small for any group to exceed the chunk size."""
+    need_epoch = any(op in ("next", "prev") for _, op, _, _ in ordered)
+    sum_cols = sorted({c for _, op, c, _ in ordered if op in ("cumsum", "expmean")})
+    cols = list(dict.fromkeys([order, *keys] + ([epoch] if need_epoch else []) +
+                              [c for c in sum_cols if c not in keys]))
+    base = rows.select(*cols).filter(_all_keys_present(keys + [order]))
+    w = Window.partitionBy(*keys).orderBy(order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = [F.col(order)]
+    for name, op, col, opts in ordered:
+        v = _feature_value(
+            name, op, col, opts, epoch,
+            nxt=F.lead(epoch).over(w) if op == "next" else None,
+            prv=F.lag(epoch).over(w) if op == "prev" else None,
+            cnt_before=F.row_number().over(w) - 1 if op == "cumcount" else None,
+            sum_upto=F.sum(col).over(upto) if op == "cumsum" else None,
+            sum_before=F.sum(col).over(before) if op == "expmean" else None,
+            n_before=F.count(col).over(before) if op == "expmean" else None)
+        out.append(v.alias(name))
+    fam = base.select(*out, *keys)
+    if aggregates:
+        fam = fam.join(stats.select(*keys, *[n for n, _, _ in aggregates]), keys, "left")
+    return fam.select(order, *[n for n, _, _, _ in ordered], *[n for n, _, _ in aggregates])
+
+
 def _attach_stats(rows: DataFrame, keys, stats: DataFrame, names, group_count: str | None,
                   hot_rows: int, order: str) -> DataFrame:
     """Group table back to rows, with hot keys split off.

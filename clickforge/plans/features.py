@@ -33,17 +33,23 @@ def _group_count(keys) -> str:
 
 def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT_CHUNK_ROWS,
                    wrap: bool = False, order: str = "row_id", epoch: str = "epoch",
-                   fit_on: DataFrame | None = None, keep_columns: bool = True) -> DataFrame:
+                   fit_on: DataFrame | None = None, keep_columns: bool = True,
+                   n_rows: int | None = None) -> DataFrame:
     """Same rows in and out, one new column per spec name.
 
     ``fit_on``: rows the group statistics are computed from (default: all
     rows, train and test together, as the reference does).  Ordered features
     always run over ``df``.
+    ``n_rows``: row count of ``df``; counted (one metadata-cheap action) when
+    not given.  It picks the plain plan when no group can exceed
+    ``chunk_rows`` and the chunked / hot-key plan otherwise; both are exact.
     """
     uniq, aliases = dedup(specs)
     if any(s.op in ("next", "prev") for s in uniq) and epoch not in df.columns:
         df = df.withColumn(epoch, epoch_seconds("click_time", df.schema["click_time"].dataType))
     src = fit_on if fit_on is not None else df
+    if n_rows is None:
+        n_rows = df.count()
 
     out = df
     fam_tables = []
@@ -59,21 +65,28 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
             keyed = src.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
             stats = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(gn),
                                            *[agg_expr(op, c).alias(n) for n, op, c in aggs])
-            for s in fam:
-                if s.op in AGG_OPS and s.null_policy == "mean":
+            mean_specs = [s for s in fam if s.op in AGG_OPS and s.null_policy == "mean"]
+            if mean_specs:
+                # All row-weighted means of the family in one scalar subquery.
+                parts = []
+                for s in mean_specs:
                     v = F.col(s.name).cast("double")
-                    w = F.when(F.col(s.name).isNotNull(), F.col(gn))
-                    impute_means[s.name] = stats.select(
-                        (F.sum(v * F.col(gn)) / F.sum(w)).alias("m")).scalar()
+                    parts.append((F.sum(v * F.col(gn)) / F.sum(F.when(F.col(s.name).isNotNull(), F.col(gn))))
+                                 .alias(s.name))
+                means = stats.select(F.struct(*parts).alias("m"))
+                m = means.scalar()
+                for s in mean_specs:
+                    impute_means[s.name] = m.getField(s.name)
         bound = S.domain_rows(keys)
         if not ords and bound is not None and bound <= S.MAX_BROADCAST_ROWS:
             out = out.join(F.broadcast(stats.drop(_group_count(keys))), keys, "left")
         else:
             fam_tables.append(key_family(df, keys, aggs, ords, chunk_rows=chunk_rows,
                                          epoch=epoch, order=order, stats=stats,
-                                         group_count=_group_count(keys) if aggs else None))
-    for t in fam_tables:
-        out = out.join(t, order, "left")
+                                         group_count=_group_count(keys) if aggs else None,
+                                         n_rows=n_rows))
+    if fam_tables:
+        out = out.join(_assemble(fam_tables, order), order, "left")
 
     finals = []
     for s in uniq:
@@ -91,14 +104,41 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
                 m = out.select(F.avg(F.col(s.name))).scalar()
             c = F.coalesce(c.cast("double"), m)
         finals.append(cast_to(c, s.out_dtype, wrap=wrap).alias(s.name))
-    for dup, kept in aliases.items():
-        finals.append(F.col(kept).alias(dup))
     base_cols = [c for c in df.columns if c not in {s.name for s in uniq} | set(aliases)] if keep_columns else [order]
-    # The alias columns must reference the finished feature, so project twice.
-    first = out.select(*base_cols, *[f for f in finals[:len(uniq)]])
+    first = out.select(*base_cols, *finals)
     return first.select(*base_cols, *[s.name for s in uniq], *[F.col(k).alias(d) for d, k in aliases.items()])
 
 
+def _assemble(tables: list[DataFrame], order: str) -> DataFrame:
+    """Join every family's ``(row_id, features)`` into one row per row_id
+    with a single shuffle.
+
+    Each family packs its features into one ``array<double>`` (counts and
+    gaps are far below 2^53, so they survive exactly), the families are
+    unioned and grouped by row_id.  A row_id has at most one entry per
+    family, so every group is bounded by the number of families.  With one
+    family this is just that family's table.
+    """
+    if len(tables) == 1:
+        return tables[0]
+    packed = []
+    layout = []
+    for i, t in enumerate(tables):
+        names = [c for c in t.columns if c != order]
+        layout.append(names)
+        packed.append(t.select(F.col(order), F.struct(F.lit(i).alias("f"), F.array(
+            *[F.col(n).cast("double") for n in names]).alias("v")).alias("__e")))
+    u = packed[0]
+    for p in packed[1:]:
+        u = u.unionByName(p)
+    g = u.groupBy(order).agg(F.map_from_entries(F.collect_list("__e")).alias("__m"))
+    cols = [F.col(order)]
+    for i, names in enumerate(layout):
+        for j, n in enumerate(names):
+            cols.append(F.col("__m").getItem(i).getItem(j).alias(n))
+    return g.select(*cols)
+
+
 def feature_names(specs: list[FeatureSpec]) -> list[str]:
     seen = []
     for s in specs:

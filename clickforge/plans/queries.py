@@ -72,8 +72,23 @@ def register(name: str, sql: str | None = None):
 # ---------------------------------------------------------------------------
 # Shared inputs
 # ---------------------------------------------------------------------------
+_INGESTED: dict = {}
+
+
+def ingested(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed click table (+ value), written once per session to the shared
+    folder and read back; every query below reads it (S-CACHE)."""
+    from clickforge.session import shared_path
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _INGESTED:
+        _INGESTED[key] = C.ingest(C.load_clicks(spark, sf, extra=("value",)), shared_path(spark, "clicks"))
+    return _INGESTED[key]
+
+
 def clicks(spark: SparkSession, sf: str, parts=("hour", "day", "epoch"), extra=()) -> DataFrame:
-    return X.with_calendar(C.load_clicks(spark, sf, extra), parts)
+    base = ingested(spark, sf)
+    base = base.select(*C.CLICK_COLUMNS, *extra)
+    return X.with_calendar(base, parts)
 
 
 def framed(spark: SparkSession, sf: str, extra=()) -> tuple[DataFrame, Column, Column]:
