@@ -904,3 +904,57 @@ def q_importance_csv(spark, sf):
     schema = Ty.StructType([Ty.StructField("feature", Ty.StringType()), Ty.StructField("gain", Ty.DoubleType()),
                             Ty.StructField("split", Ty.IntegerType())])
     return ST.read_csv(spark, path, schema)
+
+
+# ---------------------------------------------------------------------------
+# The large-input plan on the whole table: chunk size and hot-key threshold
+# set small so the driver's oracle checks the chunked windows, the chunk
+# table fix-ups and the hot / cold split (identical SQL as the plain ones).
+# ---------------------------------------------------------------------------
+CHUNKED_ROWS = 997   # a prime, so chunk edges fall at arbitrary rows
+
+
+def _chunked(name: str, base: str, specs, out_cast=big):
+    def run(spark, sf):
+        df = build_features(clicks(spark, sf), specs, chunk_rows=CHUNKED_ROWS)
+        return _features_out(df, specs)
+    run.__name__ = f"q_{name}"
+    register(name, ORACLE[base][len(CLICKS_CTE):])(run)
+
+
+_chunked("cumcount_chunked", "cumcount", [FeatureSpec("cumcount", ("ip", "device", "os"), "app", "X1")])
+_chunked("next_gap_chunked", "next_gap",
+         [FeatureSpec("next", ("ip", "app", "device", "os"), None, "next_click", "long")])
+_chunked("prev_gap_chunked", "prev_gap",
+         [FeatureSpec("prev", ("ip", "app", "device", "os"), None, "prev_click", "long")])
+_chunked("cumsum_chunked", "cumsum",
+         [FeatureSpec("cumsum", ("ip", "app", "device", "os"), "is_attributed", "label_cumsum", "long")])
+_chunked("expanding_mean_chunked", "expanding_mean",
+         [FeatureSpec("expmean", ("ip", "app", "device", "os"), "is_attributed", "feat_expanding_mean",
+                      "double", "zero")])
+_chunked("count_by_key_hot", "count_by_key", [FeatureSpec("count", ("ip", "app"), None, "ip_app_count")])
+_chunked("var_mean_imputed_hot", "var_mean_imputed",
+         [FeatureSpec("var", ("ip", "app", "channel"), "hour", "v", "double", "mean")])
+_chunked("features_v27_chunked", "features_v27", catalogue_v27())
+_chunked("features_v21_chunked", "features_v21", catalogue_v21())
+
+
+HOT_ROWS = 66   # about half of the ips at sf0.01 exceed it: both hot and cold paths run
+
+
+@register("ip_stats_hot_split", """
+SELECT row_id, CAST(count(*) OVER w AS BIGINT) AS ip_count,
+       CAST(count(DISTINCT channel) OVER w AS BIGINT) AS ip_nchannel,
+       round(avg(hour) OVER w, 6) AS ip_mean_hour,
+       CAST(row_number() OVER (PARTITION BY ip ORDER BY row_id) - 1 AS BIGINT) AS ip_cumcount
+FROM clicks WINDOW w AS (PARTITION BY ip)
+""")
+def q_ip_stats_hot_split(spark, sf):
+    specs = [FeatureSpec("count", ("ip",), None, "ip_count"),
+             FeatureSpec("nunique", ("ip",), "channel", "ip_nchannel"),
+             FeatureSpec("mean", ("ip",), "hour", "ip_mean_hour", "double", "keep")]
+    agg = build_features(clicks(spark, sf), specs, chunk_rows=HOT_ROWS)
+    ordered = build_features(clicks(spark, sf), [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")],
+                             chunk_rows=HOT_ROWS, keep_columns=False)
+    out = agg.join(ordered, "row_id")
+    return _features_out(out, specs + [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")])
