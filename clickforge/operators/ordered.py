@@ -104,7 +104,7 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
         local_cols += [F.col(epoch), F.lead(epoch).over(wl).alias("__lead"), F.lag(epoch).over(wl).alias("__lag"),
                        F.first(epoch).over(whole).alias("__first"), F.last(epoch).over(whole).alias("__last")]
     for c in sum_cols:
-        local_cols += [F.sum(c).over(upto).alias(f"__lsum_{c}"),
+        local_cols += [F.col(c).alias(f"__v_{c}"), F.sum(c).over(upto).alias(f"__lsum_{c}"),
                        F.sum(c).over(before).alias(f"__lsumb_{c}"),
                        F.count(c).over(before).alias(f"__lcntb_{c}"),
                        F.sum(c).over(whole).alias(f"__csum_{c}"),
@@ -148,7 +148,8 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
                 prv = F.coalesce(prv, F.lit(S.FILL_NEXT))
             v = F.col(epoch) - prv
         elif op == "cumsum":
-            v = _nsum(F.col(f"__off_sum_{col}"), F.col(f"__lsum_{col}"))
+            # like pandas: null where the value itself is null
+            v = F.when(F.col(f"__v_{col}").isNotNull(), _nsum(F.col(f"__off_sum_{col}"), F.col(f"__lsum_{col}")))
         elif op == "expmean":
             s = _nsum(F.col(f"__off_sum_{col}"), F.col(f"__lsumb_{col}"))
             n = F.coalesce(F.col(f"__off_cnt_{col}"), F.lit(0)) + F.col(f"__lcntb_{col}")
@@ -200,7 +201,7 @@ def _plain_family(rows, keys, aggregates, ordered, epoch, order, stats) -> DataF
             nxt=F.lead(epoch).over(w) if op == "next" else None,
             prv=F.lag(epoch).over(w) if op == "prev" else None,
             cnt_before=F.row_number().over(w) - 1 if op == "cumcount" else None,
-            sum_upto=F.sum(col).over(upto) if op == "cumsum" else None,
+            sum_upto=F.when(F.col(col).isNotNull(), F.sum(col).over(upto)) if op == "cumsum" else None,
             sum_before=F.sum(col).over(before) if op == "expmean" else None,
             n_before=F.count(col).over(before) if op == "expmean" else None)
         out.append(v.alias(name))

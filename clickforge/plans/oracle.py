@@ -52,7 +52,8 @@ def raw_expr(s: FeatureSpec) -> str:
             prv = f"coalesce({prv}, {S.FILL_NEXT})"
         return f"epoch - {prv}"
     if s.op == "cumsum":
-        return f"sum({s.column}) OVER (PARTITION BY {', '.join(k)} ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        return (f"CASE WHEN {s.column} IS NULL THEN NULL ELSE sum({s.column}) OVER (PARTITION BY {', '.join(k)} "
+                f"ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END")
     if s.op == "expmean":
         return (f"avg({s.column}) OVER (PARTITION BY {', '.join(k)} ORDER BY row_id "
                 f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
