@@ -16,14 +16,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickforge import schema as S
 from clickforge.functions.policy import cast_to
 from clickforge.functions.scalar import epoch_seconds
 from clickforge.operators.aggregate import agg_expr
-from clickforge.operators.ordered import DEFAULT_CHUNK_ROWS, key_family, no_group_value
+from clickforge.operators.ordered import DEFAULT_CHUNK_ROWS, _feature_value, key_family, no_group_value
 from clickforge.plans.specs import AGG_OPS, ORDERED_OPS, FeatureSpec, dedup, families
 
 
@@ -50,6 +50,8 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
     src = fit_on if fit_on is not None else df
     if n_rows is None:
         n_rows = df.count()
+    if fit_on is None and n_rows <= chunk_rows:
+        return _window_plan(df, uniq, aliases, wrap=wrap, order=order, epoch=epoch, keep_columns=keep_columns)
 
     out = df
     fam_tables = []
@@ -65,18 +67,7 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
             keyed = src.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
             stats = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(gn),
                                            *[agg_expr(op, c).alias(n) for n, op, c in aggs])
-            mean_specs = [s for s in fam if s.op in AGG_OPS and s.null_policy == "mean"]
-            if mean_specs:
-                # All row-weighted means of the family in one scalar subquery.
-                parts = []
-                for s in mean_specs:
-                    v = F.col(s.name).cast("double")
-                    parts.append((F.sum(v * F.col(gn)) / F.sum(F.when(F.col(s.name).isNotNull(), F.col(gn))))
-                                 .alias(s.name))
-                means = stats.select(F.struct(*parts).alias("m"))
-                m = means.scalar()
-                for s in mean_specs:
-                    impute_means[s.name] = m.getField(s.name)
+
         bound = S.domain_rows(keys)
         if not ords and bound is not None and bound <= S.MAX_BROADCAST_ROWS:
             out = out.join(F.broadcast(stats.drop(_group_count(keys))), keys, "left")
@@ -87,6 +78,7 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
                                          n_rows=n_rows))
     if fam_tables:
         out = out.join(_assemble(fam_tables, order), order, "left")
+    impute_means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch)
 
     finals = []
     for s in uniq:
@@ -109,6 +101,133 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
     return first.select(*base_cols, *[s.name for s in uniq], *[F.col(k).alias(d) for d, k in aliases.items()])
 
 
+def _prefix_groups(fams: dict) -> list[tuple[str | None, list]]:
+    """Greedy grouping of families by a shared key column: the column that
+    occurs in most remaining families becomes one hash partitioning, which
+    satisfies every window partitioned by a superset of it."""
+    left = dict(fams)
+    groups = []
+    while left:
+        counts: dict[str, int] = {}
+        for keys in left:
+            for k in keys:
+                counts[k] = counts.get(k, 0) + 1
+        col = max(sorted(counts), key=lambda k: counts[k])
+        members = [(k, v) for k, v in left.items() if col in k]
+        for k, _ in members:
+            del left[k]
+        groups.append((col, members))
+    return groups
+
+
+def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
+    keys = list(s.keys)
+    wo = Window.partitionBy(*keys).orderBy(order)
+    # Aggregates use the whole frame of the *same* ordered spec, so all
+    # features of a key set share one sort and one Window operator.
+    w = wo.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    if s.op in AGG_OPS:
+        c = F.col(s.column) if s.column else None
+        if s.op == "count":
+            v = F.count(F.lit(1)).over(w)
+        elif s.op == "countnn":
+            v = F.count(c).over(w)
+        elif s.op == "nunique":
+            v = F.size(F.collect_set(c).over(w)).cast("long")
+        elif s.op == "mean":
+            v = F.avg(c).over(w)
+        elif s.op == "var":
+            v = F.var_samp(c).over(w)
+        else:
+            n = F.count(c).over(w).cast("double")
+            v = (F.when(n < 3, F.lit(None).cast("double")).when(F.var_pop(c).over(w) == 0, F.lit(0.0))
+                  .otherwise(F.skewness(c).over(w) * F.sqrt(n * (n - 1)) / (n - 2)))
+        return F.when(present, v)
+    opts = dict(s.options)
+    col = s.column
+    before = wo.rowsBetween(Window.unboundedPreceding, -1)
+    upto = wo.rowsBetween(Window.unboundedPreceding, 0)
+    v = _feature_value(
+        s.name, s.op, col, opts, epoch,
+        nxt=F.lead(epoch).over(wo) if s.op == "next" else None,
+        prv=F.lag(epoch).over(wo) if s.op == "prev" else None,
+        cnt_before=F.row_number().over(wo) - 1 if s.op == "cumcount" else None,
+        sum_upto=F.when(F.col(col).isNotNull(), F.sum(col).over(upto)) if s.op == "cumsum" else None,
+        sum_before=F.sum(col).over(before) if s.op == "expmean" else None,
+        n_before=F.count(col).over(before) if s.op == "expmean" else None)
+    return F.when(present, v)
+
+
+def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_columns) -> DataFrame:
+    """Plan for inputs of at most ``chunk_rows`` rows (no group can be
+    larger): each group of families sharing a key column costs one hash
+    repartition of the rows, and every feature is a window expression over
+    it -- no further shuffle, no join back.  Aggregate-only families with a
+    proven-small key domain are broadcast-joined instead."""
+    fams = families(uniq)
+    out = df
+    bcast = {k: v for k, v in fams.items()
+             if all(s.op in AGG_OPS for s in v) and (S.domain_rows(k) or 1 << 62) <= S.MAX_BROADCAST_ROWS}
+    for keys, fam in bcast.items():
+        keyed = df.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+        stats = keyed.groupBy(*keys).agg(*[agg_expr(s.op, s.column).alias(s.name) for s in fam])
+        out = out.join(F.broadcast(stats), list(keys), "left")
+    rest = {k: v for k, v in fams.items() if k not in bcast}
+    for col, members in _prefix_groups(rest):
+        out = out.repartition(col)
+        out = out.select("*", *[_window_value(s, order, epoch).alias(s.name) for _, fam in members for s in fam])
+
+    means = _imputation_means(df, [s for s in uniq if s.null_policy == "mean"], order, epoch)
+    finals = []
+    for s in uniq:
+        c = F.col(s.name)
+        if s.op in ORDERED_OPS:
+            fill = no_group_value(s.op, dict(s.options), epoch)
+            if fill is not None:
+                c = F.coalesce(c, fill)
+        if s.null_policy == "zero":
+            c = F.coalesce(c, F.lit(0))
+        elif s.null_policy == "mean":
+            c = F.coalesce(c.cast("double"), means[s.name])
+        finals.append(cast_to(c, s.out_dtype, wrap=wrap).alias(s.name))
+    names = {s.name for s in uniq} | set(aliases)
+    base_cols = [c for c in df.columns if c not in names] if keep_columns else [order]
+    first = out.select(*base_cols, *finals)
+    return first.select(*base_cols, *[s.name for s in uniq], *[F.col(k).alias(d) for d, k in aliases.items()])
+
+
+def _imputation_means(df: DataFrame, mean_specs, order: str, epoch: str) -> dict:
+    """Row-weighted mean of each mean-imputed feature, from group tables
+    (sum of n * value / sum of n over groups with a value).
+
+    Like ``pyspark.ml.feature.Imputer.fit`` this is one small job whose
+    result -- one number per feature -- is brought to the driver and applied
+    as a literal, so the feature plan carries no subqueries and is not
+    re-run for the means."""
+    if not mean_specs:
+        return {}
+    parts = []
+    for keys, fam in families(mean_specs).items():
+        keyed = df.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+        if all(s.op in AGG_OPS for s in fam):
+            st = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                          *[agg_expr(s.op, s.column).alias(s.name) for s in fam])
+            for s in fam:
+                v = F.col(s.name).cast("double")
+                parts.append(st.agg((F.sum(v * F.col("__n")) / F.sum(F.when(v.isNotNull(), F.col("__n"))))
+                                    .alias("v")).select(F.lit(s.name).alias("k"), "v"))
+        else:
+            raise ValueError("mean imputation is defined for group aggregates only")
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    fitted = {r["k"]: r["v"] for r in u.collect()}   # one row per feature
+    return {s.name: F.lit(fitted.get(s.name)).cast("double") for s in mean_specs}
+
+
 def _assemble(tables: list[DataFrame], order: str) -> DataFrame:
     """Join every family's ``(row_id, features)`` into one row per row_id
     with a single shuffle.
