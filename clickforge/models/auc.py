@@ -21,43 +21,65 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SUMMARY_SCHEMA = "lo double, pos double, neg double, local_num double"
+SUMMARY_SCHEMA = "g long, lo double, pos double, neg double, local_num double"
 
 
 def _partition_summary(batches):
-    lo = None
-    pos_total = neg_total = num = 0.0
+    """One summary row per (partition, group); rows arrive sorted by
+    (group, score), so a group is one contiguous run, possibly spanning
+    batches."""
+    cur = None                      # [g, lo, pos, neg, num]
     for pdf in batches:
         if pdf.empty:
             continue
-        if lo is None:
-            lo = float(pdf["score"].iloc[0])
-        neg = pdf["neg"].to_numpy(dtype="float64")
-        pos = pdf["pos"].to_numpy(dtype="float64")
-        below = neg.cumsum() - neg + neg_total
-        num += float((pos * (below + 0.5 * neg)).sum())
-        pos_total += float(pos.sum())
-        neg_total += float(neg.sum())
-    if lo is not None:
-        yield pd.DataFrame({"lo": [lo], "pos": [pos_total], "neg": [neg_total], "local_num": [num]})
-
-
-def auc(df: DataFrame, score: str, label: str, n_parts: int | None = None) -> DataFrame:
-    """One-row frame ``auc`` (null when a class is missing)."""
+        for g, seg in pdf.groupby("g", sort=False):
+            neg = seg["neg"].to_numpy(dtype="float64")
+            pos = seg["pos"].to_numpy(dtype="float64")
+            if cur is not None and cur[0] != g:
+                yield pd.DataFrame([cur], columns=["g", "lo", "pos", "neg", "local_num"])
+                cur = None
+            if cur is None:
+                cur = [int(g), float(seg["score"].iloc[0]), 0.0, 0.0, 0.0]
+            below = neg.cumsum() - neg + cur[3]
+            cur[4] += float((pos * (below + 0.5 * neg)).sum())
+            cur[2] += float(pos.sum())
+            cur[3] += float(neg.sum())
+    if cur is not None:
+        yield pd.DataFrame([cur], columns=["g", "lo", "pos", "neg", "local_num"])
+
+
+def auc_by(df: DataFrame, score: str, label: str, group: str | None = None,
+           n_parts: int | None = None) -> DataFrame:
+    """Exact AUC per value of ``group`` (a long column), or overall.
+
+    Returns ``group, auc`` (or just ``auc``).  Distinct (group, score) rows
+    are range-partitioned on (group, score), so neither a large group nor a
+    frequent score lands in one task."""
     s = F.col(score).cast("double")
     y = F.col(label)
+    gcol = F.col(group).cast("long") if group else F.lit(0).cast("long")
     per_score = (df.filter(y.isNotNull() & s.isNotNull())
-                 .groupBy(s.alias("score"))
+                 .groupBy(gcol.alias("g"), s.alias("score"))
                  .agg(F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("pos"),
                       F.sum(F.when(y == 1, 0).otherwise(1)).cast("double").alias("neg")))
-    ranged = (per_score.repartitionByRange(n_parts, "score") if n_parts else
-              per_score.repartitionByRange("score")).sortWithinPartitions("score")
+    ranged = (per_score.repartitionByRange(n_parts, "g", "score") if n_parts else
+              per_score.repartitionByRange("g", "score")).sortWithinPartitions("g", "score")
     summ = ranged.mapInPandas(_partition_summary, SUMMARY_SCHEMA)
-    below = F.coalesce(F.sum("neg").over(Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)),
-                       F.lit(0.0))
-    parts = summ.select("pos", "neg", (F.col("local_num") + F.col("pos") * below).alias("num"))
-    tot = parts.agg(F.sum("num").alias("num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return tot.select(F.try_divide(F.col("num"), F.col("P") * F.col("N")).alias("auc"))
+    # one row per (partition, group): negatives of the same group in lower partitions
+    w = Window.partitionBy("g").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+    parts = summ.select("g", "pos", "neg",
+                        (F.col("local_num") + F.col("pos") * F.coalesce(F.sum("neg").over(w), F.lit(0.0))).alias("num"))
+    tot = parts.groupBy("g").agg(F.sum("num").alias("num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    out = tot.select(F.col("g").alias(group or "g"), F.try_divide(F.col("num"), F.col("P") * F.col("N")).alias("auc"))
+    return out if group else out.select("auc")
+
+
+def auc(df: DataFrame, score: str, label: str, n_parts: int | None = None) -> DataFrame:
+    """One-row frame ``auc`` (null when a class is missing)."""
+    out = auc_by(df, score, label, None, n_parts)
+    # an input without both classes still yields one row
+    return out.unionByName(df.sparkSession.range(1).select(F.lit(None).cast("double").alias("auc"))) \
+              .agg(F.max("auc").alias("auc"))
 
 
 def auc_value(df: DataFrame, score: str, label: str) -> float | None:

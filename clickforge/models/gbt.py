@@ -102,6 +102,46 @@ def best_iteration(model: PipelineModel, valid: DataFrame, predictors, label: st
     return best_i + 1
 
 
+def prefix_auc(model: PipelineModel, valid: DataFrame, predictors, label: str = "label") -> DataFrame:
+    """Validation AUC of every tree prefix: ``(iteration, auc)``.
+
+    Each tree's output is a JVM-side column; the margin of prefix k is the
+    weighted running sum (AUC is rank-based, so the margin ranks like the
+    probability).  The (iteration, margin) rows are scored by one grouped,
+    distributed AUC job."""
+    from clickforge.models.auc import auc_by
+    asm, gbt = model.stages[0], model.stages[-1]
+    data = asm.transform(_numeric(valid, predictors)).select("features", F.col(label).cast("int").alias(label))
+    cols = []
+    for i, tree in enumerate(gbt.trees):
+        data = tree.copy().setPredictionCol(f"__t{i}").transform(data)
+        cols.append(F.col(f"__t{i}") * F.lit(float(gbt.treeWeights[i])))
+    margins = [cols[0]]
+    for c in cols[1:]:
+        margins.append(margins[-1] + c)
+    long = data.select(label, F.posexplode(F.array(*margins)).alias("pos_i", "margin"))
+    out = auc_by(long.withColumn("iteration", F.col("pos_i") + 1), "margin", label, "iteration")
+    return out.orderBy("iteration")
+
+
+def best_iteration_auc(model: PipelineModel, valid: DataFrame, predictors, label: str = "label",
+                       patience: int = 60) -> int:
+    """M-STOP as the reference does it: the iteration with the best
+    validation AUC, scanning with ``patience`` rounds without improvement.
+    The per-iteration AUCs (one number per tree) come to the driver."""
+    aucs = [(r["iteration"], r["auc"]) for r in prefix_auc(model, valid, predictors, label).collect()]
+    best, best_i, since = -1.0, 1, 0
+    for it, a in aucs:
+        a = -1.0 if a is None else a
+        if a > best:
+            best, best_i, since = a, it, 0
+        else:
+            since += 1
+            if since >= patience:
+                break
+    return best_i
+
+
 def importance(spark: SparkSession, model: PipelineModel, predictors) -> DataFrame:
     """M-IMP: gain share (normalised to 100) and split count per feature.
 

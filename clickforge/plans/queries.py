@@ -512,8 +512,7 @@ def q_row_range(spark, sf):
     # S-RANGE: rows [20 %, 50 %) of the log; the bound is pushed to the scan.
     df = C.load_clicks(spark, sf)
     n = C.n_rows(df)
-    return df.filter((F.col("row_id") >= n * 2 / 10) & (F.col("row_id") < n * 5 / 10)) \
-             .select("row_id", "ip", "app", "channel")
+    return C.row_range(df, n * 2 / 10, n * 5 / 10).select("row_id", "ip", "app", "channel")
 
 
 @register("head_n", """
@@ -529,7 +528,7 @@ SELECT row_id, ip, app, device, os, channel FROM clicks WHERE row_id = (SELECT c
 """)
 def q_row_at(spark, sf):
     df = C.load_clicks(spark, sf)
-    return df.filter(F.col("row_id") == C.n_rows(df) / 2).select("row_id", "ip", "app", "device", "os", "channel")
+    return C.row_at(df, C.n_rows(df) / 2).select("row_id", "ip", "app", "device", "os", "channel")
 
 
 @register("debug_sample")
@@ -809,9 +808,7 @@ def q_csv_roundtrip(spark, sf):
                            [Ty.StructField(c, Ty.IntegerType()) for c in ("ip", "app", "device", "os", "channel")] +
                            [Ty.StructField("click_time", Ty.TimestampNTZType()),
                             Ty.StructField("is_attributed", Ty.IntegerType())])
-    back = (spark.read.schema(schema).option("header", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
-    return back.select(*C.CLICK_COLUMNS)
+    return C.read_click_csv(spark, path, schema, C.CLICK_COLUMNS, time_format="yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
 @register("snapshot_roundtrip", _V27_SQL)
@@ -958,3 +955,45 @@ def q_ip_stats_hot_split(spark, sf):
                              chunk_rows=HOT_ROWS, keep_columns=False)
     out = agg.join(ordered, "row_id")
     return _features_out(out, specs + [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")])
+
+
+@register("row_index", """
+SELECT event_id, CAST(row_number() OVER (ORDER BY ts DESC, event_id) - 1 AS BIGINT) AS row_id FROM events
+""")
+def q_row_index(spark, sf):
+    # O-ROW: a dense row index in a given total order (here newest first),
+    # built from per-partition counts, no single-task window.
+    ev = C.table(spark, sf, "events").select("event_id", "ts")
+    return C.assign_row_id(ev, [F.desc("ts"), F.col("event_id")]).select("event_id", "row_id")
+
+
+@register("auc_by_day", """,
+r AS (SELECT day, is_attributed AS y,
+             rank() OVER (PARTITION BY day ORDER BY value) + (count(*) OVER (PARTITION BY day, value) - 1) / 2.0 AS r
+      FROM clicks)
+SELECT CAST(day AS BIGINT) AS day,
+       round((sum(CASE WHEN y = 1 THEN r END) - count(CASE WHEN y = 1 THEN 1 END)
+              * (count(CASE WHEN y = 1 THEN 1 END) + 1) / 2.0)
+             / (count(CASE WHEN y = 1 THEN 1 END) * count(CASE WHEN y = 0 THEN 1 END)), 6) AS auc
+FROM r GROUP BY day
+""")
+def q_auc_by_day(spark, sf):
+    # Grouped exact AUC (the per-iteration form used by M-STOP), here per day.
+    df = clicks(spark, sf, ("day",), extra=("value",))
+    return M_AUC.auc_by(df, "value", "is_attributed", "day").select("day", r6("auc").alias("auc"))
+
+
+@register("gbt_prefix_auc")
+def q_gbt_prefix_auc(spark, sf):
+    # Validation AUC after each boosting round, for early stopping.
+    mf, model = _fitted(spark, sf)
+    return M.prefix_auc(model, mf.filter(F.col("split") == "val"), model_predictors(), "label")
+
+
+@register("gbt_best_iteration_auc")
+def q_gbt_best_iteration_auc(spark, sf):
+    # M-STOP as the reference: best validation-AUC round with patience.
+    mf, model = _fitted(spark, sf)
+    best = M.best_iteration_auc(model, mf.filter(F.col("split") == "val"), model_predictors(), "label", patience=3)
+    return mf.filter(F.col("split") == "val").agg(F.count(F.lit(1)).alias("n_valid")).select(
+        F.lit(best).alias("best_iteration"), "n_valid")

@@ -79,11 +79,11 @@ def ingest(df: DataFrame, path: str, order: str = "row_id") -> DataFrame:
 # S-CSV: typed, column-pruned CSV read with a timestamp parse
 # --------------------------------------------------------------------------
 def read_click_csv(spark: SparkSession, path: str, schema: T.StructType = S.TRAIN_SCHEMA,
-                   columns: list[str] | None = None) -> DataFrame:
+                   columns: list[str] | None = None, time_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """Explicit schema (never inferSchema); only ``columns`` are kept, so the
     CSV reader parses only those fields."""
     df = (spark.read.schema(schema).option("header", True)
-          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+          .option("timestampNTZFormat", time_format).csv(path))
     return df.select(*(columns or [f.name for f in schema.fields if f.name != "attributed_time"]))
 
 
@@ -98,9 +98,16 @@ def assign_row_id(df: DataFrame, order_cols: list[str] | None = None, name: str
     per-partition count, a prefix sum over partition counts (one row per
     partition, so bounded by the partition count) and a local row number.
     No single task sees more than one partition.
+
+    With an order, the range-partitioned, sorted rows are first written as a
+    reliable checkpoint to the shared folder: the partition counts and the
+    rows must see the *same* partitions, and range bounds are sampled anew
+    each time a range exchange is recomputed.  File-order input needs no
+    checkpoint (file splits are deterministic).
     """
     if order_cols:
-        df = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+        from clickforge.session import cut_lineage
+        df = cut_lineage(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols))
     pid = "__pid"
     with_pid = df.withColumn(pid, F.spark_partition_id()).withColumn(
         "__mono", F.monotonically_increasing_id())
@@ -119,10 +126,14 @@ def assign_row_id(df: DataFrame, order_cols: list[str] | None = None, name: str
 # --------------------------------------------------------------------------
 # S-RANGE / S-HEAD / S-DEBUG / O-ILOC
 # --------------------------------------------------------------------------
-def row_range(df: DataFrame, start: int, stop: int) -> DataFrame:
-    """Rows [start, stop) of the log.  The bound on row_id is pushed to the
-    Parquet scan, whose min/max statistics skip whole row groups."""
-    return df.filter((F.col("row_id") >= F.lit(start)) & (F.col("row_id") < F.lit(stop)))
+def _lit(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)
+
+
+def row_range(df: DataFrame, start, stop) -> DataFrame:
+    """Rows [start, stop) of the log.  A literal bound on row_id is pushed to
+    the Parquet scan, whose min/max statistics skip whole row groups."""
+    return df.filter((F.col("row_id") >= _lit(start)) & (F.col("row_id") < _lit(stop)))
 
 
 def head(df: DataFrame, n: int) -> DataFrame:
@@ -130,8 +141,9 @@ def head(df: DataFrame, n: int) -> DataFrame:
     return df.orderBy("row_id").limit(n)
 
 
-def row_at(df: DataFrame, n: int) -> DataFrame:
-    return df.filter(F.col("row_id") == F.lit(n))
+def row_at(df: DataFrame, n) -> DataFrame:
+    """O-ILOC: the row at position n."""
+    return df.filter(F.col("row_id") == _lit(n))
 
 
 def debug_sample(df: DataFrame, n_rows: int | None = None, fraction: float | None = None,
