@@ -264,3 +264,9 @@ def feature_names(specs: list[FeatureSpec]) -> list[str]:
         if s.name not in seen:
             seen.append(s.name)
     return seen
+
+
+def feature_schema(df: DataFrame, specs: list[FeatureSpec]) -> DataFrame:
+    """An empty frame with the output schema of ``build_features`` (for
+    manifests); runs nothing."""
+    return build_features(df.limit(0), specs, n_rows=0)

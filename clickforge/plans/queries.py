@@ -675,7 +675,7 @@ def model_predictors() -> list[str]:
 
 
 def model_frame(spark: SparkSession, sf: str) -> DataFrame:
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _MODEL_FRAMES:
         df, lt, vs = framed(spark, sf)
         feats = T.assign_split(build_features(df, catalogue_v27()), lt, vs)
@@ -860,20 +860,22 @@ def q_feature_cache(spark, sf):
 
 
 @register("manifest", """
-SELECT name, role, ordinal FROM (VALUES
+SELECT name, role, ordinal, (SELECT count(*) FROM clicks) AS n_rows FROM (VALUES
 """ + ",\n".join(f"('{n}', '{'categorical' if n in ('device', 'os', 'channel', 'hour') else 'numeric'}', {i})"
                  for i, n in enumerate(["device", "os", "channel", "hour"] + [s.name for s in catalogue_v27()]))
       + """) AS t(name, role, ordinal)
 """)
 def q_manifest(spark, sf):
     # S-MANI: predictor / categorical lists written next to the snapshot.
-    df = build_features(clicks(spark, sf), catalogue_v27())   # schema only, nothing runs
+    from clickforge.plans.features import feature_schema
+    base = clicks(spark, sf)
     preds = model_predictors()
     path = shared_path(spark, "manifest")
-    ST.write_manifest(spark, path, df, preds, ["device", "os", "channel", "hour"])
+    ST.write_manifest(spark, path, feature_schema(base, catalogue_v27()), preds,
+                      ["device", "os", "channel", "hour"], rows_of=base)
     p2, cats = ST.read_manifest(spark, path)
     assert p2 == preds and cats == ["device", "os", "channel", "hour"]
-    return spark.read.schema(ST.MANIFEST_SCHEMA).json(path).select("name", "role", "ordinal")
+    return spark.read.schema(ST.MANIFEST_SCHEMA).json(path).select("name", "role", "ordinal", "n_rows")
 
 
 @register("submission_csv", """

@@ -79,18 +79,26 @@ def cached_feature(spark: SparkSession, root: str, spec: FeatureSpec, input_tag:
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()), T.StructField("role", T.StringType()),
     T.StructField("dtype", T.StringType()), T.StructField("ordinal", T.IntegerType()),
+    T.StructField("n_rows", T.LongType()),
 ])
 
 
-def manifest_frame(spark: SparkSession, df: DataFrame, predictors, categorical) -> DataFrame:
+def manifest_frame(spark: SparkSession, df: DataFrame, predictors, categorical,
+                   rows_of: DataFrame | None = None) -> DataFrame:
+    """One row per predictor (name, role, type, position) plus the row count
+    of the table it describes (``rows_of``, default ``df``; a scalar
+    subquery, nothing collected)."""
     types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
     rows = [(p, "categorical" if p in categorical else "numeric", types.get(p, "?"), i)
             for i, p in enumerate(predictors)]
-    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+    names = T.StructType(MANIFEST_SCHEMA.fields[:-1])
+    src = rows_of if rows_of is not None else df
+    return spark.createDataFrame(rows, names).withColumn("n_rows", src.select(F.count(F.lit(1))).scalar())
 
 
-def write_manifest(spark: SparkSession, path: str, df: DataFrame, predictors, categorical) -> None:
-    manifest_frame(spark, df, predictors, categorical).coalesce(1).write.mode("overwrite").json(path)
+def write_manifest(spark: SparkSession, path: str, df: DataFrame, predictors, categorical,
+                   rows_of: DataFrame | None = None) -> None:
+    manifest_frame(spark, df, predictors, categorical, rows_of).coalesce(1).write.mode("overwrite").json(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
