@@ -91,6 +91,7 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
     parts = (rows.select(*cols)
              .filter(_all_keys_present(keys + [order]))
              .withColumn(CHUNK, F.expr(f"`{order}` div {int(chunk_rows)}"))
+             .filter(F.col(CHUNK).isNotNull())   # stated, so the join cannot add it to one branch only
              .repartition(*keys, CHUNK))
 
     # -- 2. local windows inside (keys, chunk), chunk stats alongside --------
