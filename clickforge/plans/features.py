@@ -51,25 +51,23 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
     if n_rows is None:
         n_rows = df.count()
     if fit_on is None and n_rows <= chunk_rows:
-        return _window_plan(df, uniq, aliases, wrap=wrap, order=order, epoch=epoch, keep_columns=keep_columns)
+        return _window_plan(df, uniq, aliases, wrap=wrap, order=order, epoch=epoch, keep_columns=keep_columns,
+                            n_rows=n_rows)
 
     out = df
     fam_tables = []
-    impute_means = {}
+    stats_by_keys = {}
     for keys, fam in families(uniq).items():
         keys = list(keys)
         aggs = [(s.name, s.op, s.column) for s in fam if s.op in AGG_OPS]
         ords = [(s.name, s.op, s.column, dict(s.options)) for s in fam if s.op in ORDERED_OPS]
         stats = None
         if aggs:
-            gn = _group_count(keys)
             # Null keys form no group (they stay unmatched in the join).
-            keyed = src.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-            stats = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(gn),
-                                           *[agg_expr(op, c).alias(n) for n, op, c in aggs])
+            stats = _group_table(src, keys, [s for s in fam if s.op in AGG_OPS], _group_count(keys))
+            stats_by_keys[tuple(keys)] = (stats, _group_count(keys))
 
-        bound = S.domain_rows(keys)
-        if not ords and bound is not None and bound <= S.MAX_BROADCAST_ROWS:
+        if not ords and group_bound(keys, n_rows) <= S.MAX_BROADCAST_ROWS:
             out = out.join(F.broadcast(stats.drop(_group_count(keys))), keys, "left")
         else:
             fam_tables.append(key_family(df, keys, aggs, ords, chunk_rows=chunk_rows,
@@ -78,7 +76,9 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
                                          n_rows=n_rows))
     if fam_tables:
         out = out.join(_assemble(fam_tables, order), order, "left")
-    impute_means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch)
+    means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
+    if means is not None:
+        out = out.withColumn("__means", means)
 
     finals = []
     for s in uniq:
@@ -91,10 +91,7 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
         if pol == "zero":
             c = F.coalesce(c, F.lit(0))
         elif pol == "mean":
-            m = impute_means.get(s.name)
-            if m is None:
-                m = out.select(F.avg(F.col(s.name))).scalar()
-            c = F.coalesce(c.cast("double"), m)
+            c = F.coalesce(c.cast("double"), F.col("__means").getField(s.name))
         finals.append(cast_to(c, s.out_dtype, wrap=wrap).alias(s.name))
     base_cols = [c for c in df.columns if c not in {s.name for s in uniq} | set(aliases)] if keep_columns else [order]
     first = out.select(*base_cols, *finals)
@@ -120,15 +117,27 @@ def _prefix_groups(fams: dict) -> list[tuple[str | None, list]]:
     return groups
 
 
+_WINDOWS: dict = {}
+
+
+def _windows(keys, order):
+    """Window specs of one key set (built once: each costs JVM round trips).
+    Aggregates use the whole frame of the *same* ordered spec, so all
+    features of a key set share one sort and one Window operator."""
+    key = (tuple(keys), order)
+    if key not in _WINDOWS:
+        wo = Window.partitionBy(*keys).orderBy(order)
+        present = F.lit(True)
+        for k in keys:
+            present = present & F.col(k).isNotNull()
+        _WINDOWS[key] = (wo, wo.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing),
+                         wo.rowsBetween(Window.unboundedPreceding, -1),
+                         wo.rowsBetween(Window.unboundedPreceding, 0), present)
+    return _WINDOWS[key]
+
+
 def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
-    keys = list(s.keys)
-    wo = Window.partitionBy(*keys).orderBy(order)
-    # Aggregates use the whole frame of the *same* ordered spec, so all
-    # features of a key set share one sort and one Window operator.
-    w = wo.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    present = F.lit(True)
-    for k in keys:
-        present = present & F.col(k).isNotNull()
+    wo, w, before, upto, present = _windows(list(s.keys), order)
     if s.op in AGG_OPS:
         c = F.col(s.column) if s.column else None
         if s.op == "count":
@@ -148,8 +157,6 @@ def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
         return F.when(present, v)
     opts = dict(s.options)
     col = s.column
-    before = wo.rowsBetween(Window.unboundedPreceding, -1)
-    upto = wo.rowsBetween(Window.unboundedPreceding, 0)
     v = _feature_value(
         s.name, s.op, col, opts, epoch,
         nxt=F.lead(epoch).over(wo) if s.op == "next" else None,
@@ -161,7 +168,26 @@ def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
     return F.when(present, v)
 
 
-def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_columns) -> DataFrame:
+def _group_table(df: DataFrame, keys, fam, count_name: str = "__n") -> DataFrame:
+    """Group table of a family: one row per non-null key, with the row
+    count (used by the row-weighted imputation mean) and every aggregate.
+    Built once and shared by the join and the imputation fit, so Spark
+    reuses its shuffle."""
+    keyed = df.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    return keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name),
+                                    *[agg_expr(s.op, s.column).alias(s.name) for s in fam])
+
+
+def group_bound(keys, n_rows: int | None) -> int:
+    """Proven upper bound of a group table's rows: the key columns' domain
+    product, and never more than the input's row count."""
+    dom = S.domain_rows(keys)
+    bounds = [b for b in (dom, n_rows) if b is not None]
+    return min(bounds) if bounds else 1 << 62
+
+
+def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_columns,
+                 n_rows: int | None = None) -> DataFrame:
     """Plan for inputs of at most ``chunk_rows`` rows (no group can be
     larger): each group of families sharing a key column costs one hash
     repartition of the rows, and every feature is a window expression over
@@ -169,18 +195,28 @@ def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_colum
     proven-small key domain are broadcast-joined instead."""
     fams = families(uniq)
     out = df
-    bcast = {k: v for k, v in fams.items()
-             if all(s.op in AGG_OPS for s in v) and (S.domain_rows(k) or 1 << 62) <= S.MAX_BROADCAST_ROWS}
+    # Aggregate families whose group table is provably small (key domains,
+    # or an input that is itself small) are hash-aggregated and broadcast:
+    # the rows are not shuffled or sorted for them at all.
+    bcast = {}
+    for k, v in fams.items():
+        aggs = [s for s in v if s.op in AGG_OPS]
+        if aggs and group_bound(k, n_rows) <= S.MAX_BROADCAST_ROWS:
+            bcast[k] = aggs
+            fams[k] = [s for s in v if s.op not in AGG_OPS]
+    stats_by_keys = {}
     for keys, fam in bcast.items():
-        keyed = df.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-        stats = keyed.groupBy(*keys).agg(*[agg_expr(s.op, s.column).alias(s.name) for s in fam])
-        out = out.join(F.broadcast(stats), list(keys), "left")
-    rest = {k: v for k, v in fams.items() if k not in bcast}
+        stats = _group_table(df, keys, fam)
+        stats_by_keys[keys] = (stats, "__n")
+        out = out.join(F.broadcast(stats.drop("__n")), list(keys), "left")
+    rest = {k: v for k, v in fams.items() if v}
     for col, members in _prefix_groups(rest):
         out = out.repartition(col)
         out = out.select("*", *[_window_value(s, order, epoch).alias(s.name) for _, fam in members for s in fam])
 
-    means = _imputation_means(df, [s for s in uniq if s.null_policy == "mean"], order, epoch)
+    means = _imputation_means(df, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
+    if means is not None:
+        out = out.withColumn("__means", means)
     finals = []
     for s in uniq:
         c = F.col(s.name)
@@ -191,7 +227,7 @@ def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_colum
         if s.null_policy == "zero":
             c = F.coalesce(c, F.lit(0))
         elif s.null_policy == "mean":
-            c = F.coalesce(c.cast("double"), means[s.name])
+            c = F.coalesce(c.cast("double"), F.col("__means").getField(s.name))
         finals.append(cast_to(c, s.out_dtype, wrap=wrap).alias(s.name))
     names = {s.name for s in uniq} | set(aliases)
     base_cols = [c for c in df.columns if c not in names] if keep_columns else [order]
@@ -199,33 +235,33 @@ def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_colum
     return first.select(*base_cols, *[s.name for s in uniq], *[F.col(k).alias(d) for d, k in aliases.items()])
 
 
-def _imputation_means(df: DataFrame, mean_specs, order: str, epoch: str) -> dict:
-    """Row-weighted mean of each mean-imputed feature, from group tables
-    (sum of n * value / sum of n over groups with a value).
+def _imputation_means(df: DataFrame, mean_specs, order: str, epoch: str,
+                      stats_by_keys: dict | None = None) -> Column | None:
+    """Row-weighted mean of every mean-imputed feature, as one struct.
 
-    Like ``pyspark.ml.feature.Imputer.fit`` this is one small job whose
-    result -- one number per feature -- is brought to the driver and applied
-    as a literal, so the feature plan carries no subqueries and is not
-    re-run for the means."""
+    For a group feature the mean over rows is sum(n * value) / sum(n) over
+    the groups with a value, so it is read off the group tables (one hash
+    aggregate per key set, one summary row each), never off the feature
+    plan.  The summary rows are merged into one row and returned as a
+    single scalar subquery: the caller places it in one column, so Spark
+    evaluates it once, alongside the feature stages."""
     if not mean_specs:
-        return {}
-    parts = []
+        return None
+    rows = []
     for keys, fam in families(mean_specs).items():
-        keyed = df.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-        if all(s.op in AGG_OPS for s in fam):
-            st = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                          *[agg_expr(s.op, s.column).alias(s.name) for s in fam])
-            for s in fam:
-                v = F.col(s.name).cast("double")
-                parts.append(st.agg((F.sum(v * F.col("__n")) / F.sum(F.when(v.isNotNull(), F.col("__n"))))
-                                    .alias("v")).select(F.lit(s.name).alias("k"), "v"))
-        else:
+        if not all(s.op in AGG_OPS for s in fam):
             raise ValueError("mean imputation is defined for group aggregates only")
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    fitted = {r["k"]: r["v"] for r in u.collect()}   # one row per feature
-    return {s.name: F.lit(fitted.get(s.name)).cast("double") for s in mean_specs}
+        st, gn = (stats_by_keys or {}).get(keys, (None, None))
+        if st is None:
+            st, gn = _group_table(df, keys, fam), "__n"
+        rows.append(st.agg(*[(F.sum(F.col(s.name).cast("double") * F.col(gn)) /
+                              F.sum(F.when(F.col(s.name).isNotNull(), F.col(gn)))).alias(s.name)
+                             for s in fam]))
+    u = rows[0]
+    for r in rows[1:]:
+        u = u.unionByName(r, allowMissingColumns=True)
+    names = [s.name for s in mean_specs]
+    return u.agg(F.struct(*[F.max(n).alias(n) for n in names]).alias("m")).scalar()
 
 
 def _assemble(tables: list[DataFrame], order: str) -> DataFrame:
