@@ -20,7 +20,8 @@ from clickforge.operators import aggregate as A
 from clickforge.operators import ordered as W
 from clickforge.operators import split as T
 from clickforge.plans.features import build_features
-from clickforge.plans.specs import FeatureSpec, catalogue_nb977, catalogue_v21, catalogue_v26, catalogue_v27
+from clickforge.plans.specs import (FeatureSpec, catalogue_all, catalogue_nb977, catalogue_v21, catalogue_v26,
+                                    catalogue_v27)
 from clickforge.sources import clicks as C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -430,6 +431,7 @@ _catalogue_query("features_v27", catalogue_v27)
 _catalogue_query("features_v26", catalogue_v26)
 _catalogue_query("features_v21", catalogue_v21)
 _catalogue_query("features_nb977", catalogue_nb977)
+_catalogue_query("features_all58", catalogue_all)
 
 
 # ---------------------------------------------------------------------------

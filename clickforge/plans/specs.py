@@ -203,6 +203,74 @@ def catalogue_nb977() -> list[FeatureSpec]:
     ]
 
 
+def catalogue_all() -> list[FeatureSpec]:
+    """Every distinct active feature call across the script versions (58),
+    each under a unique name ``fNN_<name>`` because several versions reuse a
+    name for a different definition (e.g. ``ip_tcount``, ``X2``)."""
+    rows = [
+        ("count", ["ip", "app"], None, "ip_app_count", "uint32"),
+        ("count", ["ip", "app", "os"], None, "ip_app_os_count", "uint16"),
+        ("count", ["ip", "day", "hour"], None, "ip_tcount", "uint32"),
+        ("count", ["ip", "hour"], None, "ip_tcount", "uint32"),
+        ("nunique", ["app"], "channel", "X6", "uint32"),
+        ("nunique", ["channel", "day"], "hour", "channel_day_hour_countuniq", "uint32"),
+        ("nunique", ["device"], "day", "device_day_countuniq", "uint32"),
+        ("nunique", ["device", "day"], "hour", "device_day_hour_countuniq", "uint32"),
+        ("nunique", ["ip"], "app", "X3", "uint8"),
+        ("nunique", ["ip"], "channel", "X0", "uint8"),
+        ("nunique", ["ip"], "device", "X5", "uint16"),
+        ("nunique", ["ip"], "device", "ip_device_countuniq", "uint32"),
+        ("nunique", ["ip"], "hour", "X2", "uint8"),
+        ("nunique", ["ip", "app"], "os", "X4", "uint8"),
+        ("nunique", ["ip", "channel"], "app", "ip_channel_app_countuniq", "uint32"),
+        ("nunique", ["ip", "day"], "hour", "X2", "uint8"),
+        ("nunique", ["ip", "device", "os"], "app", "X8", "uint32"),
+        ("cumcount", ["ip"], "os", "X7", "uint32"),
+        ("cumcount", ["ip", "device", "os"], "app", "X1", "uint32"),
+        ("mean", ["app", "channel"], "hour", "app_channel_mean_hour", "float"),
+        ("mean", ["ip", "app"], "hour", "ip_app_mean_hour", "float"),
+        ("mean", ["ip", "app", "channel"], "hour", "ip_app_channel_mean_hour", "float"),
+        ("mean", ["ip", "app", "channel", "device", "os"], "hour", "ip_app_channel_device_os_mean_hour", "float"),
+        ("mean", ["ip", "app", "os"], "hour", "ip_app_os_mean_hour", "float"),
+        ("mean", ["ip", "channel"], "hour", "ip_channel_mean_hour", "float"),
+        ("mean", ["ip", "device"], "hour", "ip_device_mean_hour", "float"),
+        ("next", ["app", "channel", "hour"], None, "next_click_7", "float"),
+        ("next", ["app", "device", "channel"], None, "next_click_13", "float"),
+        ("next", ["app", "device", "channel"], None, "next_click_3", "int"),
+        ("next", ["app", "device", "channel", "hour"], None, "next_click_9", "float"),
+        ("next", ["app", "device", "hour"], None, "next_click_5", "float"),
+        ("next", ["channel", "hour"], None, "next_click_6", "float"),
+        ("next", ["device"], None, "next_click_1", "int"),
+        ("next", ["device"], None, "next_click_10", "float"),
+        ("next", ["device", "channel"], None, "next_click_12", "float"),
+        ("next", ["device", "channel"], None, "next_click_14", "float"),
+        ("next", ["device", "channel"], None, "next_click_2", "int"),
+        ("next", ["device", "channel", "hour"], None, "next_click_8", "float"),
+        ("next", ["device", "hour"], None, "next_click_11", "float"),
+        ("next", ["device", "hour"], None, "next_click_4", "int"),
+        ("next", ["ip", "app", "channel", "os"], None, "next_click_4", "int"),
+        ("next", ["ip", "app", "device", "os"], None, "next_click_0", "int"),
+        ("next", ["ip", "app", "device", "os", "channel"], None, "next_click_5", "int"),
+        ("next", ["ip", "channel"], None, "next_click_7", "int"),
+        ("next", ["ip", "device"], None, "next_click_1", "int"),
+        ("next", ["ip", "device", "channel"], None, "next_click_2", "int"),
+        ("next", ["ip", "os", "device"], None, "next_click_6", "int"),
+        ("var", ["app", "channel"], "hour", "app_channel_var_hour", "float"),
+        ("var", ["channel", "day"], "hour", "channel_day_hour_var", "float"),
+        ("var", ["device"], "day", "device_day_var", "float"),
+        ("var", ["device", "day"], "hour", "device_day_hour_var", "float"),
+        ("var", ["ip", "app"], "hour", "ip_app_var_hour", "float"),
+        ("var", ["ip", "app", "channel"], "day", "ip_app_channel_var_day", "float"),
+        ("var", ["ip", "app", "channel"], "hour", "ip_app_channel_var_hour", "float"),
+        ("var", ["ip", "app", "os"], "hour", "ip_app_os_var", "float"),
+        ("var", ["ip", "channel"], "hour", "ip_tchan_count", "float"),
+        ("var", ["ip", "day", "channel"], "hour", "ip_tchan_count", "float"),
+        ("var", ["ip", "device"], "hour", "ip_device_var_hour", "float"),
+    ]
+    return [_s(op, keys, col, f"f{i:02d}_{name}", dtype) for i, (op, keys, col, name, dtype) in enumerate(rows, 1)]
+
+
 CATALOGUES = {
+    "all": catalogue_all,
     "v21": catalogue_v21, "v26": catalogue_v26, "v27": catalogue_v27, "nb977": catalogue_nb977,
 }
