@@ -17,10 +17,18 @@ Nothing larger than one partition is ever in one task or on the driver.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# The per-partition scan below runs in Python workers.  Pickle this module's
+# functions by value so executors need only pandas / numpy, not this package
+# on their path (no zip to ship, nothing to install on the cluster).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SUMMARY_SCHEMA = "g long, lo double, pos double, neg double, local_num double"
 
 

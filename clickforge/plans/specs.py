@@ -180,18 +180,35 @@ def catalogue_v21() -> list[FeatureSpec]:
     return catalogue_v27()[:11] + [_s("next", k, None, n, "float") for n, k in gaps]
 
 
+# ---------------------------------------------------------------------------
+# Op codes of the table-driven feature form (a row is the
+# selected columns -- keys then the counted column -- and a code).
+# ---------------------------------------------------------------------------
+OP_CODES = {0: "countnn", 1: "mean", 2: "var", 3: "skew", 4: "nunique", 5: "cumcount"}
+
+
+def from_table(rows, prefix: str = "X") -> list[FeatureSpec]:
+    """Specs from ``(selected columns, op code)`` rows: the last selected
+    column is the counted one, the others are the keys; row i is named
+    ``{prefix}{i}``."""
+    out = []
+    for i, (cols, code) in enumerate(rows):
+        out.append(_s(OP_CODES[code], list(cols[:-1]), cols[-1], f"{prefix}{i}"))
+    return out
+
+
+# The nine table rows of the table-driven script version.
+NB977_TABLE = [
+    (("ip", "channel"), 4), (("ip", "device", "os", "app"), 5), (("ip", "day", "hour"), 4),
+    (("ip", "app"), 4), (("ip", "app", "os"), 4), (("ip", "device"), 4), (("app", "channel"), 4),
+    (("ip", "os"), 5), (("ip", "device", "os", "app"), 4),
+]
+
+
 def catalogue_nb977() -> list[FeatureSpec]:
-    """Table-driven set: (keys..., counted column, op code)."""
-    return [
-        _s("nunique", ["ip"], "channel", "X0"),
-        _s("cumcount", ["ip", "device", "os"], "app", "X1"),
-        _s("nunique", ["ip", "day"], "hour", "X2"),
-        _s("nunique", ["ip"], "app", "X3"),
-        _s("nunique", ["ip", "app"], "os", "X4"),
-        _s("nunique", ["ip"], "device", "X5"),
-        _s("nunique", ["app"], "channel", "X6"),
-        _s("cumcount", ["ip"], "os", "X7"),
-        _s("nunique", ["ip", "device", "os"], "app", "X8"),
+    """Table-driven set (``NB977_TABLE``) plus the gap and group features
+    written inline after it."""
+    return from_table(NB977_TABLE) + [
         _s("next", ["ip", "app", "device", "os"], None, "nextClick", "long"),
         _s("countnn", ["ip", "day", "hour"], "channel", "ip_tcount"),
         _s("countnn", ["ip", "app"], "channel", "ip_app_count"),
