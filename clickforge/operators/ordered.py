@@ -49,7 +49,8 @@ def _all_keys_present(keys) -> Column:
 
 def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int = DEFAULT_CHUNK_ROWS,
                epoch: str = "epoch", order: str = "row_id", stats: DataFrame | None = None,
-               group_count: str | None = None, n_rows: int | None = None) -> DataFrame:
+               group_count: str | None = None, n_rows: int | None = None,
+               hot_rows: int | None = None) -> DataFrame:
     """Compute one key family.
 
     ``aggregates``: list of (name, op, column) group aggregates.
@@ -57,6 +58,9 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
                     cumcount | next | prev | cumsum | expmean.
     ``stats``:      optional precomputed group table (keys + aggregate
                     names [+ ``group_count``]); built from ``rows`` if absent.
+    ``hot_rows``:   group size above which a key is *hot* in the hot / cold
+                    split join; default ``max(chunk_rows, n_rows / MAX_HOT_KEYS)``
+                    so at most ``MAX_HOT_KEYS`` group rows are broadcast.
     ``n_rows``:     row count of ``rows`` if known.  When the whole input
                     has at most ``chunk_rows`` rows no group can be larger,
                     so one plain window / join pass is exact and just as
@@ -73,9 +77,11 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
         stats = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(group_count),
                                          *[agg_expr(op, c).alias(n) for n, op, c in aggregates])
     small = n_rows is not None and n_rows <= chunk_rows
+    if hot_rows is None:
+        hot_rows = max(chunk_rows, -(-(n_rows or 0) // S.MAX_HOT_KEYS))
     if not ordered:
         return _attach_stats(rows, keys, stats, [n for n, _, _ in aggregates],
-                             None if small else group_count, chunk_rows, order)
+                             None if small else group_count, hot_rows, order)
     if small:
         return _plain_family(rows, keys, aggregates, ordered, epoch, order, stats)
 
@@ -217,9 +223,10 @@ def _attach_stats(rows: DataFrame, keys, stats: DataFrame, names, group_count: s
     """Group table back to rows, with hot keys split off.
 
     A key with more than ``hot_rows`` rows is *hot*.  There are at most
-    n / hot_rows hot keys (a proven bound), so their group rows are
-    broadcast and joined map-side; only cold rows, whose groups are all
-    smaller than ``hot_rows``, go through the shuffle join on the key.
+    n / hot_rows <= MAX_HOT_KEYS hot keys (a proven bound that does not grow
+    with the log), so their group rows are broadcast and joined map-side;
+    only cold rows, whose groups are all at most ``hot_rows`` rows, go
+    through the shuffle join on the key.
     Without a group count (caller-supplied stats) the plain shuffle join is
     used and AQE's skew-join splitting covers hot keys.
     """

@@ -56,7 +56,9 @@ TEST_SCHEMA = T.StructType([
 KEY_COLUMNS = ("ip", "app", "device", "os", "channel")
 LABEL = "is_attributed"
 
-# Largest number of distinct values a key column can take.  A key set whose
+# Largest number of distinct values a key column can take: calendar parts by
+# construction, the id columns by the log's unsigned 16-bit contract (the
+# source declares them uint16).  A key set whose
 # domain product stays under the broadcast bound is joined by broadcast with
 # a proven size; everything else is left to a shuffle join (AQE may still
 # convert it at runtime once the real size is measured).
@@ -67,6 +69,9 @@ KEY_DOMAIN = {
 
 # Broadcast bound in rows for a proven-small aggregate (a few MB).
 MAX_BROADCAST_ROWS = 1 << 17
+# At most this many hot keys are broadcast by the hot / cold split join, so
+# the broadcast stays a fixed size however large the log grows.
+MAX_HOT_KEYS = 1 << 17
 
 
 def domain_rows(keys) -> int | None:
