@@ -33,16 +33,22 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     QUERIES["count_by_key"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
 
-    times = {}
+    times, failed = {}, {}
     for name in HEADLINE:
         if name not in QUERIES:
             continue
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 -- report, keep measuring the rest
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf}))
+    out = {"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": sf}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
