@@ -34,7 +34,7 @@ def _group_count(keys) -> str:
 def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT_CHUNK_ROWS,
                    wrap: bool = False, order: str = "row_id", epoch: str = "epoch",
                    fit_on: DataFrame | None = None, keep_columns: bool = True,
-                   n_rows: int | None = None) -> DataFrame:
+                   n_rows: int | None = None, plan: str = "shared") -> DataFrame:
     """Same rows in and out, one new column per spec name.
 
     ``fit_on``: rows the group statistics are computed from (default: all
@@ -53,6 +53,9 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
     if fit_on is None and n_rows <= chunk_rows:
         return _window_plan(df, uniq, aliases, wrap=wrap, order=order, epoch=epoch, keep_columns=keep_columns,
                             n_rows=n_rows)
+    if plan == "shared":
+        return _prefix_chunk_plan(df, uniq, aliases, chunk_rows=chunk_rows, wrap=wrap, order=order, epoch=epoch,
+                                  keep_columns=keep_columns, n_rows=n_rows, src=src)
 
     out = df
     fam_tables = []
@@ -306,3 +309,153 @@ def feature_schema(df: DataFrame, specs: list[FeatureSpec]) -> DataFrame:
     """An empty frame with the output schema of ``build_features`` (for
     manifests); runs nothing."""
     return build_features(df.limit(0), specs, n_rows=0)
+
+
+# ---------------------------------------------------------------------------
+# Large-input plan with a shared partitioning per key column
+# ---------------------------------------------------------------------------
+CHUNK = "__chunk"
+MARK = "__mark"
+
+
+def _prefix_chunk_group(out: DataFrame, base: DataFrame, col: str, members, chunk_rows: int, order: str,
+                        epoch: str, stats_by_keys: dict) -> DataFrame:
+    """All families whose keys contain ``col``, on one shuffle of the rows.
+
+    Rows are hash-partitioned by ``(col, chunk)`` with chunk = row_id div
+    chunk_rows, so a partition group never exceeds ``chunk_rows`` rows
+    whatever the skew of ``col``, and every window partitioned by
+    ``(keys, chunk)`` with ``col`` in ``keys`` runs without another shuffle.
+
+    Each family's *chunk table* (one row per key and chunk) is a mergeable
+    aggregate of the narrow base rows -- count, first / last epoch, sums --
+    so partial aggregation shrinks it before it moves; a window per key
+    turns it into offsets across chunks, the group aggregates are joined on,
+    and it is repartitioned like the rows, unioned with them and spread onto
+    them by a window over ``(keys, chunk)``.  The rows move once per shared
+    column: never by the family keys, never back by row id.
+    """
+    chunk = F.expr(f"`{order}` div {int(chunk_rows)}")
+    parts = out.withColumn(CHUNK, chunk).repartition(col, CHUNK)
+    local, fam_info = [], []
+    for i, (keys, fam) in enumerate(members):
+        keys = list(keys)
+        ords = [s for s in fam if s.op in ORDERED_OPS]
+        aggs = [s for s in fam if s.op in AGG_OPS]
+        sums = sorted({s.column for s in ords if s.op in ("cumsum", "expmean")})
+        need_epoch = any(s.op in ("next", "prev") for s in ords)
+        p = f"__f{i}_"
+        if ords:
+            wl = Window.partitionBy(*keys, CHUNK).orderBy(order)
+            before = wl.rowsBetween(Window.unboundedPreceding, -1)
+            upto = wl.rowsBetween(Window.unboundedPreceding, 0)
+            local.append(F.row_number().over(wl).alias(p + "rn"))
+            if need_epoch:
+                local += [F.lead(epoch).over(wl).alias(p + "lead"), F.lag(epoch).over(wl).alias(p + "lag")]
+            for c in sums:
+                local += [F.sum(c).over(upto).alias(f"{p}lsum_{c}"), F.sum(c).over(before).alias(f"{p}lsumb_{c}"),
+                          F.count(c).over(before).alias(f"{p}lcntb_{c}")]
+        fam_info.append((keys, ords, aggs, sums, need_epoch, p))
+    if local:
+        parts = parts.select("*", *local)
+
+    u = parts.withColumn(MARK, F.lit(-1))
+    spread_cols, ct_names = [], set()
+    for i, (keys, ords, aggs, sums, need_epoch, p) in enumerate(fam_info):
+        present = F.lit(True)
+        for k in keys:
+            present = present & F.col(k).isNotNull()
+        ch_aggs = [F.count(F.lit(1)).alias("__n")]
+        if need_epoch:
+            ch_aggs += [F.min_by(epoch, order).alias("__first"), F.max_by(epoch, order).alias("__last")]
+        for c in sums:
+            ch_aggs += [F.sum(c).alias(f"__csum_{c}"), F.count(c).alias(f"__ccnt_{c}")]
+        chunks = base.filter(present).withColumn(CHUNK, chunk).groupBy(*keys, CHUNK).agg(*ch_aggs)
+        vals = []
+        if ords:
+            wk = Window.partitionBy(*keys).orderBy(CHUNK)
+            prior = wk.rowsBetween(Window.unboundedPreceding, -1)
+            vals.append(F.sum("__n").over(prior).alias(p + "off_n"))
+            if need_epoch:
+                vals += [F.lead("__first").over(wk).alias(p + "next_first"),
+                         F.lag("__last").over(wk).alias(p + "prev_last")]
+            for c in sums:
+                vals += [F.sum(f"__csum_{c}").over(prior).alias(f"{p}off_sum_{c}"),
+                         F.sum(f"__ccnt_{c}").over(prior).alias(f"{p}off_cnt_{c}")]
+        ct = chunks.select(*keys, CHUNK, *vals)
+        if aggs:
+            st, _ = stats_by_keys[tuple(sorted(keys))]
+            ct = ct.join(st.select(*keys, *[F.col(s.name).alias(p + "agg_" + s.name) for s in aggs]), keys, "left")
+        ct_vals = [c for c in ct.columns if c not in keys and c != CHUNK]
+        ct_names |= set(ct_vals)
+        u = u.unionByName(ct.withColumn(MARK, F.lit(i)).repartition(col, CHUNK), allowMissingColumns=True)
+        w = Window.partitionBy(*keys, CHUNK)
+        spread_cols += [F.max(F.when(F.col(MARK) == i, F.col(c))).over(w).alias(c) for c in ct_vals]
+    rows = u.select(*[c for c in u.columns if c not in ct_names], *spread_cols).filter(F.col(MARK) == -1)
+
+    feats = []
+    for keys, ords, aggs, sums, need_epoch, p in fam_info:
+        present = F.lit(True)
+        for k in keys:
+            present = present & F.col(k).isNotNull()
+        for s in ords:
+            opts = dict(s.options)
+            c = s.column
+            v = _feature_value(
+                s.name, s.op, c, opts, epoch,
+                nxt=F.coalesce(F.col(p + "lead"), F.col(p + "next_first")) if s.op == "next" else None,
+                prv=F.coalesce(F.col(p + "lag"), F.col(p + "prev_last")) if s.op == "prev" else None,
+                cnt_before=(F.coalesce(F.col(p + "off_n"), F.lit(0)) + F.col(p + "rn") - 1)
+                if s.op == "cumcount" else None,
+                sum_upto=F.when(F.col(c).isNotNull(), _nsum2(F.col(f"{p}off_sum_{c}"), F.col(f"{p}lsum_{c}")))
+                if s.op == "cumsum" else None,
+                sum_before=_nsum2(F.col(f"{p}off_sum_{c}"), F.col(f"{p}lsumb_{c}")) if s.op == "expmean" else None,
+                n_before=(F.coalesce(F.col(f"{p}off_cnt_{c}"), F.lit(0)) + F.col(f"{p}lcntb_{c}"))
+                if s.op == "expmean" else None)
+            feats.append(F.when(present, v).alias(s.name))
+        for s in aggs:
+            feats.append(F.when(present, F.col(p + "agg_" + s.name)).alias(s.name))
+    return rows.select(*out.columns, *feats)
+
+
+def _nsum2(a: Column, b: Column) -> Column:
+    return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+
+
+def _prefix_chunk_plan(df: DataFrame, uniq, aliases, *, chunk_rows, wrap, order, epoch, keep_columns,
+                       n_rows, src: DataFrame) -> DataFrame:
+    """Large-input plan: bounded aggregate families broadcast, every other
+    family computed on one ``(column, chunk)`` partitioning per shared key
+    column (``_prefix_chunk_group``)."""
+    fams = families(uniq)
+    out = df
+    stats_by_keys = {}
+    for k, v in list(fams.items()):
+        aggs = [s for s in v if s.op in AGG_OPS]
+        if aggs:
+            stats_by_keys[k] = (_group_table(src, k, aggs), "__n")
+            if group_bound(k, n_rows) <= S.MAX_BROADCAST_ROWS:
+                out = out.join(F.broadcast(stats_by_keys[k][0].drop("__n")), list(k), "left")
+                fams[k] = [s for s in v if s.op not in AGG_OPS]
+    rest = {k: v for k, v in fams.items() if v}
+    for col, members in _prefix_groups(rest):
+        out = _prefix_chunk_group(out, df, col, members, chunk_rows, order, epoch, stats_by_keys)
+    means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
+    if means is not None:
+        out = out.withColumn("__means", means)
+    finals = []
+    for s in uniq:
+        c = F.col(s.name)
+        if s.op in ORDERED_OPS:
+            fill = no_group_value(s.op, dict(s.options), epoch)
+            if fill is not None:
+                c = F.coalesce(c, fill)
+        if s.null_policy == "zero":
+            c = F.coalesce(c, F.lit(0))
+        elif s.null_policy == "mean":
+            c = F.coalesce(c.cast("double"), F.col("__means").getField(s.name))
+        finals.append(cast_to(c, s.out_dtype, wrap=wrap).alias(s.name))
+    names = {s.name for s in uniq} | set(aliases)
+    base_cols = [c for c in df.columns if c not in names] if keep_columns else [order]
+    first = out.select(*base_cols, *finals)
+    return first.select(*base_cols, *[s.name for s in uniq], *[F.col(k).alias(d) for d, k in aliases.items()])

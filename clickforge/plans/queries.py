@@ -915,9 +915,9 @@ def q_importance_csv(spark, sf):
 CHUNKED_ROWS = 997   # a prime, so chunk edges fall at arbitrary rows
 
 
-def _chunked(name: str, base: str, specs, out_cast=big):
+def _chunked(name: str, base: str, specs, out_cast=big, plan: str = "shared"):
     def run(spark, sf):
-        df = build_features(clicks(spark, sf), specs, chunk_rows=CHUNKED_ROWS)
+        df = build_features(clicks(spark, sf), specs, chunk_rows=CHUNKED_ROWS, plan=plan)
         return _features_out(df, specs)
     run.__name__ = f"q_{name}"
     register(name, ORACLE[base][len(CLICKS_CTE):])(run)
@@ -933,9 +933,11 @@ _chunked("cumsum_chunked", "cumsum",
 _chunked("expanding_mean_chunked", "expanding_mean",
          [FeatureSpec("expmean", ("ip", "app", "device", "os"), "is_attributed", "feat_expanding_mean",
                       "double", "zero")])
-_chunked("count_by_key_hot", "count_by_key", [FeatureSpec("count", ("ip", "app"), None, "ip_app_count")])
+_chunked("count_by_key_hot", "count_by_key", [FeatureSpec("count", ("ip", "app"), None, "ip_app_count")],
+         plan="family")
 _chunked("var_mean_imputed_hot", "var_mean_imputed",
-         [FeatureSpec("var", ("ip", "app", "channel"), "hour", "v", "double", "mean")])
+         [FeatureSpec("var", ("ip", "app", "channel"), "hour", "v", "double", "mean")], plan="family")
+_chunked("features_v27_family_plan", "features_v27", catalogue_v27(), plan="family")
 _chunked("features_v27_chunked", "features_v27", catalogue_v27())
 _chunked("features_v21_chunked", "features_v21", catalogue_v21())
 
@@ -954,9 +956,10 @@ def q_ip_stats_hot_split(spark, sf):
     specs = [FeatureSpec("count", ("ip",), None, "ip_count"),
              FeatureSpec("nunique", ("ip",), "channel", "ip_nchannel"),
              FeatureSpec("mean", ("ip",), "hour", "ip_mean_hour", "double", "keep")]
-    agg = build_features(clicks(spark, sf), specs, chunk_rows=HOT_ROWS)
+    # the per-family plan: hot ips broadcast, cold ips shuffle-joined
+    agg = build_features(clicks(spark, sf), specs, chunk_rows=HOT_ROWS, plan="family")
     ordered = build_features(clicks(spark, sf), [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")],
-                             chunk_rows=HOT_ROWS, keep_columns=False)
+                             chunk_rows=HOT_ROWS, keep_columns=False, plan="family")
     out = agg.join(ordered, "row_id")
     return _features_out(out, specs + [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")])
 

@@ -25,12 +25,12 @@ def spark_df(spark, pdf):
 
 @pytest.mark.parametrize("op,col", [("count", None), ("nunique", "hour"), ("mean", "hour"),
                                     ("var", "hour"), ("skew", "hour")])
-@pytest.mark.parametrize("chunk_rows", [2, 1 << 22])
-def test_group_aggregates_keep(spark, op, col, chunk_rows):
+@pytest.mark.parametrize("chunk_rows,plan", [(2, "shared"), (2, "family"), (1 << 22, "shared")])
+def test_group_aggregates_keep(spark, op, col, chunk_rows, plan):
     pdf = hand()
     spec = FeatureSpec(op, ("ip", "app"), col, "f", "double", "keep")
     got = as_float_dict(build_features(spark_df(spark, pdf), [spec], chunk_rows=chunk_rows,
-                                       n_rows=len(pdf)).toPandas(), "f")
+                                       n_rows=len(pdf), plan=plan).toPandas(), "f")
     exp = pandas_feature(pdf, op, ("ip", "app"), col)
     for r, e in exp.items():
         assert close(None if pd.isna(e) else float(e), got[r]), (op, r, e, got[r])

@@ -21,8 +21,8 @@ def test_chunked_plan_equals_window_plan_v27(spark):
     base = clicks(spark, SF_SMALL)
     specs = catalogue_v27()
     small = _frame(_features_out(build_features(base, specs), specs))
-    for chunk in (97, 333):
-        big = _frame(_features_out(build_features(base, specs, chunk_rows=chunk), specs))
+    for chunk, plan in ((97, "shared"), (333, "shared"), (97, "family")):
+        big = _frame(_features_out(build_features(base, specs, chunk_rows=chunk, plan=plan), specs))
         pd.testing.assert_frame_equal(small, big, check_dtype=False)
 
 
