@@ -207,15 +207,20 @@ def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_colum
         if aggs and group_bound(k, n_rows) <= S.MAX_BROADCAST_ROWS:
             bcast[k] = aggs
             fams[k] = [s for s in v if s.op not in AGG_OPS]
+    rest = {k: v for k, v in fams.items() if v}
+    # An explicit partition count: window stages are CPU-bound (sorts), and
+    # AQE would otherwise coalesce a small shuffle into a few tasks.
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for col, members in _prefix_groups(rest):
+        out = out.repartition(n_parts, col)
+        out = out.select("*", *[_window_value(s, order, epoch).alias(s.name) for _, fam in members for s in fam])
+    # Broadcast joins are map-side: placed after the windows so the window
+    # sorts do not carry these columns.
     stats_by_keys = {}
     for keys, fam in bcast.items():
         stats = _group_table(df, keys, fam)
         stats_by_keys[keys] = (stats, "__n")
         out = out.join(F.broadcast(stats.drop("__n")), list(keys), "left")
-    rest = {k: v for k, v in fams.items() if v}
-    for col, members in _prefix_groups(rest):
-        out = out.repartition(col)
-        out = out.select("*", *[_window_value(s, order, epoch).alias(s.name) for _, fam in members for s in fam])
 
     means = _imputation_means(df, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
     if means is not None:
