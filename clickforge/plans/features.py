@@ -1,17 +1,26 @@
 """Compile a list of FeatureSpecs into one DataFrame plan.
 
-* identical specs are computed once and aliased (``dedup``);
-* specs sharing a key set form one *family*: one group-by and at most one
-  chunked window pass (``operators.ordered.key_family``);
-* an aggregate-only family whose key domain proves the group table small
-  (e.g. ``app``: at most 65,536 groups) is broadcast-joined with no shuffle
-  of the log at all;
-* every other family yields ``(row_id, features)`` and is joined back on the
-  unique ``row_id``: a skew-free key, so the final assembly is a chain of
-  sort-merge joins that share one partitioning of the log;
-* null policies run last; the imputation mean of a group feature is taken
-  row-weighted from the group table (sum of n * value / sum of n), so the
-  log is not re-read for it.
+Specs computing the same thing are computed once and aliased (``dedup``);
+specs sharing a key set form a *family*.  The plan is picked from the input
+row count n (one metadata-cheap ``count()``), and every plan is exact:
+
+* **window plan** (n <= ``chunk_rows``; no group can be larger): families
+  sharing a key column share one hash repartition and every feature is a
+  window expression over it; aggregate families whose group table is
+  provably small (key domains, or n itself under the broadcast bound) are
+  hash-aggregated and broadcast-joined after the windows;
+* **shared plan** (default above ``chunk_rows``): one shuffle of the rows per
+  shared key column by ``(column, row_id div chunk_rows)`` -- no partition
+  group exceeds ``chunk_rows`` rows whatever the key skew -- with local
+  windows, and per-family chunk tables (mergeable aggregates of the narrow
+  base rows) spread back through a union window (``_prefix_chunk_group``);
+* **per-family plan** (``plan="family"``): each family on its own narrow
+  shuffle (``operators.ordered.key_family``), hot / cold split joins, and one
+  grouped assembly by ``row_id``.
+
+Null policies run last; the imputation mean of a group feature is taken
+row-weighted from the group table (sum of n * value / sum of n) in one
+scalar subquery, so the feature plan is not re-run for it.
 """
 
 from __future__ import annotations
@@ -41,9 +50,11 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
     rows, train and test together, as the reference does).  Ordered features
     always run over ``df``.
     ``n_rows``: row count of ``df``; counted (one metadata-cheap action) when
-    not given.  It picks the plain plan when no group can exceed
-    ``chunk_rows`` and the chunked / hot-key plan otherwise; both are exact.
+    not given.  It picks the window plan when no group can exceed
+    ``chunk_rows``, else ``plan`` ("shared" or "family"); all are exact.
     """
+    if plan not in ("shared", "family"):
+        raise ValueError(f"plan must be 'shared' or 'family', not {plan!r}")
     uniq, aliases = dedup(specs)
     if any(s.op in ("next", "prev") for s in uniq) and epoch not in df.columns:
         df = df.withColumn(epoch, epoch_seconds("click_time", df.schema["click_time"].dataType))
