@@ -40,10 +40,20 @@ def _group_count(keys) -> str:
     return "__gn_" + "_".join(keys)
 
 
-def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+def build_features(df: DataFrame, specs: list[FeatureSpec], **kwargs) -> DataFrame:
+    """Same rows in and out, one new column per spec name (see ``_build``)."""
+    global _CACHE
+    try:
+        return _build(df, specs, **kwargs)
+    finally:
+        _CACHE = None
+
+
+def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT_CHUNK_ROWS,
                    wrap: bool = False, order: str = "row_id", epoch: str = "epoch",
                    fit_on: DataFrame | None = None, keep_columns: bool = True,
-                   n_rows: int | None = None, plan: str = "shared") -> DataFrame:
+                   n_rows: int | None = None, plan: str = "shared",
+                   cache_root: str | None = None, input_tag: str = "all") -> DataFrame:
     """Same rows in and out, one new column per spec name.
 
     ``fit_on``: rows the group statistics are computed from (default: all
@@ -52,6 +62,11 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
     ``n_rows``: row count of ``df``; counted (one metadata-cheap action) when
     not given.  It picks the window plan when no group can exceed
     ``chunk_rows``, else ``plan`` ("shared" or "family"); all are exact.
+    ``cache_root``: folder of the group-table cache (S-FCACHE).  Each
+    aggregate family's group table is read from ``cache_root`` when a table
+    for the same (keys, aggregates, ``input_tag``) was written before, and
+    computed and written once otherwise.  Group tables are used directly, so
+    a cached run takes the large-input plans.
     """
     if plan not in ("shared", "family"):
         raise ValueError(f"plan must be 'shared' or 'family', not {plan!r}")
@@ -61,7 +76,9 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int =
     src = fit_on if fit_on is not None else df
     if n_rows is None:
         n_rows = df.count()
-    if fit_on is None and n_rows <= chunk_rows:
+    global _CACHE
+    _CACHE = (cache_root, input_tag) if cache_root else None
+    if fit_on is None and n_rows <= chunk_rows and cache_root is None:
         return _window_plan(df, uniq, aliases, wrap=wrap, order=order, epoch=epoch, keep_columns=keep_columns,
                             n_rows=n_rows)
     if plan == "shared":
@@ -182,14 +199,29 @@ def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
     return F.when(present, v)
 
 
+_CACHE: tuple | None = None   # (root, input tag) while a cached build runs
+
+
 def _group_table(df: DataFrame, keys, fam, count_name: str = "__n") -> DataFrame:
     """Group table of a family: one row per non-null key, with the row
     count (used by the row-weighted imputation mean) and every aggregate.
     Built once and shared by the join and the imputation fit, so Spark
-    reuses its shuffle."""
+    reuses its shuffle.  Under a cache root it is a written table."""
     keyed = df.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-    return keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name),
-                                    *[agg_expr(s.op, s.column).alias(s.name) for s in fam])
+    table = lambda: keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name),
+                                             *[agg_expr(s.op, s.column).alias(s.name) for s in fam])
+    if _CACHE is None:
+        return table()
+    import hashlib
+    import json
+    from clickforge.sources.store import _exists
+    root, tag = _CACHE
+    sig = json.dumps([sorted(keys), count_name, [(s.name, s.op, s.column) for s in fam], tag])
+    path = f"{root.rstrip('/')}/groups-{hashlib.sha1(sig.encode()).hexdigest()[:16]}"
+    spark = df.sparkSession
+    if not _exists(spark, path):
+        table().write.mode("ignore").parquet(path)
+    return spark.read.parquet(path)
 
 
 def group_bound(keys, n_rows: int | None) -> int:

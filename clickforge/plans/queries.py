@@ -1004,3 +1004,15 @@ def q_gbt_best_iteration_auc(spark, sf):
     best = M.best_iteration_auc(model, mf.filter(F.col("split") == "val"), model_predictors(), "label", patience=3)
     return mf.filter(F.col("split") == "val").agg(F.count(F.lit(1)).alias("n_valid")).select(
         F.lit(best).alias("best_iteration"), "n_valid")
+
+
+@register("features_v27_cached", _V27_SQL)
+def q_features_v27_cached(spark, sf):
+    # S-FCACHE inside the feature build: the first build writes one group
+    # table per aggregate family, the second reads them instead of
+    # re-aggregating the log.
+    root = shared_path(spark, "group-cache")
+    specs = catalogue_v27()
+    build_features(clicks(spark, sf), specs, cache_root=root, input_tag=f"{sf}:all")
+    again = build_features(clicks(spark, sf), specs, cache_root=root, input_tag=f"{sf}:all")
+    return _features_out(again, specs)

@@ -61,3 +61,21 @@ def test_oracle_subset_matches_duckdb(spark):
                  "features_nb977", "auc_rank", "split_assign", "ip_stats_hot_split"]:
         res = compare(qs[name](spark, SF_SMALL).toPandas(), con.execute(sqls[name]).df())
         assert res == "ok", (name, res)
+
+
+def test_group_table_cache_is_read_back(spark):
+    from clickforge.plans.features import build_features
+    from clickforge.plans.queries import clicks
+    from clickforge.plans.specs import FeatureSpec
+    specs = [FeatureSpec("count", ("ip", "app"), None, "n"), FeatureSpec("var", ("ip",), "hour", "v")]
+    root = shared_path(spark, "gcache-test")
+    first = build_features(clicks(spark, SF_SMALL), specs, cache_root=root)
+    second = build_features(clicks(spark, SF_SMALL), specs, cache_root=root)
+    plan = second._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan                # no group-by left: both tables are cached reads
+    assert plan.count("__n#") >= 2 and "parquet" in plan
+    a = first.select("row_id", "n", "v").toPandas().sort_values("row_id").reset_index(drop=True)
+    b = second.select("row_id", "n", "v").toPandas().sort_values("row_id").reset_index(drop=True)
+    assert a.equals(b)
+    plain = build_features(clicks(spark, SF_SMALL), specs).select("row_id", "n", "v").toPandas()
+    assert (plain.sort_values("row_id").reset_index(drop=True).round(6) == a.round(6)).all().all()
