@@ -486,8 +486,24 @@ def _prefix_chunk_plan(df: DataFrame, uniq, aliases, *, chunk_rows, wrap, order,
                 out = out.join(F.broadcast(stats_by_keys[k][0].drop("__n")), list(k), "left")
                 fams[k] = [s for s in v if s.op not in AGG_OPS]
     rest = {k: v for k, v in fams.items() if v}
+    # Each group runs on narrow rows (row id, its keys, epoch, summed columns),
+    # so its window sorts never carry the log's other columns or features of
+    # other groups; the groups' outputs are attached in one row-id shuffle.
+    group_tables = []
     for col, members in _prefix_groups(rest):
-        out = _prefix_chunk_group(out, df, col, members, chunk_rows, order, epoch, stats_by_keys)
+        need = {order}
+        for keys, fam in members:
+            need |= set(keys)
+            for s in fam:
+                if s.op in ("next", "prev"):
+                    need.add(epoch)
+                if s.op in ("cumsum", "expmean") and s.column:
+                    need.add(s.column)
+        narrow = df.select(*[c for c in df.columns if c in need])
+        g = _prefix_chunk_group(narrow, df, col, members, chunk_rows, order, epoch, stats_by_keys)
+        group_tables.append(g.select(order, *[s.name for _, fam in members for s in fam]))
+    if group_tables:
+        out = out.join(_assemble(group_tables, order), order, "left")
     means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
     if means is not None:
         out = out.withColumn("__means", means)
