@@ -1,4 +1,10 @@
-"""Ordered (per-key, row-ordered) features and the key-family plan.
+"""Ordered (per-key, row-ordered) features, one key family at a time.
+
+This module holds the building blocks of the per-family plan
+(``build_features(..., plan="family")``) and the single-feature helpers
+(``cumcount``, ``next_gap``, ...); the default large-input plan shares one
+partitioning across families (``plans.features._prefix_chunk_group``) and
+reuses ``_feature_value`` from here.
 
 A plain ``Window.partitionBy(keys).orderBy(row_id)`` puts every row of a key
 into one task.  Click logs have keys (gateway ips, popular devices) that can
