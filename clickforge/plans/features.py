@@ -202,12 +202,19 @@ def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
 _CACHE: tuple | None = None   # (root, input tag) while a cached build runs
 
 
-def _group_table(df: DataFrame, keys, fam, count_name: str = "__n") -> DataFrame:
+def _group_table(df: DataFrame, keys, fam, count_name: str = "__n", n_parts: int | None = None) -> DataFrame:
     """Group table of a family: one row per non-null key, with the row
     count (used by the row-weighted imputation mean) and every aggregate.
     Built once and shared by the join and the imputation fit, so Spark
-    reuses its shuffle.  Under a cache root it is a written table."""
+    reuses its shuffle.  Under a cache root it is a written table.
+
+    ``n_parts`` (small inputs only): shuffle the rows by the keys into that
+    many partitions first, so the aggregate (distinct counts included) runs
+    in one exchange of a size fitted to the input instead of the session's
+    default partition count; large inputs keep partial aggregation."""
     keyed = df.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    if n_parts:
+        keyed = keyed.repartition(n_parts, *keys)
     table = lambda: keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name),
                                              *[agg_expr(s.op, s.column).alias(s.name) for s in fam])
     if _CACHE is None:
@@ -232,6 +239,17 @@ def group_bound(keys, n_rows: int | None) -> int:
     return min(bounds) if bounds else 1 << 62
 
 
+def _small_partitions(df: DataFrame) -> int:
+    """Partition count for the window plan's shuffles.  Explicit, because
+    window stages are CPU-bound (sorts) and AQE would coalesce a small
+    shuffle into a few tasks, while the session default (200 unless the
+    cluster says otherwise) is far too many for at most chunk_rows rows: two
+    tasks per core, never more than the configured shuffle partitions."""
+    spark = df.sparkSession
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                      2 * spark.sparkContext.defaultParallelism))
+
+
 def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_columns,
                  n_rows: int | None = None) -> DataFrame:
     """Plan for inputs of at most ``chunk_rows`` rows (no group can be
@@ -251,9 +269,7 @@ def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_colum
             bcast[k] = aggs
             fams[k] = [s for s in v if s.op not in AGG_OPS]
     rest = {k: v for k, v in fams.items() if v}
-    # An explicit partition count: window stages are CPU-bound (sorts), and
-    # AQE would otherwise coalesce a small shuffle into a few tasks.
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = _small_partitions(df)
     for col, members in _prefix_groups(rest):
         out = out.repartition(n_parts, col)
         out = out.select("*", *[_window_value(s, order, epoch).alias(s.name) for _, fam in members for s in fam])
@@ -261,7 +277,7 @@ def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_colum
     # sorts do not carry these columns.
     stats_by_keys = {}
     for keys, fam in bcast.items():
-        stats = _group_table(df, keys, fam)
+        stats = _group_table(df, keys, fam, n_parts=n_parts)
         stats_by_keys[keys] = (stats, "__n")
         out = out.join(F.broadcast(stats.drop("__n")), list(keys), "left")
 
