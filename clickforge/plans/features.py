@@ -25,6 +25,8 @@ scalar subquery, so the feature plan is not re-run for it.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,11 +44,10 @@ def _group_count(keys) -> str:
 
 def build_features(df: DataFrame, specs: list[FeatureSpec], **kwargs) -> DataFrame:
     """Same rows in and out, one new column per spec name (see ``_build``)."""
-    global _CACHE
     try:
         return _build(df, specs, **kwargs)
     finally:
-        _CACHE = None
+        _STATE.cache = None
 
 
 def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT_CHUNK_ROWS,
@@ -76,8 +77,7 @@ def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT
     src = fit_on if fit_on is not None else df
     if n_rows is None:
         n_rows = df.count()
-    global _CACHE
-    _CACHE = (cache_root, input_tag) if cache_root else None
+    _STATE.cache = (cache_root, input_tag) if cache_root else None
     if fit_on is None and n_rows <= chunk_rows and cache_root is None:
         return _window_plan(df, uniq, aliases, wrap=wrap, order=order, epoch=epoch, keep_columns=keep_columns,
                             n_rows=n_rows)
@@ -199,7 +199,9 @@ def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
     return F.when(present, v)
 
 
-_CACHE: tuple | None = None   # (root, input tag) while a cached build runs
+# (root, input tag) while a cached build runs, per thread so concurrent
+# builds never see each other's cache.
+_STATE = threading.local()
 
 
 def _group_table(df: DataFrame, keys, fam, count_name: str = "__n", n_parts: int | None = None) -> DataFrame:
@@ -217,12 +219,13 @@ def _group_table(df: DataFrame, keys, fam, count_name: str = "__n", n_parts: int
         keyed = keyed.repartition(n_parts, *keys)
     table = lambda: keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name),
                                              *[agg_expr(s.op, s.column).alias(s.name) for s in fam])
-    if _CACHE is None:
+    cache = getattr(_STATE, "cache", None)
+    if cache is None:
         return table()
     import hashlib
     import json
     from clickforge.sources.store import _exists
-    root, tag = _CACHE
+    root, tag = cache
     sig = json.dumps([sorted(keys), count_name, [(s.name, s.op, s.column) for s in fam], tag])
     path = f"{root.rstrip('/')}/groups-{hashlib.sha1(sig.encode()).hexdigest()[:16]}"
     spark = df.sparkSession
