@@ -59,7 +59,8 @@ def string_parts(column) -> tuple[np.ndarray, np.ndarray]:
     Nulls read as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "")
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = pc.fill_null(column, b"" if binary else "")
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, off, data = column.buffers()
     o = np.frombuffer(off, np.int64 if large else np.int32)[column.offset:column.offset + len(column) + 1]

@@ -31,6 +31,21 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(docs, PSEUDONYM_KEY).select("doc_id", "text", "pii_count", "pii_spans")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_model import language_model_scores
+
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import learn, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (id_mod("doc_id", 5) == 0).alias("held_out"))
+    scorer = learn(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels"))
+    return score(docs, scorer).select("doc_id", (id_mod("doc_id", 5) == 0).alias("held_out"), "score",
+                                      F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "matches")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -53,6 +68,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op10_language_id": op10_language_id,
