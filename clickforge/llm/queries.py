@@ -52,12 +52,27 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import best_fit_packing
+
+    # byte-level tokens: a text's length is its UTF-8 bytes
+    return best_fit_packing(table(spark, sf_dir, "documents"), F.octet_length(F.coalesce("text", F.lit(""))))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), os.path.join(TOKENIZERS, "byte_bpe_50k.json"), TOKEN_BUDGET)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import roundtrip
+
+    c = roundtrip(table(spark, sf_dir, "pages"), with_payload=False)
+    return c.select("page_id", F.col("response.payload_bytes").alias("payload_bytes"), F.col("response.payload_digest").alias("payload_digest"),
+                    "record_type", "refers_to")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import fit, with_language
 
@@ -71,7 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_warc": op8_warc,
     "op10_language_id": op10_language_id,
 }
 
@@ -88,4 +105,12 @@ WITH n AS (
   FROM n WINDOW w AS (PARTITION BY text_sha256 ORDER BY len DESC, doc_id)
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r""",
+    "op8_warc": r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f""",
 }
