@@ -31,6 +31,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(docs, PSEUDONYM_KEY).select("doc_id", "text", "pii_count", "pii_spans")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import ngram_jaccard_join
+
+    return ngram_jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_model import language_model_scores
 
@@ -73,6 +79,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "record_type", "refers_to")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import fit, with_language
 
@@ -83,12 +95,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_ngram_join": op2_ngram_join,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
+    "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
 }
 
