@@ -18,9 +18,10 @@ bound.
    of ratio 4/3.  So all linked pairs meet in a tile (shingle, band).
 4. *Stars.*  Members of a tile are first compared with one pivot of the tile,
    the same for all tiles as far as possible.  What these links connect needs no
-   further comparison; pairs of a tile that are still in different components
-   are compared in a second step.  A group of copies thus costs a star, not all
-   its pairs.
+   further comparison, so a group of copies costs a star, not all its pairs.
+   This repeats with other pivots as long as it settles a good part of what is
+   open; then the pairs of a tile that are still in different components are
+   compared, in large tiles block by block on their bitmaps.
 5. *Comparison.*  Hashed bitmaps of both sets bound the overlap from above by
    bit counts; pairs that pass are decided by exact intersection of sorted
    arrays.
@@ -28,6 +29,7 @@ bound.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -41,12 +43,17 @@ from .components import connected_components
 
 SHINGLE = 5
 #: Shingles of the sets that one range is planned for.
-RANGE_TOKENS = 2_500_000
+RANGE_TOKENS = 1_200_000
 #: Classes of one task from which on a shingle is sent as a mark.
 LOCAL_HEAVY = 64
 #: Shingles held by a task before it sends them on.
-FLUSH_TOKENS = 3_000_000
+FLUSH_TOKENS = 1_200_000
 HEAVY = 255
+#: Another turn of stars is worth it if the last left at most this share of the open pairs.
+STILL_OPEN = 0.8
+#: Open pairs from which on a tile is compared on its bitmaps, and members of a block.
+LARGE_TILE = 64
+BLOCK = 1024
 
 
 def class_of(s: np.ndarray) -> int:
@@ -295,6 +302,31 @@ def _bounded(batches):
         yield pa.RecordBatch.from_arrays([pa.array([c["a"][k] for k in i], pa.int64()), pa.array([c["b"][k] for k in i], pa.int64())], ["a", "b"])
 
 
+def _tile_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of one tile, or of two blocks of it, that are in different
+    components and whose bitmaps allow a link.  A pair is given by the first of
+    the tiles that both are in, and by that alone."""
+    pdf = pdf.sort_values("cls").reset_index(drop=True)
+    n, k, cls, label, home, mine = (pdf[c].to_numpy() for c in ("n", "k", "cls", "label", "home", "mine"))
+    sig = [np.frombuffer(x, np.uint64) for x in pdf["sig"]]
+    width = min(map(len, sig))
+    sig = np.stack([_fold(x, width) for x in sig])
+    across = pdf["low"].iloc[0] != pdf["high"].iloc[0]
+    here, rows = int(pdf["tile"].iloc[0]), []
+    at_home = [frozenset(x) for x in pdf["home_tiles"]]
+    visits = [frozenset(x) for x in pdf["visit_tiles"]]
+    for i in range(len(cls) - 1):
+        j = slice(i + 1, None)
+        common = np.minimum((k[i] + k[j] - np.bitwise_count(sig[i] ^ sig[j]).sum(1, dtype=np.int64)) // 2, np.minimum(k[i], k[j]))
+        ok = (100 * common >= 75 * (n[i] + n[j] - common)) & (label[i] != label[j]) & (home[i] | home[j])
+        if across:
+            ok &= mine[i] != mine[j]
+        for m in (np.flatnonzero(ok) + i + 1).tolist():
+            if here == min((at_home[i] & at_home[m]) | (at_home[i] & visits[m]) | (visits[i] & at_home[m])):
+                rows.append((cls[i], cls[m]))
+    return pd.DataFrame(rows, columns=["a", "b"]).astype("int64")
+
+
 def _verified(batches):
     """Pairs that link, by exact intersection of their sorted reduced sets."""
     for b in batches:
@@ -316,6 +348,7 @@ def _links(pairs: DataFrame, sets: DataFrame, signatures: DataFrame) -> DataFram
 def class_links(docs: DataFrame, n_bytes: int) -> DataFrame:
     """Links (a, b) between classes of (doc_id, text) rows that connect every
     pair of linked classes; n_bytes of text in all."""
+    ship(docs)
     # about one shingle per six bytes
     ranges = max(16, math.ceil(n_bytes / 6 / RANGE_TOKENS))
     dealt = docs.select("doc_id", "text").mapInArrow(_dealt(ranges, ranges), _ROWS)
@@ -331,29 +364,48 @@ def class_links(docs: DataFrame, n_bytes: int) -> DataFrame:
 
     signatures = keep_written(sets.select("cls", "n", "ids").mapInArrow(sign, "cls long, n long, k long, sig binary"), "join-signatures")
     members = sets.select("cls", "n", "prefix").mapInArrow(_tiles, "tile long, cls long, n long, home boolean")
-    pivot = F.min(F.struct(F.xxhash64("cls").alias("rank"), F.col("cls").alias("p"), F.col("n").alias("pn"), F.col("home").alias("phome")))
-    crowded = keep_written(members.groupBy("tile").agg(pivot.alias("p"), F.count(F.lit(1)).alias("c"), F.max("home").alias("any_home"))
-                           .where("c > 1 and any_home").select("tile", "p.*"), "join-pivots")
-    members = keep_written(members.join(crowded.select("tile"), "tile", "left_semi"), "join-members")
+    crowded = members.groupBy("tile").agg(F.count(F.lit(1)).alias("c"), F.max("home").alias("any_home")).where("c > 1 and any_home").select("tile")
+    members = keep_written(members.join(crowded, "tile", "left_semi"), "join-members")
 
     near = lambda x, y: (F.col(x) * 3 <= F.col(y) * 4) & (F.col(y) * 3 <= F.col(x) * 4)
-    star = (members.join(crowded, "tile").where((F.col("cls") != F.col("p")) & near("n", "pn"))
-            .select(F.col("cls").alias("a"), F.col("p").alias("b")).distinct())
-    star = keep_written(star, "join-stars")
-    first = _links(star, sets, signatures)
-    labels = connected_components(first)
-
-    # pairs of a tile that the stars left in different components
-    named = members.join(labels, F.col("cls") == F.col("node"), "left").select("tile", "cls", "n", "home", F.coalesce("label", "cls").alias("label"))
-    open_tiles = named.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("tile")
-    left = keep_written(named.join(open_tiles, "tile", "left_semi"), "join-open")
-    x, y = left.alias("x"), left.alias("y")
+    links = labels = done = still = None
+    for turn in itertools.count():
+        named = members.withColumn("label", F.col("cls")) if labels is None else (
+            members.join(labels, F.col("cls") == F.col("node"), "left").select("tile", "cls", "n", "home", F.coalesce("label", "cls").alias("label")))
+        # of a tile's largest component, the member that a hash of this turn ranks first
+        per = named.groupBy("tile", "label").agg(F.count(F.lit(1)).alias("c"), F.max(F.struct(F.xxhash64("cls", F.lit(turn)).alias("rank"), "cls", "n", "home")).alias("p"))
+        tops = per.groupBy("tile").agg(F.max(F.struct("c", "p.rank", "label", "p")).alias("top"), F.count(F.lit(1)).alias("components"), F.sum("c").alias("size"),
+                                       ((F.pow(F.sum("c"), F.lit(2)) - F.sum(F.pow("c", F.lit(2)))) / 2).alias("open"))
+        tops = keep_written(tops.where("components > 1").select("tile", F.col("top.label").alias("pl"), F.col("top.p.cls").alias("p"), F.col("top.p.n").alias("pn"),
+                                                                F.col("top.p.home").alias("ph"), "open", "size"), "join-pivots")
+        still, before = tops.agg(F.sum("open")).first()[0] or 0.0, still
+        if before is not None and (still == 0 or still > STILL_OPEN * before):
+            break
+        star = (named.join(tops, "tile").where((F.col("label") != F.col("pl")) & near("n", "pn") & (F.col("home") | F.col("ph")))
+                .select(F.least("cls", "p").alias("a"), F.greatest("cls", "p").alias("b")).distinct())
+        star = keep_written(star if done is None else star.join(done, ["a", "b"], "left_anti"), "join-stars")
+        new = _links(star, sets, signatures)
+        done, links = (star, new) if done is None else (done.union(star), links.union(new))
+        labels = connected_components(links)
+
+    # what the stars left in different components is compared pair by pair
+    left = keep_written(named.join(tops.select("tile", "open", "size"), "tile"), "join-open")
+    small = left.where(F.col("open") <= LARGE_TILE)
+    x, y = small.alias("x"), small.alias("y")
     pairs = (x.join(y, (F.col("x.tile") == F.col("y.tile")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.label") != F.col("y.label"))
                     & (F.col("x.home") | F.col("y.home")) & near("x.n", "y.n"))
-             .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
-    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = _links(pairs.join(done, ["a", "b"], "left_anti"), sets, signatures)
-    return first.union(second)
+             .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")))
+    large = left.where(F.col("open") > LARGE_TILE)
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    large = large.withColumn("mine", F.pmod(F.xxhash64("cls"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    # a class is in no more tiles than it has prefix shingles, twice
+    tiles_of = left.where(F.col("open") > LARGE_TILE).groupBy("cls").agg(
+        F.collect_list(F.when(F.col("home"), F.col("tile"))).alias("home_tiles"), F.collect_list(F.when(~F.col("home"), F.col("tile"))).alias("visit_tiles"))
+    facts = signatures.select("cls", "k", "sig").join(tiles_of, "cls")
+    large = large.join(facts, "cls").select("tile", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine",
+                                            "cls", "label", "n", "k", "home", "sig", "home_tiles", "visit_tiles")
+    pairs = pairs.union(large.groupBy("tile", "low", "high").applyInPandas(_tile_pairs, "a long, b long")).distinct()
+    return links.union(_links(pairs.join(done, ["a", "b"], "left_anti"), sets, signatures))
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
