@@ -228,11 +228,13 @@ def _reduced(pdf: pd.DataFrame) -> pd.DataFrame:
         cls.append(np.repeat(c, counts))
         freq.append(f)
     ids, cls, freq = np.concatenate(ids), np.concatenate(cls), np.concatenate(freq)
+    if len(ids) == 0:
+        return pd.DataFrame({"cls": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64"), "ids": [], "prefix": []})
     order = np.lexsort((ids, cls))
     ids, cls, freq = ids[order], cls[order], freq[order]
-    once = np.concatenate(([True], (ids[1:] != ids[:-1]) | (cls[1:] != cls[:-1]))) if len(ids) else np.zeros(0, bool)
+    once = np.concatenate(([True], (ids[1:] != ids[:-1]) | (cls[1:] != cls[:-1])))
     ids, cls, freq = ids[once], cls[once], freq[once]
-    run = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1]))) if len(ids) else np.zeros(0, np.int64)
+    run = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1])))
     rows = []
     for i, j in zip(run.tolist(), np.append(run[1:], len(ids)).tolist(), strict=True):
         n = size[int(cls[i])]
