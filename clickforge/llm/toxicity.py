@@ -290,6 +290,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = F.broadcast(marks.where(coin < share))
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .join(sample, "doc_id").select("doc_id", "text", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0).alias("half")))
+    # copies would count as independent evidence: of texts with the same least hash of a long word, one stays
+    key = F.expr("array_min(transform(filter(split(lower(text), '\\\\s+'), w -> length(w) >= 8), w -> xxhash64(w)))")
+    rows = (rows.groupBy(F.coalesce(key, F.xxhash64(F.coalesce("text", F.lit("")))).alias("key"), "toxic").agg(F.min(F.struct("doc_id", "text", "half")).alias("r"))
+            .select("r.doc_id", "r.text", "toxic", "r.half"))
     rows = keep_written(rows, "toxicity-sample")
     terms = learn_lexicon(rows)
     if not terms:
