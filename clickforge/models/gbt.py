@@ -189,8 +189,8 @@ def rf_pseudo_labels(train: DataFrame, unlabelled_flag, predictors, label: str =
 # M-TUNE / M-BEST / M-VARIANT
 # ---------------------------------------------------------------------------
 SEARCH_SPACE = {
-    "max_depth": (3, 10), "min_child_samples": (20, 200), "scale_pos_weight": (1.0, 400.0),
-    "subsample": (0.5, 1.0), "colsample_bytree": (0.1, 1.0), "max_bin": (16, 255),
+    "max_depth": (3, 10), "min_child_samples": (20, 200), "scale_pos_weight": (250.0, 400.0),
+    "subsample": (0.2, 0.7), "colsample_bytree": (0.2, 0.7), "max_bin": (50, 255),
 }
 
 

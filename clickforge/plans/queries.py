@@ -530,7 +530,7 @@ def q_row_range(spark, sf):
     # S-RANGE: rows [20 %, 50 %) of the log; the bound is pushed to the scan.
     df = C.load_clicks(spark, sf)
     n = C.n_rows(df)
-    return C.row_range(df, n * 2 / 10, n * 5 / 10).select("row_id", "ip", "app", "channel")
+    return C.row_range(df, F.ceil(n * 2 / 10).cast("long"), F.ceil(n * 5 / 10).cast("long")).select("row_id", "ip", "app", "channel")
 
 
 @register("head_n", """
@@ -542,11 +542,11 @@ def q_head_n(spark, sf):
 
 
 @register("row_at", """
-SELECT row_id, ip, app, device, os, channel FROM clicks WHERE row_id = (SELECT count(*) FROM clicks) / 2
+SELECT row_id, ip, app, device, os, channel FROM clicks WHERE row_id = (SELECT count(*) FROM clicks) // 2
 """)
 def q_row_at(spark, sf):
     df = C.load_clicks(spark, sf)
-    return C.row_at(df, C.n_rows(df) / 2).select("row_id", "ip", "app", "device", "os", "channel")
+    return C.row_at(df, F.floor(C.n_rows(df) / 2).cast("long")).select("row_id", "ip", "app", "device", "os", "channel")
 
 
 @register("debug_sample")
@@ -588,11 +588,11 @@ def q_split_assign(spark, sf):
 
 @register("train_slice", """
 SELECT row_id, ip, label FROM labelled
-WHERE row_id >= len_train - (SELECT count(*) FROM clicks) / 2 AND row_id < len_train - val_size
+WHERE row_id >= len_train - (SELECT count(*) FROM clicks) // 2 AND row_id < len_train - val_size
 """)
 def q_train_slice(spark, sf):
     df, lt, vs = framed(spark, sf)
-    return T.train_slice(df, lt, C.n_rows(df) / 2, vs).select("row_id", "ip", "label")
+    return T.train_slice(df, lt, F.floor(C.n_rows(df) / 2).cast("long"), vs).select("row_id", "ip", "label")
 
 
 @register("impute_matrix", """,
@@ -773,7 +773,7 @@ def q_rf_pseudo_labels(spark, sf):
     # M-RF -> P-THRESH -> P-OVER -> W-EXPMEAN (pseudo-labelled target mean).
     mf = model_frame(spark, sf)
     preds = model_predictors()
-    done = M.rf_pseudo_labels(mf.filter(F.col("split") != "test"), F.col("split") == "test", preds, "label",
+    done = M.rf_pseudo_labels(mf.filter(F.col("split") == "train"), F.col("split") == "test", preds, "label",
                               num_trees=5, max_depth=4, seed=3, df=mf)
     out = _bf(done, [FeatureSpec("expmean", ("ip", "app", "device", "os"), "label",
                                             "feat_expanding_mean", "double", "zero")])

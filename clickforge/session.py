@@ -8,7 +8,9 @@ must be a shared filesystem on a cluster.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -50,14 +52,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only
-    when the cluster did not name one (tests and local runs)."""
+    """Return the session's checkpoint folder.  Where none is named, a local
+    master gets a scratch folder of its own, removed at exit; on a cluster,
+    where executors do not share a local folder, that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
-            current = tempfile.mkdtemp(prefix="clickforge-ckpt-", dir="/tmp")
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            current = tempfile.mkdtemp(prefix="clickforge-ckpt-")
+            atexit.register(shutil.rmtree, current, ignore_errors=True)
             spark.conf.set("spark.checkpoint.dir", current)
         sc.setCheckpointDir(current)
     return current

@@ -7,6 +7,7 @@ ordered features order by it; it is the file (= time) order of the log.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,20 +82,43 @@ def ingest(df: DataFrame, path: str, order: str = "row_id") -> DataFrame:
 def read_click_csv(spark: SparkSession, path: str, schema: T.StructType = S.TRAIN_SCHEMA,
                    columns: list[str] | None = None, time_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """Explicit schema (never inferSchema); only ``columns`` are kept, so the
-    CSV reader parses only those fields."""
+    CSV reader parses only those fields.  A malformed row raises."""
     df = (spark.read.schema(schema).option("header", True)
-          .option("timestampNTZFormat", time_format).csv(path))
+          .option("timestampNTZFormat", time_format)
+          .option("mode", "FAILFAST").csv(path))
     return df.select(*(columns or [f.name for f in schema.fields if f.name != "attributed_time"]))
 
 
 # --------------------------------------------------------------------------
 # O-ROW: dense row index
 # --------------------------------------------------------------------------
+def _file_order(df: DataFrame, name: str) -> DataFrame | None:
+    """Dense index of a file scan in file order, None if df is no file scan.
+
+    The rows of a split stand together in one partition, in file order; a count
+    per split and a running sum over splits ordered by path and start give each
+    split its offset.  One row per split, so the broadcast is bounded by them.
+    """
+    try:
+        rows = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"))
+    except AnalysisException:
+        return None
+    rows = rows.withColumn("__mono", F.monotonically_increasing_id())
+    splits = rows.groupBy("__file", "__start").agg(F.min("__mono").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("__file", "__start", "__first", F.coalesce(before, F.lit(0)).alias("__off"))
+    out = rows.join(F.broadcast(splits), ["__file", "__start"])
+    return out.withColumn(name, (F.col("__off") + F.col("__mono") - F.col("__first")).cast("long")).drop("__file", "__start", "__mono", "__first", "__off")
+
+
 def assign_row_id(df: DataFrame, order_cols: list[str] | None = None, name: str = "row_id") -> DataFrame:
     """Dense 0-based row index.
 
     With ``order_cols`` the index follows that total order, without it the
-    input order (file order).  Implemented as the usual two-pass scan: a
+    input order.  Over a file scan that is file order: files by path, and the
+    rows of each in their order in the file, however Spark has sorted and packed
+    the splits into partitions.  Other frames are taken in partition order.
+    Implemented as the usual two-pass scan: a
     per-partition count, a prefix sum over partition counts (one row per
     partition, so bounded by the partition count) and a local row number.
     No single task sees more than one partition.
@@ -108,6 +132,10 @@ def assign_row_id(df: DataFrame, order_cols: list[str] | None = None, name: str
     if order_cols:
         from clickforge.session import cut_lineage
         df = cut_lineage(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols))
+    else:
+        by_file = _file_order(df, name)
+        if by_file is not None:
+            return by_file
     pid = "__pid"
     with_pid = df.withColumn(pid, F.spark_partition_id()).withColumn(
         "__mono", F.monotonically_increasing_id())
@@ -151,7 +179,9 @@ def debug_sample(df: DataFrame, n_rows: int | None = None, fraction: float | Non
     """Small-sample mode: a seeded Bernoulli sample, or the first n rows."""
     if fraction is not None:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    return head(df, n_rows or S.VAL_SIZE_DEBUG)
+    if n_rows is None:
+        raise ValueError("give a fraction or a number of rows")
+    return head(df, n_rows)
 
 
 # --------------------------------------------------------------------------

@@ -20,8 +20,9 @@ from clickforge.plans.specs import FeatureSpec
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table at path was written to its end."""
     jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    jpath = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(jpath)
 
@@ -30,12 +31,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # S-SNAPW / S-SNAPR / S-CACHE
 # ---------------------------------------------------------------------------
 def write_snapshot(df: DataFrame, path: str, partition_by: str | None = "split") -> bool:
-    """Write the feature table unless it is already there (``mode=ignore``).
+    """Write the feature table unless it is already there, complete.
     Partitioned by split so a later read of one split prunes the others."""
     spark = df.sparkSession
     if _exists(spark, path):
         return False
-    w = df.write.mode("ignore")
+    # what is there without a success mark is the rest of a failed write
+    w = df.write.mode("overwrite")
     if partition_by and partition_by in df.columns:
         w = w.partitionBy(partition_by)
     w.parquet(path)
@@ -69,7 +71,7 @@ def cached_feature(spark: SparkSession, root: str, spec: FeatureSpec, input_tag:
     features); on a hit it is read instead of recomputed."""
     path = f"{root.rstrip('/')}/{spec.name}-{spec_key(spec, input_tag)}"
     if not _exists(spark, path):
-        compute().write.mode("ignore").parquet(path)
+        compute().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

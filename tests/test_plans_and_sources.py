@@ -66,3 +66,53 @@ def test_union_sets_sentinels(spark):
     assert (u[u.row_id < 800].click_id == S.MISSING).all()
     assert (u[u.row_id >= 800].is_attributed == S.MISSING).all()
     assert len(u) == 1000
+
+
+def test_file_order_index_over_unequal_files(spark, tmp_path):
+    from clickforge.sources import clicks as C
+
+    path, at = str(tmp_path / "log"), 0
+    for k, n in enumerate((40, 2000, 300)):  # Spark reads the larger files first
+        spark.range(at, at + n).selectExpr("id AS v").coalesce(1).write.parquet(f"{path}/part={k}")
+        at += n
+    got = C.assign_row_id(spark.read.parquet(path).select("v"))
+    assert got.where("row_id = v").count() == at and got.where("row_id <> v").count() == 0
+
+
+def test_file_order_index_over_splits(spark, tmp_path):
+    from clickforge.sources import clicks as C
+
+    path = str(tmp_path / "csv")
+    spark.range(5000).selectExpr("id AS v", "repeat('x', 50) AS pad").coalesce(1).write.csv(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        log = spark.read.schema("v long, pad string").csv(path)
+        assert log.rdd.getNumPartitions() > 4
+        assert C.assign_row_id(log).where("row_id = v").count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_half_written_table_is_built_again(spark, tmp_path):
+    import os
+
+    from clickforge.sources import store
+
+    path = str(tmp_path / "snap")
+    spark.range(3).write.parquet(path)
+    os.rename(os.path.join(path, "_SUCCESS"), str(tmp_path / "was"))
+    assert store.load_or_build(spark, path, lambda: spark.range(7).toDF("id")).count() == 7
+    assert store.load_or_build(spark, path, lambda: spark.range(9).toDF("id")).count() == 7
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    import types
+
+    import pytest
+
+    from clickforge.session import ensure_checkpoint_dir
+
+    conf = types.SimpleNamespace(get=lambda k, d=None: d, set=lambda k, v: None)
+    sc = types.SimpleNamespace(master="yarn", getCheckpointDir=lambda: None, setCheckpointDir=lambda p: None)
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(types.SimpleNamespace(sparkContext=sc, conf=conf))
