@@ -29,6 +29,8 @@ BITS = 16
 UNDETERMINED = "und"
 #: Bound of the labelled sample that the regression is fitted on.
 MAX_ROWS = 3_000
+#: Positions whose n-grams are hashed at once; bounds the scratch arrays.
+BLOCK = 1 << 17
 #: Languages at most; a corpus with more labels than this is refused.
 MAX_LANGUAGES = 512
 
@@ -52,23 +54,29 @@ def code_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return points, before[off]
 
 
-def ngrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of concatenated texts, text by text, and their bounds."""
+def _collapse(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of concatenated texts in lower case, one 0 for every run of other
+    characters and at the end of every text, and each text's bounds in them."""
     points, bounds = code_points(data, off)
     c = _letters()[points]
     # every text ends in a gap, so no n-gram of letters spans two texts
-    n = len(bounds) - 1
     c = np.insert(c, bounds[1:], 0)
-    bounds = bounds + np.arange(n + 1)
+    bounds = bounds + np.arange(len(bounds))
     # one gap stands for a run of other characters
     keep = np.ones(len(c), bool)
     keep[1:] = (c[1:] != 0) | (c[:-1] != 0)
     keep[bounds[:-1][np.diff(bounds) > 0]] = True
     kept = np.concatenate(([0], np.cumsum(keep)))
-    c, bounds = c[keep].astype(np.uint64), kept[bounds]
+    return c[keep], kept[bounds]
+
+
+def _hashed(c: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams that start at positions lo to hi - 1 of c, and how many
+    of them start before each of these positions and hi."""
     scale = np.uint64(0x9E3779B97F4A7C15)
     down = np.uint64(64 - BITS)
-    pad = np.concatenate((c, np.zeros(2, np.uint64)))
+    pad = np.zeros(hi - lo + 2, np.uint64)
+    pad[:min(len(c), hi + 2) - lo] = c[lo:hi + 2]
     one, two, three = pad[:-2], pad[1:-1], pad[2:]
     base = one * np.uint64(0x2545F4914F6CDD1D)
     pair = (base ^ two) * np.uint64(0xD6E8FEB86659FD93)
@@ -76,8 +84,26 @@ def ngrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                       (((pair ^ three) * np.uint64(0xA0761D6478BD642F) + np.uint64(2)) * scale) >> down], 1)
     # a bigram or trigram that would start in a gap at the end of the text reads the next text: drop those that begin in a gap
     ok = np.stack([one != 0, one != 0, (one != 0) & (two != 0)], 1)
-    per = np.concatenate(([0], np.cumsum(ok.sum(1))))
-    return grams[ok].astype(np.int32), per[bounds]
+    return grams[ok].astype(np.int32), np.concatenate(([0], np.cumsum(ok.sum(1))))
+
+
+def ngrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams of concatenated texts, text by text, and their bounds."""
+    c, bounds = _collapse(data, off)
+    grams, per = _hashed(c, 0, len(c))
+    return grams, per[bounds]
+
+
+def gram_blocks(data: np.ndarray, off: np.ndarray, block: int = BLOCK):
+    """The same block by block: (index of the block's first text, n-grams, their
+    bounds by text).  A text may go on in the next block, so scratch arrays
+    stay small however long a text is."""
+    c, bounds = _collapse(data, off)
+    for lo in range(0, len(c), block):
+        hi = min(lo + block, len(c))
+        grams, per = _hashed(c, lo, hi)
+        first, last = int(np.searchsorted(bounds, lo, "right")) - 1, int(np.searchsorted(bounds, hi, "left"))
+        yield first, grams, per[np.clip(bounds[first:last + 1], lo, hi) - lo]
 
 
 class Model:
@@ -88,12 +114,14 @@ class Model:
 
     def predict(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class index, calibrated probability and whether the text has a letter."""
-        grams, bounds = ngrams(data, off)
-        n = np.diff(bounds)
-        logits = np.tile(self.bias, (len(n), 1))
-        some = np.flatnonzero(n)
-        if len(some):
-            logits[some] += np.add.reduceat(self.weights[grams], bounds[:-1][some], axis=0, dtype=np.float64) / n[some, None]
+        n, logits = np.zeros(len(off) - 1, np.int64), np.zeros((len(off) - 1, len(self.classes)))
+        for first, grams, bounds in gram_blocks(data, off):
+            k = np.diff(bounds)
+            some = np.flatnonzero(k)
+            if len(some):
+                logits[first + some] += np.add.reduceat(self.weights[grams], bounds[:-1][some], axis=0, dtype=np.float64)
+                n[first + some] += k[some]
+        logits = logits / np.maximum(n, 1)[:, None] + self.bias
         z = logits / self.temperature
         z -= z.max(1, keepdims=True)
         p = np.exp(z)
@@ -156,12 +184,16 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches):
         df, docs = np.zeros(1 << BITS, np.int64), 0
         for b, data, off in text_chunks(batches):
-            grams, bounds = ngrams(data, off)
             docs += b.num_rows
-            for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                seen = np.zeros(1 << BITS, bool)
-                seen[grams[i:j]] = True
-                df += seen
+            seen, current = np.zeros(1 << BITS, bool), -1
+            for first, grams, bounds in gram_blocks(data, off):
+                for t, (i, j) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                    if first + t != current:
+                        df += seen
+                        seen[:] = False
+                        current = first + t
+                    seen[grams[i:j]] = True
+            df += seen
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(32), pa.int32()), pa.array([df[k * block:(k + 1) * block].tobytes() for k in range(32)], pa.binary()),
              pa.array([docs] * 32, pa.int64())], ["block", "counts", "docs"])
@@ -201,12 +233,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["label", "id", "text"]).reset_index(drop=True)
-        data, off = string_parts(pa.array(pdf["text"], pa.string()))
-        grams, bounds = ngrams(data, off)
         rows = []
-        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            idx, cnt = np.unique(grams[i:j], return_counts=True)
-            rows.append((idx, cnt / max(1, j - i) * idf[idx] * scale))
+        for text in pdf["text"]:
+            cnt = np.zeros(1 << BITS, np.int64)
+            for _, grams, _ in gram_blocks(*string_parts(pa.array([text], pa.string()))):
+                cnt += np.bincount(grams, minlength=1 << BITS)
+            idx = np.flatnonzero(cnt)
+            rows.append((idx, cnt[idx] / max(1, int(cnt.sum())) * idf[idx] * scale))
         y = np.searchsorted(classes, pdf["label"].to_numpy())
         back = np.arange(len(rows)) % 5 == 4 if len(rows) >= 20 else np.zeros(len(rows), bool)
         w, b = ftrl([rows[i] for i in np.flatnonzero(~back)], y[~back], len(classes))

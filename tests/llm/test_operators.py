@@ -285,6 +285,21 @@ def test_ngrams_do_not_cross_texts():
         assert together[bounds[i]:bounds[i + 1]].tolist() == alone.tolist()
 
 
+def test_gram_blocks_give_the_same_as_whole_texts():
+    import pyarrow as pa
+    from clickforge.llm.common import string_parts
+
+    texts = ["", "abc déf 12 ghi" * 9, "  ", "a", "längerer Text, mit Zeichen!" * 5, "x y"]
+    parts = string_parts(pa.array(texts))
+    whole, bounds = language_id.ngrams(*parts)
+    for block in (1, 2, 7, 50, 10_000):
+        got = [[] for _ in texts]
+        for first, grams, b in language_id.gram_blocks(*parts, block):
+            for t in range(len(b) - 1):
+                got[first + t] += grams[b[t]:b[t + 1]].tolist()
+        assert got == [whole[i:j].tolist() for i, j in zip(bounds[:-1], bounds[1:])]
+
+
 def test_language_model(odd, empty, spark):
     got = {(r["doc_id"], r["n_tokens"]): r for r in language_model.language_model_scores(odd).collect()}
     assert got[1, 0]["sum_logprob"] == 0 and got[1, 0]["mean_logprob"] is None and got[6, 20_000]["sum_logprob"] < 0
