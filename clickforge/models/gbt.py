@@ -12,8 +12,9 @@ from __future__ import annotations
 import random
 import re
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,10 @@ WEIGHT = "__w"
 
 
 def merge_params(params: dict | None) -> dict:
+    """Defaults overridden by ``params``; raises on keys MLlib has no equivalent for."""
+    unsupported = sorted(set(params or {}) - set(DEFAULT_PARAMS))
+    if unsupported:
+        raise ValueError(f"unsupported parameters: {', '.join(unsupported)}")
     out = dict(DEFAULT_PARAMS)
     out.update(params or {})
     return out
@@ -76,9 +81,25 @@ def fit(train: DataFrame, predictors, label: str = "label", params: dict | None
     return Pipeline(stages=[assembler(predictors), gbt_estimator(p, label)]).fit(data)
 
 
-def score(model: PipelineModel, df: DataFrame, predictors, prob: str = "p") -> DataFrame:
-    """M-SCORE / M-HARD: probability of class 1 and the hard prediction."""
-    out = model.transform(_numeric(df, predictors))
+def first_trees(model: PipelineModel, n_trees: int) -> PipelineModel:
+    """The model as it was after ``n_trees`` boosting rounds."""
+    gbt = model.stages[-1]
+    n = max(1, min(int(n_trees), gbt.getNumTrees))
+    trees, weights = gbt._java_obj.trees(), gbt.treeWeights
+    gateway = SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    kept = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n)
+    shares = gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        kept[i], shares[i] = trees[i], float(weights[i])
+    java = ml.classification.GBTClassificationModel(gbt.uid, kept, shares, gbt.numFeatures, gbt.numClasses)
+    return PipelineModel([*model.stages[:-1], GBTClassificationModel(java)])
+
+
+def score(model: PipelineModel, df: DataFrame, predictors, prob: str = "p", n_trees: int | None = None) -> DataFrame:
+    """M-SCORE / M-HARD: probability of class 1 and the hard prediction, by
+    the first ``n_trees`` rounds (the best iteration) or all of them."""
+    out = (model if n_trees is None else first_trees(model, n_trees)).transform(_numeric(df, predictors))
     return out.withColumn(prob, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability")
 
 

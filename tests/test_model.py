@@ -44,7 +44,8 @@ def test_day_filter_pushes_timestamp_range(spark):
     from conftest import SF_SMALL
     df = T.day_filter(clicks(spark, SF_SMALL, ("hour",)), "2024-01-09 00:00:00")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "click_time" in plan and "GreaterThanOrEqual" in plan or ">=" in plan
+    pushed = plan.split("PushedFilters: ")[1].split("]")[0]
+    assert "GreaterThanOrEqual(click_time" in pushed and "LessThan(click_time" in pushed
 
 
 def test_gbt_fit_score_importance(spark):
@@ -62,3 +63,9 @@ def test_gbt_fit_score_importance(spark):
     assert abs(sum(r.gain for r in imp.values()) - 100.0) < 1e-6
     best = M.best_iteration(model, df, ["a", "b"], "label", patience=2)
     assert 1 <= best <= 5
+    by_prefix = {r.iteration: r.auc for r in M.prefix_auc(model, df, ["a", "b"]).collect()}
+    for k in (1, 3, 5):
+        some = AUC.auc(M.score(model, df, ["a", "b"], n_trees=k), "p", "label").first()["auc"]
+        assert abs(some - by_prefix[k]) < 1e-12
+    with pytest.raises(ValueError, match="num_leaves"):
+        M.fit(df, ["a", "b"], "label", {"num_leaves": 7})
