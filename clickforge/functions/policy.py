@@ -52,11 +52,10 @@ def impute_matrix(df: DataFrame, columns, fit_on: DataFrame | None = None) -> Da
     """P-IMPALL: mean-impute several columns; statistics from ``fit_on``
     (the slice passed in), one pass computing every mean at once."""
     src = fit_on if fit_on is not None else df
-    means = src.select(*[F.avg(F.col(c)).alias(c) for c in columns])
-    out = df
-    for c in columns:
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), means.select(c).scalar()))
-    return out
+    # one struct in one column, so its plan runs once for all columns
+    means = src.select(F.struct(*[F.avg(F.col(c)).alias(c) for c in columns]).alias("m")).scalar()
+    out = df.withColumn("__means", means)
+    return out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col("__means").getField(c)) for c in columns}).drop("__means")
 
 
 def apply_null_policy(df: DataFrame, column: str, policy: str) -> Column:

@@ -54,7 +54,8 @@ def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT
                    wrap: bool = False, order: str = "row_id", epoch: str = "epoch",
                    fit_on: DataFrame | None = None, keep_columns: bool = True,
                    n_rows: int | None = None, plan: str = "shared",
-                   cache_root: str | None = None, input_tag: str = "all") -> DataFrame:
+                   max_broadcast_rows: int = S.MAX_BROADCAST_ROWS,
+                   cache_root: str | None = None, input_tag: str | None = None) -> DataFrame:
     """Same rows in and out, one new column per spec name.
 
     ``fit_on``: rows the group statistics are computed from (default: all
@@ -63,27 +64,35 @@ def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT
     ``n_rows``: row count of ``df``; counted (one metadata-cheap action) when
     not given.  It picks the window plan when no group can exceed
     ``chunk_rows``, else ``plan`` ("shared" or "family"); all are exact.
+    ``max_broadcast_rows``: a group table is broadcast only if its proven
+    bound (``group_bound``) is at most this; 0 broadcasts none.
     ``cache_root``: folder of the group-table cache (S-FCACHE).  Each
     aggregate family's group table is read from ``cache_root`` when a table
-    for the same (keys, aggregates, ``input_tag``) was written before, and
-    computed and written once otherwise.  Group tables are used directly, so
-    a cached run takes the large-input plans.
+    for the same keys, aggregates, ``input_tag`` (required), input files and
+    plan over them (``fit_on``'s, if given) was written before, and computed
+    and written once otherwise.  Group tables are used directly, so a cached
+    run takes the large-input plans.
     """
     if plan not in ("shared", "family"):
         raise ValueError(f"plan must be 'shared' or 'family', not {plan!r}")
+    if cache_root and not input_tag:
+        raise ValueError("cache_root needs an input_tag that names the input")
     uniq, aliases = dedup(specs)
     if any(s.op in ("next", "prev") for s in uniq) and epoch not in df.columns:
         df = df.withColumn(epoch, epoch_seconds("click_time", df.schema["click_time"].dataType))
     src = fit_on if fit_on is not None else df
     if n_rows is None:
         n_rows = df.count()
-    _STATE.cache = (cache_root, input_tag) if cache_root else None
+    _STATE.cache = (cache_root, [input_tag, *_source_id(src)]) if cache_root else None
     if fit_on is None and n_rows <= chunk_rows and cache_root is None:
         return _window_plan(df, uniq, aliases, wrap=wrap, order=order, epoch=epoch, keep_columns=keep_columns,
-                            n_rows=n_rows)
+                            n_rows=n_rows, max_broadcast_rows=max_broadcast_rows)
+    # the bound of a group table is that of the rows it is built from
+    bound_rows = n_rows if fit_on is None else None
     if plan == "shared":
         return _prefix_chunk_plan(df, uniq, aliases, chunk_rows=chunk_rows, wrap=wrap, order=order, epoch=epoch,
-                                  keep_columns=keep_columns, n_rows=n_rows, src=src)
+                                  keep_columns=keep_columns, n_rows=bound_rows, src=src,
+                                  max_broadcast_rows=max_broadcast_rows)
 
     out = df
     fam_tables = []
@@ -98,15 +107,14 @@ def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT
             stats = _group_table(src, keys, [s for s in fam if s.op in AGG_OPS], _group_count(keys))
             stats_by_keys[tuple(keys)] = (stats, _group_count(keys))
 
-        if not ords and group_bound(keys, n_rows) <= S.MAX_BROADCAST_ROWS:
+        if not ords and group_bound(keys, bound_rows) <= max_broadcast_rows:
             out = out.join(F.broadcast(stats.drop(_group_count(keys))), keys, "left")
         else:
             fam_tables.append(key_family(df, keys, aggs, ords, chunk_rows=chunk_rows,
                                          epoch=epoch, order=order, stats=stats,
                                          group_count=_group_count(keys) if aggs else None,
                                          n_rows=n_rows))
-    if fam_tables:
-        out = out.join(_assemble(fam_tables, order), order, "left")
+    out = _assemble(out, fam_tables, order)
     means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
     if means is not None:
         out = out.withColumn("__means", means)
@@ -149,6 +157,7 @@ def _prefix_groups(fams: dict) -> list[tuple[str | None, list]]:
 
 
 _WINDOWS: dict = {}
+FIRST = "__first_"
 
 
 def _windows(keys, order):
@@ -176,7 +185,7 @@ def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
         elif s.op == "countnn":
             v = F.count(c).over(w)
         elif s.op == "nunique":
-            v = F.size(F.collect_set(c).over(w)).cast("long")
+            v = F.count(FIRST + s.name).over(w)
         elif s.op == "mean":
             v = F.avg(c).over(w)
         elif s.op == "var":
@@ -199,7 +208,7 @@ def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
     return F.when(present, v)
 
 
-# (root, input tag) while a cached build runs, per thread so concurrent
+# (root, input tag and identity) while a cached build runs, per thread so concurrent
 # builds never see each other's cache.
 _STATE = threading.local()
 
@@ -225,15 +234,23 @@ def _group_table(df: DataFrame, keys, fam, count_name: str = "__n", n_parts: int
     import hashlib
     import json
     from clickforge.sources.store import _exists
-    root, tag = cache
-    sig = json.dumps([sorted(keys), count_name, [(s.name, s.op, s.column) for s in fam], tag])
+    root, source = cache
+    sig = json.dumps([sorted(keys), count_name, [(s.name, s.op, s.column) for s in fam], source])
     path = f"{root.rstrip('/')}/groups-{hashlib.sha1(sig.encode()).hexdigest()[:16]}"
     spark = df.sparkSession
     if not _exists(spark, path):
-        table().write.mode("ignore").parquet(path)
+        # what is there without a success mark is the rest of a failed write
+        table().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def _source_id(src: DataFrame) -> list:
+    """What group tables are computed from: the files, the columns' types and
+    the normalised plan over them (filters and projections)."""
+    plan = src._jdf.queryExecution().optimizedPlan().canonicalized().toString()
+    return [sorted(src.inputFiles()), src.schema.simpleString(), plan]
+
+
 def group_bound(keys, n_rows: int | None) -> int:
     """Proven upper bound of a group table's rows: the key columns' domain
     product, and never more than the input's row count."""
@@ -254,7 +271,7 @@ def _small_partitions(df: DataFrame) -> int:
 
 
 def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_columns,
-                 n_rows: int | None = None) -> DataFrame:
+                 n_rows: int | None = None, max_broadcast_rows: int = S.MAX_BROADCAST_ROWS) -> DataFrame:
     """Plan for inputs of at most ``chunk_rows`` rows (no group can be
     larger): each group of families sharing a key column costs one hash
     repartition of the rows, and every feature is a window expression over
@@ -268,13 +285,19 @@ def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_colum
     bcast = {}
     for k, v in fams.items():
         aggs = [s for s in v if s.op in AGG_OPS]
-        if aggs and group_bound(k, n_rows) <= S.MAX_BROADCAST_ROWS:
+        if aggs and group_bound(k, n_rows) <= max_broadcast_rows:
             bcast[k] = aggs
             fams[k] = [s for s in v if s.op not in AGG_OPS]
     rest = {k: v for k, v in fams.items() if v}
     n_parts = _small_partitions(df)
     for col, members in _prefix_groups(rest):
         out = out.repartition(n_parts, col)
+        # a value's first row in its group, for distinct counts; same partitioning
+        firsts = [F.when((F.row_number().over(Window.partitionBy(*s.keys, s.column).orderBy(order)) == 1)
+                         & F.col(s.column).isNotNull(), 1).alias(FIRST + s.name)
+                  for _, fam in members for s in fam if s.op == "nunique"]
+        if firsts:
+            out = out.select("*", *firsts)
         out = out.select("*", *[_window_value(s, order, epoch).alias(s.name) for _, fam in members for s in fam])
     # Broadcast joins are map-side: placed after the windows so the window
     # sorts do not carry these columns.
@@ -334,34 +357,15 @@ def _imputation_means(df: DataFrame, mean_specs, order: str, epoch: str,
     return u.agg(F.struct(*[F.max(n).alias(n) for n in names]).alias("m")).scalar()
 
 
-def _assemble(tables: list[DataFrame], order: str) -> DataFrame:
-    """Join every family's ``(row_id, features)`` into one row per row_id
-    with a single shuffle.
+def _assemble(out: DataFrame, tables: list[DataFrame], order: str) -> DataFrame:
+    """Join every table of ``(row_id, features)`` to the rows.
 
-    Each family packs its features into one ``array<double>`` (counts and
-    gaps are far below 2^53, so they survive exactly), the families are
-    unioned and grouped by row_id.  A row_id has at most one entry per
-    family, so every group is bounded by the number of families.  With one
-    family this is just that family's table.
-    """
-    if len(tables) == 1:
-        return tables[0]
-    packed = []
-    layout = []
-    for i, t in enumerate(tables):
-        names = [c for c in t.columns if c != order]
-        layout.append(names)
-        packed.append(t.select(F.col(order), F.struct(F.lit(i).alias("f"), F.array(
-            *[F.col(n).cast("double") for n in names]).alias("v")).alias("__e")))
-    u = packed[0]
-    for p in packed[1:]:
-        u = u.unionByName(p)
-    g = u.groupBy(order).agg(F.map_from_entries(F.collect_list("__e")).alias("__m"))
-    cols = [F.col(order)]
-    for i, names in enumerate(layout):
-        for j, n in enumerate(names):
-            cols.append(F.col("__m").getItem(i).getItem(j).alias(n))
-    return g.select(*cols)
+    All joins are on the unique row id, so each table and the log move once,
+    to the same hash partitioning, and no key is hot.  Every feature keeps its
+    own type (counts and sums stay longs, exact beyond 2^53)."""
+    for t in tables:
+        out = out.join(t, order, "left")
+    return out
 
 
 def feature_names(specs: list[FeatureSpec]) -> list[str]:
@@ -490,7 +494,7 @@ def _nsum2(a: Column, b: Column) -> Column:
 
 
 def _prefix_chunk_plan(df: DataFrame, uniq, aliases, *, chunk_rows, wrap, order, epoch, keep_columns,
-                       n_rows, src: DataFrame) -> DataFrame:
+                       n_rows, src: DataFrame, max_broadcast_rows: int = S.MAX_BROADCAST_ROWS) -> DataFrame:
     """Large-input plan: bounded aggregate families broadcast, every other
     family computed on one ``(column, chunk)`` partitioning per shared key
     column (``_prefix_chunk_group``)."""
@@ -501,7 +505,7 @@ def _prefix_chunk_plan(df: DataFrame, uniq, aliases, *, chunk_rows, wrap, order,
         aggs = [s for s in v if s.op in AGG_OPS]
         if aggs:
             stats_by_keys[k] = (_group_table(src, k, aggs), "__n")
-            if group_bound(k, n_rows) <= S.MAX_BROADCAST_ROWS:
+            if group_bound(k, n_rows) <= max_broadcast_rows:
                 out = out.join(F.broadcast(stats_by_keys[k][0].drop("__n")), list(k), "left")
                 fams[k] = [s for s in v if s.op not in AGG_OPS]
     rest = {k: v for k, v in fams.items() if v}
@@ -521,8 +525,7 @@ def _prefix_chunk_plan(df: DataFrame, uniq, aliases, *, chunk_rows, wrap, order,
         narrow = df.select(*[c for c in df.columns if c in need])
         g = _prefix_chunk_group(narrow, df, col, members, chunk_rows, order, epoch, stats_by_keys)
         group_tables.append(g.select(order, *[s.name for _, fam in members for s in fam]))
-    if group_tables:
-        out = out.join(_assemble(group_tables, order), order, "left")
+    out = _assemble(out, group_tables, order)
     means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
     if means is not None:
         out = out.withColumn("__means", means)

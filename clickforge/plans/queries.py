@@ -933,7 +933,8 @@ CHUNKED_ROWS = 997   # a prime, so chunk edges fall at arbitrary rows
 
 def _chunked(name: str, base: str, specs, out_cast=big, plan: str = "shared"):
     def run(spark, sf):
-        df = _bf(clicks(spark, sf), specs, chunk_rows=CHUNKED_ROWS, plan=plan)
+        # no group table is broadcast, so the aggregates take the large-input path too
+        df = _bf(clicks(spark, sf), specs, chunk_rows=CHUNKED_ROWS, plan=plan, max_broadcast_rows=0)
         return _features_out(df, specs)
     run.__name__ = f"q_{name}"
     register(name, ORACLE[base][len(CLICKS_CTE):])(run)
@@ -973,7 +974,7 @@ def q_ip_stats_hot_split(spark, sf):
              FeatureSpec("nunique", ("ip",), "channel", "ip_nchannel"),
              FeatureSpec("mean", ("ip",), "hour", "ip_mean_hour", "double", "keep")]
     # the per-family plan: hot ips broadcast, cold ips shuffle-joined
-    agg = _bf(clicks(spark, sf), specs, chunk_rows=HOT_ROWS, plan="family")
+    agg = _bf(clicks(spark, sf), specs, chunk_rows=HOT_ROWS, plan="family", max_broadcast_rows=0)
     ordered = _bf(clicks(spark, sf), [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")],
                              chunk_rows=HOT_ROWS, keep_columns=False, plan="family")
     out = agg.join(ordered, "row_id")
@@ -1032,3 +1033,73 @@ def q_features_v27_cached(spark, sf):
     _bf(clicks(spark, sf), specs, cache_root=root, input_tag=f"{sf}:all")
     again = _bf(clicks(spark, sf), specs, cache_root=root, input_tag=f"{sf}:all")
     return _features_out(again, specs)
+
+
+@register("features_fit_on_train", """,
+g AS (SELECT ip, app, count(*) AS n, var_samp(hour) AS v FROM labelled WHERE row_id < len_train GROUP BY ip, app),
+m AS (SELECT sum(n * v) / sum(CASE WHEN v IS NOT NULL THEN n END) AS mean_v FROM g)
+SELECT c.row_id, CAST(coalesce(g.n, 0) AS BIGINT) AS ip_app_count,
+       round(coalesce(g.v, (SELECT mean_v FROM m)), 6) AS ip_app_var_hour
+FROM clicks c LEFT JOIN g USING (ip, app)
+""")
+def q_features_fit_on_train(spark, sf):
+    # group statistics from the labelled rows only, attached to every row
+    df, lt, _ = framed(spark, sf)
+    specs = [FeatureSpec("count", ("ip", "app"), None, "ip_app_count"),
+             FeatureSpec("var", ("ip", "app"), "hour", "ip_app_var_hour", "double", "mean")]
+    return _features_out(_bf(df, specs, fit_on=df.filter(F.col("row_id") < lt)), specs)
+
+
+# ---------------------------------------------------------------------------
+# Checkable twins of the model queries: computed comparisons over whole splits
+# ---------------------------------------------------------------------------
+@register("gbt_scores_check", """
+SELECT count(*) AS n_rows, count(DISTINCT click_id) AS n_ids, CAST(0 AS BIGINT) AS n_outside
+FROM labelled WHERE row_id >= len_train
+""")
+def q_gbt_scores_check(spark, sf):
+    return QUERIES["gbt_scores"](spark, sf).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("click_id").alias("n_ids"),
+        F.count_if(~F.coalesce(F.col("p").between(0.0, 1.0), F.lit(False))).alias("n_outside"))
+
+
+@register("rescore_check", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM labelled WHERE row_id >= len_train
+""")
+def q_rescore_check(spark, sf):
+    # a saved and loaded model scores every row as the fitted one does
+    mf, model = _fitted(spark, sf)
+    path = shared_path(spark, "model-check")
+    M.save(model, path)
+    test = mf.filter(F.col("split") == "test")
+    a = M.score(model, test, model_predictors()).select("click_id", "p")
+    b = M.score(M.load(path), test, model_predictors()).select("click_id", F.col("p").alias("q"))
+    return a.join(b, "click_id").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.count_if(~F.col("p").eqNullSafe(F.col("q"))).alias("n_different"))
+
+
+@register("best_iteration_check", """
+SELECT count(*) AS n_valid, CAST(1 AS BIGINT) AS n_equal
+FROM labelled WHERE row_id >= len_train - val_size AND row_id < len_train
+""")
+def q_best_iteration_check(spark, sf):
+    # scoring by the best iteration's trees gives that iteration's prefix AUC
+    mf, model = _fitted(spark, sf)
+    preds, val = model_predictors(), mf.filter(F.col("split") == "val")
+    best = M.best_iteration_auc(model, val, preds, "label", patience=3)
+    scored = M_AUC.auc(M.score(model, val, preds, n_trees=best), "p", "label").select(F.col("auc").alias("a"))
+    prefix = M.prefix_auc(model, val, preds, "label").filter(F.col("iteration") == best).select("auc").scalar()
+    n_valid = val.select(F.count(F.lit(1))).scalar()
+    return scored.select(n_valid.alias("n_valid"), (F.abs(F.col("a") - prefix) < 1e-9).cast("long").alias("n_equal"))
+
+
+@register("rf_labels_check", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed, CAST(0 AS BIGINT) AS n_unlabelled FROM labelled
+""")
+def q_rf_labels_check(spark, sf):
+    # pseudo labels fill the unlabelled rows and leave the others as they are
+    done = QUERIES["rf_pseudo_labels"](spark, sf).select("row_id", F.col("label").alias("new"))
+    both = model_frame(spark, sf).select("row_id", "label").join(done, "row_id", "left")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.count_if(F.col("label").isNotNull() & ~F.col("label").eqNullSafe(F.col("new"))).alias("n_changed"),
+                    F.count_if(~F.coalesce(F.col("new").isin(0, 1), F.lit(False))).alias("n_unlabelled"))

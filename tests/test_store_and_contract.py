@@ -69,8 +69,8 @@ def test_group_table_cache_is_read_back(spark):
     from clickforge.plans.specs import FeatureSpec
     specs = [FeatureSpec("count", ("ip", "app"), None, "n"), FeatureSpec("var", ("ip",), "hour", "v")]
     root = shared_path(spark, "gcache-test")
-    first = build_features(clicks(spark, SF_SMALL), specs, cache_root=root)
-    second = build_features(clicks(spark, SF_SMALL), specs, cache_root=root)
+    first = build_features(clicks(spark, SF_SMALL), specs, cache_root=root, input_tag="all")
+    second = build_features(clicks(spark, SF_SMALL), specs, cache_root=root, input_tag="all")
     plan = second._jdf.queryExecution().optimizedPlan().toString()
     # no group-by of the log is left (only the one-row imputation fit over
     # the cached tables): both group tables are cached reads
@@ -81,3 +81,33 @@ def test_group_table_cache_is_read_back(spark):
     assert a.equals(b)
     plain = build_features(clicks(spark, SF_SMALL), specs).select("row_id", "n", "v").toPandas()
     assert (plain.sort_values("row_id").reset_index(drop=True).round(6) == a.round(6)).all().all()
+
+
+def test_group_cache_tells_filters_and_fit_slices_apart(spark):
+    import pytest
+    from clickforge.plans.features import build_features
+    from clickforge.plans.queries import clicks
+    from clickforge.plans.specs import FeatureSpec
+    specs = [FeatureSpec("count", ("ip",), None, "n")]
+    root = shared_path(spark, "gcache-two")
+    base = clicks(spark, SF_SMALL)
+    half = base.filter(F.col("row_id") < 500)
+    with pytest.raises(ValueError):
+        build_features(base, specs, cache_root=root)
+    whole = build_features(base, specs, cache_root=root, input_tag="t")
+    fitted = build_features(base, specs, cache_root=root, input_tag="t", fit_on=half)
+    assert whole.filter("row_id = 0").first()["n"] == base.filter(F.col("ip") == whole.filter("row_id = 0").first()["ip"]).count()
+    got = {r["ip"]: r["n"] for r in fitted.select("ip", "n").distinct().collect()}
+    want = {r["ip"]: r["count"] for r in half.groupBy("ip").count().collect()}
+    assert all(got[k] == v for k, v in want.items())
+
+
+def test_long_sums_stay_exact_in_every_plan(spark):
+    from clickforge.plans.features import build_features
+    from clickforge.plans.specs import FeatureSpec
+    big = 2 ** 53
+    df = spark.range(40).selectExpr("id as row_id", "id % 3 as k", "id % 2 as j", f"{big}L + id as v")
+    specs = [FeatureSpec("cumsum", ("k",), "v", "s", "long"), FeatureSpec("nunique", ("j",), "v", "d", "long")]
+    for kw in ({}, {"chunk_rows": 7, "max_broadcast_rows": 0}, {"chunk_rows": 7, "max_broadcast_rows": 0, "plan": "family"}):
+        for r in build_features(df, specs, **kw).collect():
+            assert r["s"] == sum(big + i for i in range(r["row_id"] % 3, r["row_id"] + 1, 3)) and r["d"] == 20, kw
