@@ -15,8 +15,8 @@ row count n (one metadata-cheap ``count()``), and every plan is exact:
   windows, and per-family chunk tables (mergeable aggregates of the narrow
   base rows) spread back through a union window (``_prefix_chunk_group``);
 * **per-family plan** (``plan="family"``): each family on its own narrow
-  shuffle (``operators.ordered.key_family``), hot / cold split joins, and one
-  grouped assembly by ``row_id``.
+  shuffle (``operators.ordered.key_family``), hot / cold split joins, and
+  joins of the results on ``row_id``.
 
 Null policies run last; the imputation mean of a group feature is taken
 row-weighted from the group table (sum of n * value / sum of n) in one
