@@ -77,15 +77,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     small = F.broadcast if n_bench <= BROADCAST_SHINGLES else (lambda df: df)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), _words(F.col(text_col)).alias("words"))
+    texts = texts.withColumn("n_words", F.size("words"))
     grams = None
     for k in ks or [SHINGLE]:
-        g = texts.select("doc_id", F.lit(k).alias("k"), F.posexplode(F.expr(_shingles("words", k))).alias("pos", "h"))
+        g = texts.select("doc_id", F.lit(k).alias("k"), (F.col("n_words") - k + 1).alias("n_grams"), F.posexplode(F.expr(_shingles("words", k))).alias("pos", "h"))
         grams = g if grams is None else grams.unionByName(g)
     hits = grams.join(small(bench), ["k", "h"])
-    # a window that reaches the similarity shares this many of its m shingles, so its text has as many hits
-    need = F.ceil(F.lit(2 * similarity / (1 + similarity)) * F.col("m") - F.lit(1e-9))
-    windows = (hits.groupBy("doc_id", "item_id", "k", "m", (F.col("pos") - F.col("item_pos")).alias("start")).agg(F.count(F.lit(1)).alias("votes"))
-               .groupBy("doc_id", "item_id", "k", "m").agg(F.sum("votes").alias("n"), F.collect_set("start").alias("starts"))
+    # a window that reaches the similarity shares this many of its shingles, so its text has as many hits; it has m of
+    # them, or all those of a text shorter than the item (the shortest one under a repeated id)
+    need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.least("m", "n_grams") + F.col("m")) - F.lit(1e-9))
+    windows = (hits.groupBy("doc_id", "item_id", "k", "m", (F.col("pos") - F.col("item_pos")).alias("start")).agg(F.count(F.lit(1)).alias("votes"), F.min("n_grams").alias("n_grams"))
+               .groupBy("doc_id", "item_id", "k", "m").agg(F.sum("votes").alias("n"), F.min("n_grams").alias("n_grams"), F.collect_set("start").alias("starts"))
                .where(F.col("n") >= F.least(need, F.lit(2**31 - 1))))
     # rows of one document: its windows, not more than its words
     windows = windows.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "k", "m", "starts")).alias("found"))

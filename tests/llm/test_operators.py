@@ -371,3 +371,31 @@ def test_decontamination(spark, odd, empty):
     assert decontamination.contaminated(empty, bench).count() == 0
     assert decontamination.contaminated(odd, bench.limit(0)).count() == 0
     assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
+
+
+def test_decontamination_of_texts_shorter_than_the_item(spark):
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    items = [(i, [word() for _ in range(n)]) for i, n in enumerate((6, 10, 25, 50, 90))]
+    docs, want = [], set()
+    for _, t in items:
+        for cut in (.6, .7, .75, .78, .8, .82, .84, .86, .9, 1):
+            n = round(cut * len(t))
+            docs += [(len(docs), t[:n]), (len(docs) + 1, t[len(t) - n:]), (len(docs) + 2, [word(), *t[:n]])]
+    for d, w in docs:
+        for item, t in items:
+            grams = lambda x: collections.Counter(tuple(x[j:j + 5]) for j in range(len(x) - 4))
+            a = grams(t)
+            for s in range(max(1, len(w) - len(t) + 1)):
+                b = grams(w[s:s + len(t)])
+                common = sum((a & b).values())
+                if common >= .75 * (sum(a.values()) + sum(b.values()) - common):
+                    want.add((d, item))
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    # a longer text under the same id does not raise the bound
+    repeated = (0, [word() for _ in range(200)])
+    got = decontamination.contaminated(frame(spark, [(i, " ".join(w)) for i, w in [*docs, repeated]]), bench)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+    # the case of 42 words of 50: 38 of 46 shingles
+    one = frame(spark, [(1, " ".join(items[3][1][:42]))])
+    assert [round(r["similarity"], 6) for r in decontamination.contaminated(one, bench).collect()] == [round(38 / 46, 6)]
