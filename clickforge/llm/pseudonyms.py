@@ -79,6 +79,18 @@ def _refill(pattern: str, chars: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in pattern)
 
 
+#: Characters of an IBAN by country.
+IBAN_LENGTH = {c: int(n) for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in countries.split()}
+#: Usual groupings of a card number, the commonest first; inside a longer run of digit groups only these are looked for.
+CARD_FORMS = tuple(re.compile(r"(?<!\d)" + p + r"(?!\d)") for p in (
+    r"\d{4}([ -])\d{4}\1\d{4}\1\d{4}", r"\d{4}([ -])\d{6}\1\d{4,5}", r"\d{13,19}", r"\d{4}([ -])\d{4}\1\d{4}\1\d{4}\1\d{1,3}",
+    r"\d{4}([ -])\d{3}\1\d{3}\1\d{3}"))
+#: The start of the next group of a match.
+NEXT_GROUP = re.compile(r"[^\W_]*[\W_]+(?=[^\W_])")
+
 CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 HEX = ("0123456789abcdef", "0123456789ABCDEF")
 
@@ -98,11 +110,13 @@ class Pseudonyms:
         ("card", r"(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)"),
         ("phone", r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)"),
     )
-    MAYBE = re.compile(r"[0-9@]")
+    #: A text without a digit or @ can still hold a secret of letters only.
+    MAYBE = re.compile(r"[0-9@]|(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)")
 
     def __init__(self, key: bytes):
         self.key = key
         self.nets: dict[tuple[str, int], Feistel] = {}
+        self.kinds = {kind: re.compile(p) for kind, p in self.PATTERNS}
         # the secret's pattern has a named value; others are replaced whole
         self.find = re.compile("|".join(f"(?P<{kind}>{p})" for kind, p in self.PATTERNS))
 
@@ -206,25 +220,65 @@ class Pseudonyms:
         y = f"{self.net(f'phone{code}:{len(d)}', 10**len(d)).permute(int(d), back=back):0{len(d)}d}"
         return code + _refill(rest, y)
 
+    def _spans(self, kind: str, text: str, start: int, end: int, loose: bool):
+        """(start, end) of the values to try for a match, the likeliest first.
+
+        An IBAN's pattern may take words behind it and a card's the numbers
+        around it, so ends at earlier groups and starts at later ones are tried
+        too.  What a pseudonym cannot change (country and length, grouping)
+        comes first, so that the same span is found in the new text.
+        """
+        at = start
+        while kind in ("iban", "card") and at < end:
+            if kind == "card":
+                yield from (m.span() for form in CARD_FORMS if (m := form.match(text, at)))
+            elif m := self.kinds["iban"].match(text, at):
+                yield from ((at, e) for e, n in self._ends(text, *m.span()) if n == IBAN_LENGTH.get(text[at:at + 2]))
+            step = NEXT_GROUP.match(text, at, end)
+            at = step.end() if step else end
+        if kind != "card" or loose:
+            yield start, end
+        if kind == "iban" and text[start:start + 2] not in IBAN_LENGTH:
+            yield from ((start, e) for e, n in self._ends(text, start, end) if n >= 15)
+
+    @staticmethod
+    def _ends(text: str, start: int, end: int) -> list[tuple[int, int]]:
+        """(end, characters without blanks) of the groups, the longest first."""
+        return [(e, e - start - text.count(" ", start, e)) for e in (end, *(i for i in range(end - 1, start, -1) if text[i] == " "))]
+
+    def _first_valid(self, kind: str, text: str, start: int, end: int, loose: bool, back: bool):
+        for a, b in self._spans(kind, text, start, end, loose):
+            new = getattr(self, kind)(text[a:b], back)
+            if new is not None:
+                return new, a, b
+        return None
+
     def replace(self, text: str, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with its values replaced, and (kind, start, end) of each in
-        the new text.  ``back`` inverts."""
+        the new text.  ``back`` inverts; it finds the same spans unless a longer
+        or earlier span that was not valid has become so (of numbers that touch
+        in one run, about one in ten by the check digit)."""
         out, at, spans, length, pos = [], 0, [], 0, 0
+        tried = 0  # unusual groupings of a card are tried once in a run of groups, from its start
         while m := self.find.search(text, pos):
-            kind = m.lastgroup if m.lastgroup in dict(self.PATTERNS) else next(k for k, _ in self.PATTERNS if m.group(k) is not None)
+            kind = m.lastgroup if m.lastgroup in self.kinds else next(k for k in self.kinds if m.group(k) is not None)
             start, end = m.span("value") if kind == "secret" else m.span()
-            new = getattr(self, kind)(text[start:end], back)
-            if new is None:
+            found = self._first_valid(kind, text, start, end, start >= tried, back)
+            if kind == "card":
+                tried = max(tried, end)
+            if found is None:
                 # not valid as this kind: the same place may be another kind
-                new = None
-                for other, pattern in self.PATTERNS[[k for k, _ in self.PATTERNS].index(kind) + 1:]:
-                    o = re.compile(pattern).match(text, m.start())
-                    if o and other != "secret" and (new := getattr(self, other)(o.group(), back)) is not None:
-                        kind, (start, end) = other, o.span()
+                for other in list(self.kinds)[list(self.kinds).index(kind) + 1:]:
+                    o = self.kinds[other].match(text, m.start())
+                    if o and (found := self._first_valid(other, text, *o.span(), o.start() >= tried, back)) is not None:
+                        kind = other
                         break
-            if new is None:
-                pos = m.end() if kind != "secret" else m.start() + 1
+            if found is None:
+                # the next value may start at any group of this one
+                step = NEXT_GROUP.match(text, m.start(), m.end())
+                pos = step.end() if step else m.end()
                 continue
+            new, start, end = found
             out += [text[at:start], new]
             length += start - at
             spans.append((kind, length, length + len(new)))

@@ -399,3 +399,26 @@ def test_decontamination_of_texts_shorter_than_the_item(spark):
     # the case of 42 words of 50: 38 of 46 shingles
     one = frame(spark, [(1, " ".join(items[3][1][:42]))])
     assert [round(r["similarity"], 6) for r in decontamination.contaminated(one, bench).collect()] == [round(38 / 46, 6)]
+
+
+def test_pseudonyms_inside_longer_matches(spark):
+    tool = pseudonyms.Pseudonyms(b"k")
+    card, iban = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+    cases = [(f"pay {iban} EUR 500", "iban", iban), (f"{iban} PAID NOW", "iban", iban), ("AT61 1904 3002 3457 3201 100 is it", "iban", "AT61 1904 3002 3457 3201"),
+             ("to BE68 5390 0754 7034 EUR", "iban", "BE68 5390 0754 7034"), (f"AB12 {iban}", "iban", iban), (f"invoice 12 {card}", "card", card), (f"{card} 123", "card", card),
+             (f"1234 {card} 12/27", "card", card), (f"7 7 7 {card} 9", "card", card), ("on 1999 3782 822463 10005", "card", "3782 822463 10005"),
+             ("password=correcthorsebatterystaple", "secret", "correcthorsebatterystaple"), ("API-KEY: abcdefghijklmnopqrst", "secret", "abcdefghijklmnopqrst")]
+    alone = {v: tool.replace(v)[0] for _, k, v in cases if k != "secret"}
+    for text, kind, value in cases:
+        assert tool.MAYBE.search(text), text
+        new, found = tool.replace(text)
+        assert [k for k, _, _ in found] == [kind], (text, new)
+        at = text.index(value)
+        assert found[0][1:] == (at, at + len(value)) and new[:at] + value + new[at + len(value):] == text and new != text, (text, new)
+        assert kind == "secret" or new[at:at + len(value)] == alone[value]  # as the value alone
+        assert tool.replace(new, back=True)[0] == text
+    # numbers that are no values stay, also in a long run
+    for text in ("100 200 300 400 500 600 700 800 900", "ES91 2100 0418 4502 0005 1333 EUR 500", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15", "999.1.1.1 and 31/31/2020"):
+        assert tool.replace(text) == (text, []), text
+    rows = pseudonyms.pseudonymise(frame(spark, [(i, t) for i, (t, _, _) in enumerate(cases)]), "k").select("pii_count").collect()
+    assert [r[0] for r in rows] == [1] * len(cases)
