@@ -42,20 +42,37 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*docs.columns)
 
 
+def with_key(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with a key of the row's doc_id and text as __key, and a written
+    table of the keys with their doc_ids.  Only rows that are copies share a
+    key: the digests show whether two others do, and then all keys are drawn
+    anew."""
+    for salt in range(64):
+        text = F.col("text").cast("string")
+        keyed = docs.withColumn("__key", F.xxhash64(F.lit(salt), F.col("doc_id").isNull(), F.col("doc_id"), text.isNull(), text))
+        keys = keep_written(keyed.select("__key", "doc_id", F.unhex(F.sha2(text, 256)).alias("sha")), "stage-keys")
+        row = F.struct("doc_id", "sha")
+        if keys.groupBy("__key").agg(F.min(row).alias("low"), F.max(row).alias("high")).where(~F.col("low").eqNullSafe(F.col("high"))).isEmpty():
+            return keyed, keys
+    raise RuntimeError("no salt gives different documents different keys")
+
+
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near
-    duplicates; texts without words link with nothing and stay."""
-    joined = ngram_join.ngram_jaccard_join(docs)
-    gone = joined.where((F.col("doc_id") != F.col("component_id")) | (F.col("doc_id").isNull() & F.col("component_id").isNotNull()))
-    gone = gone.select(F.col("doc_id").alias("__id"), F.lit(True).alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left").where("__gone is null").select(*docs.columns)
+    duplicates, one without an id only if none has one; texts without words
+    link with nothing and stay."""
+    keyed, keys = with_key(docs)
+    joined = ngram_join.ngram_jaccard_join(keyed, id_col="__key").select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__key").alias("key")))
+    kept = joined.join(keys.select("__key", "doc_id").distinct(), "__key").groupBy("component_id").agg(first.alias("first")).select(F.col("first.key").alias("__key"))
+    return keyed.join(kept, "__key", "left_semi").select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of the benchmark."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.select(F.col("doc_id").alias("__id"), F.lit(True).alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left").where("__gone is null").select(*docs.columns)
+    keyed, _ = with_key(docs)
+    found = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col="__key")
+    return keyed.join(found.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,3 +31,25 @@ def test_stages_apply_their_decisions(spark, tmp_path):
     assert ids[3] == sorted({*range(60), 101} - {1})
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(r["doc_id"] for r in packed.select("doc_id").distinct().collect()) == ids[3]
+
+
+def test_stages_decide_by_row_where_ids_are_null_or_repeated(spark, tmp_path):
+    rnd = random.Random(7)
+    text = lambda n=60: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    near = lambda t: " ".join([*t.split()[:-1], "changed"])
+    a, b, item = text(), text(), text(30)
+    leak = text() + " " + item + " " + text()
+    clean = [(None, text()), (None, text()), (5, text()), (5, text()), (None, None), (None, "")]
+    pairs = [(None, near(a)), (1, a), (2, near(near(a) + " x")), (None, b), (None, near(b)), (5, near(text() + " y"))]
+    rows = [*clean, *pairs, (None, leak), (5, leak + " too")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    key = lambda rs: sorted(((r["doc_id"], r["text"]) for r in rs), key=str)
+    out = corpus_pipeline.near_stage(spark, docs, str(tmp_path))
+    got = key(out.collect())
+    assert out.columns == docs.columns
+    assert sum(t in (b, near(b)) for _, t in got) == 1  # one of a group without ids
+    # of the two near equal leaks the one with an id stays
+    assert [r for r in got if r[1] not in (b, near(b))] == sorted([*clean, (1, a), pairs[-1], (5, leak + " too")], key=str)
+    out = corpus_pipeline.benchmark_stage(spark, docs, str(tmp_path))
+    assert key(out.collect()) == sorted([*clean, *pairs], key=str) and out.columns == docs.columns
