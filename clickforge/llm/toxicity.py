@@ -26,7 +26,10 @@ from .language_id import _letters, code_points
 
 #: Bounds of the labelled sample that lexicon and weights are fitted on.
 MAX_TOXIC, MAX_CLEAN = 4_000, 8_000
-MAX_TERMS = 96
+#: Labelled toxic rows that a term must occur in.
+MIN_SUPPORT = 6
+#: Terms of one automaton; a longer lexicon takes several.
+PART_TERMS = 96
 MAX_INNOCENT = 20_000
 MIN_STEM, MAX_STEM = 3, 14
 WINDOW = 6
@@ -178,20 +181,30 @@ class Scorer:
 
     def __init__(self, terms: list[tuple[str, bool]], innocent: frozenset = frozenset(), weights: np.ndarray = PRIOR):
         self.terms, self.innocent, self.weights = terms, innocent, weights
-        self.automaton = Automaton(terms)
-        self.sym = self.automaton.symbols()
+        self.parts = []
+        for i in range(0, len(terms), PART_TERMS):
+            a = Automaton(terms[i:i + PART_TERMS])
+            accepts = np.full((len(a.table), 2), (-1, 99), np.int32)  # per state: (term, edits)
+            for state, (term, e) in a.accepts.items():
+                accepts[state] = (i + term, e)
+            self.parts.append((a, a.symbols(), accepts))
 
     def matches(self, data: np.ndarray, off: np.ndarray):
         """Per text the list of (surface, term, edits, quoted, addressed, char start, char end)."""
         points, bounds = code_points(data, off)
         st, en, ts, te, first = word_spans(points, bounds)
-        state = self.automaton.run(self.sym[points], ts, te)
-        hits = np.flatnonzero(state)
+        # least edits, then the first term, over all parts
+        best = np.full((len(ts), 2), (-1, 99), np.int32)
+        for automaton, sym, accepts in self.parts:
+            got = accepts[automaton.run(sym[points], ts, te)]
+            better = got[:, 1] < best[:, 1]
+            best[better] = got[better]
+        hits = np.flatnonzero(best[:, 0] >= 0)
         out: list[list] = [[] for _ in range(len(off) - 1)]
         owner = np.searchsorted(first, hits, "right") - 1
         text = lambda i, j: points[i:j].astype("<u4").tobytes().decode("utf-32-le")
         for h, d in zip(hits.tolist(), owner.tolist(), strict=True):
-            term, e = self.automaton.accepts[int(state[h])]
+            term, e = best[h].tolist()
             surface = text(ts[h], te[h]).lower()
             if surface in self.innocent:
                 continue
@@ -250,24 +263,27 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
     A, B = total["a"] or 0, total["b"] or 0
     if not A:
         return []
-    need = max(6, A // 100)
     df = (sample.select("text", "toxic").mapInArrow(prefixes, "p string, a long, b long").groupBy("p").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-          .where((F.col("a") >= need) & (F.col("a") * (B + 1) >= 25 * F.col("b") * A)))
-    # bounded: at most each of MAX_TERMS terms with its prefixes and extensions
-    rows = df.orderBy(F.desc("a"), "p").limit(MAX_TERMS * 64).collect()
+          .where((F.col("a") >= MIN_SUPPORT) & (F.col("a") * (B + 1) >= 25 * F.col("b") * A)))
+    # bounded by the words of the sample's toxic rows
+    rows = df.orderBy(F.desc("a"), "p").collect()
     support = {r["p"]: (r["a"], r["b"]) for r in rows}
     stems = {p: ab for p, ab in support.items() if not p.endswith("$")}
+    letters: dict[str, set[str]] = {}
+    for s in stems:
+        for n in range(len(s)):
+            letters.setdefault(s[:n], set()).add(s[n])
     longest_same: dict[str, str] = {}
     for p in sorted(stems, key=len, reverse=True):
-        longer = [q for q in (p + c for c in {s[len(p)] for s in stems if len(s) > len(p) and s.startswith(p)}) if stems.get(q, (0,))[0] >= 0.9 * stems[p][0]]
+        longer = [q for q in (p + c for c in letters.get(p, ())) if stems.get(q, (0,))[0] >= 0.9 * stems[p][0]]
         longest_same[p] = longest_same[longer[0]] if longer else p
     closed = sorted(set(longest_same.values()), key=lambda p: (-(stems[p][0] / A) / (stems[p][1] / max(B, 1) + 1.0 / (B + 1)), -stems[p][0], p))
-    chosen: list[str] = []
+    chosen: dict[str, None] = {}
     for p in sorted(closed, key=lambda p: (-stems[p][0], len(p), p)):
-        if not any(p.startswith(q) for q in chosen):
-            chosen.append(p)
+        if not any(p[:n] in chosen for n in range(1, len(p) + 1)):
+            chosen[p] = None
     terms = []
-    for p in chosen[:MAX_TERMS]:
+    for p in chosen:
         whole = support.get(p + "$", (0, 0))[0]
         terms.append((p, whole < 0.9 * stems[p][0]))
     return terms

@@ -422,3 +422,28 @@ def test_pseudonyms_inside_longer_matches(spark):
         assert tool.replace(text) == (text, []), text
     rows = pseudonyms.pseudonymise(frame(spark, [(i, t) for i, (t, _, _) in enumerate(cases)]), "k").select("pii_count").collect()
     assert [r[0] for r in rows] == [1] * len(cases)
+
+
+def test_toxicity_keeps_all_terms(spark):
+    rnd = random.Random(11)
+    word = lambda a, n: "".join(rnd.choice(a) for _ in range(n))
+    terms, filler = [word("klmnopqrstuv", 7) for _ in range(200)], [word("abcdefgh", rnd.randint(2, 6)) for _ in range(150)]
+    rows = [(i, [rnd.choice(filler) for _ in range(25)]) for i in range(3600)]
+    for i, w in rows[:1600]:
+        w[rnd.randrange(25)] = terms[i % 200]  # each in one of 200 toxic rows
+    scorer = toxicity.learn(frame(spark, [(i, " ".join(w)) for i, w in rows]), spark.createDataFrame([(i, int(i < 1600)) for i in range(3600)], "doc_id long, toxic int"))
+    assert all(any(t.startswith(p) for p, _ in scorer.terms) for t in terms)
+    got = toxicity.score(frame(spark, [(i, f"so {t} here") for i, t in enumerate(terms)]), scorer).collect()
+    assert all(r["score"] >= .5 for r in got)
+
+
+def test_parts_of_a_lexicon_match_like_one_automaton(monkeypatch):
+    rnd = random.Random(12)
+    terms = list({"".join(rnd.choice("abcd") for _ in range(rnd.randint(3, 10))): None for _ in range(30)})
+    terms = [(t, i % 3 == 0) for i, t in enumerate(terms)]
+    text = " ".join("".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 11))) for _ in range(3000)).encode()
+    data, off = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    one = toxicity.Scorer(terms).matches(data, off)
+    monkeypatch.setattr(toxicity, "PART_TERMS", 4)
+    assert toxicity.Scorer(terms).matches(data, off) == one and len(one[0]) > 20
+    assert toxicity.Scorer([]).matches(data, off) == [[]]
