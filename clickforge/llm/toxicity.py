@@ -30,7 +30,6 @@ MAX_TOXIC, MAX_CLEAN = 4_000, 8_000
 MIN_SUPPORT = 6
 #: Terms of one automaton; a longer lexicon takes several.
 PART_TERMS = 96
-MAX_INNOCENT = 20_000
 MIN_STEM, MAX_STEM = 3, 14
 WINDOW = 6
 # Cues of quotation or report, and of address, in the window of a match.
@@ -247,23 +246,29 @@ _WORDS = re.compile(r"[^\W\d_]{2,}")
 
 
 def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
-    """Terms from rows (text, toxic)."""
+    """Terms from rows (text, toxic).  Near copies are one witness: rows whose
+    least hash of five-word shingles is the same count every prefix of any of
+    them once, so no row is left out and none is counted twice."""
     def prefixes(batches):
         for b in batches:
             counts: dict[str, list[int]] = {}
-            for t, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = set(_WORDS.findall((t or "").lower()))
+            for texts, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                words = {w for t in texts for w in _WORDS.findall((t or "").lower())}
                 seen = {w[:n] for w in words for n in range(MIN_STEM, min(len(w), MAX_STEM) + 1)} | {w + "$" for w in words}
                 for p in seen:
                     counts.setdefault(p, [0, 0])[int(toxic)] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()),
                                               pa.array([c[0] for c in counts.values()], pa.int64())], ["p", "a", "b"])
 
-    total = sample.agg(F.sum(F.col("toxic")).alias("a"), F.sum(1 - F.col("toxic")).alias("b")).first()
+    # the sample's bounds bound the groups too
+    words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+")
+    shingles = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 5, F.lit(0))), lambda i: F.xxhash64(F.slice(words, i + 1, 5)))
+    groups = sample.groupBy(F.array_min(shingles).alias("key"), "toxic").agg(F.collect_list("text").alias("texts"))
+    total = groups.agg(F.sum(F.col("toxic")).alias("a"), F.sum(1 - F.col("toxic")).alias("b")).first()
     A, B = total["a"] or 0, total["b"] or 0
     if not A:
         return []
-    df = (sample.select("text", "toxic").mapInArrow(prefixes, "p string, a long, b long").groupBy("p").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    df = (groups.select("texts", "toxic").mapInArrow(prefixes, "p string, a long, b long").groupBy("p").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
           .where((F.col("a") >= MIN_SUPPORT) & (F.col("a") * (B + 1) >= 25 * F.col("b") * A)))
     # bounded by the words of the sample's toxic rows
     rows = df.orderBy(F.desc("a"), "p").collect()
@@ -306,9 +311,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = F.broadcast(marks.where(coin < share))
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .join(sample, "doc_id").select("doc_id", "text", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0).alias("half")))
-    # copies would count as independent evidence: of texts with the same least hash of a long word, one stays
-    key = F.expr("array_min(transform(filter(split(lower(text), '\\\\s+'), w -> length(w) >= 8), w -> xxhash64(w)))")
-    rows = (rows.groupBy(F.coalesce(key, F.xxhash64(F.coalesce("text", F.lit("")))).alias("key"), "toxic").agg(F.min(F.struct("doc_id", "text", "half")).alias("r"))
+    # true copies would count as independent evidence: of texts equal but for case and white space one stays
+    norm = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+", " ")
+    rows = (rows.groupBy(F.sha2(F.trim(norm), 256).alias("key"), "toxic").agg(F.min(F.struct("doc_id", "text", "half")).alias("r"))
             .select("r.doc_id", "r.text", "toxic", "r.half"))
     rows = keep_written(rows, "toxicity-sample")
     terms = learn_lexicon(rows)
@@ -330,8 +335,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     toxic = F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0))
 
     def innocent(frame: DataFrame) -> frozenset:
+        # bounded by the words of the sample
         found = (frame.select("doc_id", "text", "toxic").mapInArrow(surfaces, "surface string, toxic long, n long").groupBy("surface")
-                 .agg(clean.alias("c"), toxic.alias("t")).where("c > 0 and c >= t").orderBy(F.desc("c"), "surface").limit(MAX_INNOCENT))
+                 .agg(clean.alias("c"), toxic.alias("t")).where("c > 0 and c >= t"))
         return frozenset(r["surface"] for r in found.select("surface").collect())
 
     # surfaces learnt on one half, weights on the other, so unseen surfaces weigh what they should
