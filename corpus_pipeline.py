@@ -7,11 +7,17 @@ Parquet and read again as the next one's docs.
 
 Rows whose doc_id is null are documents like others.  Rows repeated with the
 same doc_id and text count as copies of one document: exact dedup keeps one.
+A corpus without a single language label has nothing to learn languages from:
+the language stage then keeps every row.  Null and empty texts have no letter and
+go with the language stage, or else stay as documents that link with nothing.
+Empty tables pass through all stages; texts of any length are whole; more
+columns of any name stay as they are.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,37 +29,48 @@ from clickforge.llm.common import keep_written, table
 LEAST_LANGUAGE_SCORE = 0.3
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``docs`` has, whatever its case."""
+    taken = {c.lower() for c in docs.columns}
+    return [next(x for i in itertools.count() if (x := f"__{n}{i or ''}") not in taken) for n in names]
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps texts that the language identifier recognises."""
+    """Keeps texts that the language identifier recognises; all of them where no
+    row has a language to learn from."""
     model = language_id.fit(docs)
-    out = language_id.with_language(docs, model, lang_out="__lang", score_out="__score")
-    known = (F.col("__lang") != language_id.UNDETERMINED) & ((F.col("__score") >= LEAST_LANGUAGE_SCORE) | F.lit(model is None))
-    return out.where(known).select(*docs.columns)
+    if model is None:
+        return docs
+    lang, score = fresh(docs, "lang", "score")
+    out = language_id.with_language(docs, model, lang_out=lang, score_out=score)
+    return out.where((F.col(lang) != language_id.UNDETERMINED) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of equal texts."""
-    kept = exact_dedup.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    key, sha, kept_id, kept_sha, place = fresh(docs, "id", "sha", "kept_id", "kept_sha", "n")
+    kept = exact_dedup.exact_dedup(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha)).distinct()
     # a row is known by its id and its normalised text; of repeated rows any one stays
     norm = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", ""), 256)
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")))
-    rows = rows.where(norm == F.col("__sha"))
-    order = Window.partitionBy("__id", "__sha").orderBy(F.length("text").desc(), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])
-    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*docs.columns)
+    rows = docs.withColumn(sha, norm).withColumn(key, F.col("doc_id"))
+    rows = rows.join(kept, F.col(key).eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha)))
+    order = Window.partitionBy(key, sha).orderBy(F.length("text").desc(), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])
+    return rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).select(*docs.columns)
 
 
-def with_key(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with a key of the row's doc_id and text as __key, and a written
-    table of the keys with their doc_ids.  Only rows that are copies share a
+def with_key(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """(``docs`` with a key of the row's doc_id and text, a written table of the
+    keys with their doc_ids, the key's name).  Only rows that are copies share a
     key: the digests show whether two others do, and then all keys are drawn
     anew."""
+    (key,) = fresh(docs, "key")
     for salt in range(64):
         text = F.col("text").cast("string")
-        keyed = docs.withColumn("__key", F.xxhash64(F.lit(salt), F.col("doc_id").isNull(), F.col("doc_id"), text.isNull(), text))
-        keys = keep_written(keyed.select("__key", "doc_id", F.unhex(F.sha2(text, 256)).alias("sha")), "stage-keys")
+        keyed = docs.withColumn(key, F.xxhash64(F.lit(salt), F.col("doc_id").isNull(), F.col("doc_id"), text.isNull(), text))
+        keys = keep_written(keyed.select(F.col(key).alias("key"), "doc_id", F.unhex(F.sha2(text, 256)).alias("sha")), "stage-keys")
         row = F.struct("doc_id", "sha")
-        if keys.groupBy("__key").agg(F.min(row).alias("low"), F.max(row).alias("high")).where(~F.col("low").eqNullSafe(F.col("high"))).isEmpty():
-            return keyed, keys
+        if keys.groupBy("key").agg(F.min(row).alias("low"), F.max(row).alias("high")).where(~F.col("low").eqNullSafe(F.col("high"))).isEmpty():
+            return keyed, keys, key
     raise RuntimeError("no salt gives different documents different keys")
 
 
@@ -61,18 +78,18 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near
     duplicates, one without an id only if none has one; texts without words
     link with nothing and stay."""
-    keyed, keys = with_key(docs)
-    joined = ngram_join.ngram_jaccard_join(keyed, id_col="__key").select(F.col("doc_id").alias("__key"), "component_id").distinct()
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__key").alias("key")))
-    kept = joined.join(keys.select("__key", "doc_id").distinct(), "__key").groupBy("component_id").agg(first.alias("first")).select(F.col("first.key").alias("__key"))
-    return keyed.join(kept, "__key", "left_semi").select(*docs.columns)
+    keyed, keys, key = with_key(docs)
+    joined = ngram_join.ngram_jaccard_join(keyed.select(key, "text"), id_col=key).select(F.col("doc_id").alias("key"), "component_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("key").alias("key")))
+    kept = joined.join(keys.select("key", "doc_id").distinct(), "key").groupBy("component_id").agg(first.alias("first")).select(F.col("first.key").alias(key))
+    return keyed.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of the benchmark."""
-    keyed, _ = with_key(docs)
-    found = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col="__key")
-    return keyed.join(found.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*docs.columns)
+    keyed, _, key = with_key(docs)
+    found = decontamination.contaminated(keyed.select(key, "text"), table(spark, sf_dir, "benchmark"), id_col=key)
+    return keyed.join(found.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
