@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from clickforge.llm.common import keep_written
 
 
 def test_stages_apply_their_decisions(spark, tmp_path):
@@ -53,3 +56,42 @@ def test_stages_decide_by_row_where_ids_are_null_or_repeated(spark, tmp_path):
     assert [r for r in got if r[1] not in (b, near(b))] == sorted([*clean, (1, a), pairs[-1], (5, leak + " too")], key=str)
     out = corpus_pipeline.benchmark_stage(spark, docs, str(tmp_path))
     assert key(out.collect()) == sorted([*clean, *pairs], key=str) and out.columns == docs.columns
+
+
+def odd_docs(spark, rows):
+    df = spark.createDataFrame([(i, t, c, "s", len(t or "")) for i, t, c in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return df.withColumns({c: F.lit("x") for c in ("__key", "__id", "__sha", "__n", "__lang", "__score", "key", "sha", "component_id", "fp")})
+
+
+def test_a_corpus_without_labels_is_kept(spark, tmp_path):
+    rnd = random.Random(8)
+    rows = [(i, " ".join(f"w{rnd.randrange(10**6)}" for _ in range(40)), None) for i in range(30)]
+    docs = odd_docs(spark, rows)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, str(tmp_path)).collect()) == list(range(30))
+
+
+def test_clashing_columns_long_texts_and_empty_tables(spark, tmp_path):
+    rnd = random.Random(9)
+    lang = {"en": "the of and that with ing".split(), "de": "der die und ung keit über".split()}
+    text = lambda c, n=60: " ".join(rnd.choice(lang[c]) + rnd.choice(lang[c]) + str(rnd.randrange(100)) for _ in range(n))
+    item = text("en", 30)
+    long = text("en", 30_000)
+    rows = [(i, text(c), c) for i in range(40) for c in (("en", "de")[i % 2],)]
+    rows += [(100, long, "en"), (101, long + " tail", "en"), (102, text("en", 20_000) + " " + item + " " + text("en", 50), "en"), (103, rows[5][1] + "\n", "de"), (None, rows[6][1], "en")]
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = odd_docs(spark, rows)
+    for source, want in ((docs, sorted([*range(40), 100, 103], key=str)), (docs.limit(0), [])):
+        out = source
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = keep_written(stage(spark, out, str(tmp_path)), "odd-stage")
+            assert out.columns == docs.columns, name
+        if want:
+            want.remove(5)  # 103 has one more code point
+        assert sorted((r["doc_id"] for r in out.collect()), key=str) == sorted(want, key=str)
+        assert (corpus_pipeline.packing_stage(spark, out, str(tmp_path)).count() > 0) == bool(want)
+
+
+def test_exact_stage_joins_on_the_text_too(spark):
+    docs = odd_docs(spark, [(None, f"text {i % 50}", "en") for i in range(300)])
+    out = corpus_pipeline.exact_stage(spark, docs, "")
+    assert sorted(r["text"] for r in out.collect()) == sorted(f"text {i}" for i in range(50))
