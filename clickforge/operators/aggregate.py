@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickforge import schema as S
-
 
 def agg_expr(op: str, column: str | None) -> Column:
     """Aggregate expression for one op (the group-level value)."""
@@ -50,21 +48,35 @@ def group_stats(df: DataFrame, keys, named_ops) -> DataFrame:
     return df.groupBy(*keys).agg(*[agg_expr(op, col).alias(name) for name, op, col in named_ops])
 
 
-def attach_group_stats(df: DataFrame, keys, named_ops, broadcast_ok: bool | None = None) -> DataFrame:
-    """Group aggregate joined back to every row (left join, row count kept).
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
-    The aggregate side is broadcast only when its key domain proves it
-    small (``schema.domain_rows``); otherwise it is a shuffle join that
-    AQE may still turn into a broadcast once it has measured the real size,
-    and whose skewed partitions AQE splits.
-    """
-    stats = group_stats(df, keys, named_ops)
-    if broadcast_ok is None:
-        bound = S.domain_rows(keys)
-        broadcast_ok = bound is not None and bound <= S.MAX_BROADCAST_ROWS
-    if broadcast_ok:
-        stats = F.broadcast(stats)
-    return df.join(stats, list(keys), "left")
+
+def distinct_counts(df: DataFrame, keys, columns: dict[str, str]) -> DataFrame:
+    """A-NUNIQ by bitmaps: per key the exact number of distinct values of each
+    column ({name: column}) of whole numbers.
+
+    Values are bits of 32,768-bit maps, one map per key and block of values:
+    maps merge in partial aggregation, so a key with a third of the log moves
+    as one map per block and task, and no row is expanded per column.  Meant
+    for few keys; a map has 4 KB."""
+    out = None
+    for name, column in columns.items():
+        c = F.col(column).cast("long")
+        maps = (df.filter(F.col(column).isNotNull()).groupBy(*keys, F.bitmap_bucket_number(c).alias("__block"))
+                .agg(F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias("__bits")))
+        counts = maps.groupBy(*keys).agg(F.sum(F.bitmap_count("__bits")).alias(name))
+        out = counts if out is None else out.join(counts, list(keys), "full")
+    return out.fillna(0, list(columns))
+
+
+def hot_group_stats(df: DataFrame, keys, named_ops) -> DataFrame:
+    """``group_stats`` of few keys with many rows each: distinct counts of whole
+    numbers by bitmaps, everything else in one pass."""
+    kinds = dict(df.dtypes)
+    bits = {name: col for name, op, col in named_ops if op == "nunique" and kinds[col] in _WHOLE}
+    plain = [x for x in named_ops if x[0] not in bits]
+    out = group_stats(df, keys, plain) if plain else df.select(*keys).distinct()
+    return out.join(distinct_counts(df, keys, bits), list(keys), "left").fillna(0, list(bits)) if bits else out
 
 
 # ---------------------------------------------------------------------------

@@ -1,14 +1,9 @@
-"""Ordered (per-key, row-ordered) features, one key family at a time.
-
-This module holds the building blocks of the per-family plan
-(``build_features(..., plan="family")``) and the single-feature helpers
-(``cumcount``, ``next_gap``, ...); the default large-input plan shares one
-partitioning across families (``plans.features._prefix_chunk_group``) and
-reuses ``_feature_value`` from here.
+"""Ordered (per-key, row-ordered) features of hot keys, and the joins that
+bring group tables back to rows.
 
 A plain ``Window.partitionBy(keys).orderBy(row_id)`` puts every row of a key
 into one task.  Click logs have keys (gateway ips, popular devices) that can
-hold a third of all rows, so the family plan below never does that:
+hold a third of all rows, so hot keys go another way:
 
 1. rows are cut into *chunks* of ``chunk_rows`` consecutive row ids and
    hash-partitioned by ``(keys, chunk)``: no group is larger than
@@ -20,10 +15,9 @@ hold a third of all rows, so the family plan below never does that:
    chunk table per key turns them into offsets, the next chunk's first epoch
    and the previous chunk's last epoch.  A key holding a third of n rows has
    n / (3 * chunk_rows) chunk rows, so this window stays small;
-4. group aggregates (count, distinct count, mean, variance, skew) are
-   computed with partial aggregation and joined to the chunk table on the
-   key, then the chunk table is joined to the rows on ``(keys, chunk)``,
-   which reuses the rows' partitioning and is free of key skew.
+4. group aggregates are joined to the chunk table on the key, then the chunk
+   table is joined to the rows on ``(keys, chunk)``, which reuses the rows'
+   partitioning and is free of key skew.
 
 The result is ``row_id`` plus the family's feature columns.
 """
@@ -34,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickforge import schema as S
-from clickforge.operators.aggregate import agg_expr
 
 DEFAULT_CHUNK_ROWS = 1 << 22
 CHUNK = "__chunk"
@@ -53,44 +46,18 @@ def _all_keys_present(keys) -> Column:
     return cond
 
 
-def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int = DEFAULT_CHUNK_ROWS,
-               epoch: str = "epoch", order: str = "row_id", stats: DataFrame | None = None,
-               group_count: str | None = None, n_rows: int | None = None,
-               hot_rows: int | None = None) -> DataFrame:
-    """Compute one key family.
+def key_family(rows: DataFrame, keys, aggregates, ordered, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+               epoch: str = "epoch", order: str = "row_id", stats: DataFrame | None = None) -> DataFrame:
+    """Ordered features of one key family through chunks.
 
-    ``aggregates``: list of (name, op, column) group aggregates.
     ``ordered``:    list of (name, op, column, options-dict) with op in
                     cumcount | next | prev | cumsum | expmean.
-    ``stats``:      optional precomputed group table (keys + aggregate
-                    names [+ ``group_count``]); built from ``rows`` if absent.
-    ``hot_rows``:   group size above which a key is *hot* in the hot / cold
-                    split join; default ``max(chunk_rows, n_rows / MAX_HOT_KEYS)``
-                    so at most ``MAX_HOT_KEYS`` group rows are broadcast.
-    ``n_rows``:     row count of ``rows`` if known.  When the whole input
-                    has at most ``chunk_rows`` rows no group can be larger,
-                    so one plain window / join pass is exact and just as
-                    skew-safe; the chunked plan is used above that.
+    ``aggregates``: names of the columns of ``stats``, a table of one row per
+                    key, that go along.
     Returns ``order`` + every feature name, one row per row with all keys
     present (rows with a null key form no group and are left out).
     """
     keys = list(keys)
-    ordered = list(ordered)
-    aggregates = list(aggregates)
-    if stats is None and aggregates:
-        group_count = "__gn"
-        keyed = rows.filter(_all_keys_present(keys))
-        stats = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(group_count),
-                                         *[agg_expr(op, c).alias(n) for n, op, c in aggregates])
-    small = n_rows is not None and n_rows <= chunk_rows
-    if hot_rows is None:
-        hot_rows = max(chunk_rows, -(-(n_rows or 0) // S.MAX_HOT_KEYS))
-    if not ordered:
-        return _attach_stats(rows, keys, stats, [n for n, _, _ in aggregates],
-                             None if small else group_count, hot_rows, order)
-    if small:
-        return _plain_family(rows, keys, aggregates, ordered, epoch, order, stats)
-
     need_epoch = any(op in ("next", "prev") for _, op, _, _ in ordered)
     sum_cols = sorted({c for _, op, c, _ in ordered if op in ("cumsum", "expmean")})
     cols = [order, *keys] + ([epoch] if need_epoch else []) + [c for c in sum_cols if c not in keys]
@@ -139,40 +106,25 @@ def key_family(rows: DataFrame, keys, aggregates=(), ordered=(), chunk_rows: int
 
     # -- 4. group aggregates joined to the chunk table on the key ------------
     if aggregates:
-        ct = ct.join(stats.select(*keys, *[n for n, _, _ in aggregates]), keys, "left")
+        ct = ct.join(stats.select(*keys, *aggregates), keys, "left")
 
     # Chunk table back to rows on (keys, chunk): no key skew on this join.
     joined = local.join(ct, keys + [CHUNK], "inner")
 
     out = [F.col(order)]
     for name, op, col, opts in ordered:
-        if op == "cumcount":
-            v = F.coalesce(F.col("__off_n"), F.lit(0)) + F.col("__rn") - 1
-        elif op == "next":
-            nxt = F.coalesce(F.col("__lead"), F.col("__next_first"))
-            fill = opts.get("fill", "sentinel")
-            v = (F.coalesce(nxt, F.lit(S.FILL_NEXT)) if fill == "sentinel" else nxt) - F.col(epoch)
-        elif op == "prev":
-            prv = F.coalesce(F.col("__lag"), F.col("__prev_last"))
-            first = opts.get("first", "null")
-            if first == "zero":
-                prv = F.coalesce(prv, F.lit(0))
-            elif first == "sentinel":
-                prv = F.coalesce(prv, F.lit(S.FILL_NEXT))
-            v = F.col(epoch) - prv
-        elif op == "cumsum":
+        v = _feature_value(
+            name, op, col, opts, epoch,
+            nxt=F.coalesce(F.col("__lead"), F.col("__next_first")) if op == "next" else None,
+            prv=F.coalesce(F.col("__lag"), F.col("__prev_last")) if op == "prev" else None,
+            cnt_before=F.coalesce(F.col("__off_n"), F.lit(0)) + F.col("__rn") - 1 if op == "cumcount" else None,
             # like pandas: null where the value itself is null
-            v = F.when(F.col(f"__v_{col}").isNotNull(), _nsum(F.col(f"__off_sum_{col}"), F.col(f"__lsum_{col}")))
-        elif op == "expmean":
-            s = _nsum(F.col(f"__off_sum_{col}"), F.col(f"__lsumb_{col}"))
-            n = F.coalesce(F.col(f"__off_cnt_{col}"), F.lit(0)) + F.col(f"__lcntb_{col}")
-            v = F.try_divide(s.cast("double"), n.cast("double"))
-        else:
-            raise ValueError(op)
+            sum_upto=F.when(F.col(f"__v_{col}").isNotNull(), _nsum(F.col(f"__off_sum_{col}"), F.col(f"__lsum_{col}")))
+            if op == "cumsum" else None,
+            sum_before=_nsum(F.col(f"__off_sum_{col}"), F.col(f"__lsumb_{col}")) if op == "expmean" else None,
+            n_before=F.coalesce(F.col(f"__off_cnt_{col}"), F.lit(0)) + F.col(f"__lcntb_{col}") if op == "expmean" else None)
         out.append(v.alias(name))
-    for name, _, _ in aggregates:
-        out.append(F.col(name))
-    return joined.select(*out)
+    return joined.select(*out, *aggregates)
 
 
 def _feature_value(name, op, col, opts, epoch, nxt, prv, cnt_before, sum_upto, sum_before, n_before):
@@ -196,34 +148,6 @@ def _feature_value(name, op, col, opts, epoch, nxt, prv, cnt_before, sum_upto, s
     raise ValueError(op)
 
 
-def _plain_family(rows, keys, aggregates, ordered, epoch, order, stats) -> DataFrame:
-    """One window pass over (keys) ordered by row: used when the input is
-    too small for any group to exceed the chunk size."""
-    need_epoch = any(op in ("next", "prev") for _, op, _, _ in ordered)
-    sum_cols = sorted({c for _, op, c, _ in ordered if op in ("cumsum", "expmean")})
-    cols = list(dict.fromkeys([order, *keys] + ([epoch] if need_epoch else []) +
-                              [c for c in sum_cols if c not in keys]))
-    base = rows.select(*cols).filter(_all_keys_present(keys + [order]))
-    w = Window.partitionBy(*keys).orderBy(order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = [F.col(order)]
-    for name, op, col, opts in ordered:
-        v = _feature_value(
-            name, op, col, opts, epoch,
-            nxt=F.lead(epoch).over(w) if op == "next" else None,
-            prv=F.lag(epoch).over(w) if op == "prev" else None,
-            cnt_before=F.row_number().over(w) - 1 if op == "cumcount" else None,
-            sum_upto=F.when(F.col(col).isNotNull(), F.sum(col).over(upto)) if op == "cumsum" else None,
-            sum_before=F.sum(col).over(before) if op == "expmean" else None,
-            n_before=F.count(col).over(before) if op == "expmean" else None)
-        out.append(v.alias(name))
-    fam = base.select(*out, *keys)
-    if aggregates:
-        fam = fam.join(stats.select(*keys, *[n for n, _, _ in aggregates]), keys, "left")
-    return fam.select(order, *[n for n, _, _, _ in ordered], *[n for n, _, _ in aggregates])
-
-
 def _attach_stats(rows: DataFrame, keys, stats: DataFrame, names, group_count: str | None,
                   hot_rows: int, order: str) -> DataFrame:
     """Group table back to rows, with hot keys split off.
@@ -236,6 +160,7 @@ def _attach_stats(rows: DataFrame, keys, stats: DataFrame, names, group_count: s
     Without a group count (caller-supplied stats) the plain shuffle join is
     used and AQE's skew-join splitting covers hot keys.
     """
+    keys = list(keys)
     narrow = rows.select(order, *keys).filter(_all_keys_present(keys + [order]))
     feats = stats.select(*keys, *names)
     if group_count is None:
@@ -250,9 +175,6 @@ def _attach_stats(rows: DataFrame, keys, stats: DataFrame, names, group_count: s
     return hot_part.unionByName(cold_part)
 
 
-# ---------------------------------------------------------------------------
-# Convenience single-feature wrappers
-# ---------------------------------------------------------------------------
 def no_group_value(op: str, opts: dict, epoch: str = "epoch") -> Column | None:
     """Value of an ordered feature on a row whose key is null (no group)."""
     if op == "next" and opts.get("fill", "sentinel") == "sentinel":
@@ -264,45 +186,6 @@ def no_group_value(op: str, opts: dict, epoch: str = "epoch") -> Column | None:
     return None
 
 
-def _attach(df: DataFrame, fam: DataFrame, order: str = "row_id", ordered=()) -> DataFrame:
-    out = df.join(fam, order, "left")
-    for name, op, _, opts in ordered:
-        fill = no_group_value(op, opts)
-        if fill is not None:
-            out = out.withColumn(name, F.coalesce(F.col(name), fill))
-    return out
-
-
-def cumcount(df, keys, name="cumcount", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """W-CUMCNT: 0-based running row number per key."""
-    spec = [(name, "cumcount", None, {})]
-    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
-
-
-def next_gap(df, keys, name="next_click", fill="sentinel", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """W-NEXT: seconds to the key's next row; last row gets FILL_NEXT - epoch."""
-    spec = [(name, "next", None, {"fill": fill})]
-    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
-
-
-def prev_gap(df, keys, name="prev_click", first="null", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """W-PREV / W-PREVB: seconds since the key's previous row."""
-    spec = [(name, "prev", None, {"first": first})]
-    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
-
-
-def running_sum(df, keys, column, name="cumsum", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """W-CUMSUM: inclusive running sum per key."""
-    spec = [(name, "cumsum", column, {})]
-    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
-
-
-def expanding_mean(df, keys, column, name="expanding_mean", chunk_rows=DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """W-EXPMEAN: mean of the key's earlier values (null on its first row)."""
-    spec = [(name, "expmean", column, {})]
-    return _attach(df, key_family(df, keys, ordered=spec, chunk_rows=chunk_rows), ordered=spec)
-
-
 def global_lag(df: DataFrame, column: str, name: str | None = None, order: str = "row_id") -> DataFrame:
     """W-GLAG: the previous row's value over the whole table.
 

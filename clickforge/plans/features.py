@@ -1,22 +1,21 @@
 """Compile a list of FeatureSpecs into one DataFrame plan.
 
 Specs computing the same thing are computed once and aliased (``dedup``);
-specs sharing a key set form a *family*.  The plan is picked from the input
-row count n (one metadata-cheap ``count()``), and every plan is exact:
-
-* **window plan** (n <= ``chunk_rows``; no group can be larger): families
-  sharing a key column share one hash repartition and every feature is a
-  window expression over it; aggregate families whose group table is
-  provably small (key domains, or n itself under the broadcast bound) are
-  hash-aggregated and broadcast-joined after the windows;
-* **shared plan** (default above ``chunk_rows``): one shuffle of the rows per
-  shared key column by ``(column, row_id div chunk_rows)`` -- no partition
-  group exceeds ``chunk_rows`` rows whatever the key skew -- with local
-  windows, and per-family chunk tables (mergeable aggregates of the narrow
-  base rows) spread back through a union window (``_prefix_chunk_group``);
-* **per-family plan** (``plan="family"``): each family on its own narrow
-  shuffle (``operators.ordered.key_family``), hot / cold split joins, and
-  joins of the results on ``row_id``.
+specs sharing a key set form a *family*.  There is one plan, whatever the
+input's size:
+
+* families sharing a key column share one hash repartition of the rows by it,
+  and every feature is a window expression over that partitioning;
+* a value of the column with more than ``hot_rows`` rows (a *hot* value) would
+  put them all into one task.  Hot values are looked for before each
+  repartition (at most n / hot_rows of them exist, so the table of them has a
+  proven bound); their rows are dealt by row range in the main path, and get
+  their features from side tables: families with more keys are windows over
+  the next key column, in which most hot rows are cold; only keys that are hot
+  as a whole go through chunks (``operators.ordered.key_family``).  An input
+  of at most ``hot_rows`` rows has no hot value, so nothing is looked for;
+* aggregate families whose group table is provably small are hash-aggregated
+  and broadcast instead.
 
 Null policies run last; the imputation mean of a group feature is taken
 row-weighted from the group table (sum of n * value / sum of n) in one
@@ -33,15 +32,11 @@ from pyspark.sql import functions as F
 from clickforge import schema as S
 from clickforge.functions.policy import cast_to
 from clickforge.functions.scalar import epoch_seconds
-from clickforge.operators.aggregate import agg_expr
-from clickforge.operators.ordered import DEFAULT_CHUNK_ROWS, _feature_value, key_family, no_group_value
+from clickforge.operators.aggregate import agg_expr, hot_group_stats
+from clickforge.operators.ordered import DEFAULT_CHUNK_ROWS, _attach_stats, _feature_value, key_family, no_group_value
 from clickforge.plans.specs import AGG_OPS, ORDERED_OPS, FeatureSpec, dedup, families
 
 
-def _group_count(keys) -> str:
-    return "__gn_" + "_".join(keys)
-
-
 def build_features(df: DataFrame, specs: list[FeatureSpec], **kwargs) -> DataFrame:
     """Same rows in and out, one new column per spec name (see ``_build``)."""
     try:
@@ -51,30 +46,28 @@ def build_features(df: DataFrame, specs: list[FeatureSpec], **kwargs) -> DataFra
 
 
 def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                   wrap: bool = False, order: str = "row_id", epoch: str = "epoch",
-                   fit_on: DataFrame | None = None, keep_columns: bool = True,
-                   n_rows: int | None = None, plan: str = "shared",
-                   max_broadcast_rows: int = S.MAX_BROADCAST_ROWS,
-                   cache_root: str | None = None, input_tag: str | None = None) -> DataFrame:
+           hot_rows: int | None = None, wrap: bool = False, order: str = "row_id", epoch: str = "epoch",
+           fit_on: DataFrame | None = None, keep_columns: bool = True,
+           n_rows: int | None = None, max_broadcast_rows: int = S.MAX_BROADCAST_ROWS,
+           cache_root: str | None = None, input_tag: str | None = None) -> DataFrame:
     """Same rows in and out, one new column per spec name.
 
     ``fit_on``: rows the group statistics are computed from (default: all
     rows, train and test together, as the reference does).  Ordered features
     always run over ``df``.
     ``n_rows``: row count of ``df``; counted (one metadata-cheap action) when
-    not given.  It picks the window plan when no group can exceed
-    ``chunk_rows``, else ``plan`` ("shared" or "family"); all are exact.
+    not given.
+    ``hot_rows``: rows that one task may take for one key; default
+    ``max(chunk_rows, n / MAX_HOT_KEYS)``, so that at most MAX_HOT_KEYS keys
+    are hot.  ``chunk_rows``: row ids of a chunk of a hot key.
     ``max_broadcast_rows``: a group table is broadcast only if its proven
     bound (``group_bound``) is at most this; 0 broadcasts none.
     ``cache_root``: folder of the group-table cache (S-FCACHE).  Each
     aggregate family's group table is read from ``cache_root`` when a table
     for the same keys, aggregates, ``input_tag`` (required), input files and
     plan over them (``fit_on``'s, if given) was written before, and computed
-    and written once otherwise.  Group tables are used directly, so a cached
-    run takes the large-input plans.
+    and written once otherwise.
     """
-    if plan not in ("shared", "family"):
-        raise ValueError(f"plan must be 'shared' or 'family', not {plan!r}")
     if cache_root and not input_tag:
         raise ValueError("cache_root needs an input_tag that names the input")
     uniq, aliases = dedup(specs)
@@ -83,60 +76,157 @@ def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT
     src = fit_on if fit_on is not None else df
     if n_rows is None:
         n_rows = df.count()
+    if hot_rows is None:
+        hot_rows = max(chunk_rows, -(-n_rows // S.MAX_HOT_KEYS))
     _STATE.cache = (cache_root, [input_tag, *_source_id(src)]) if cache_root else None
-    if fit_on is None and n_rows <= chunk_rows and cache_root is None:
-        return _window_plan(df, uniq, aliases, wrap=wrap, order=order, epoch=epoch, keep_columns=keep_columns,
-                            n_rows=n_rows, max_broadcast_rows=max_broadcast_rows)
-    # the bound of a group table is that of the rows it is built from
-    bound_rows = n_rows if fit_on is None else None
-    if plan == "shared":
-        return _prefix_chunk_plan(df, uniq, aliases, chunk_rows=chunk_rows, wrap=wrap, order=order, epoch=epoch,
-                                  keep_columns=keep_columns, n_rows=bound_rows, src=src,
-                                  max_broadcast_rows=max_broadcast_rows)
-
-    out = df
-    fam_tables = []
-    stats_by_keys = {}
-    for keys, fam in families(uniq).items():
-        keys = list(keys)
-        aggs = [(s.name, s.op, s.column) for s in fam if s.op in AGG_OPS]
-        ords = [(s.name, s.op, s.column, dict(s.options)) for s in fam if s.op in ORDERED_OPS]
-        stats = None
-        if aggs:
-            # Null keys form no group (they stay unmatched in the join).
-            stats = _group_table(src, keys, [s for s in fam if s.op in AGG_OPS], _group_count(keys))
-            stats_by_keys[tuple(keys)] = (stats, _group_count(keys))
-
-        if not ords and group_bound(keys, bound_rows) <= max_broadcast_rows:
-            out = out.join(F.broadcast(stats.drop(_group_count(keys))), keys, "left")
+    n_parts = _small_partitions(df) if n_rows <= chunk_rows else None
+
+    # families that are attached from a group table: small ones by broadcast, those
+    # of a cache or of other rows by the hot / cold split join
+    fams = families(uniq)
+    tables, small, by_row = {}, [], []
+    for keys, fam in list(fams.items()):
+        aggs = [s for s in fam if s.op in AGG_OPS]
+        # the bound of a group table is that of the rows it is built from
+        bounded = group_bound(keys, n_rows if fit_on is None else None) <= max_broadcast_rows
+        if not aggs or not (bounded or fit_on is not None or cache_root):
+            continue
+        tables[keys] = (_group_table(src, keys, aggs, n_parts=n_parts), "__n")
+        if bounded:
+            small.append(keys)
         else:
-            fam_tables.append(key_family(df, keys, aggs, ords, chunk_rows=chunk_rows,
-                                         epoch=epoch, order=order, stats=stats,
-                                         group_count=_group_count(keys) if aggs else None,
-                                         n_rows=n_rows))
-    out = _assemble(out, fam_tables, order)
-    means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
+            by_row.append(_attach_stats(df, keys, tables[keys][0], [s.name for s in aggs], "__n", hot_rows, order))
+        fams[keys] = [s for s in fam if s.op in ORDERED_OPS]
+
+    out, hot_flag, pieces = df, {}, []
+    for i, (col, members) in enumerate(_prefix_groups({k: v for k, v in fams.items() if v})):
+        hot, any_hot = _hot_values(df, [col], hot_rows) if n_rows > hot_rows else (None, False)
+        salt = None
+        if any_hot:
+            salt, flag = f"__salt{i}", f"__hot{i}"
+            marks = hot if hot is not None else df.select(col).limit(0)
+            out = out.join(F.broadcast(marks.withColumn(flag, F.lit(True))), [col], "left")
+            # hot rows, and those without a key, are dealt by row range; cold keys stay whole
+            dealt = F.col(col).isNull() | F.col(flag).isNotNull()
+            out = out.withColumn(salt, F.when(dealt, F.expr(f"`{order}` div {int(chunk_rows)}") + 1).otherwise(F.lit(0).cast("long")))
+            out = out.repartition(col, salt)
+            hot_flag |= {s.name: flag for _, fam in members for s in fam}
+        else:
+            out = out.repartition(n_parts, col) if n_parts else out.repartition(col)
+        if hot is not None:
+            rows = _narrow(df, members, order, epoch).join(F.broadcast(hot), [col], "left_semi")
+            pieces += _hot_pieces(rows, members, [col], chunk_rows=chunk_rows, hot_rows=hot_rows, order=order, epoch=epoch)
+        out = _with_windows(out, members, order, epoch, salt)
+        if salt:
+            out = out.drop(salt)
+    # Broadcast joins are map-side: placed after the windows so the window
+    # sorts do not carry these columns.
+    for keys in small:
+        out = out.join(F.broadcast(tables[keys][0].drop("__n")), list(keys), "left")
+    out = _assemble(out, by_row, order)
+    hot_names = []
+    if pieces:
+        # a row's features come from pieces of their own: one row per hot row
+        side = pieces[0]
+        for p in pieces[1:]:
+            side = side.unionByName(p, allowMissingColumns=True)
+        hot_names = [c for c in side.columns if c != order]
+        side = side.groupBy(order).agg(*[F.max(c).alias(SIDE + c) for c in hot_names])
+        out = out.join(side, order, "left")
+
+    means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch, tables)
     if means is not None:
         out = out.withColumn("__means", means)
-
     finals = []
     for s in uniq:
         c = F.col(s.name)
+        if s.name in hot_flag:
+            # without a side table only keyless rows were dealt
+            c = F.when(F.col(hot_flag[s.name]).isNull(), c)
+            if s.name in hot_names:
+                c = F.coalesce(c, F.col(SIDE + s.name))
         if s.op in ORDERED_OPS:
             fill = no_group_value(s.op, dict(s.options), epoch)
             if fill is not None:
                 c = F.coalesce(c, fill)
-        pol = s.null_policy
-        if pol == "zero":
+        if s.null_policy == "zero":
             c = F.coalesce(c, F.lit(0))
-        elif pol == "mean":
+        elif s.null_policy == "mean":
             c = F.coalesce(c.cast("double"), F.col("__means").getField(s.name))
         finals.append(cast_to(c, s.out_dtype, wrap=wrap).alias(s.name))
-    base_cols = [c for c in df.columns if c not in {s.name for s in uniq} | set(aliases)] if keep_columns else [order]
+    names = {s.name for s in uniq} | set(aliases)
+    base_cols = [c for c in df.columns if c not in names] if keep_columns else [order]
     first = out.select(*base_cols, *finals)
     return first.select(*base_cols, *[s.name for s in uniq], *[F.col(k).alias(d) for d, k in aliases.items()])
 
 
+SIDE = "__side_"
+
+
+def _narrow(df: DataFrame, members, order: str, epoch: str) -> DataFrame:
+    """The columns that the families read, so side tables never carry the log's others."""
+    need = {order}
+    for keys, fam in members:
+        need |= {*keys, *(s.column for s in fam if s.column)}
+        need |= {epoch for s in fam if s.op in ("next", "prev")}
+    return df.select(*[c for c in df.columns if c in need])
+
+
+def _hot_values(rows: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame | None, bool]:
+    """(table of the key values with more than ``hot_rows`` rows, None without
+    any; whether there are any, a missing value included).
+
+    The table has at most n / hot_rows rows, and is written, so it is counted
+    once and no later plan repeats the count.  Partial sums are taken before
+    the rows' keys move."""
+    from clickforge.session import shared_path
+    spark = rows.sparkSession
+    hot = rows.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
+    path = shared_path(spark, "hot-keys")
+    hot.coalesce(1).write.parquet(path)
+    hot = spark.read.schema(hot.schema).parquet(path)
+    present = hot.dropna(subset=keys)
+    return (None if present.isEmpty() else present), not hot.isEmpty()
+
+
+def _hot_pieces(rows: DataFrame, members, prefix: list[str], *, chunk_rows: int, hot_rows: int, order: str,
+                epoch: str) -> list[DataFrame]:
+    """Tables (order, features) of rows whose ``prefix`` values are hot, for
+    families whose keys contain the prefix.  Every feature of a row is in one
+    table.
+
+    A family of exactly these keys is hot as a whole and goes through chunks.
+    The others share a partitioning by the prefix and one more key column, in
+    which what is cold takes plain windows, and what is still hot comes here
+    again: each level moves only the rows hot in the one before."""
+    pieces = []
+    longer = {}
+    for keys, fam in members:
+        if set(keys) != set(prefix):
+            longer[tuple(k for k in keys if k not in prefix)] = (keys, fam)
+            continue
+        aggs = [s for s in fam if s.op in AGG_OPS]
+        ords = [(s.name, s.op, s.column, dict(s.options)) for s in fam if s.op in ORDERED_OPS]
+        # one row per hot key
+        stats = hot_group_stats(rows, list(keys), [(s.name, s.op, s.column) for s in aggs]) if aggs else None
+        names = [s.name for s in aggs]
+        if ords:
+            pieces.append(key_family(rows, keys, names, ords, chunk_rows=chunk_rows, epoch=epoch, order=order, stats=stats))
+        else:
+            pieces.append(rows.join(F.broadcast(stats), list(keys)).select(order, *names))
+    for col, sub in _prefix_groups(longer):
+        keys, inner = [*prefix, col], [m for _, m in sub]
+        present = rows.filter(F.col(col).isNotNull())
+        hot, _ = _hot_values(present, keys, hot_rows)
+        cold = present if hot is None else present.join(F.broadcast(hot), keys, "left_anti")
+        names = [s.name for _, fam in inner for s in fam]
+        pieces.append(_with_windows(cold.repartition(*keys), inner, order, epoch).select(order, *names))
+        if hot is not None:
+            pieces += _hot_pieces(present.join(F.broadcast(hot), keys, "left_semi"), inner, keys, chunk_rows=chunk_rows,
+                                  hot_rows=hot_rows, order=order, epoch=epoch)
+    return pieces
+
+
 def _prefix_groups(fams: dict) -> list[tuple[str | None, list]]:
     """Greedy grouping of families by a shared key column: the column that
     occurs in most remaining families becomes one hash partitioning, which
@@ -160,13 +250,13 @@ _WINDOWS: dict = {}
 FIRST = "__first_"
 
 
-def _windows(keys, order):
+def _windows(keys, order, salt=None):
     """Window specs of one key set (built once: each costs JVM round trips).
     Aggregates use the whole frame of the *same* ordered spec, so all
     features of a key set share one sort and one Window operator."""
-    key = (tuple(keys), order)
+    key = (tuple(keys), order, salt)
     if key not in _WINDOWS:
-        wo = Window.partitionBy(*keys).orderBy(order)
+        wo = Window.partitionBy(*keys, *([salt] if salt else [])).orderBy(order)
         present = F.lit(True)
         for k in keys:
             present = present & F.col(k).isNotNull()
@@ -176,8 +266,22 @@ def _windows(keys, order):
     return _WINDOWS[key]
 
 
-def _window_value(s: FeatureSpec, order: str, epoch: str) -> Column:
-    wo, w, before, upto, present = _windows(list(s.keys), order)
+def _with_windows(rows: DataFrame, members, order: str, epoch: str, salt: str | None = None) -> DataFrame:
+    """``rows``, partitioned by columns that all families contain (and the
+    salt), with every feature of the families as a window over their keys."""
+    extra = [salt] if salt else []
+    # a value's first row in its group, for distinct counts; same partitioning
+    firsts = [F.when((F.row_number().over(Window.partitionBy(*s.keys, *extra, s.column).orderBy(order)) == 1)
+                     & F.col(s.column).isNotNull(), 1).alias(FIRST + s.name)
+              for _, fam in members for s in fam if s.op == "nunique"]
+    if firsts:
+        rows = rows.select("*", *firsts)
+    rows = rows.select("*", *[_window_value(s, order, epoch, salt).alias(s.name) for _, fam in members for s in fam])
+    return rows.drop(*[FIRST + s.name for _, fam in members for s in fam if s.op == "nunique"])
+
+
+def _window_value(s: FeatureSpec, order: str, epoch: str, salt: str | None = None) -> Column:
+    wo, w, before, upto, present = _windows(list(s.keys), order, salt)
     if s.op in AGG_OPS:
         c = F.col(s.column) if s.column else None
         if s.op == "count":
@@ -245,10 +349,12 @@ def _group_table(df: DataFrame, keys, fam, count_name: str = "__n", n_parts: int
 
 
 def _source_id(src: DataFrame) -> list:
-    """What group tables are computed from: the files, the columns' types and
+    """What group tables are computed from: the files with their lengths and
+    times (a file rewritten in place is another input), the columns' types and
     the normalised plan over them (filters and projections)."""
+    from clickforge.sources.store import file_stamps
     plan = src._jdf.queryExecution().optimizedPlan().canonicalized().toString()
-    return [sorted(src.inputFiles()), src.schema.simpleString(), plan]
+    return [file_stamps(src.sparkSession, sorted(src.inputFiles())), src.schema.simpleString(), plan]
 
 
 def group_bound(keys, n_rows: int | None) -> int:
@@ -270,64 +376,6 @@ def _small_partitions(df: DataFrame) -> int:
                       2 * spark.sparkContext.defaultParallelism))
 
 
-def _window_plan(df: DataFrame, uniq, aliases, *, wrap, order, epoch, keep_columns,
-                 n_rows: int | None = None, max_broadcast_rows: int = S.MAX_BROADCAST_ROWS) -> DataFrame:
-    """Plan for inputs of at most ``chunk_rows`` rows (no group can be
-    larger): each group of families sharing a key column costs one hash
-    repartition of the rows, and every feature is a window expression over
-    it -- no further shuffle, no join back.  Aggregate-only families with a
-    proven-small key domain are broadcast-joined instead."""
-    fams = families(uniq)
-    out = df
-    # Aggregate families whose group table is provably small (key domains,
-    # or an input that is itself small) are hash-aggregated and broadcast:
-    # the rows are not shuffled or sorted for them at all.
-    bcast = {}
-    for k, v in fams.items():
-        aggs = [s for s in v if s.op in AGG_OPS]
-        if aggs and group_bound(k, n_rows) <= max_broadcast_rows:
-            bcast[k] = aggs
-            fams[k] = [s for s in v if s.op not in AGG_OPS]
-    rest = {k: v for k, v in fams.items() if v}
-    n_parts = _small_partitions(df)
-    for col, members in _prefix_groups(rest):
-        out = out.repartition(n_parts, col)
-        # a value's first row in its group, for distinct counts; same partitioning
-        firsts = [F.when((F.row_number().over(Window.partitionBy(*s.keys, s.column).orderBy(order)) == 1)
-                         & F.col(s.column).isNotNull(), 1).alias(FIRST + s.name)
-                  for _, fam in members for s in fam if s.op == "nunique"]
-        if firsts:
-            out = out.select("*", *firsts)
-        out = out.select("*", *[_window_value(s, order, epoch).alias(s.name) for _, fam in members for s in fam])
-    # Broadcast joins are map-side: placed after the windows so the window
-    # sorts do not carry these columns.
-    stats_by_keys = {}
-    for keys, fam in bcast.items():
-        stats = _group_table(df, keys, fam, n_parts=n_parts)
-        stats_by_keys[keys] = (stats, "__n")
-        out = out.join(F.broadcast(stats.drop("__n")), list(keys), "left")
-
-    means = _imputation_means(df, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
-    if means is not None:
-        out = out.withColumn("__means", means)
-    finals = []
-    for s in uniq:
-        c = F.col(s.name)
-        if s.op in ORDERED_OPS:
-            fill = no_group_value(s.op, dict(s.options), epoch)
-            if fill is not None:
-                c = F.coalesce(c, fill)
-        if s.null_policy == "zero":
-            c = F.coalesce(c, F.lit(0))
-        elif s.null_policy == "mean":
-            c = F.coalesce(c.cast("double"), F.col("__means").getField(s.name))
-        finals.append(cast_to(c, s.out_dtype, wrap=wrap).alias(s.name))
-    names = {s.name for s in uniq} | set(aliases)
-    base_cols = [c for c in df.columns if c not in names] if keep_columns else [order]
-    first = out.select(*base_cols, *finals)
-    return first.select(*base_cols, *[s.name for s in uniq], *[F.col(k).alias(d) for d, k in aliases.items()])
-
-
 def _imputation_means(df: DataFrame, mean_specs, order: str, epoch: str,
                       stats_by_keys: dict | None = None) -> Column | None:
     """Row-weighted mean of every mean-imputed feature, as one struct.
@@ -368,180 +416,7 @@ def _assemble(out: DataFrame, tables: list[DataFrame], order: str) -> DataFrame:
     return out
 
 
-def feature_names(specs: list[FeatureSpec]) -> list[str]:
-    seen = []
-    for s in specs:
-        if s.name not in seen:
-            seen.append(s.name)
-    return seen
-
-
 def feature_schema(df: DataFrame, specs: list[FeatureSpec]) -> DataFrame:
     """An empty frame with the output schema of ``build_features`` (for
     manifests); runs nothing."""
     return build_features(df.limit(0), specs, n_rows=0)
-
-
-# ---------------------------------------------------------------------------
-# Large-input plan with a shared partitioning per key column
-# ---------------------------------------------------------------------------
-CHUNK = "__chunk"
-MARK = "__mark"
-
-
-def _prefix_chunk_group(out: DataFrame, base: DataFrame, col: str, members, chunk_rows: int, order: str,
-                        epoch: str, stats_by_keys: dict) -> DataFrame:
-    """All families whose keys contain ``col``, on one shuffle of the rows.
-
-    Rows are hash-partitioned by ``(col, chunk)`` with chunk = row_id div
-    chunk_rows, so a partition group never exceeds ``chunk_rows`` rows
-    whatever the skew of ``col``, and every window partitioned by
-    ``(keys, chunk)`` with ``col`` in ``keys`` runs without another shuffle.
-
-    Each family's *chunk table* (one row per key and chunk) is a mergeable
-    aggregate of the narrow base rows -- count, first / last epoch, sums --
-    so partial aggregation shrinks it before it moves; a window per key
-    turns it into offsets across chunks, the group aggregates are joined on,
-    and it is repartitioned like the rows, unioned with them and spread onto
-    them by a window over ``(keys, chunk)``.  The rows move once per shared
-    column: never by the family keys, never back by row id.
-    """
-    chunk = F.expr(f"`{order}` div {int(chunk_rows)}")
-    parts = out.withColumn(CHUNK, chunk).repartition(col, CHUNK)
-    local, fam_info = [], []
-    for i, (keys, fam) in enumerate(members):
-        keys = list(keys)
-        ords = [s for s in fam if s.op in ORDERED_OPS]
-        aggs = [s for s in fam if s.op in AGG_OPS]
-        sums = sorted({s.column for s in ords if s.op in ("cumsum", "expmean")})
-        need_epoch = any(s.op in ("next", "prev") for s in ords)
-        p = f"__f{i}_"
-        if ords:
-            wl = Window.partitionBy(*keys, CHUNK).orderBy(order)
-            before = wl.rowsBetween(Window.unboundedPreceding, -1)
-            upto = wl.rowsBetween(Window.unboundedPreceding, 0)
-            local.append(F.row_number().over(wl).alias(p + "rn"))
-            if need_epoch:
-                local += [F.lead(epoch).over(wl).alias(p + "lead"), F.lag(epoch).over(wl).alias(p + "lag")]
-            for c in sums:
-                local += [F.sum(c).over(upto).alias(f"{p}lsum_{c}"), F.sum(c).over(before).alias(f"{p}lsumb_{c}"),
-                          F.count(c).over(before).alias(f"{p}lcntb_{c}")]
-        fam_info.append((keys, ords, aggs, sums, need_epoch, p))
-    if local:
-        parts = parts.select("*", *local)
-
-    u = parts.withColumn(MARK, F.lit(-1))
-    spread_cols, ct_names = [], set()
-    for i, (keys, ords, aggs, sums, need_epoch, p) in enumerate(fam_info):
-        present = F.lit(True)
-        for k in keys:
-            present = present & F.col(k).isNotNull()
-        ch_aggs = [F.count(F.lit(1)).alias("__n")]
-        if need_epoch:
-            ch_aggs += [F.min_by(epoch, order).alias("__first"), F.max_by(epoch, order).alias("__last")]
-        for c in sums:
-            ch_aggs += [F.sum(c).alias(f"__csum_{c}"), F.count(c).alias(f"__ccnt_{c}")]
-        chunks = base.filter(present).withColumn(CHUNK, chunk).groupBy(*keys, CHUNK).agg(*ch_aggs)
-        vals = []
-        if ords:
-            wk = Window.partitionBy(*keys).orderBy(CHUNK)
-            prior = wk.rowsBetween(Window.unboundedPreceding, -1)
-            vals.append(F.sum("__n").over(prior).alias(p + "off_n"))
-            if need_epoch:
-                vals += [F.lead("__first").over(wk).alias(p + "next_first"),
-                         F.lag("__last").over(wk).alias(p + "prev_last")]
-            for c in sums:
-                vals += [F.sum(f"__csum_{c}").over(prior).alias(f"{p}off_sum_{c}"),
-                         F.sum(f"__ccnt_{c}").over(prior).alias(f"{p}off_cnt_{c}")]
-        ct = chunks.select(*keys, CHUNK, *vals)
-        if aggs:
-            st, _ = stats_by_keys[tuple(sorted(keys))]
-            ct = ct.join(st.select(*keys, *[F.col(s.name).alias(p + "agg_" + s.name) for s in aggs]), keys, "left")
-        ct_vals = [c for c in ct.columns if c not in keys and c != CHUNK]
-        ct_names |= set(ct_vals)
-        u = u.unionByName(ct.withColumn(MARK, F.lit(i)).repartition(col, CHUNK), allowMissingColumns=True)
-        w = Window.partitionBy(*keys, CHUNK)
-        spread_cols += [F.max(F.when(F.col(MARK) == i, F.col(c))).over(w).alias(c) for c in ct_vals]
-    rows = u.select(*[c for c in u.columns if c not in ct_names], *spread_cols).filter(F.col(MARK) == -1)
-
-    feats = []
-    for keys, ords, aggs, sums, need_epoch, p in fam_info:
-        present = F.lit(True)
-        for k in keys:
-            present = present & F.col(k).isNotNull()
-        for s in ords:
-            opts = dict(s.options)
-            c = s.column
-            v = _feature_value(
-                s.name, s.op, c, opts, epoch,
-                nxt=F.coalesce(F.col(p + "lead"), F.col(p + "next_first")) if s.op == "next" else None,
-                prv=F.coalesce(F.col(p + "lag"), F.col(p + "prev_last")) if s.op == "prev" else None,
-                cnt_before=(F.coalesce(F.col(p + "off_n"), F.lit(0)) + F.col(p + "rn") - 1)
-                if s.op == "cumcount" else None,
-                sum_upto=F.when(F.col(c).isNotNull(), _nsum2(F.col(f"{p}off_sum_{c}"), F.col(f"{p}lsum_{c}")))
-                if s.op == "cumsum" else None,
-                sum_before=_nsum2(F.col(f"{p}off_sum_{c}"), F.col(f"{p}lsumb_{c}")) if s.op == "expmean" else None,
-                n_before=(F.coalesce(F.col(f"{p}off_cnt_{c}"), F.lit(0)) + F.col(f"{p}lcntb_{c}"))
-                if s.op == "expmean" else None)
-            feats.append(F.when(present, v).alias(s.name))
-        for s in aggs:
-            feats.append(F.when(present, F.col(p + "agg_" + s.name)).alias(s.name))
-    return rows.select(*out.columns, *feats)
-
-
-def _nsum2(a: Column, b: Column) -> Column:
-    return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
-
-
-def _prefix_chunk_plan(df: DataFrame, uniq, aliases, *, chunk_rows, wrap, order, epoch, keep_columns,
-                       n_rows, src: DataFrame, max_broadcast_rows: int = S.MAX_BROADCAST_ROWS) -> DataFrame:
-    """Large-input plan: bounded aggregate families broadcast, every other
-    family computed on one ``(column, chunk)`` partitioning per shared key
-    column (``_prefix_chunk_group``)."""
-    fams = families(uniq)
-    out = df
-    stats_by_keys = {}
-    for k, v in list(fams.items()):
-        aggs = [s for s in v if s.op in AGG_OPS]
-        if aggs:
-            stats_by_keys[k] = (_group_table(src, k, aggs), "__n")
-            if group_bound(k, n_rows) <= max_broadcast_rows:
-                out = out.join(F.broadcast(stats_by_keys[k][0].drop("__n")), list(k), "left")
-                fams[k] = [s for s in v if s.op not in AGG_OPS]
-    rest = {k: v for k, v in fams.items() if v}
-    # Each group runs on narrow rows (row id, its keys, epoch, summed columns),
-    # so its window sorts never carry the log's other columns or features of
-    # other groups; the groups' outputs are attached in one row-id shuffle.
-    group_tables = []
-    for col, members in _prefix_groups(rest):
-        need = {order}
-        for keys, fam in members:
-            need |= set(keys)
-            for s in fam:
-                if s.op in ("next", "prev"):
-                    need.add(epoch)
-                if s.op in ("cumsum", "expmean") and s.column:
-                    need.add(s.column)
-        narrow = df.select(*[c for c in df.columns if c in need])
-        g = _prefix_chunk_group(narrow, df, col, members, chunk_rows, order, epoch, stats_by_keys)
-        group_tables.append(g.select(order, *[s.name for _, fam in members for s in fam]))
-    out = _assemble(out, group_tables, order)
-    means = _imputation_means(src, [s for s in uniq if s.null_policy == "mean"], order, epoch, stats_by_keys)
-    if means is not None:
-        out = out.withColumn("__means", means)
-    finals = []
-    for s in uniq:
-        c = F.col(s.name)
-        if s.op in ORDERED_OPS:
-            fill = no_group_value(s.op, dict(s.options), epoch)
-            if fill is not None:
-                c = F.coalesce(c, fill)
-        if s.null_policy == "zero":
-            c = F.coalesce(c, F.lit(0))
-        elif s.null_policy == "mean":
-            c = F.coalesce(c.cast("double"), F.col("__means").getField(s.name))
-        finals.append(cast_to(c, s.out_dtype, wrap=wrap).alias(s.name))
-    names = {s.name for s in uniq} | set(aliases)
-    base_cols = [c for c in df.columns if c not in names] if keep_columns else [order]
-    first = out.select(*base_cols, *finals)
-    return first.select(*base_cols, *[s.name for s in uniq], *[F.col(k).alias(d) for d, k in aliases.items()])

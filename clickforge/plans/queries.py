@@ -337,7 +337,7 @@ FROM clicks c JOIN (SELECT row_id, CAST(row_number() OVER (PARTITION BY ip ORDER
 def q_aligned_vector(spark, sf):
     # J-ALIGN: a computed per-row vector attached by row_id, never by position.
     base = C.load_clicks(spark, sf)
-    fam = W.key_family(base, ["ip"], ordered=[("X7", "cumcount", None, {})])
+    fam = W.key_family(base, ["ip"], [], [("X7", "cumcount", None, {})])
     return base.join(fam, "row_id", "left").select("row_id", "ip", big("X7").alias("X7"))
 
 
@@ -924,17 +924,18 @@ def q_importance_csv(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# The large-input plan on the whole table: chunk size and hot-key threshold
-# set small so the driver's oracle checks the chunked windows, the chunk
-# table fix-ups and the hot / cold split (identical SQL as the plain ones).
+# The plan with hot keys on the whole table: chunk size and hot threshold set
+# small so the driver's oracle checks both sides, cold keys in plain windows and
+# hot ones in side tables and chunks (identical SQL as the plain ones).
 # ---------------------------------------------------------------------------
 CHUNKED_ROWS = 997   # a prime, so chunk edges fall at arbitrary rows
+HOT_ROWS = 66   # about half of the ips at sf0.01 exceed it, and all channels
 
 
-def _chunked(name: str, base: str, specs, out_cast=big, plan: str = "shared"):
+def _chunked(name: str, base: str, specs, hot_rows: int = HOT_ROWS):
     def run(spark, sf):
-        # no group table is broadcast, so the aggregates take the large-input path too
-        df = _bf(clicks(spark, sf), specs, chunk_rows=CHUNKED_ROWS, plan=plan, max_broadcast_rows=0)
+        # no group table is broadcast, so aggregates take the path of unbounded keys too
+        df = _bf(clicks(spark, sf), specs, chunk_rows=CHUNKED_ROWS, hot_rows=hot_rows, max_broadcast_rows=0)
         return _features_out(df, specs)
     run.__name__ = f"q_{name}"
     register(name, ORACLE[base][len(CLICKS_CTE):])(run)
@@ -950,16 +951,14 @@ _chunked("cumsum_chunked", "cumsum",
 _chunked("expanding_mean_chunked", "expanding_mean",
          [FeatureSpec("expmean", ("ip", "app", "device", "os"), "is_attributed", "feat_expanding_mean",
                       "double", "zero")])
-_chunked("count_by_key_hot", "count_by_key", [FeatureSpec("count", ("ip", "app"), None, "ip_app_count")],
-         plan="family")
+_chunked("count_by_key_hot", "count_by_key", [FeatureSpec("count", ("ip", "app"), None, "ip_app_count")], hot_rows=13)
 _chunked("var_mean_imputed_hot", "var_mean_imputed",
-         [FeatureSpec("var", ("ip", "app", "channel"), "hour", "v", "double", "mean")], plan="family")
-_chunked("features_v27_family_plan", "features_v27", catalogue_v27(), plan="family")
+         [FeatureSpec("var", ("ip", "app", "channel"), "hour", "v", "double", "mean")], hot_rows=13)
+# nearly all keys of one column are hot, many of two
+_chunked("features_v27_family_plan", "features_v27", catalogue_v27(), hot_rows=7)
 _chunked("features_v27_chunked", "features_v27", catalogue_v27())
 _chunked("features_v21_chunked", "features_v21", catalogue_v21())
-
-
-HOT_ROWS = 66   # about half of the ips at sf0.01 exceed it: both hot and cold paths run
+_chunked("features_all58_chunked", "features_all58", catalogue_all())
 
 
 @register("ip_stats_hot_split", """
@@ -973,10 +972,10 @@ def q_ip_stats_hot_split(spark, sf):
     specs = [FeatureSpec("count", ("ip",), None, "ip_count"),
              FeatureSpec("nunique", ("ip",), "channel", "ip_nchannel"),
              FeatureSpec("mean", ("ip",), "hour", "ip_mean_hour", "double", "keep")]
-    # the per-family plan: hot ips broadcast, cold ips shuffle-joined
-    agg = _bf(clicks(spark, sf), specs, chunk_rows=HOT_ROWS, plan="family", max_broadcast_rows=0)
-    ordered = _bf(clicks(spark, sf), [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")],
-                             chunk_rows=HOT_ROWS, keep_columns=False, plan="family")
+    # hot ips in side tables, cold ips in windows
+    hot = {"chunk_rows": CHUNKED_ROWS, "hot_rows": HOT_ROWS, "max_broadcast_rows": 0}
+    agg = _bf(clicks(spark, sf), specs, **hot)
+    ordered = _bf(clicks(spark, sf), [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")], keep_columns=False, **hot)
     out = agg.join(ordered, "row_id")
     return _features_out(out, specs + [FeatureSpec("cumcount", ("ip",), None, "ip_cumcount")])
 

@@ -27,6 +27,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def file_stamps(spark: SparkSession, files: list[str]) -> str:
+    """Digest of the files' names, lengths and modification times, by one
+    listing per folder: a file rewritten in place changes it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    wanted, digest = set(files), hashlib.sha1()
+    for folder in sorted({f.rpartition("/")[0] for f in files}):
+        # names come percent-encoded, as URIs
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        for st in sorted(path.getFileSystem(conf).listStatus(path), key=lambda x: x.getPath().toString()):
+            name = st.getPath().toUri().toString()
+            if name in wanted or f"{folder}/{st.getPath().getName()}" in wanted:
+                digest.update(f"{name}\n{st.getLen()}\n{st.getModificationTime()}\n".encode())
+    digest.update("\n".join(files).encode())
+    return digest.hexdigest()
+
+
 # ---------------------------------------------------------------------------
 # S-SNAPW / S-SNAPR / S-CACHE
 # ---------------------------------------------------------------------------

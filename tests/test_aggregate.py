@@ -25,12 +25,12 @@ def spark_df(spark, pdf):
 
 @pytest.mark.parametrize("op,col", [("count", None), ("nunique", "hour"), ("mean", "hour"),
                                     ("var", "hour"), ("skew", "hour")])
-@pytest.mark.parametrize("chunk_rows,plan", [(2, "shared"), (2, "family"), (1 << 22, "shared")])
-def test_group_aggregates_keep(spark, op, col, chunk_rows, plan):
+@pytest.mark.parametrize("chunk_rows,hot_rows", [(2, 1), (2, 3), (1 << 22, None)])
+def test_group_aggregates_keep(spark, op, col, chunk_rows, hot_rows):
     pdf = hand()
     spec = FeatureSpec(op, ("ip", "app"), col, "f", "double", "keep")
     got = as_float_dict(build_features(spark_df(spark, pdf), [spec], chunk_rows=chunk_rows,
-                                       n_rows=len(pdf), plan=plan).toPandas(), "f")
+                                       hot_rows=hot_rows, n_rows=len(pdf), max_broadcast_rows=0).toPandas(), "f")
     exp = pandas_feature(pdf, op, ("ip", "app"), col)
     for r, e in exp.items():
         assert close(None if pd.isna(e) else float(e), got[r]), (op, r, e, got[r])
@@ -97,3 +97,14 @@ def test_categorical_index_frequency_order(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate([5, 5, 5, 2, 2, 9, 1, 1])], "row_id long, channel int")
     out = {r.channel: r.idx for r in P.categorical_index(df, "channel", "idx").collect()}
     assert out == {5: 0, 1: 1, 2: 2, 9: 3}   # ties broken by value
+
+
+def test_distinct_counts_by_bitmaps(spark):
+    from clickforge.operators.aggregate import distinct_counts, hot_group_stats
+    rows = [(k, v, w) for k in (1, 2) for v in (0, 1, -1, 32_767, 32_768, 32_769, -32_768, -32_769, 2**31 - 1, None) for w in (5, 6, None)] + [(3, None, None)]
+    df = spark.createDataFrame(rows, "k int, v int, w long")
+    got = distinct_counts(df, ["k"], {"nv": "v", "nw": "w"})
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in got.collect()} == {(1, 9, 2), (2, 9, 2)}
+    both = hot_group_stats(df, ["k"], [("n", "count", None), ("nv", "nunique", "v"), ("nw", "nunique", "w")])
+    assert {tuple(r) for r in both.select("k", "n", "nv", "nw").collect()} == {(1, 30, 9, 2), (2, 30, 9, 2), (3, 1, 0, 0)}

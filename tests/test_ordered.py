@@ -36,21 +36,20 @@ CASES = [
 ]
 
 
-def run_spark(spark, pdf, op, keys, col, opts, chunk_rows, plan="shared"):
+def run_spark(spark, pdf, op, keys, col, opts, chunk_rows, hot_rows):
     df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), SCHEMA)
     spec = FeatureSpec(op, tuple(keys), col, "f", "double", "keep", tuple(sorted(opts.items())))
     n = len(pdf)
-    out = build_features(df, [spec], chunk_rows=chunk_rows, n_rows=n, plan=plan).select("row_id", "f").toPandas()
+    out = build_features(df, [spec], chunk_rows=chunk_rows, hot_rows=hot_rows, n_rows=n, max_broadcast_rows=0).select("row_id", "f").toPandas()
     return as_float_dict(out, "f")
 
 
 @pytest.mark.parametrize("op,col,opts", CASES)
-@pytest.mark.parametrize("chunk_rows,plan", [(1, "shared"), (2, "shared"), (3, "shared"), (1 << 22, "shared"),
-                                             (2, "family"), (3, "family")])
-def test_hand_rows(spark, op, col, opts, chunk_rows, plan):
+@pytest.mark.parametrize("chunk_rows,hot_rows", [(1, 1), (2, 1), (3, 2), (1 << 22, 1), (1, 3), (1 << 22, None)])
+def test_hand_rows(spark, op, col, opts, chunk_rows, hot_rows):
     keys = ("ip", "app")
     exp = pandas_feature(HAND, op, keys, col, **opts)
-    got = run_spark(spark, HAND, op, keys, col, opts, chunk_rows, plan)
+    got = run_spark(spark, HAND, op, keys, col, opts, chunk_rows, hot_rows)
     for r, e in exp.items():
         e = None if pd.isna(e) else float(e)
         if op == "cumcount" and e is None:
@@ -67,8 +66,8 @@ rows_strategy = st.lists(
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=rows_strategy, chunk=st.integers(1, 7), plan=st.sampled_from(["shared", "family"]))
-def test_property_chunked_equals_pandas(spark, rows, chunk, plan):
+@given(rows=rows_strategy, chunk=st.integers(1, 7), hot=st.integers(1, 9))
+def test_property_chunked_equals_pandas(spark, rows, chunk, hot):
     # epoch non-decreasing in row order (a time-ordered log) with ties
     epoch = np.cumsum([r[2] for r in rows]) + 1000
     pdf = frame([(i, r[0], r[1], int(e), r[3]) for i, (r, e) in enumerate(zip(rows, epoch))])
@@ -78,7 +77,7 @@ def test_property_chunked_equals_pandas(spark, rows, chunk, plan):
              FeatureSpec("prev", ("ip",), None, "pv", "double", "keep"),
              FeatureSpec("expmean", ("ip", "app"), "y", "em", "double", "keep"),
              FeatureSpec("count", ("ip", "app"), None, "cnt", "double", "keep")]
-    out = build_features(df, specs, chunk_rows=chunk, n_rows=len(pdf), plan=plan).toPandas()
+    out = build_features(df, specs, chunk_rows=chunk, hot_rows=hot, n_rows=len(pdf), max_broadcast_rows=0).toPandas()
     for name, op, keys, col in [("cc", "cumcount", ("ip",), None), ("nx", "next", ("ip", "app"), None),
                                 ("pv", "prev", ("ip",), None), ("em", "expmean", ("ip", "app"), "y"),
                                 ("cnt", "count", ("ip", "app"), None)]:

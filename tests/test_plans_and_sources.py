@@ -21,8 +21,8 @@ def test_chunked_plan_equals_window_plan_v27(spark):
     base = clicks(spark, SF_SMALL)
     specs = catalogue_v27()
     small = _frame(_features_out(build_features(base, specs), specs))
-    for chunk, plan in ((97, "shared"), (333, "shared"), (97, "family")):
-        big = _frame(_features_out(build_features(base, specs, chunk_rows=chunk, plan=plan), specs))
+    for chunk, hot in ((97, 60), (333, None), (41, 5)):
+        big = _frame(_features_out(build_features(base, specs, chunk_rows=chunk, hot_rows=hot, max_broadcast_rows=0), specs))
         pd.testing.assert_frame_equal(small, big, check_dtype=False)
 
 
@@ -30,7 +30,7 @@ def test_chunked_plan_equals_window_plan_all58(spark):
     base = clicks(spark, SF_SMALL)
     specs = catalogue_all()
     small = _frame(_features_out(build_features(base, specs), specs))
-    big = _frame(_features_out(build_features(base, specs, chunk_rows=101), specs))
+    big = _frame(_features_out(build_features(base, specs, chunk_rows=101, hot_rows=20), specs))
     pd.testing.assert_frame_equal(small, big, check_dtype=False)
 
 
