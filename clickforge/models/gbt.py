@@ -10,7 +10,6 @@ the driver only holds parameter maps and the (small) fitted model.
 from __future__ import annotations
 
 import random
-import re
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,9 +18,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickforge.functions.policy import hard_label, overwrite_unlabelled
+from clickforge.models import trees
 from clickforge.models.auc import auc
 
 # Defaults of the trainer wrapper; a params map overrides them (M-DEF).
@@ -65,51 +64,74 @@ def with_weight(df: DataFrame, label: str, scale_pos_weight: float) -> DataFrame
 
 
 def assembler(predictors) -> VectorAssembler:
-    """M-ASM.  Nulls are kept as NaN so trees can split on them."""
+    """M-ASM over what ``numeric`` gives."""
     return VectorAssembler(inputCols=list(predictors), outputCol="features", handleInvalid="keep")
 
 
-def _numeric(df: DataFrame, predictors) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) if c in predictors else F.col(c) for c in df.columns])
+#: What a missing value of a numeric predictor is to the trees: less than all
+#: others, so that a split can part it from them.
+MISSING = -1e18
+
+
+def numeric(df: DataFrame, predictors) -> DataFrame:
+    """Predictors as doubles without missing values; those that are nominal
+    (``categories.with_codes``) keep what their column says of them."""
+    nominal = {f.name for f in df.schema if "ml_attr" in f.metadata}
+    value = lambda c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(MISSING)), F.lit(MISSING)).alias(c)
+    return df.select(*[value(c) if c in predictors and c not in nominal else F.col(c) for c in df.columns])
 
 
 def fit(train: DataFrame, predictors, label: str = "label", params: dict | None = None) -> PipelineModel:
     """Assemble + weighted GBT in one Pipeline."""
     p = merge_params(params)
-    data = with_weight(_numeric(train, predictors), label, p["scale_pos_weight"]).withColumn(
+    data = with_weight(numeric(train, predictors), label, p["scale_pos_weight"]).withColumn(
         label, F.col(label).cast("double"))
     return Pipeline(stages=[assembler(predictors), gbt_estimator(p, label)]).fit(data)
 
 
-def first_trees(model: PipelineModel, n_trees: int) -> PipelineModel:
-    """The model as it was after ``n_trees`` boosting rounds."""
+def with_trees(model: PipelineModel, which: list[int], weights: list[float] | None = None) -> PipelineModel:
+    """The model made of some of its trees (weights: theirs)."""
     gbt = model.stages[-1]
-    n = max(1, min(int(n_trees), gbt.getNumTrees))
-    trees, weights = gbt._java_obj.trees(), gbt.treeWeights
+    trees_, own = gbt._java_obj.trees(), gbt.treeWeights
     gateway = SparkContext._active_spark_context._gateway
     ml = gateway.jvm.org.apache.spark.ml
-    kept = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n)
-    shares = gateway.new_array(gateway.jvm.double, n)
-    for i in range(n):
-        kept[i], shares[i] = trees[i], float(weights[i])
+    kept = gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(which))
+    shares = gateway.new_array(gateway.jvm.double, len(which))
+    for i, t in enumerate(which):
+        kept[i], shares[i] = trees_[t], float(own[t] if weights is None else weights[i])
     java = ml.classification.GBTClassificationModel(gbt.uid, kept, shares, gbt.numFeatures, gbt.numClasses)
     return PipelineModel([*model.stages[:-1], GBTClassificationModel(java)])
 
 
+def first_trees(model: PipelineModel, n_trees: int) -> PipelineModel:
+    """The model as it was after ``n_trees`` boosting rounds."""
+    return with_trees(model, list(range(max(1, min(int(n_trees), model.stages[-1].getNumTrees)))))
+
+
 def score(model: PipelineModel, df: DataFrame, predictors, prob: str = "p", n_trees: int | None = None) -> DataFrame:
     """M-SCORE / M-HARD: probability of class 1 and the hard prediction, by
     the first ``n_trees`` rounds (the best iteration) or all of them."""
-    out = (model if n_trees is None else first_trees(model, n_trees)).transform(_numeric(df, predictors))
+    out = (model if n_trees is None else first_trees(model, n_trees)).transform(numeric(df, predictors))
     return out.withColumn(prob, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability")
 
 
+def of_matrix(model: GBTClassificationModel) -> PipelineModel:
+    """A model fitted on an assembled matrix, as the functions here take it."""
+    return PipelineModel([model])
+
+
+def score_matrix(model: PipelineModel, matrix: DataFrame, prob: str = "p", keep=("click_id",)) -> DataFrame:
+    """Probability of class 1 for the rows of an assembled matrix."""
+    return model.stages[-1].transform(matrix).select(*keep, vector_to_array("probability")[1].alias(prob))
+
+
 def best_iteration(model: PipelineModel, valid: DataFrame, predictors, label: str = "label",
                    patience: int = 60) -> int:
     """M-STOP: 1-based iteration with the lowest validation log-loss, with
     patience (stop scanning after ``patience`` rounds without improvement).
     ``evaluateEachIteration`` is one distributed pass over ``valid``."""
     gbt = model.stages[-1]
-    data = model.stages[0].transform(_numeric(valid, predictors)).withColumn(
+    data = model.stages[0].transform(numeric(valid, predictors)).withColumn(
         label, F.col(label).cast("double")).withColumn(WEIGHT, F.lit(1.0))
     losses = gbt.evaluateEachIteration(data)
     best, best_i, since = float("inf"), 0, 0
@@ -123,61 +145,27 @@ def best_iteration(model: PipelineModel, valid: DataFrame, predictors, label: st
     return best_i + 1
 
 
-def prefix_auc(model: PipelineModel, valid: DataFrame, predictors, label: str = "label") -> DataFrame:
-    """Validation AUC of every tree prefix: ``(iteration, auc)``.
-
-    Each tree's output is a JVM-side column; the margin of prefix k is the
-    weighted running sum (AUC is rank-based, so the margin ranks like the
-    probability).  The (iteration, margin) rows are scored by one grouped,
-    distributed AUC job."""
-    from clickforge.models.auc import auc_by
-    asm, gbt = model.stages[0], model.stages[-1]
-    data = asm.transform(_numeric(valid, predictors)).select("features", F.col(label).cast("int").alias(label))
-    cols = []
-    for i, tree in enumerate(gbt.trees):
-        data = tree.copy().setPredictionCol(f"__t{i}").transform(data)
-        cols.append(F.col(f"__t{i}") * F.lit(float(gbt.treeWeights[i])))
-    margins = [cols[0]]
-    for c in cols[1:]:
-        margins.append(margins[-1] + c)
-    long = data.select(label, F.posexplode(F.array(*margins)).alias("pos_i", "margin"))
-    out = auc_by(long.withColumn("iteration", F.col("pos_i") + 1), "margin", label, "iteration")
-    return out.orderBy("iteration")
+def prefix_auc(model: PipelineModel, valid: DataFrame, predictors, label: str = "label",
+               patience: int | None = None, block_trees: int = 50) -> DataFrame:
+    """Validation AUC of every tree prefix, up to the early stop if ``patience``
+    is given: ``(iteration, auc)`` (see ``trees.staged_auc``)."""
+    matrix = model.stages[0].transform(numeric(valid, predictors))
+    got = trees.staged_auc(model, matrix, label, patience, block_trees)
+    return valid.sparkSession.createDataFrame(got, "iteration long, auc double")
 
 
 def best_iteration_auc(model: PipelineModel, valid: DataFrame, predictors, label: str = "label",
-                       patience: int = 60) -> int:
+                       patience: int = 60, block_trees: int = 50) -> int:
     """M-STOP as the reference does it: the iteration with the best
-    validation AUC, scanning with ``patience`` rounds without improvement.
-    The per-iteration AUCs (one number per tree) come to the driver."""
-    aucs = [(r["iteration"], r["auc"]) for r in prefix_auc(model, valid, predictors, label).collect()]
-    best, best_i, since = -1.0, 1, 0
-    for it, a in aucs:
-        a = -1.0 if a is None else a
-        if a > best:
-            best, best_i, since = a, it, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-    return best_i
+    validation AUC, scanning with ``patience`` rounds without improvement."""
+    matrix = model.stages[0].transform(numeric(valid, predictors))
+    got = trees.staged_auc(model, matrix, label, patience, block_trees)
+    return max(got, key=lambda x: (x[1] if x[1] is not None else -1.0, -x[0]))[0]
 
 
 def importance(spark: SparkSession, model: PipelineModel, predictors) -> DataFrame:
-    """M-IMP: gain share (normalised to 100) and split count per feature.
-
-    Gain = MLlib's normalised impurity-gain importance; split = number of
-    internal nodes splitting on the feature, read off the fitted trees (model
-    metadata, a few KB; no data passes through the driver)."""
-    gbt = model.stages[-1]
-    gains = gbt.featureImportances.toArray()
-    splits = [0] * len(predictors)
-    for m in re.finditer(r"If \(feature (\d+) ", gbt.toDebugString):
-        splits[int(m.group(1))] += 1
-    rows = [(p, float(100.0 * g), int(s)) for p, g, s in zip(predictors, gains, splits)]
-    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("gain", T.DoubleType()),
-                           T.StructField("split", T.IntegerType())])
-    return spark.createDataFrame(rows, schema).orderBy(F.desc("gain"), "feature")
+    """M-IMP: gain share (of 100) and split count per feature, from the saved node table."""
+    return trees.importance(model, predictors)
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -195,13 +183,13 @@ def rf_pseudo_labels(train: DataFrame, unlabelled_flag, predictors, label: str =
     """M-RF: forest fitted on ``train``; on rows where ``unlabelled_flag``
     holds, the label is replaced by the forest's hard label (P-THRESH +
     P-OVER).  Returns ``df`` (default ``train``'s source) with the new label."""
-    data = with_weight(_numeric(train, predictors), label, scale_pos_weight).withColumn(
+    data = with_weight(numeric(train, predictors), label, scale_pos_weight).withColumn(
         label, F.col(label).cast("double"))
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol=WEIGHT, numTrees=num_trees,
                                 maxDepth=max_depth, subsamplingRate=subsample, seed=seed)
     model = Pipeline(stages=[assembler(predictors), rf]).fit(data)
     target = df if df is not None else train
-    scored = model.transform(_numeric(target, predictors)).withColumn("__p", vector_to_array("probability")[1])
+    scored = model.transform(numeric(target, predictors)).withColumn("__p", vector_to_array("probability")[1])
     out = scored.withColumn(label, overwrite_unlabelled(F.col(label), unlabelled_flag, hard_label(F.col("__p"))))
     return out.drop("features", "rawPrediction", "probability", "prediction", "__p")
 
@@ -240,8 +228,3 @@ def evaluate_params(spark: SparkSession, train: DataFrame, valid: DataFrame, pre
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
-
-
-def best_params(trials: DataFrame) -> DataFrame:
-    """M-BEST."""
-    return trials.orderBy(F.desc("auc"), F.col(trials.columns[0])).limit(1)

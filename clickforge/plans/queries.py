@@ -681,7 +681,7 @@ def q_format_submission(spark, sf):
 from clickforge.models import auc as M_AUC  # noqa: E402
 from clickforge.models import gbt as M  # noqa: E402
 
-MODEL_PARAMS = {"num_boost_round": 5, "max_depth": 3, "min_child_samples": 5, "max_bin": 32,
+MODEL_PARAMS = {"num_boost_round": 20, "max_depth": 5, "min_child_samples": 20, "max_bin": 50,
                 "scale_pos_weight": 2.0, "subsample": 0.8, "colsample_bytree": 0.7, "seed": 7}
 _MODEL_FRAMES: dict = {}
 
@@ -702,9 +702,15 @@ def model_frame(spark: SparkSession, sf: str) -> DataFrame:
     return _MODEL_FRAMES[key]
 
 
-def _fitted(spark, sf, params=None):
-    mf = model_frame(spark, sf)
-    return mf, M.fit(mf.filter(F.col("split") == "train"), model_predictors(), "label", params or MODEL_PARAMS)
+_FITTED: dict = {}
+
+
+def _fitted(spark, sf):
+    """The model frame and one model on its train rows, fitted once per session."""
+    mf, key = model_frame(spark, sf), (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        _FITTED[key] = M.fit(mf.filter(F.col("split") == "train"), model_predictors(), "label", MODEL_PARAMS)
+    return mf, _FITTED[key]
 
 
 @register("auc_rank", """,
@@ -780,17 +786,102 @@ def q_rf_pseudo_labels(spark, sf):
     return out.select("row_id", "label", r6("feat_expanding_mean").alias("feat_expanding_mean"))
 
 
+CATEGORICAL = ["device", "os", "channel", "hour"]
+N_TRIALS, FINAL_ROUNDS, PATIENCE = 20, 40, 15
+_CHAINS: dict = {}
+
+
+def model_chain(spark: SparkSession, sf: str) -> dict:
+    """The reference's chain: categorical codes -> one written matrix -> 20
+    trials -> the best one's parameters into the final fit -> early stop on
+    validation AUC -> scores of the test part by the best iteration."""
+    from clickforge.models import categories as K
+    from clickforge.models import trees as TR
+    from clickforge.models import tune as TU
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _CHAINS:
+        return _CHAINS[key]
+    mf, preds = model_frame(spark, sf), model_predictors()
+    codes = [K.fit_codes(mf.filter(F.col("split") == "train"), c, "label") for c in CATEGORICAL]
+    matrix = TU.written_matrix(K.with_codes(mf, codes), preds, "label", "row_id", keep=["split", "click_id"])
+    train, val, test = (matrix.filter(F.col("split") == x) for x in ("train", "val", "test"))
+    table = TU.successive_halving(spark, train, val, M.sample_params(N_TRIALS, seed=0))
+    best = TU.best_trial(table)
+    params = M.merge_params(TU.params_of(best, num_boost_round=FINAL_ROUNDS))
+    model = M.of_matrix(M.gbt_estimator(params, "label").fit(M.with_weight(train, "label", params["scale_pos_weight"])))
+    aucs = TR.staged_auc(model, val, "label", PATIENCE, block_trees=10)
+    stop = max(aucs, key=lambda x: (x[1] if x[1] is not None else -1.0, -x[0]))[0]
+    _CHAINS[key] = {"codes": codes, "table": table, "best": best, "model": model, "aucs": aucs, "stop": stop,
+                    "scores": M.score_matrix(M.first_trees(model, stop), test), "val": val}
+    return _CHAINS[key]
+
+
 @register("tune_trials")
 def q_tune_trials(spark, sf):
-    mf = model_frame(spark, sf)
-    trials = M.sample_params(3, seed=0, base={"num_boost_round": 3})
-    return M.evaluate_params(spark, mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "val"),
-                             model_predictors(), trials, "label", "trial")
+    # M-TUNE: 20 trials by successive halving, one row per trial and rung
+    return model_chain(spark, sf)["table"]
 
 
 @register("best_trial")
 def q_best_trial(spark, sf):
-    return M.best_params(QUERIES["tune_trials"](spark, sf))
+    # M-BEST: typed, and what the chain's final fit uses
+    return model_chain(spark, sf)["best"]
+
+
+@register("tune_trials_check", """,
+t AS (SELECT row_id FROM labelled WHERE row_id < len_train - val_size)
+SELECT r.rung, r.n_trials, r.n_survive, CAST(0 AS BIGINT) AS n_misranked, count(*) AS n_rows
+FROM (VALUES (0, 20::BIGINT, 6::BIGINT, 1), (1, 6::BIGINT, 2::BIGINT, 3), (2, 2::BIGINT, 0::BIGINT, 9)) AS r(rung, n_trials, n_survive, slices)
+JOIN t ON t.row_id % 9 < r.slices
+GROUP BY ALL
+""")
+def q_tune_trials_check(spark, sf):
+    # counts of every rung, rows of its slice, and that no trial that went on
+    # has a lower AUC than one that did not
+    table = model_chain(spark, sf)["table"]
+    worst = F.min(F.when(F.col("survives"), F.col("auc"))).over(Window.partitionBy("rung"))
+    ranked = table.withColumn("worst", worst)
+    return ranked.groupBy("rung").agg(
+        F.count(F.lit(1)).alias("n_trials"), F.count_if("survives").alias("n_survive"),
+        F.count_if(~F.col("survives") & (F.col("auc") > F.col("worst"))).alias("n_misranked"), F.max("rows").alias("n_rows"))
+
+
+@register("model_chain_scores")
+def q_model_chain_scores(spark, sf):
+    return model_chain(spark, sf)["scores"]
+
+
+@register("model_chain_check", """
+SELECT count(*) AS n_rows, count(DISTINCT click_id) AS n_ids, CAST(0 AS BIGINT) AS n_outside, true AS categorical_splits,
+       true AS parameters_used, true AS auc_of_stop
+FROM labelled WHERE row_id >= len_train
+""")
+def q_model_chain_check(spark, sf):
+    # every test row scored; categorical splits in the saved nodes; the best
+    # trial's depth in the fit; the stop's AUC is that of scores by its trees
+    from clickforge.models import trees as TR
+    c = model_chain(spark, sf)
+    nodes = TR.node_table(c["model"]).agg(F.count_if(F.col("categories").isNotNull() & (F.col("left") >= 0)).alias("n")).select(F.col("n") > 0).scalar()
+    depth = c["best"].select(F.col("max_depth") == F.lit(c["model"].stages[-1].getMaxDepth())).scalar()
+    val = M_AUC.auc(M.score_matrix(M.first_trees(c["model"], c["stop"]), c["val"], keep=["label"]), "p", "label")
+    same = val.select(F.abs(F.col("auc") - F.lit(dict(c["aucs"])[c["stop"]])) < 1e-9).scalar()
+    return c["scores"].agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("click_id").alias("n_ids"),
+        F.count_if(~F.coalesce(F.col("p").between(0.0, 1.0), F.lit(False))).alias("n_outside"),
+    ).select("*", nodes.alias("categorical_splits"), depth.alias("parameters_used"), same.alias("auc_of_stop"))
+
+
+@register("gbt_importance_check", f"""
+SELECT CAST({4 + len(catalogue_v27())} AS BIGINT) AS n_features, 100.0 AS total, CAST(0 AS BIGINT) AS n_different
+FROM (SELECT count(*) FROM clicks)
+""")
+def q_gbt_importance_check(spark, sf):
+    # gains from the node table sum to 100 and equal the model's own
+    _, model = _fitted(spark, sf)
+    own = spark.createDataFrame([(p, float(g)) for p, g in zip(model_predictors(), model.stages[-1].featureImportances.toArray())], "feature string, own double")
+    both = M.importance(spark, model, model_predictors()).join(F.broadcast(own), "feature")
+    return both.agg(F.count(F.lit(1)).alias("n_features"), F.round(F.sum("gain"), 6).alias("total"),
+                    F.count_if(F.abs(F.col("gain") - 100 * F.col("own")) > 1e-6).alias("n_different"))
 
 
 @register("variants")
@@ -798,7 +889,7 @@ def q_variants(spark, sf):
     # M-VARIANT: the same snapshot re-fit with other subsample / bin settings.
     mf = model_frame(spark, sf)
     sets = [dict(MODEL_PARAMS, subsample=0.5), dict(MODEL_PARAMS, subsample=0.3),
-            dict(MODEL_PARAMS, max_bin=50)]
+            dict(MODEL_PARAMS, max_bin=255)]
     return M.evaluate_params(spark, mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "val"),
                              model_predictors(), sets, "label", "variant")
 
