@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickforge import schema as S
@@ -29,6 +29,10 @@ def cast_to(c: Column, dtype: str, wrap: bool = False) -> Column:
         return F.pmod(c.cast("long"), F.lit(1 << bits)).cast("long" if bits >= 32 else "int")
     if spark_t in ("int", "smallint", "long"):
         return c.cast("long")
+    if spark_t == "float":
+        # through double: the optimizer takes long -> float -> double for a mere
+        # widening and would leave the rounding to float out
+        return c.cast("double").cast("float")
     return c.cast(spark_t)
 
 
@@ -37,17 +41,6 @@ def fill_zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
-def impute_mean(df: DataFrame, column: str, fit_on: DataFrame | None = None) -> Column:
-    """P-IMPUTE: null -> mean of the column over all rows (row-weighted).
-
-    The mean is a scalar subquery (a one-row aggregate with partial
-    aggregation), so nothing is collected to the driver.
-    """
-    src = fit_on if fit_on is not None else df
-    mean = src.select(F.avg(F.col(column))).scalar()
-    return F.coalesce(F.col(column).cast("double"), mean)
-
-
 def impute_matrix(df: DataFrame, columns, fit_on: DataFrame | None = None) -> DataFrame:
     """P-IMPALL: mean-impute several columns; statistics from ``fit_on``
     (the slice passed in), one pass computing every mean at once."""
@@ -58,16 +51,6 @@ def impute_matrix(df: DataFrame, columns, fit_on: DataFrame | None = None) -> Da
     return out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col("__means").getField(c)) for c in columns}).drop("__means")
 
 
-def apply_null_policy(df: DataFrame, column: str, policy: str) -> Column:
-    if policy == "keep":
-        return F.col(column)
-    if policy == "zero":
-        return fill_zero(F.col(column))
-    if policy == "mean":
-        return impute_mean(df, column)
-    raise ValueError(policy)
-
-
 def hard_label(p: Column, threshold: float = S.HARD_LABEL_THRESHOLD) -> Column:
     """P-THRESH: probability -> 0/1."""
     return (p > F.lit(threshold)).cast("int")
@@ -87,10 +70,13 @@ def categorical_index(df: DataFrame, column: str, name: str | None = None) -> Da
     """P-CAT: frequency-ordered index of a categorical column (most frequent
     value = 0, ties by value), same order as ``StringIndexer``'s default.
 
-    The per-value count table is bounded by the column's domain (uint16 ids:
-    at most 65,536 rows), so it is ordered in one task and broadcast.
+    The per-value counts are indexed by a range sort (``assign_row_id``), so no
+    task holds them all, and broadcast only when they are counted to be few; AQE
+    splits the shuffle join of a column with more.
     """
+    from clickforge.sources.clicks import assign_row_id
+    name = name or f"{column}_idx"
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("__cnt"))
-    idx = counts.select(column, (F.row_number().over(
-        Window.orderBy(F.desc("__cnt"), F.col(column))) - 1).alias(name or f"{column}_idx"))
-    return df.join(F.broadcast(idx), column, "left")
+    index = assign_row_id(counts, [F.desc("__cnt"), F.col(column)], name).select(column, name)
+    small = index.count() <= S.MAX_BROADCAST_ROWS
+    return df.join(F.broadcast(index) if small else index, column, "left")

@@ -74,9 +74,17 @@ def composite_key(*cols, sep: str = "_") -> Column:
     return F.concat_ws(sep, *[_c(c).cast("string") for c in cols])
 
 
-def hash_bucket(key, buckets: int = S.HASH_BUCKETS) -> Column:
+def digest_number(key) -> Column:
+    """The first 32 bits of a key's MD5: the same number in every engine."""
+    return F.conv(F.substring(F.md5(_c(key).cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def hash_bucket(key, buckets: int = S.HASH_BUCKETS, portable: bool = False) -> Column:
     """Stable key -> bucket in [0, buckets).  Same role as a per-process
-    string hash mod 2^26, but reproducible across runs and executors."""
+    string hash mod 2^26, but reproducible across runs and executors;
+    ``portable`` (a string key, at most 2^32 buckets): in other engines too."""
+    if portable:
+        return digest_number(key) % F.lit(buckets)
     return F.pmod(F.xxhash64(_c(key)), F.lit(buckets)).cast("long")
 
 
@@ -98,9 +106,5 @@ def share_pct(c, total: Column) -> Column:
 
 def minutes_since(epoch_col, first_epoch: Column) -> Column:
     """Whole minutes since the first row (truncated)."""
-    return F.floor((_c(epoch_col) - first_epoch) / F.lit(60)).cast("long")
-
-
-def wrap(c, bits: int) -> Column:
-    """Unsigned wrap-around cast, like numpy ``astype('uint8')`` on a wider int."""
-    return F.pmod(_c(c).cast("long"), F.lit(1 << bits)).cast("int" if bits <= 16 else "long")
+    # a cast drops the fraction toward zero, a floor would not before the first row
+    return ((_c(epoch_col) - first_epoch) / F.lit(60)).cast("long")

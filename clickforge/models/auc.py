@@ -90,21 +90,9 @@ def auc(df: DataFrame, score: str, label: str, n_parts: int | None = None) -> Da
               .agg(F.max("auc").alias("auc"))
 
 
-def auc_value(df: DataFrame, score: str, label: str) -> float | None:
-    row = auc(df, score, label).first()
-    return None if row is None else row["auc"]
-
-
 def auc_evaluator(df: DataFrame, score: str, label: str) -> float:
     """Same number from MLlib's evaluator (exact with numBins=0)."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, metricName="areaUnderROC",
                                        numBins=0)
     return ev.evaluate(df.select(F.col(score).cast("double").alias(score), F.col(label).cast("double").alias(label)))
-
-
-def auc_sql_expr() -> str:
-    """Reference formula in SQL (average ranks), used by the DuckDB oracle."""
-    return ("(sum(CASE WHEN y = 1 THEN r END) - count(CASE WHEN y = 1 THEN 1 END) * "
-            "(count(CASE WHEN y = 1 THEN 1 END) + 1) / 2.0) / "
-            "(count(CASE WHEN y = 1 THEN 1 END) * count(CASE WHEN y = 0 THEN 1 END))")

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickforge import schema as S
 
@@ -186,12 +187,37 @@ def no_group_value(op: str, opts: dict, epoch: str = "epoch") -> Column | None:
     return None
 
 
-def global_lag(df: DataFrame, column: str, name: str | None = None, order: str = "row_id") -> DataFrame:
-    """W-GLAG: the previous row's value over the whole table.
+def global_lag(df: DataFrame, column: str, name: str | None = None, order: str | list = "row_id") -> DataFrame:
+    """W-GLAG: the previous row's value over the whole table, in any order
+    (``order``: a column, or a list of columns and expressions).
 
-    ``order`` is a dense index, so the previous row is ``order - 1``: an
-    equi-join on a unique key instead of an unpartitioned window (which
-    would pull the table into one task).
+    The rows are range-partitioned and sorted once and kept as a reliable
+    checkpoint, so the input runs once and both uses see the same partitions.
+    Inside a partition the column is shifted batch by batch; a partition's first
+    row takes the last value of the one before (one row per partition).
     """
-    prev = df.select((F.col(order) + 1).alias(order), F.col(column).alias(name or f"{column}_shift"))
-    return df.join(prev, order, "left")
+    from clickforge.session import cut_lineage
+    name = name or f"{column}_shift"
+    by = [order] if isinstance(order, str) else list(order)
+    rows = cut_lineage(df.repartitionByRange(*by).sortWithinPartitions(*by))
+    place = rows.withColumn("__pid", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    last = place.groupBy("__pid").agg(F.max_by(F.struct(F.col(column).alias("v")), "__at").alias("last"))
+    carried = last.select("__pid", F.lag("last").over(Window.orderBy("__pid")).alias("__carried"))
+    kind = rows.schema[column].dataType
+    at = place.columns.index(column)
+
+    def shift(batches):
+        import pyarrow as pa
+        tail = None
+        for b in batches:
+            if b.num_rows:
+                v = b.column(at)
+                tail = pa.nulls(1, v.type) if tail is None else tail
+                before = pa.concat_arrays([tail, v.slice(0, len(v) - 1)])
+                tail = v.slice(len(v) - 1)
+                yield pa.RecordBatch.from_arrays([*b.columns, before], [*b.schema.names, "__before"])
+
+    out = place.mapInArrow(shift, T.StructType([*place.schema.fields, T.StructField("__before", kind)]))
+    first = F.col("__at") == F.shiftleft(F.col("__pid").cast("long"), 33)
+    out = out.join(F.broadcast(carried), "__pid", "left")
+    return out.select(*df.columns, F.when(first, F.col("__carried.v")).otherwise(F.col("__before")).alias(name))

@@ -49,7 +49,8 @@ def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT
            hot_rows: int | None = None, wrap: bool = False, order: str = "row_id", epoch: str = "epoch",
            fit_on: DataFrame | None = None, keep_columns: bool = True,
            n_rows: int | None = None, max_broadcast_rows: int = S.MAX_BROADCAST_ROWS,
-           cache_root: str | None = None, input_tag: str | None = None) -> DataFrame:
+           cache_root: str | None = None, input_tag: str | None = None,
+           cache_parts: list[DataFrame] | None = None) -> DataFrame:
     """Same rows in and out, one new column per spec name.
 
     ``fit_on``: rows the group statistics are computed from (default: all
@@ -66,7 +67,9 @@ def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT
     aggregate family's group table is read from ``cache_root`` when a table
     for the same keys, aggregates, ``input_tag`` (required), input files and
     plan over them (``fit_on``'s, if given) was written before, and computed
-    and written once otherwise.
+    and written once otherwise.  ``cache_parts``: the ranges that make up the
+    input (a file set per day, say).  What is written is then one mergeable
+    state per range (``operators.states``), so a new range adds only its rows.
     """
     if cache_root and not input_tag:
         raise ValueError("cache_root needs an input_tag that names the input")
@@ -78,7 +81,11 @@ def _build(df: DataFrame, specs: list[FeatureSpec], *, chunk_rows: int = DEFAULT
         n_rows = df.count()
     if hot_rows is None:
         hot_rows = max(chunk_rows, -(-n_rows // S.MAX_HOT_KEYS))
-    _STATE.cache = (cache_root, [input_tag, *_source_id(src)]) if cache_root else None
+    if cache_root:
+        parts = [(p, [input_tag, *_source_id(p)]) for p in cache_parts] if cache_parts else None
+        _STATE.cache = (cache_root, None if parts else [input_tag, *_source_id(src)], parts)
+    else:
+        _STATE.cache = None
     n_parts = _small_partitions(df) if n_rows <= chunk_rows else None
 
     # families that are attached from a group table: small ones by broadcast, those
@@ -335,17 +342,29 @@ def _group_table(df: DataFrame, keys, fam, count_name: str = "__n", n_parts: int
     cache = getattr(_STATE, "cache", None)
     if cache is None:
         return table()
+    from clickforge.operators import states
+    root, source, parts = cache
+    what = [list(keys), count_name, [(s.name, s.op, s.column) for s in fam]]
+    if parts is None:
+        return _kept(root, "groups", [what, source], table)
+    moments = [_kept(root, "moments", [list(keys), states.moment_columns(fam), ident],
+                     lambda p=p: states.moments(p, keys, states.moment_columns(fam))) for p, ident in parts]
+    values = {c: [_kept(root, "values", [list(keys), c, ident], lambda p=p, c=c: states.distinct_values(p, keys, c)) for p, ident in parts]
+              for c in states.distinct_columns(fam)}
+    return states.group_table(moments, values, keys, fam, count_name)
+
+
+def _kept(root: str, kind: str, what: list, make) -> DataFrame:
+    """The table that stands for ``what`` under ``root``, made and written if it is not there."""
     import hashlib
     import json
     from clickforge.sources.store import _exists
-    root, source = cache
-    sig = json.dumps([sorted(keys), count_name, [(s.name, s.op, s.column) for s in fam], source])
-    path = f"{root.rstrip('/')}/groups-{hashlib.sha1(sig.encode()).hexdigest()[:16]}"
-    spark = df.sparkSession
-    if not _exists(spark, path):
+    path = f"{root.rstrip('/')}/{kind}-{hashlib.sha1(json.dumps(what).encode()).hexdigest()[:16]}"
+    made = make()
+    if not _exists(made.sparkSession, path):
         # what is there without a success mark is the rest of a failed write
-        table().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        made.write.mode("overwrite").parquet(path)
+    return made.sparkSession.read.schema(made.schema).parquet(path)
 
 
 def _source_id(src: DataFrame) -> list:

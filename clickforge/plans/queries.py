@@ -20,7 +20,7 @@ from clickforge.operators import aggregate as A
 from clickforge.operators import ordered as W
 from clickforge.operators import split as T
 from clickforge.plans.features import build_features
-from clickforge.plans.specs import (FeatureSpec, catalogue_all, catalogue_nb977, catalogue_v21, catalogue_v26,
+from clickforge.plans.specs import (FeatureSpec, catalogue_all, catalogue_nb977, catalogue_v18, catalogue_v21, catalogue_v26,
                                     catalogue_v27)
 from clickforge.sources import clicks as C
 
@@ -31,7 +31,7 @@ ORACLE: dict[str, str] = {}
 CLICKS_CTE = """
 WITH clicks AS (
   SELECT event_id AS row_id,
-         CAST(user_id AS INTEGER) AS ip,
+         CAST(user_id AS BIGINT) AS ip,
          CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'view' THEN 2
                          WHEN 'signup' THEN 3 ELSE 4 END AS app,
          CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS device,
@@ -90,6 +90,7 @@ def register(name: str, sql: str | None = None):
 # Shared inputs
 # ---------------------------------------------------------------------------
 _INGESTED: dict = {}
+_INGESTED_PATH: dict = {}
 
 
 def ingested(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,10 +99,17 @@ def ingested(spark: SparkSession, sf: str) -> DataFrame:
     from clickforge.session import shared_path
     key = (spark.sparkContext.applicationId, sf)
     if key not in _INGESTED:
-        _INGESTED[key] = C.ingest(C.load_clicks(spark, sf, extra=("value",)), shared_path(spark, "clicks"))
+        path = shared_path(spark, "clicks")
+        _INGESTED[key] = C.ingest(C.load_clicks(spark, sf, extra=("value",)), path)
+        _INGESTED_PATH[key] = path
     return _INGESTED[key]
 
 
+def ingested_path(spark: SparkSession, sf: str) -> str:
+    ingested(spark, sf)
+    return _INGESTED_PATH[(spark.sparkContext.applicationId, sf)]
+
+
 def clicks(spark: SparkSession, sf: str, parts=("hour", "day", "epoch"), extra=()) -> DataFrame:
     base = ingested(spark, sf)
     base = base.select(*C.CLICK_COLUMNS, *extra)
@@ -341,16 +349,29 @@ def q_aligned_vector(spark, sf):
     return base.join(fam, "row_id", "left").select("row_id", "ip", big("X7").alias("X7"))
 
 
-@register("hash_bucket_next_gap")
+@register("hash_bucket_next_gap", """,
+h AS (SELECT row_id, epoch, CAST('0x' || substr(md5(concat_ws('_', ip, app, device, os)), 1, 8) AS BIGINT) % 67108864 AS category FROM clicks)
+SELECT row_id, category,
+       CAST(coalesce(lead(epoch) OVER (PARTITION BY category ORDER BY row_id), 3000000000) - epoch AS BIGINT) AS "nextClick"
+FROM h
+""")
 def q_hash_bucket_next_gap(spark, sf):
     # W-NEXTB / X-HASH: next click over a hashed composite key (2^26 buckets).
-    # xxhash64 has no DuckDB twin, so this one is checked on rows only.
     df = clicks(spark, sf)
-    df = df.withColumn("category", X.hash_bucket(X.composite_key("ip", "app", "device", "os")))
+    df = df.withColumn("category", X.hash_bucket(X.composite_key("ip", "app", "device", "os"), portable=True))
     out = _bf(df, [FeatureSpec("next", ("category",), None, "nextClick", "long")])
     return out.select("row_id", "category", "nextClick")
 
 
+@register("global_lag_by_time", """
+SELECT event_id, event_type, lag(event_type) OVER (ORDER BY ts DESC, event_id) AS before FROM events
+""")
+def q_global_lag_by_time(spark, sf):
+    # W-GLAG in an order that is no dense index, over a string column
+    return W.global_lag(C.table(spark, sf, "events").select("event_id", "event_type", "ts"), "event_type", "before",
+                        [F.desc("ts"), F.col("event_id")]).select("event_id", "event_type", "before")
+
+
 # ---------------------------------------------------------------------------
 # X-* scalar functions
 # ---------------------------------------------------------------------------
@@ -447,9 +468,20 @@ _catalogue_query("features_v27", catalogue_v27)
 _catalogue_query("features_v26", catalogue_v26)
 _catalogue_query("features_v21", catalogue_v21)
 _catalogue_query("features_nb977", catalogue_nb977)
+_catalogue_query("features_v18", catalogue_v18)
 _catalogue_query("features_all58", catalogue_all)
 
 
+@register("features_nb977_shift", f"""
+SELECT *, lag("nextClick") OVER (ORDER BY row_id) AS "nextClick_shift" FROM ({{}})
+""".format(features_sql(catalogue_nb977())))
+def q_features_nb977_shift(spark, sf):
+    # the whole set of that version, its lag over the whole table included
+    specs = catalogue_nb977()
+    out = _features_out(_bf(clicks(spark, sf), specs), specs)
+    return W.global_lag(out, "nextClick", "nextClick_shift")
+
+
 # ---------------------------------------------------------------------------
 # Reports: A-DAY, P-BOOL, A-LABEL, A-STAT, A-FIRST, A-SHAPE
 # ---------------------------------------------------------------------------
@@ -527,10 +559,11 @@ SELECT row_id, ip, app, channel FROM clicks
 WHERE row_id >= (SELECT count(*) FROM clicks) * 2 / 10 AND row_id < (SELECT count(*) FROM clicks) * 5 / 10
 """)
 def q_row_range(spark, sf):
-    # S-RANGE: rows [20 %, 50 %) of the log; the bound is pushed to the scan.
-    df = C.load_clicks(spark, sf)
-    n = C.n_rows(df)
-    return C.row_range(df, F.ceil(n * 2 / 10).cast("long"), F.ceil(n * 5 / 10).cast("long")).select("row_id", "ip", "app", "channel")
+    # S-RANGE: rows [20 %, 50 %) of the log; the row count and the files to
+    # open come from the zone table, the literal bounds go to the scan.
+    path = ingested_path(spark, sf)
+    n = C.read_zones(spark, path).agg(F.sum("n")).first()[0] or 0
+    return C.read_rows(spark, path, -(-n * 2 // 10), -(-n * 5 // 10)).select("row_id", "ip", "app", "channel")
 
 
 @register("head_n", """
@@ -549,9 +582,12 @@ def q_row_at(spark, sf):
     return C.row_at(df, F.floor(C.n_rows(df) / 2).cast("long")).select("row_id", "ip", "app", "device", "os", "channel")
 
 
-@register("debug_sample")
+@register("debug_sample", """
+SELECT row_id, ip, app FROM clicks
+WHERE CAST('0x' || substr(md5('7/' || CAST(row_id AS VARCHAR)), 1, 8) AS BIGINT) < 429496729
+""")
 def q_debug_sample(spark, sf):
-    # S-DEBUG: seeded Bernoulli sample (no SQL twin for Spark's sampler).
+    # S-DEBUG: a tenth of the rows, by a digest that both engines have.
     return C.debug_sample(C.load_clicks(spark, sf), fraction=0.1, seed=7).select("row_id", "ip", "app")
 
 
@@ -914,7 +950,7 @@ def q_csv_roundtrip(spark, sf):
     path = shared_path(spark, "clicks-csv")
     df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     schema = Ty.StructType([Ty.StructField("row_id", Ty.LongType())] +
-                           [Ty.StructField(c, Ty.IntegerType()) for c in ("ip", "app", "device", "os", "channel")] +
+                           [Ty.StructField(c, Ty.LongType() if c == "ip" else Ty.IntegerType()) for c in ("ip", "app", "device", "os", "channel")] +
                            [Ty.StructField("click_time", Ty.TimestampNTZType()),
                             Ty.StructField("is_attributed", Ty.IntegerType())])
     return C.read_click_csv(spark, path, schema, C.CLICK_COLUMNS, time_format="yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -931,6 +967,39 @@ def q_snapshot_roundtrip(spark, sf):
     return _features_out(ST.read_snapshot(spark, path), specs)
 
 
+@register("snapshot_stats", """
+SELECT count(*) AS n_rows, max(ip_app_count) AS ip_app_count_max, min(ip_app_count) AS ip_app_count_min,
+       round(avg(ip_app_count), 6) AS ip_app_count_mean
+FROM (SELECT CAST(count(*) OVER (PARTITION BY ip, app) AS BIGINT) AS ip_app_count FROM clicks)
+""")
+def q_snapshot_stats(spark, sf):
+    # A-STAT / A-SHAPE in passing: observed while the snapshot is written
+    st = ST.write_snapshot_stats(q_count_by_key(spark, sf), shared_path(spark, "snapshot-stats"), ["ip_app_count"])
+    return st.withColumn("ip_app_count_mean", r6("ip_app_count_mean"))
+
+
+@register("feature_cache_ranges", """
+SELECT row_id, CAST(count(*) OVER w AS BIGINT) AS n, CAST(count(DISTINCT channel) OVER w AS BIGINT) AS nu,
+       round(avg(hour) OVER w, 6) AS m, round(var_samp(hour) OVER w, 6) AS v,
+       round(CASE WHEN count(hour) OVER w < 3 THEN NULL WHEN var_pop(hour) OVER w = 0 THEN 0 ELSE skewness(hour) OVER w END, 6) AS s
+FROM clicks WINDOW w AS (PARTITION BY ip, app)
+""")
+def q_feature_cache_ranges(spark, sf):
+    # S-FCACHE by range: states of two ranges are there when a third is added;
+    # only its rows are aggregated, and the merged table is that of one pass.
+    root, df = shared_path(spark, "range-cache"), clicks(spark, sf)
+    n = C.read_zones(spark, ingested_path(spark, sf)).agg(F.sum("n")).first()[0] or 0
+    cuts = [0, n * 2 // 5, n * 3 // 4, n]
+    parts = [C.row_range(df, a, b) for a, b in zip(cuts, cuts[1:])]
+    keys = ("ip", "app")
+    specs = [FeatureSpec("count", keys, None, "n"), FeatureSpec("nunique", keys, "channel", "nu"),
+             FeatureSpec("mean", keys, "hour", "m", "double", "keep"), FeatureSpec("var", keys, "hour", "v", "double", "keep"),
+             FeatureSpec("skew", keys, "hour", "s", "double", "keep")]
+    _bf(C.row_range(df, 0, cuts[2]), specs, cache_root=root, input_tag="log", cache_parts=parts[:2])
+    out = _bf(df, specs, cache_root=root, input_tag="log", cache_parts=parts)
+    return _features_out(out, specs)
+
+
 @register("snapshot_test_split", """
 SELECT row_id, click_id FROM labelled WHERE row_id >= len_train
 """)
@@ -975,16 +1044,12 @@ SELECT name, role, ordinal, (SELECT count(*) FROM clicks) AS n_rows FROM (VALUES
       + """) AS t(name, role, ordinal)
 """)
 def q_manifest(spark, sf):
-    # S-MANI: predictor / categorical lists written next to the snapshot.
-    from clickforge.plans.features import feature_schema
-    base = clicks(spark, sf)
+    # S-MANI: names, roles, order and row count as the written snapshot has them.
+    feats = _bf(clicks(spark, sf), catalogue_v27())
     preds = model_predictors()
-    path = shared_path(spark, "manifest")
-    ST.write_manifest(spark, path, feature_schema(base, catalogue_v27()), preds,
-                      ["device", "os", "channel", "hour"], rows_of=base)
-    p2, cats = ST.read_manifest(spark, path)
-    assert p2 == preds and cats == ["device", "os", "channel", "hour"]
-    return spark.read.schema(ST.MANIFEST_SCHEMA).json(path).select("name", "role", "ordinal", "n_rows")
+    snap = shared_path(spark, "manifest-snapshot")
+    ST.write_snapshot(ST.with_roles(feats.select("row_id", *preds), ["device", "os", "channel", "hour"], other=["row_id"]), snap)
+    return ST.snapshot_manifest(spark, snap, shared_path(spark, "manifest")).select("name", "role", "ordinal", "n_rows")
 
 
 @register("submission_csv", """

@@ -164,6 +164,35 @@ def catalogue_v26() -> list[FeatureSpec]:
     ]
 
 
+def catalogue_v18() -> list[FeatureSpec]:
+    """Version 18: the unique-count, running-count and group features of the
+    later versions with variances by device and channel, and gaps on devices."""
+    later = {s.name: s for s in catalogue_v27()}
+    return [later[f"X{i}"] for i in range(9)] + [
+        _s("count", ["ip", "day", "hour"], None, "ip_tcount"),
+        _s("count", ["ip", "app"], None, "ip_app_count"),
+        _s("count", ["ip", "app", "os"], None, "ip_app_os_count", "uint16"),
+        _s("var", ["ip", "day", "channel"], "hour", "ip_tchan_count"),
+        _s("var", ["ip", "app", "os"], "hour", "ip_app_os_var"),
+        _s("var", ["ip", "app", "channel"], "day", "ip_app_channel_var_day"),
+        _s("mean", ["ip", "app", "channel"], "hour", "ip_app_channel_mean_hour"),
+        _s("var", ["ip", "app", "channel"], "hour", "ip_app_channel_var_hour"),
+        _s("nunique", ["device"], "day", "device_day_countuniq", "uint32"),
+        _s("var", ["device"], "day", "device_day_var"),
+        _s("nunique", ["device", "day"], "hour", "device_day_hour_countuniq", "uint32"),
+        _s("var", ["device", "day"], "hour", "device_day_hour_var"),
+        _s("nunique", ["channel", "day"], "hour", "channel_day_hour_countuniq", "uint32"),
+        _s("var", ["channel", "day"], "hour", "channel_day_hour_var"),
+        _s("nunique", ["ip", "channel"], "app", "ip_channel_app_countuniq", "uint32"),
+        _s("nunique", ["ip"], "device", "ip_device_countuniq", "uint32"),
+        _s("next", ["ip", "app", "device", "os"], None, "next_click_0", "float"),
+        _s("next", ["device"], None, "next_click_1", "float"),
+        _s("next", ["device", "channel"], None, "next_click_2", "float"),
+        _s("next", ["app", "device", "channel"], None, "next_click_3", "float"),
+        _s("next", ["device", "hour"], None, "next_click_4", "float"),
+    ]
+
+
 def catalogue_v21() -> list[FeatureSpec]:
     """Gap features on low-cardinality keys: few keys, each huge.  This is
     the skew stress case of the chunked window."""
@@ -289,5 +318,5 @@ def catalogue_all() -> list[FeatureSpec]:
 
 CATALOGUES = {
     "all": catalogue_all,
-    "v21": catalogue_v21, "v26": catalogue_v26, "v27": catalogue_v27, "nb977": catalogue_nb977,
+    "v18": catalogue_v18, "v21": catalogue_v21, "v26": catalogue_v26, "v27": catalogue_v27, "nb977": catalogue_nb977,
 }

@@ -7,12 +7,16 @@ ordered features order by it; it is the file (= time) order of the log.
 
 from __future__ import annotations
 
+import json
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickforge import schema as S
+from clickforge.functions.scalar import digest_number
 
 CLICK_COLUMNS = ["row_id", "ip", "app", "device", "os", "channel", "click_time", "is_attributed"]
 
@@ -43,7 +47,7 @@ def click_view(events: DataFrame, extra=()) -> DataFrame:
     k = F.col("__k")
     return parsed.select(
         F.col("event_id").alias("row_id"),
-        F.col("user_id").cast("int").alias("ip"),
+        F.col("user_id").cast("long").alias("ip"),
         _app_code(F.col("event_type")).alias("app"),
         (k % 4).alias("device"),
         (F.floor(F.col("value")).cast("int") % 10).alias("os"),
@@ -72,10 +76,50 @@ def ingest(df: DataFrame, path: str, order: str = "row_id") -> DataFrame:
     par = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < par:
         df = df.repartitionByRange(par, order)
-    df.write.mode("overwrite").parquet(path)
+    # the id columns' bounds are what broadcasts rely on (schema.KEY_DOMAIN): seen in the same pass
+    bounded = [c for c in S.KEY_DOMAIN if c in df.columns]
+    seen = Observation()
+    watched = df.observe(seen, *[f(c).alias(f"{c}_{n}") for c in bounded for f, n in ((F.min, "low"), (F.max, "high"))]) if bounded else df
+    watched.write.mode("overwrite").parquet(path)
+    for c in bounded:
+        low, high = seen.get[f"{c}_low"], seen.get[f"{c}_high"]
+        if low is not None and not 0 <= low <= high < S.KEY_DOMAIN[c]:
+            raise ValueError(f"{c} has values from {low} to {high}, outside 0 to {S.KEY_DOMAIN[c] - 1}")
+    write_zones(spark, path, order)
     return spark.read.parquet(path)
 
 
+# --------------------------------------------------------------------------
+# S-RANGE over written tables: a zone per file
+# --------------------------------------------------------------------------
+def write_zones(spark: SparkSession, path: str, order: str = "row_id") -> None:
+    """Zone table of a written log: file, least and largest ``order``, rows, and
+    the log's schema, in a folder of it that scans skip."""
+    df = spark.read.parquet(path)
+    zones = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(order).alias("low"), F.max(order).alias("high"), F.count(F.lit(1)).alias("n"))
+    zones.withColumn("schema", F.lit(df.schema.json())).coalesce(1).write.mode("overwrite").parquet(f"{path}/_zones")
+
+
+def read_zones(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("file string, low long, high long, n long, schema string").parquet(f"{path}/_zones")
+
+
+def read_rows(spark: SparkSession, path: str, start: int, stop: int, order: str = "row_id") -> DataFrame:
+    """Rows [start, stop) of a written log.  Only files whose zone meets the
+    range are listed and opened; inside them the literal bounds are pushed to
+    the scan, whose statistics skip row groups.  The driver holds the names of
+    the range's files."""
+    zones = read_zones(spark, path)
+    hit = zones.filter((F.col("high") >= start) & (F.col("low") < stop)).select("file").orderBy("low").collect()
+    schema = T.StructType.fromJson(json.loads(zones.select("schema").first()["schema"]))
+    if not hit:
+        return spark.createDataFrame([], schema)
+    # names in the zone table are URIs, percent-encoded
+    df = spark.read.schema(schema).parquet(*[unquote(r["file"]) for r in hit])
+    return df.filter((F.col(order) >= F.lit(int(start)).cast("long")) & (F.col(order) < F.lit(int(stop)).cast("long")))
+
+
 # --------------------------------------------------------------------------
 # S-CSV: typed, column-pruned CSV read with a timestamp parse
 # --------------------------------------------------------------------------
@@ -92,13 +136,24 @@ def read_click_csv(spark: SparkSession, path: str, schema: T.StructType = S.TRAI
 # --------------------------------------------------------------------------
 # O-ROW: dense row index
 # --------------------------------------------------------------------------
+def _plain_scan(plan) -> bool:
+    kind, children = plan.nodeName(), plan.children()
+    if children.isEmpty():
+        return kind in ("LogicalRelation", "Relation")
+    return kind in ("Project", "Filter", "SubqueryAlias") and children.size() == 1 and _plain_scan(children.head())
+
+
 def _file_order(df: DataFrame, name: str) -> DataFrame | None:
-    """Dense index of a file scan in file order, None if df is no file scan.
+    """Dense index of a file scan in file order, None if df is anything but
+    projections and filters over one.
 
     The rows of a split stand together in one partition, in file order; a count
     per split and a running sum over splits ordered by path and start give each
     split its offset.  One row per split, so the broadcast is bounded by them.
     """
+    # a shuffle, join, sort or union in between would deal a split's rows anew
+    if not _plain_scan(df._jdf.queryExecution().analyzed()):
+        return None
     try:
         rows = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"))
     except AnalysisException:
@@ -126,16 +181,18 @@ def assign_row_id(df: DataFrame, order_cols: list[str] | None = None, name: str
     With an order, the range-partitioned, sorted rows are first written as a
     reliable checkpoint to the shared folder: the partition counts and the
     rows must see the *same* partitions, and range bounds are sampled anew
-    each time a range exchange is recomputed.  File-order input needs no
-    checkpoint (file splits are deterministic).
+    each time a range exchange is recomputed.  So are the rows of any frame that
+    is not a plain scan, as its partitions may be dealt anew by a second run.
+    File-order input needs no checkpoint (file splits are deterministic).
     """
+    from clickforge.session import cut_lineage
     if order_cols:
-        from clickforge.session import cut_lineage
         df = cut_lineage(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols))
     else:
         by_file = _file_order(df, name)
         if by_file is not None:
             return by_file
+        df = cut_lineage(df)
     pid = "__pid"
     with_pid = df.withColumn(pid, F.spark_partition_id()).withColumn(
         "__mono", F.monotonically_increasing_id())
@@ -175,10 +232,12 @@ def row_at(df: DataFrame, n) -> DataFrame:
 
 
 def debug_sample(df: DataFrame, n_rows: int | None = None, fraction: float | None = None,
-                 seed: int = 0) -> DataFrame:
-    """Small-sample mode: a seeded Bernoulli sample, or the first n rows."""
+                 seed: int = 0, key: str = "row_id") -> DataFrame:
+    """Small-sample mode: the rows whose key's digest falls into a fraction of
+    its range, or the first n rows.  A row is in or out whatever the layout of
+    the input, and a larger fraction holds the smaller one's rows."""
     if fraction is not None:
-        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+        return df.filter(digest_number(F.concat_ws("/", F.lit(str(seed)), F.col(key).cast("string"))) < int(fraction * (1 << 32)))
     if n_rows is None:
         raise ValueError("give a fraction or a number of rows")
     return head(df, n_rows)
@@ -192,13 +251,6 @@ def n_rows(df: DataFrame) -> Column:
     return df.select(F.count(F.lit(1))).scalar()
 
 
-def len_train_of(df: DataFrame, test_fraction: float = 0.2) -> Column:
-    """Number of labelled rows: everything before the last ``test_fraction``."""
-    n = n_rows(df)
-    keep = int(round((1.0 - test_fraction) * 100))
-    return F.floor(n * F.lit(keep) / F.lit(100)).cast("long")
-
-
 def label_rows(df: DataFrame, len_train: Column | int, sentinel: int | None = None) -> DataFrame:
     """Hide the label of the unlabelled tail and give those rows a click id.
 

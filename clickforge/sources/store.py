@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,19 @@ def write_snapshot(df: DataFrame, path: str, partition_by: str | None = "split")
     return True
 
 
+def write_snapshot_stats(df: DataFrame, path: str, columns: list[str], partition_by: str | None = "split") -> DataFrame:
+    """A-STAT / A-SHAPE in passing: the snapshot is written and, in the same
+    pass, its rows counted and least, largest and mean of ``columns`` taken;
+    one row: n_rows, <column>_max, <column>_min, <column>_mean."""
+    seen = Observation()
+    stats = [f(c).alias(f"{c}_{n}") for c in columns for f, n in ((F.max, "max"), (F.min, "min"), (F.avg, "mean"))]
+    if not write_snapshot(df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *stats), path, partition_by):
+        raise FileExistsError(path)
+    return df.sparkSession.createDataFrame([seen.get], T.StructType(
+        [T.StructField("n_rows", T.LongType())] + [T.StructField(f"{c}_{n}", T.DoubleType() if n == "mean" else df.schema[c].dataType)
+                                                   for c in columns for n in ("max", "min", "mean")]))
+
+
 def read_snapshot(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.filter(F.col("split") == split) if split else df
@@ -114,6 +127,22 @@ def manifest_frame(spark: SparkSession, df: DataFrame, predictors, categorical,
     return spark.createDataFrame(rows, names).withColumn("n_rows", src.select(F.count(F.lit(1))).scalar())
 
 
+def with_roles(df: DataFrame, categorical, other=()) -> DataFrame:
+    """Columns marked with their role (categorical, numeric, or none for
+    ``other``); written tables keep the marks."""
+    role = lambda c: {} if c in other else {"role": "categorical" if c in categorical else "numeric"}
+    return df.select(*[F.col(c).alias(c, metadata=role(c)) for c in df.columns])
+
+
+def snapshot_manifest(spark: SparkSession, snapshot_path: str, path: str) -> DataFrame:
+    """S-MANI from the written snapshot alone: its marked columns in their order,
+    their types and its row count, written to ``path`` and read back."""
+    snap = spark.read.parquet(snapshot_path)
+    marked = [f for f in snap.schema.fields if "role" in f.metadata]
+    write_manifest(spark, path, snap, [f.name for f in marked], [f.name for f in marked if f.metadata["role"] == "categorical"])
+    return spark.read.schema(MANIFEST_SCHEMA).json(path)
+
+
 def write_manifest(spark: SparkSession, path: str, df: DataFrame, predictors, categorical,
                    rows_of: DataFrame | None = None) -> None:
     manifest_frame(spark, df, predictors, categorical, rows_of).coalesce(1).write.mode("overwrite").json(path)
