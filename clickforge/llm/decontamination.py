@@ -1,18 +1,25 @@
 """Benchmark decontamination with DataFrame functions only.
 
-1. Texts become arrays of word shingle hashes.  A window as long as an item
-   can only be similar to it where it shares shingles, so the exploded
-   shingles of all documents meet those of the benchmark, and each common
-   shingle names one window: the item-sized one that lines it up.
-2. Windows and items get 64-bit SimHash fingerprints.  A multi-index of
-   RADIUS + 1 bit blocks finds every pair within RADIUS: by the pigeonhole
+1. Texts and items become arrays of word shingle hashes.  An item's windows in a
+   text are its runs of as many shingles as the item has.  A window can only be
+   similar enough to an item of its size if so many of its shingles occur in
+   items of that size; the sorted positions of such shingles give exactly the
+   starts of all windows for which this holds, whichever item they may be
+   similar to and however its parts are ordered.
+2. Each distinct window content and each item gets a 64-bit SimHash fingerprint.
+   A multi-index of RADIUS + 1 bit blocks, joined on the block's bits alone
+   (of one window size), finds every pair within RADIUS: by the pigeonhole
    principle such a pair agrees in at least one block.
 3. Pairs within the radius are verified by their exact similarity: the
    weighted Jaccard of their shingles, each weighing as often as it occurs.
+
+Contents are fingerprinted and verified once, however many documents hold them.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +50,13 @@ SIMHASH = ("aggregate(sequence(0, 63), 0L, (f, b) -> f | if(2 * aggregate(w, 0,
            "shiftleft(1L, b), 0L))")
 
 
+#: SQL of the starts of all windows of m shingles with at least ``need`` of the sorted positions p, in a text of n shingles.
+#: Position i is a window's first one if the window starts after position i - 1, so no start is named twice.
+STARTS = ("if(n <= m, if(size(p) >= need, array(0), array()), flatten(transform(sequence(0, size(p) - need), "
+          "i -> transform(array(struct(greatest(p[i + need - 1] - m + 1, if(i = 0, 0, p[greatest(i - 1, 0)] + 1), 0) as low, least(p[i], n - m) as high)), "
+          "r -> if(r.low <= r.high, sequence(r.low, r.high), array()))[0])))")
+
+
 def _blocks(fingerprint: str):
     """(block, value) rows of a fingerprint: RADIUS + 1 runs of bits."""
     n = RADIUS + 1
@@ -59,59 +73,66 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Words are runs of letters and digits in lower case.  An item of fewer than
     five words is one shingle; null or empty items and texts match nothing.
-    A window at either end of a text is moved inside it; a text shorter than
-    the item is compared whole.  Repeated rows and ids give one row per id; a
+    Windows lie inside the text; a text shorter than
+    the item is compared whole; very long texts are whole too.  Of equally similar
+    windows the first counts.  Repeated rows and ids give one row per id; a
     null id is an id like others.  Other columns are not read, whatever their
     names; empty tables give an empty result.
     """
     items = (benchmark.select(F.col(item_col).alias("item_id"), _words(F.col(item_text)).alias("words")).where(F.size("words") > 0)
              .withColumns({"k": F.least(F.size("words"), F.lit(SHINGLE))}))
-    ks = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most SHINGLE values
-    parts = [items.where(F.col("k") == k).select("item_id", "k", F.expr(_shingles("words", k)).alias("w")) for k in ks or [SHINGLE]]
-    sets = parts[0]
-    for p in parts[1:]:
-        sets = sets.unionByName(p)
-    sets = keep_written(sets.withColumn("m", F.size("w")).withColumn("fp", F.expr(SIMHASH)), "benchmark-items")
-    bench = sets.select("item_id", "k", "m", F.posexplode("w").alias("item_pos", "h"))
+    ks = sorted(r["k"] for r in items.select("k").distinct().collect()) or [SHINGLE]  # at most SHINGLE values
+    sets = _per_k(ks, lambda k: items.where(F.col("k") == k).select("item_id", "k", F.expr(_shingles("words", k)).alias("w")))
+    sets = sets.withColumn("m", F.size("w")).withColumn("fp", F.expr(SIMHASH)).withColumn("item", F.monotonically_increasing_id())
+    sets = keep_written(sets, "benchmark-items")
     n_bench = sets.agg(F.sum("m")).first()[0] or 0
-    small = F.broadcast if n_bench <= BROADCAST_SHINGLES else (lambda df: df)
-
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), _words(F.col(text_col)).alias("words"))
-    texts = texts.withColumn("n_words", F.size("words"))
-    grams = None
-    for k in ks or [SHINGLE]:
-        g = texts.select("doc_id", F.lit(k).alias("k"), (F.col("n_words") - k + 1).alias("n_grams"), F.posexplode(F.expr(_shingles("words", k))).alias("pos", "h"))
-        grams = g if grams is None else grams.unionByName(g)
-    hits = grams.join(small(bench), ["k", "h"])
-    # a window that reaches the similarity shares this many of its shingles, so its text has as many hits; it has m of
-    # them, or all those of a text shorter than the item (the shortest one under a repeated id)
-    need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.least("m", "n_grams") + F.col("m")) - F.lit(1e-9))
-    windows = (hits.groupBy("doc_id", "item_id", "k", "m", (F.col("pos") - F.col("item_pos")).alias("start")).agg(F.count(F.lit(1)).alias("votes"), F.min("n_grams").alias("n_grams"))
-               .groupBy("doc_id", "item_id", "k", "m").agg(F.sum("votes").alias("n"), F.min("n_grams").alias("n_grams"), F.collect_set("start").alias("starts"))
-               .where(F.col("n") >= F.least(need, F.lit(2**31 - 1))))
-    # rows of one document: its windows, not more than its words
-    windows = windows.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "k", "m", "starts")).alias("found"))
+    few = (lambda n: F.broadcast if n <= BROADCAST_SHINGLES else (lambda df: df))
+
+    # 1. shingles of the texts that occur in items, by the size of these items
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.select("doc_id", F.xxhash64("text").alias("text_key"), _words(F.col("text")).alias("words"))
+    grams = _per_k(ks, lambda k: texts.select("text_key", F.lit(k).alias("k"), (F.size("words") - k + 1).alias("n_grams"),
+                                              F.posexplode(F.expr(_shingles("words", k))).alias("pos", "h")))
+    sizes = sets.select("k", "m", F.explode("w").alias("h")).distinct()
+    hits = grams.join(few(n_bench)(sizes), ["k", "h"])
+    # copies of a text are one: its positions are a set, not longer than the text
+    found = hits.groupBy("text_key", "k", "m").agg(F.collect_set("pos").alias("p"), F.max("n_grams").alias("n"))
+    # a window that reaches the similarity shares this many of its shingles with the item
+    need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.least("m", "n") + F.col("m")) - F.lit(1e-9)).cast("int")
+    found = found.withColumn("need", F.greatest(need, F.lit(1))).where(F.size("p") >= F.col("need")).withColumn("p", F.sort_array("p"))
+    windows = found.withColumn("starts", F.expr(STARTS)).where(F.size("starts") > 0)
+    # rows of one text: its windows, not more than its words for each size
+    windows = windows.groupBy("text_key").agg(F.collect_list(F.struct("k", "m", "starts")).alias("found"))
     windows = keep_written(windows, "benchmark-windows")
 
-    t, w = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).alias("t"), windows.alias("w")
-    rows = t.join(w, F.col("t.doc_id").eqNullSafe(F.col("w.doc_id"))).select(F.col("t.doc_id").alias("doc_id"), _words(F.col("text")).alias("words"), "found")
-    cut = rows.select("doc_id", "words", F.explode("found").alias("f")).select("doc_id", "words", "f.item_id", "f.k", "f.m", F.explode("f.starts").alias("start"))
-    last = F.greatest(F.size("words") - F.col("k") + 1 - F.col("m"), F.lit(0))
-    cut = cut.withColumn("start", F.least(F.greatest("start", F.lit(0)), last))
-    cut = cut.withColumn("words", F.slice("words", F.col("start") + 1, F.col("m") + F.col("k") - 1))
-    w_expr = None
-    for k in ks or [SHINGLE]:
-        e = F.expr(_shingles("words", k))
-        w_expr = F.when(F.col("k") == k, e) if w_expr is None else w_expr.when(F.col("k") == k, e)
-    cut = keep_written(cut.select("doc_id", "item_id", "start", w_expr.alias("w")).distinct().withColumn("fp", F.expr(SIMHASH)), "benchmark-cuts")
-
-    left = cut.select("doc_id", "item_id", "start", "w", "fp", _blocks("fp"))
-    right = sets.select("item_id", F.col("w").alias("iw"), F.col("fp").alias("ifp"), "m", _blocks("fp"))
-    few = F.broadcast if n_bench * (RADIUS + 1) <= BROADCAST_SHINGLES else (lambda df: df)
-    pairs = left.join(few(right), ["item_id", "block", "value"]).withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp")))).where(F.col("hamming") <= RADIUS)
-    pairs = pairs.groupBy("doc_id", "item_id", "start", "w", "iw", "hamming").agg(F.count(F.lit(1)).alias("blocks"))
+    # 2. all these windows, cut from their texts; each content once
+    rows = texts.join(windows, "text_key").select("doc_id", "words", F.explode("found").alias("f")).select("doc_id", "words", "f.*")
+    cut = _per_k(ks, lambda k: rows.where(F.col("k") == k).select("doc_id", "k", "m", "starts", F.expr(_shingles("words", k)).alias("all")))
+    cut = cut.select("doc_id", "k", "m", "all", F.explode("starts").alias("start")).select("doc_id", "k", "m", "start", F.expr("slice(all, start + 1, m)").alias("w"))
+    content = F.struct(F.xxhash64("k", "w").alias("a"), F.xxhash64("w", F.lit(1), "k").alias("b"))
+    cut = keep_written(cut.withColumn("content", content), "benchmark-cuts")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # fingerprints are the costly part: spread over as many tasks whatever the rows' size
+    contents = cut.groupBy("content", "k", "m").agg(F.first("w").alias("w")).repartition(parts, "content")
+    contents = keep_written(contents.withColumn("fp", F.expr(SIMHASH)), "benchmark-contents")
+
+    left = contents.select("content", "k", "m", "fp", _blocks("fp"))
+    right = sets.select("item", "k", "m", F.col("fp").alias("ifp"), _blocks("fp"))
+    near = left.join(few(sets.count() * (RADIUS + 1))(right), ["k", "m", "block", "value"])
+    near = near.withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp")))).where(F.col("hamming") <= RADIUS)
+    near = near.select("content", "item", "hamming").distinct()
+
+    # 3. exact similarity, then back to the documents
+    pairs = near.join(contents.select("content", "w"), "content").join(few(n_bench)(sets.select("item", "item_id", F.col("w").alias("iw"))), "item")
     common = F.expr("aggregate(array_intersect(w, iw), 0, (n, x) -> n + least(size(filter(w, y -> y = x)), size(filter(iw, y -> y = x))))")
     scored = pairs.withColumn("common", common).withColumn("similarity", F.col("common") / (F.size("w") + F.size("iw") - F.col("common")))
+    same = keep_written(scored.where(F.col("similarity") >= similarity).select("content", "item_id", "similarity", "hamming"), "benchmark-matches")
+    held = cut.select("doc_id", "start", "content").join(few(same.count())(same), "content")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("first"), (-F.col("hamming")).alias("near")))
-    return (scored.where(F.col("similarity") >= similarity).groupBy("doc_id", "item_id").agg(best.alias("b"))
+    return (held.groupBy("doc_id", "item_id").agg(best.alias("b"))
             .select("doc_id", "item_id", F.col("b.similarity").alias("similarity"), (-F.col("b.near")).alias("hamming"), (-F.col("b.first")).alias("start")))
+
+
+def _per_k(ks: list[int], make) -> DataFrame:
+    """The union of a table per shingle length."""
+    return functools.reduce(DataFrame.unionByName, [make(k) for k in ks])

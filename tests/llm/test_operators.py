@@ -447,3 +447,54 @@ def test_parts_of_a_lexicon_match_like_one_automaton(monkeypatch):
     monkeypatch.setattr(toxicity, "PART_TERMS", 4)
     assert toxicity.Scorer(terms).matches(data, off) == one and len(one[0]) > 20
     assert toxicity.Scorer([]).matches(data, off) == [[]]
+
+
+def brute_windows(w, t):
+    """Greatest similarity of an item's windows, all of them, and the first start that has it."""
+    k = min(5, len(t))
+    grams = lambda x: collections.Counter(tuple(x[j:j + k]) for j in range(len(x) - k + 1))
+    a, best = grams(t), (0, 0)
+    for s in range(max(1, len(w) - len(t) + 1)):
+        b = grams(w[s:s + len(t)])
+        common = sum((a & b).values())
+        best = max(best, (common / max(1, sum(a.values()) + sum(b.values()) - common), -s))
+    return best
+
+
+def test_decontamination_of_windows_without_a_common_alignment(spark):
+    rnd = random.Random(10)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    many = lambda n: [word() for _ in range(n)]
+    a, b, c = many(20), many(20), many(40)
+    items = [(0, a + b), (1, many(30)), (2, ["again"] * 12), (3, a + c), (4, many(15) + ["again"] * 15), (5, many(40))]
+    docs = [b + a, many(30) + b + a + many(30), many(7) + items[1][1][15:] + items[1][1][:15] + many(7), ["again"] * 300,
+            many(20) + ["again"] * 11 + many(20), c + a, many(50) + c + a + many(3), many(10) + items[4][1][15:] + items[4][1][:15],
+            (items[1][1] + many(2)) * 4, many(60), b + many(1) + a, a + many(40) + b]
+    for edits in range(1, 5):  # around the threshold
+        for _ in range(12):
+            t = list(items[5][1])
+            for at in rnd.sample(range(40), edits):
+                t[at:at + 1] = rnd.choice(([], many(1), many(2)))
+            docs.append(many(rnd.randrange(20)) + t + many(rnd.randrange(20)))
+    docs = list(enumerate(docs))
+    want = {(d, i): best for d, w in docs for i, t in items if (best := brute_windows(w, t))[0] >= .75}
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    rows = decontamination.contaminated(frame(spark, [(d, " ".join(w)) for d, w in docs]), bench).collect()
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], -r["start"]) for r in rows}
+    assert {(1, 0), (0, 0), (3, 2), (4, 2), (6, 3)} <= set(want)
+    assert set(got) == set(want)
+    assert all(abs(got[x][0] - want[x][0]) < 1e-12 and got[x][1] == want[x][1] for x in want)
+
+
+def test_window_starts_are_all_and_only_those_with_enough_hits(spark):
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(400):
+        n, m = rnd.randrange(1, 40), rnd.randrange(1, 15)
+        p = sorted(rnd.sample(range(n), rnd.randrange(1, n + 1)))
+        need = rnd.randrange(1, min(len(p), m) + 1)
+        rows.append((p, n, m, need))
+    got = spark.createDataFrame(rows, "p array<int>, n int, m int, need int").select("p", "n", "m", "need", F.expr(decontamination.STARTS).alias("s")).collect()
+    for r in got:
+        want = [s for s in range(max(1, r["n"] - r["m"] + 1)) if sum(s <= x < s + r["m"] for x in r["p"]) >= r["need"]]
+        assert r["s"] == want, r
