@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_written, ship, text_chunks
+from .common import keep_written, ship, shingles, text_chunks, word_hashes, words
 from .language_id import _letters, code_points
 
 #: Bounds of the labelled sample that lexicon and weights are fitted on.
@@ -253,17 +253,24 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
         for b in batches:
             counts: dict[str, list[int]] = {}
             for texts, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = {w for t in texts for w in _WORDS.findall((t or "").lower())}
-                seen = {w[:n] for w in words for n in range(MIN_STEM, min(len(w), MAX_STEM) + 1)} | {w + "$" for w in words}
+                found = {w for t in texts for w in _WORDS.findall((t or "").lower())}
+                seen = {w[:n] for w in found for n in range(MIN_STEM, min(len(w), MAX_STEM) + 1)} | {w + "$" for w in found}
                 for p in seen:
                     counts.setdefault(p, [0, 0])[int(toxic)] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()),
                                               pa.array([c[0] for c in counts.values()], pa.int64())], ["p", "a", "b"])
 
+    def keyed(batches):
+        for b, data, off in text_chunks(batches):
+            start, end, first = words(data, off)
+            h, bounds = shingles(word_hashes(data, start, end), first)
+            # a text without words has no key of its own
+            least = [int(h[i:j].min().view(np.int64)) if j > i else None for i, j in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), b.column(0), b.column(1).cast(pa.int32())], ["key", "text", "toxic"])
+
     # the sample's bounds bound the groups too
-    words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+")
-    shingles = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 5, F.lit(0))), lambda i: F.xxhash64(F.slice(words, i + 1, 5)))
-    groups = sample.groupBy(F.array_min(shingles).alias("key"), "toxic").agg(F.collect_list("text").alias("texts"))
+    groups = (sample.select("text", "toxic").mapInArrow(keyed, "key long, text string, toxic int")
+              .groupBy("key", "toxic").agg(F.collect_list("text").alias("texts")))
     total = groups.agg(F.sum(F.col("toxic")).alias("a"), F.sum(1 - F.col("toxic")).alias("b")).first()
     A, B = total["a"] or 0, total["b"] or 0
     if not A:
