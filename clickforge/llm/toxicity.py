@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_written, ship, shingles, text_chunks, word_hashes, words
+from .common import keep_written, mix, ship, shingles, text_chunks, word_hashes, words
 from .language_id import _letters, code_points
 
 #: Bounds of the labelled sample that lexicon and weights are fitted on.
@@ -245,10 +245,48 @@ def fit_weights(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, strengt
 _WORDS = re.compile(r"[^\W\d_]{2,}")
 
 
+#: Least hashes of a row; near copies share at least one of them.
+SKETCH = 8
+
+
+def witnesses(sample: DataFrame) -> DataFrame:
+    """(text, toxic, witness): rows that are near copies of one another, directly
+    or over others, have one witness.  Two rows are linked by an equal least hash
+    of their five-word shingles under one of SKETCH orders.  The links are those
+    of the bounded sample, so they may be joined on the driver."""
+    orders = np.random.default_rng(11).integers(1, 2**63, SKETCH, dtype=np.uint64) | np.uint64(1)
+
+    def sketch(batches):
+        for b, data, off in text_chunks(batches):
+            start, end, first = words(data, off)
+            h, bounds = shingles(word_hashes(data, start, end), first)
+            least = [[int(x) for x in mix(h[i:j, None] * orders).min(axis=0).view(np.int64)] if j > i else [] for i, j in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("row")), pa.array(least, pa.list_(pa.int64()))], ["row", "least"])
+
+    row = F.xxhash64("text", "toxic")
+    keyed = sample.select(row.alias("row"), "text")
+    parent: dict = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for r in keyed.mapInArrow(sketch, "row long, least array<long>").toLocalIterator():
+        for i, k in enumerate(r["least"]):
+            parent[find((i, k))] = find(r["row"])
+    rows = [x for x in parent if not isinstance(x, tuple)]
+    number: dict = {}
+    table = [(x, number.setdefault(find(x), len(number))) for x in rows]
+    same = sample.sparkSession.createDataFrame(table, "row long, witness long")
+    # a text without words is no witness of a term
+    return sample.select("text", "toxic", row.alias("row")).join(F.broadcast(same), "row").select("text", "toxic", "witness")
+
+
 def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
-    """Terms from rows (text, toxic).  Near copies are one witness: rows whose
-    least hash of five-word shingles is the same count every prefix of any of
-    them once, so no row is left out and none is counted twice."""
+    """Terms from rows (text, toxic).  Near copies are one witness, which counts
+    every prefix of any of its texts once: no row is left out, and none makes
+    the words of its family look like terms."""
     def prefixes(batches):
         for b in batches:
             counts: dict[str, list[int]] = {}
@@ -260,17 +298,7 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()),
                                               pa.array([c[0] for c in counts.values()], pa.int64())], ["p", "a", "b"])
 
-    def keyed(batches):
-        for b, data, off in text_chunks(batches):
-            start, end, first = words(data, off)
-            h, bounds = shingles(word_hashes(data, start, end), first)
-            # a text without words has no key of its own
-            least = [int(h[i:j].min().view(np.int64)) if j > i else None for i, j in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), b.column(0), b.column(1).cast(pa.int32())], ["key", "text", "toxic"])
-
-    # the sample's bounds bound the groups too
-    groups = (sample.select("text", "toxic").mapInArrow(keyed, "key long, text string, toxic int")
-              .groupBy("key", "toxic").agg(F.collect_list("text").alias("texts")))
+    groups = witnesses(sample).groupBy("witness", "toxic").agg(F.collect_list("text").alias("texts"))
     total = groups.agg(F.sum(F.col("toxic")).alias("a"), F.sum(1 - F.col("toxic")).alias("b")).first()
     A, B = total["a"] or 0, total["b"] or 0
     if not A:
