@@ -108,6 +108,6 @@ def test_long_sums_stay_exact_in_every_plan(spark):
     big = 2 ** 53
     df = spark.range(40).selectExpr("id as row_id", "id % 3 as k", "id % 2 as j", f"{big}L + id as v")
     specs = [FeatureSpec("cumsum", ("k",), "v", "s", "long"), FeatureSpec("nunique", ("j",), "v", "d", "long")]
-    for kw in ({}, {"chunk_rows": 7, "max_broadcast_rows": 0}, {"chunk_rows": 7, "max_broadcast_rows": 0, "plan": "family"}):
+    for kw in ({}, {"chunk_rows": 7, "max_broadcast_rows": 0}, {"chunk_rows": 7, "max_broadcast_rows": 0, "hot_rows": 16}):
         for r in build_features(df, specs, **kw).collect():
             assert r["s"] == sum(big + i for i in range(r["row_id"] % 3, r["row_id"] + 1, 3)) and r["d"] == 20, kw
