@@ -973,7 +973,7 @@ SELECT count(*) AS n_rows, max(ip_app_count) AS ip_app_count_max, min(ip_app_cou
 FROM (SELECT CAST(count(*) OVER (PARTITION BY ip, app) AS BIGINT) AS ip_app_count FROM clicks)
 """)
 def q_snapshot_stats(spark, sf):
-    # A-STAT / A-SHAPE in passing: observed while the snapshot is written
+    # A-STAT / A-SHAPE of a snapshot, from the columns as written
     st = ST.write_snapshot_stats(q_count_by_key(spark, sf), shared_path(spark, "snapshot-stats"), ["ip_app_count"])
     return st.withColumn("ip_app_count_mean", r6("ip_app_count_mean"))
 

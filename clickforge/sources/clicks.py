@@ -11,7 +11,7 @@ import json
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,33 +76,38 @@ def ingest(df: DataFrame, path: str, order: str = "row_id") -> DataFrame:
     par = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < par:
         df = df.repartitionByRange(par, order)
-    # the id columns' bounds are what broadcasts rely on (schema.KEY_DOMAIN): seen in the same pass
-    bounded = [c for c in S.KEY_DOMAIN if c in df.columns]
-    seen = Observation()
-    watched = df.observe(seen, *[f(c).alias(f"{c}_{n}") for c in bounded for f, n in ((F.min, "low"), (F.max, "high"))]) if bounded else df
-    watched.write.mode("overwrite").parquet(path)
-    for c in bounded:
-        low, high = seen.get[f"{c}_low"], seen.get[f"{c}_high"]
-        if low is not None and not 0 <= low <= high < S.KEY_DOMAIN[c]:
-            raise ValueError(f"{c} has values from {low} to {high}, outside 0 to {S.KEY_DOMAIN[c] - 1}")
+    df.write.mode("overwrite").parquet(path)
     write_zones(spark, path, order)
+    # the id columns' bounds are what broadcasts rely on (schema.KEY_DOMAIN)
+    bounded = [c for c in S.KEY_DOMAIN if c in df.columns]
+    seen = read_zones(spark, path).select(F.explode("ids").alias("c", "v")).groupBy("c").agg(F.min("v.low").alias("low"), F.max("v.high").alias("high"))
+    for r in seen.collect() if bounded else ():
+        if r["low"] is not None and not 0 <= r["low"] <= r["high"] < S.KEY_DOMAIN[r["c"]]:
+            raise ValueError(f"{r['c']} has values from {r['low']} to {r['high']}, outside 0 to {S.KEY_DOMAIN[r['c']] - 1}")
     return spark.read.parquet(path)
 
 
 # --------------------------------------------------------------------------
 # S-RANGE over written tables: a zone per file
 # --------------------------------------------------------------------------
+IDS = "map<string, struct<low: bigint, high: bigint>>"
+
+
 def write_zones(spark: SparkSession, path: str, order: str = "row_id") -> None:
-    """Zone table of a written log: file, least and largest ``order``, rows, and
-    the log's schema, in a folder of it that scans skip."""
+    """Zone table of a written log: file, least and largest ``order``, rows, the
+    range of each id column, and the log's schema, in a folder of it that scans
+    skip.  One pass over these columns."""
     df = spark.read.parquet(path)
+    ids = [c for c in S.KEY_DOMAIN if c in df.columns]
+    ranges = [x for c in ids for x in (F.lit(c), F.struct(F.min(c).cast("long").alias("low"), F.max(c).cast("long").alias("high")))]
     zones = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.min(order).alias("low"), F.max(order).alias("high"), F.count(F.lit(1)).alias("n"))
+        F.min(order).cast("long").alias("low"), F.max(order).cast("long").alias("high"), F.count(F.lit(1)).alias("n"),
+        (F.create_map(*ranges) if ranges else F.lit(None).cast(IDS)).alias("ids"))
     zones.withColumn("schema", F.lit(df.schema.json())).coalesce(1).write.mode("overwrite").parquet(f"{path}/_zones")
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("file string, low long, high long, n long, schema string").parquet(f"{path}/_zones")
+    return spark.read.schema(f"file string, low long, high long, n long, ids {IDS}, schema string").parquet(f"{path}/_zones")
 
 
 def read_rows(spark: SparkSession, path: str, start: int, stop: int, order: str = "row_id") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,16 +61,15 @@ def write_snapshot(df: DataFrame, path: str, partition_by: str | None = "split")
 
 
 def write_snapshot_stats(df: DataFrame, path: str, columns: list[str], partition_by: str | None = "split") -> DataFrame:
-    """A-STAT / A-SHAPE in passing: the snapshot is written and, in the same
-    pass, its rows counted and least, largest and mean of ``columns`` taken;
-    one row: n_rows, <column>_max, <column>_min, <column>_mean."""
-    seen = Observation()
-    stats = [f(c).alias(f"{c}_{n}") for c in columns for f, n in ((F.max, "max"), (F.min, "min"), (F.avg, "mean"))]
-    if not write_snapshot(df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *stats), path, partition_by):
+    """A-STAT / A-SHAPE of a snapshot as it is written: its rows counted and least,
+    largest and mean of ``columns`` taken from the written columns alone, so the
+    plan of ``df`` runs once; one row: n_rows, <column>_max, _min, _mean.
+    (Observed metrics would do it in the same pass, but a session that has used
+    them can't serialize a forest's scoring function.)"""
+    if not write_snapshot(df, path, partition_by):
         raise FileExistsError(path)
-    return df.sparkSession.createDataFrame([seen.get], T.StructType(
-        [T.StructField("n_rows", T.LongType())] + [T.StructField(f"{c}_{n}", T.DoubleType() if n == "mean" else df.schema[c].dataType)
-                                                   for c in columns for n in ("max", "min", "mean")]))
+    stats = [f(c).alias(f"{c}_{n}") for c in columns for f, n in ((F.max, "max"), (F.min, "min"), (F.avg, "mean"))]
+    return df.sparkSession.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), *stats)
 
 
 def read_snapshot(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
