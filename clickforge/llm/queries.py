@@ -14,6 +14,8 @@ from .common import table
 
 #: Folder of the public tokenizer files; a parameter of the token operators.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+#: Vocabulary of the token operators.
+VOCABULARY = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
 #: Key of the pseudonyms; deployments set their own.
 PSEUDONYM_KEY = os.environ.get("PSEUDONYM_KEY", "change-me-in-production")
 TOKEN_BUDGET = 512
@@ -59,16 +61,15 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .packing import best_fit_packing
+    from .packing import pack_tokens
 
-    # byte-level tokens: a text's length is its UTF-8 bytes
-    return best_fit_packing(table(spark, sf_dir, "documents"), F.octet_length(F.coalesce("text", F.lit(""))))
+    return pack_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
-    return token_counts(table(spark, sf_dir, "documents"), os.path.join(TOKENIZERS, "byte_bpe_50k.json"), TOKEN_BUDGET)
+    return token_counts(table(spark, sf_dir, "documents"), VOCABULARY, TOKEN_BUDGET)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

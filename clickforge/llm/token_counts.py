@@ -288,3 +288,20 @@ def token_counts(docs: DataFrame, path: str, budget: int = 512, id_col: str = "d
 
     src = ship(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(scan, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long")
+
+
+def token_lengths(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and n_tokens for every row: ``token_counts`` without the prefixes, for
+    operators that need the length only.  The same rules hold."""
+    def scan(batches):
+        c = counter(path)
+        for b, data, off in text_chunks(batches):
+            raw = data.tobytes()
+            texts = [raw[i:j].decode() for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            pieces = [None if c.special and c.special.search(t) else c.pieces(t) for t in texts]
+            c.learn(set().union(*(p for p in pieces if p)))
+            n = [c.count(t) if p is None else sum(map(c.total.__getitem__, p)) for t, p in zip(texts, pieces, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
+
+    src = ship(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return src.mapInArrow(scan, "doc_id long, n_tokens long")

@@ -184,6 +184,45 @@ def test_packing_is_near_the_optimum():
         assert sum(map(packing.cost, sized)) <= 1.5 * optimum(items, (40, 70, 100))
 
 
+def test_packing_plan_beats_every_opening_size():
+    caps = (2048, 4096, 8192, 16384)
+    total = lambda p: sum(map(packing.cost, p[1]))
+    rnd = random.Random(9)
+    wins = 0
+    for _ in range(20):
+        # lengths of which several fill one size well and few fill all
+        items = [rnd.choice((1100, 1500, 2700, 3900, 6000, 900)) + rnd.randrange(60) for _ in range(300)]
+        fixed = min(total(packing.pack(items, caps, (c,))) for c in caps)
+        planned = total(packing.pack(items, caps, (None,)))
+        wins += planned < fixed
+        assert total(packing.pack(items, caps)) == min(fixed, planned)
+    assert wins == 20
+    # what a bin would hold: 100 + 60 + 30 + 5 of 195, not the second 60
+    assert packing._filling(100, [-120, -60, -60, -30, -5, 0], 195) == (195, [1, 3, 4, 5])
+    assert packing._filling(100, [-120, -60, -60, -30], 200) == (190, [1, 3])
+    assert packing._filling(100, [], 200) == (100, [])
+
+
+def test_packing_counts_tokens(odd, empty):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(VOCAB)
+    got = packing.pack_tokens(odd, VOCAB, (64, 256, 1024)).collect()
+    bins = collections.defaultdict(list)
+    for r in got:
+        bins[r["bin_id"]].append(r)
+    for rows in bins.values():
+        end = 0
+        for place, r in enumerate(sorted(rows, key=lambda r: r["position"])):
+            assert (r["position"], r["offset"]) == (place, end)
+            end += r["length"]
+        assert end == r["bin_fill"] <= r["capacity"]
+    n = lambda t: len(lib.encode(t or "", add_special_tokens=False).ids)
+    want = collections.Counter((i, s, min(1024, k - s)) for i, t in ODD for k in [n(t)] for s in range(0, max(1, k), 1024))
+    assert collections.Counter((r["doc_id"], r["start"], r["length"]) for r in got) == want
+    assert packing.pack_tokens(empty, VOCAB).count() == 0
+
+
 def test_feistel_permutes():
     for size in (1, 2, 7, 100, 1000):
         net = pseudonyms.Feistel(b"k", "t", size)
