@@ -119,13 +119,43 @@ def test_exact_dedup(odd, empty, spark):
 def test_quotient_filters_merge_losslessly():
     rnd = np.random.default_rng(1)
     fps = rnd.integers(-2**63, 2**63 - 1, 300)
-    parts = [rnd.choice(fps, 400) for _ in range(4)]
+    near = 7 << 60 | rnd.integers(0, 50, 300)  # one quotient's long run, shifting those behind it
+    top = 2**64 - 1 - rnd.integers(0, 9, 700).astype(np.uint64)  # runs past the last slot, counts beyond a byte
+    parts = [*(rnd.choice(fps, 400).view(np.uint64) for _ in range(4)), near.astype(np.uint64), np.repeat(top, 6), np.zeros(0, np.uint64)]
+    whole = []
     merged = collections.Counter()
-    filters = [exact_dedup.quotient_filter(p, 3) for p in parts]
-    for block in range(8):
-        rem, cnt = exact_dedup.merge_filters([f[block] for f in filters if block in f])
-        merged.update({int(r) | block << 61: int(c) for r, c in zip(rem, cnt, strict=True)})
-    assert merged == collections.Counter(int(np.int64(x).view(np.uint64)) for p in parts for x in p)
+    for p in parts:
+        values, counts = np.unique(p, return_counts=True)
+        f = exact_dedup.QuotientFilter.build(values, counts, 64)
+        assert f.values()[0].tolist() == values.tolist() and f.values()[1].tolist() == counts.tolist()
+        whole.append(f)
+        for block, f in exact_dedup.filters_by_block(values, counts, 64, 3):
+            merged.update({int(v) | block << 61: int(c) for v, c in zip(*f.values(), strict=True)})
+    want = collections.Counter(int(x) for p in parts for x in p)
+    assert merged == want
+    assert dict(zip(*(x.tolist() for x in exact_dedup.merge_filters(whole)), strict=True)) == want
+
+
+def test_fingerprints_are_dealt_in_rounds(spark, monkeypatch):
+    assert exact_dedup.block_levels(10, 10) == [5]
+    assert exact_dedup.block_levels(200_000 << 19, 200_000) == [9, 10]  # a task sends 512 filters, not one per block
+    rnd = random.Random(4)
+    fps = [(rnd.randrange(-2**63, 2**63),) for _ in range(900)]
+    fps += [rnd.choice(fps) for _ in range(500)] + [fps[0]] * 700
+    want = {f: n for (f,), n in collections.Counter(fps).items() if n > 1}
+    df = spark.createDataFrame(fps, "fp long").repartition(7)
+    for bits in (2, 3, 10):
+        monkeypatch.setattr(exact_dedup, "LEVEL_BITS", bits)
+        got = exact_dedup.repeated_fingerprints(df, len(fps), 30)
+        assert {r["fp"]: r["copies"] for r in got.collect()} == want
+
+
+def test_groups_larger_than_a_salt(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "ROWS_PER_SALT", 7)
+    rows = [(i, "same  text" if i % 3 else "same text") for i in range(100)] + [(None, "other")] * 30 + [(5, "x")]
+    got = exact_dedup.exact_dedup(frame(spark, rows)).collect()
+    assert len(got) == 131 and sum(r["kept"] for r in got) == 3
+    assert {(r["doc_id"], r["keep_id"], r["group_size"]) for r in got if r["kept"]} == {(1, 1, 100), (None, None, 30), (5, 5, 1)}
 
 
 def test_token_counts_equal_the_library(odd, empty):
