@@ -1,19 +1,23 @@
 """Masked pseudo-likelihood of documents under a window network.
 
-The corpus is read as words; the most frequent words of the whole corpus are
-the vocabulary and all others fall into shape classes (script, length, last
-letter).  A bidirectional network predicts every token from the words in a window
-on both of its sides: position-weighted embeddings, one tanh layer, and a
-two-level softmax (class, then word within class).  It is trained with numpy
+Every word of the corpus is counted.  The vocabulary grows with the root of the
+corpus: its most frequent words have embeddings of their own, all others share
+those of shape classes (length, last letter).  A bidirectional network predicts
+every token from the words in a window on both of its sides: position-weighted
+embeddings, one tanh layer, and a softmax in levels: class, symbol within class,
+and, for symbols that are shape classes, the word by its count within the shape,
+so that every word has its own probability.  The network is trained with numpy
 inside Spark tasks: every task runs stochastic gradient steps over masked
 positions of its own documents, parameters are averaged over all tasks in
-blocks, and the average starts the next round.  All documents take part in
-counting, training and scoring; a document's score is the sum of its tokens'
-conditional log-probabilities.
+blocks, each embedding weighted by how often a task saw its word, and the average
+starts the next round.  The rounds mask different positions, so each position is
+predicted once.  All documents take part in counting, training and scoring; a
+document's score is the sum of its tokens' conditional log-probabilities.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,29 +29,43 @@ from pyspark.sql import functions as F
 from .common import keep_written, mix, ship, text_chunks, word_hashes, words
 
 CLASSES = 32
-WORDS = CLASSES * 24        # vocabulary of whole words
-TOKENS = CLASSES * CLASSES  # with shape classes of the other words
+HEAD = CLASSES * 24            # most frequent words, symbols of the softmax
+SYMBOLS = CLASSES * CLASSES    # with the shape classes of the other words
+SHAPES = SYMBOLS - HEAD
+WORDS_PER_ROOT = 2             # further words of the vocabulary per square root of the corpus' words
 DIM = 16
-SIDE = 2                    # words seen on each side
-MASKED = 6                  # one position in this many is predicted in a training round
-ROUNDS = 2
+SIDE = 2                       # words seen on each side
+ROUNDS = 2                     # each masks its share of all positions
 BATCH = 2048
 RATE = 0.5
-PAD = TOKENS                # outside the text
+ROWS = 4096                    # parameter rows of DIM numbers in a block
 
 
 def _shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Shape class of each word, in [WORDS, TOKENS): length and kind of its last byte."""
+    """Shape class of each word: length and kind of its last byte."""
     length = np.minimum(end - start, 31)
     last = data[end - 1]
     kind = np.where(last >= 128, 0, np.where((last >= 48) & (last < 58), 1, np.where(((last | 32) >= 97) & ((last | 32) < 123), 2 + (last | 32) % 5, 7)))
-    return (WORDS + (length * 8 + kind) % (TOKENS - WORDS)).astype(np.int32)
+    return ((length * 8 + kind) % SHAPES).astype(np.int32)
 
 
 @dataclass
 class Vocabulary:
+    """Tokens 0 to n_words - 1 are words by descending count, the next SHAPES ones
+    the shapes of all other words, and one more stands for places outside a text."""
+
     hashes: np.ndarray  # sorted
-    ids: np.ndarray
+    ids: np.ndarray     # token of each hash
+    symbol: np.ndarray  # softmax symbol of each token
+    within: np.ndarray  # log-probability of a word given that symbol
+
+    @property
+    def n_words(self) -> int:
+        return len(self.hashes)
+
+    @property
+    def pad(self) -> int:
+        return self.n_words + SHAPES
 
     def tokens(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of concatenated texts, and each text's first token."""
@@ -55,7 +73,7 @@ class Vocabulary:
         h = word_hashes(data, start, end)
         if len(h) == 0:
             return np.zeros(0, np.int32), first
-        out = _shapes(data, start, end)
+        out = _shapes(data, start, end) + np.int32(self.n_words)
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
             known = self.hashes[at] == h
@@ -64,58 +82,82 @@ class Vocabulary:
 
 
 def vocabulary(docs: DataFrame) -> Vocabulary:
-    """The most frequent words of all rows (column text), ids by frequency."""
+    """Counts every word of all rows (column text).  The driver gets the
+    vocabulary's words only: HEAD and WORDS_PER_ROOT times the square root of the corpus' words."""
     def count(batches):
         held, size = [], 0
         for _, data, off in text_chunks(batches):
             start, end, _ = words(data, off)
-            held.append(np.unique(word_hashes(data, start, end), return_counts=True))
-            size += len(held[-1][0])
+            h, at, n = np.unique(word_hashes(data, start, end), return_index=True, return_counts=True)
+            held.append((h, n, _shapes(data, start[at], end[at])))
+            size += len(h)
             if size > 2_000_000:
                 yield _counts(held)
                 held, size = [], 0
         yield _counts(held)
 
-    counts = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "h").limit(WORDS).collect()  # bounded by the vocabulary
-    h = np.array([r["h"] for r in top], np.int64).view(np.uint64)
+    counts = docs.select("text").mapInArrow(count, "h long, n long, shape int").groupBy("h").agg(F.sum("n").alias("n"), F.min("shape").alias("shape"))
+    counts = keep_written(counts, "lm-counts")
+    total, distinct = np.zeros(SHAPES), np.zeros(SHAPES)
+    for r in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d")).collect():  # at most SHAPES rows
+        total[r["shape"]], distinct[r["shape"]] = r["n"], r["d"]
+    size = HEAD + WORDS_PER_ROOT * math.ceil(math.sqrt(total.sum()))
+    top = counts.orderBy(F.desc("n"), "h").limit(size).toPandas()
+    return listed(top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64), top["shape"].to_numpy(np.int64), total, distinct)
+
+
+def listed(h: np.ndarray, n: np.ndarray, shape: np.ndarray, total: np.ndarray, distinct: np.ndarray) -> Vocabulary:
+    """Vocabulary of words by descending count, given all counts and distinct words
+    of each shape.  Words outside share what the listed ones leave of their shape."""
+    k = len(h)
+    tail = np.arange(k) >= HEAD
+    rest = total - np.bincount(shape[~tail], n[~tail], SHAPES)        # counted in the shape class
+    left = total - np.bincount(shape, n, SHAPES)                      # of words without an embedding
+    each = left / np.maximum(distinct - np.bincount(shape, minlength=SHAPES), 1)
+    symbol = np.concatenate((np.where(tail, HEAD + shape, np.arange(k)), HEAD + np.arange(SHAPES), [0])).astype(np.int32)
+    within = np.zeros(k + SHAPES + 1)
+    within[:k][tail] = np.log(n[tail] / rest[shape[tail]])
+    # a word never counted, in a text of another corpus, gets less than one occurrence
+    within[k:k + SHAPES] = np.log(np.where(each > 0, each, 0.5) / np.maximum(rest, 1))
     order = np.argsort(h)
-    # neighbours in frequency share a class
-    return Vocabulary(h[order], np.arange(len(h), dtype=np.int32)[order])
+    return Vocabulary(h[order], np.arange(k, dtype=np.int32)[order], symbol, within)
 
 
-def _counts(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Sum of several (hashes, counts)."""
-    h = np.concatenate([x for x, _ in held]) if held else np.zeros(0, np.uint64)
-    n = np.concatenate([x for _, x in held]) if held else np.zeros(0, np.int64)
+def _counts(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Sum of several (hashes, counts, shapes)."""
+    h = np.concatenate([x[0] for x in held]) if held else np.zeros(0, np.uint64)
+    n = np.concatenate([x[1] for x in held]) if held else np.zeros(0, np.int64)
+    shape = np.concatenate([x[2] for x in held]) if held else np.zeros(0, np.int32)
     order = np.argsort(h, kind="stable")
-    h, n = h[order], n[order]
+    h, n, shape = h[order], n[order], shape[order]
     first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
     n = np.add.reduceat(n, first) if len(first) else n
-    return pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(n.astype(np.int64)), pa.array(shape[first], pa.int32())], ["h", "n", "shape"])
 
 
 class Network:
-    """Parameters in one float32 vector: embeddings, position weights, layer,
-    class weights, word weights of each class."""
+    """Parameters as rows of DIM float32 numbers: an embedding per token, then
+    position weights, layer, class weights, symbol weights of each class."""
 
-    SHAPES = (("emb", (TOKENS + 1, DIM)), ("pos", (2 * SIDE, DIM)), ("layer", (DIM, DIM)), ("bias", (DIM,)),
-              ("cls", (DIM, CLASSES)), ("cls_b", (CLASSES,)), ("word", (CLASSES, DIM, CLASSES)), ("word_b", (CLASSES, CLASSES)))
-    SIZE = sum(int(np.prod(s)) for _, s in SHAPES)
+    REST = (("pos", (2 * SIDE, DIM)), ("layer", (DIM, DIM)), ("bias", (DIM,)), ("cls", (DIM, CLASSES)), ("cls_b", (CLASSES,)),
+            ("word", (CLASSES, DIM, CLASSES)), ("word_b", (CLASSES, CLASSES)))
+    REST_ROWS = -(-sum(math.prod(s) for _, s in REST) // DIM)
 
-    def __init__(self, flat: np.ndarray):
-        at = 0
-        self.flat = flat
-        for name, shape in self.SHAPES:
-            n = int(np.prod(shape))
-            setattr(self, name, flat[at:at + n].reshape(shape))
-            at += n
+    def __init__(self, rows: np.ndarray):
+        self.rows = rows
+        n = len(rows) - self.REST_ROWS
+        self.emb, flat, at = rows[:n], rows[n:].reshape(-1), 0
+        for name, shape in self.REST:
+            setattr(self, name, flat[at:at + math.prod(shape)].reshape(shape))
+            at += math.prod(shape)
 
     @classmethod
-    def start(cls) -> Network:
-        net = cls(np.zeros(cls.SIZE, np.float32))
+    def start(cls, vocab: Vocabulary) -> Network:
+        net = cls(np.zeros((vocab.pad + 1 + cls.REST_ROWS, DIM), np.float32))
         rng = np.random.default_rng(5)
-        net.emb[:] = rng.normal(0, 0.3, net.emb.shape)
+        # a word outside the softmax starts where its shape does
+        net.emb[:] = rng.normal(0, 0.3, (SYMBOLS, DIM)).astype(np.float32)[vocab.symbol]
+        net.emb[vocab.pad] = rng.normal(0, 0.3, DIM)
         net.pos[:] = 1.0
         net.layer[:] = rng.normal(0, DIM ** -0.5, net.layer.shape)
         return net
@@ -142,7 +184,7 @@ class Network:
         return a, b, (e, x, h, cls, member, edges)
 
     def logprob(self, ctx: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Log-probability of each target (sorted by class) given its context."""
+        """Log-probability of each target (symbols, sorted by class) given its context."""
         a, b, (*_, cls, member, _) = self.logits(ctx, target)
         n, ones = np.arange(len(target)), np.ones(CLASSES, np.float32)
         out = a[n, cls] + b[n, member]
@@ -180,16 +222,16 @@ class Network:
 
 
 def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """(doc_id, tokens): each row's token ids, two bytes each; written once and
+    """(doc_id, tokens): each row's token ids, four bytes each; written once and
     read by every round of training and by scoring."""
     bc = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def scan(batches):
         for b, data, off in text_chunks(batches):
             tokens, first = bc.value.tokens(data, off)
-            raw = tokens.astype("<u2").tobytes()
+            raw = tokens.astype("<u4").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([raw[2 * i:2 * j] for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())],
+                [b.column(0), pa.array([raw[4 * i:4 * j] for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())],
                 ["doc_id", "tokens"])
 
     return keep_written(docs.mapInArrow(scan, "doc_id long, tokens binary"), "lm-tokens")
@@ -198,80 +240,92 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 def token_chunks(batches):
     """Chunks of encoded rows with their tokens and each row's first token."""
     for b, data, off in text_chunks(batches, "tokens"):
-        yield b, np.frombuffer(data.tobytes(), "<u2").astype(np.int32), off // 2
+        yield b, np.frombuffer(data.tobytes(), "<u4").astype(np.int32), off // 4
 
 
-def contexts(tokens: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Ids of the SIDE tokens before and after each position; PAD outside the text."""
+def contexts(tokens: np.ndarray, first: np.ndarray, at: np.ndarray, pad: int) -> np.ndarray:
+    """Ids of the SIDE tokens before and after each position; ``pad`` outside the text."""
     doc = np.searchsorted(first, at, "right") - 1
     lo, hi = first[doc], first[doc + 1]
     shift = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
     where = at[:, None] + shift
     ok = (where >= lo[:, None]) & (where < hi[:, None])
-    return np.where(ok, tokens[np.clip(where, 0, len(tokens) - 1)], PAD)
+    return np.where(ok, tokens[np.clip(where, 0, len(tokens) - 1)], pad)
 
 
-def train(encoded: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
-    """Parameters after ``rounds`` rounds of local steps and averaging over all
-    encoded rows."""
+def train(encoded: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Parameter rows after ``rounds`` rounds of local steps and averaging over all
+    encoded rows.  Each round masks the positions that no other one masks."""
     sc = encoded.sparkSession.sparkContext
-    flat = Network.start().flat
-    blocks = 16
-    cut = np.linspace(0, Network.SIZE, blocks + 1).astype(int)
+    params, pad = Network.start(vocab).rows, vocab.pad
+    symbols = sc.broadcast(vocab.symbol)
     for k in range(rounds):
-        bc = sc.broadcast(flat)
+        bc = sc.broadcast(params)
 
         def local(batches, k=k, bc=bc):
-            net, seen, steps = Network(bc.value.copy()), 0, 0
+            net, symbol, seen, steps = Network(bc.value.copy()), symbols.value, 0, 0
+            weight = np.zeros(len(net.rows))
             for _, tokens, first in token_chunks(batches):
                 if len(tokens) < 2:
                     continue
                 # which positions are masked depends on the text around them only
-                h = mix(tokens.astype(np.uint64) * np.uint64(1000003) + (np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))).astype(np.uint64) + np.uint64(k))
-                masked = np.flatnonzero(h % np.uint64(MASKED) == 0)
+                h = mix(tokens.astype(np.uint64) * np.uint64(1000003) + (np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))).astype(np.uint64))
+                masked = np.flatnonzero(h % np.uint64(rounds) == k)
                 masked = masked[np.argsort(mix(h[masked]), kind="stable")]
                 for i in range(0, len(masked), BATCH):
                     at = masked[i:i + BATCH]
-                    at = at[np.argsort(tokens[at], kind="stable")]
-                    net.step(contexts(tokens, first, at), tokens[at], RATE / (1 + steps / 300) ** 0.5 / (1 + k))
+                    target = symbol[tokens[at]]
+                    order = np.argsort(target, kind="stable")
+                    at, target = at[order], target[order]
+                    net.step(contexts(tokens, first, at, pad), target, RATE / (1 + steps / 300) ** 0.5 / (1 + k))
                     steps += 1
                 seen += len(masked)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(blocks), pa.int32()), pa.array([(net.flat[cut[i]:cut[i + 1]] * np.float32(seen)).astype(np.float32).tobytes() for i in range(blocks)], pa.binary()),
-                 pa.array([float(seen)] * blocks, pa.float64()), pa.array([seen % 61] * blocks, pa.int32())], ["block", "params", "seen", "lane"])
+                weight[:pad] += np.bincount(tokens, minlength=pad)
+            weight[pad:] = seen
+            for i in range(0, len(net.rows), ROWS):
+                w = weight[i:i + ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i // ROWS], pa.int32()), pa.array([seen % 61], pa.int32()),
+                     pa.array([(net.rows[i:i + ROWS] * w[:, None]).astype(np.float32).tobytes()], pa.binary()), pa.array([w.tobytes()], pa.binary())],
+                    ["block", "lane", "params", "weight"])
 
         def add(pdf: pd.DataFrame) -> pd.DataFrame:
-            total = np.sum([np.frombuffer(p, np.float32) for p in pdf["params"]], axis=0, dtype=np.float64).astype(np.float32)
-            return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "params": [total.tobytes()], "seen": [float(pdf["seen"].sum())], "lane": [0]})
+            sums = [np.sum([np.frombuffer(x, t) for x in pdf[c]], axis=0, dtype=np.float64).astype(t).tobytes()
+                    for c, t in (("params", np.float32), ("weight", np.float64))]
+            return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "lane": [0], "params": sums[:1], "weight": sums[1:]})
 
-        schema = "block int, params binary, seen double, lane int"
+        schema = "block int, lane int, params binary, weight binary"
         parts = encoded.select("tokens").mapInArrow(local, schema)
         # two levels, so no task sums the parameters of more than a share of the tasks
         parts = parts.groupBy("block", "lane").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
-        rows = {r["block"]: r for r in parts.collect()}  # one parameter vector, whatever the corpus
-        if not rows or rows[0]["seen"] == 0:
-            break
-        flat = np.concatenate([np.frombuffer(bytes(rows[i]["params"]), np.float32) / np.float32(rows[i]["seen"]) for i in range(blocks)])
-    return flat
+        params = params.copy()
+        for r in parts.toLocalIterator():  # one set of parameters
+            i = r["block"] * ROWS
+            w = np.frombuffer(bytes(r["weight"]))
+            mean = np.frombuffer(bytes(r["params"]), np.float32).reshape(-1, DIM) / np.maximum(w, 1)[:, None]
+            params[i:i + ROWS][w > 0] = mean[w > 0]
+    return params
 
 
-def score(encoded: DataFrame, flat: np.ndarray) -> DataFrame:
+def score(encoded: DataFrame, vocab: Vocabulary, params: np.ndarray) -> DataFrame:
     """doc_id, n_tokens, sum_logprob and mean_logprob for every row.
 
     A null, empty or blank text has 0 tokens, a sum of 0 and a null mean.  The
     whole text is scored, however long; equal texts score equally; there is no
     shuffle; other columns are not read; an empty table gives an empty result.
     """
-    bc = encoded.sparkSession.sparkContext.broadcast(flat)
+    bc = encoded.sparkSession.sparkContext.broadcast((params, vocab.symbol, vocab.within, vocab.pad))
 
     def scan(batches):
-        net = Network(bc.value)
+        params, symbol, within, pad = bc.value
+        net = Network(params)
         for b, tokens, first in token_chunks(batches):
-            logp = np.zeros(len(tokens))
-            order = np.argsort(tokens, kind="stable")
+            logp = within[tokens]
+            target = symbol[tokens]
+            order = np.argsort(target, kind="stable")
             for i in range(0, len(order), BATCH):
                 at = order[i:i + BATCH]
-                logp[at] = net.logprob(contexts(tokens, first, at), tokens[at])
+                logp[at] += net.logprob(contexts(tokens, first, at, pad), target[at])
             total = np.concatenate(([0.0], np.cumsum(logp)))
             n = np.diff(first)
             s = np.where(n > 0, total[first[1:]] - total[first[:-1]], 0.0)
@@ -287,5 +341,6 @@ def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str
     written once, so later actions do not train again."""
     ship(docs)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    encoded = encode(src, vocabulary(src))
-    return keep_written(score(encoded, train(encoded)), "lm-scores")
+    vocab = vocabulary(src)
+    encoded = encode(src, vocab)
+    return keep_written(score(encoded, vocab, train(encoded, vocab)), "lm-scores")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import itertools
 import random
 
@@ -380,12 +381,66 @@ def test_language_model(odd, empty, spark):
     assert np.mean([scores[i] for i in range(50)]) > np.mean([scores[1000 + i] for i in range(50)])
 
 
+def lm_vocabulary(n=1500, known=1000):
+    """(vocabulary of the ``known`` commonest of n words, all words' counts and shapes)."""
+    rnd = np.random.default_rng(1)
+    counts = np.sort(rnd.integers(1, 90, n))[::-1].astype(float)
+    shape = rnd.integers(0, language_model.SHAPES, n)
+    total = np.bincount(shape, counts, language_model.SHAPES)
+    distinct = np.bincount(shape, minlength=language_model.SHAPES)
+    h = rnd.permutation(n).astype(np.uint64)
+    return language_model.listed(h[:known], counts[:known], shape[:known], total, distinct), counts, shape
+
+
 def test_conditional_probabilities_sum_to_one():
-    net = language_model.Network.start()
+    vocab, counts, shape = lm_vocabulary()
+    net = language_model.Network.start(vocab)
     net.cls[:] = np.random.default_rng(1).normal(0, 1, net.cls.shape)
-    targets = np.arange(language_model.TOKENS, dtype=np.int32)
-    ctx = np.tile(np.array([[3, 9, 700, language_model.PAD]]), (len(targets), 1))
-    assert abs(np.exp(net.logprob(ctx, targets)).sum() - 1) < 1e-4
+    targets = np.arange(language_model.SYMBOLS, dtype=np.int32)
+    ctx = np.tile(np.array([[3, 9, 990, vocab.pad]]), (len(targets), 1))
+    logp = net.logprob(ctx, targets)
+    assert abs(np.exp(logp).sum() - 1) < 1e-4
+    # every counted word has a probability, with an embedding or without; those of shapes without words are nobody's
+    token = np.where(np.arange(len(counts)) < vocab.n_words, np.arange(len(counts)), vocab.n_words + shape)
+    nobody = np.setdiff1d(np.arange(language_model.HEAD, language_model.SYMBOLS), vocab.symbol[token])
+    assert abs(np.exp(logp[vocab.symbol[token]] + vocab.within[token]).sum() + np.exp(logp[nobody]).sum() - 1) < 1e-4
+
+
+def test_scores_are_sums_of_conditional_log_probabilities(spark):
+    rnd = random.Random(12)
+    word = [f"w{i}{'abcdefgh'[i % 8] * (i % 5)}" for i in range(2500)]
+    rows = [(i, " ".join(word[int(2500 * rnd.random() ** 3)] for _ in range(rnd.randrange(1, 60)))) for i in range(300)]
+    src = frame(spark, rows).select("doc_id", "text")
+    vocab = language_model.vocabulary(src)
+    n = sum(len(t.split()) for _, t in rows)
+    assert vocab.n_words == min(len({w for _, t in rows for w in t.split()}), language_model.HEAD + 2 * math.ceil(math.sqrt(n)))
+    encoded = language_model.encode(src, vocab)
+    params = language_model.train(encoded, vocab)
+    net = language_model.Network(params)
+    got = {r["doc_id"]: r for r in language_model.score(encoded, vocab, params).collect()}
+    p = {name: np.asarray(getattr(net, name), np.float64) for name in ("emb", "pos", "layer", "bias", "cls", "cls_b", "word", "word_b")}
+    for r in encoded.limit(20).collect():  # plain loops over positions and their windows
+        tokens = np.frombuffer(bytes(r["tokens"]), "<u4").astype(int)
+        want = 0.0
+        for i, t in enumerate(tokens):
+            x = np.zeros(language_model.DIM)
+            for s, d in enumerate((-2, -1, 1, 2)):
+                x += p["emb"][tokens[i + d] if 0 <= i + d < len(tokens) else vocab.pad] * p["pos"][s] / 4
+            h = np.tanh(x @ p["layer"] + p["bias"])
+            c, m = divmod(int(vocab.symbol[t]), language_model.CLASSES)
+            a, b = h @ p["cls"] + p["cls_b"], h @ p["word"][c] + p["word_b"][c]
+            want += a[c] - np.log(np.exp(a).sum()) + b[m] - np.log(np.exp(b).sum()) + vocab.within[t]
+        assert got[r["doc_id"]]["n_tokens"] == len(tokens) and abs(got[r["doc_id"]]["sum_logprob"] - want) < 1e-3 * max(1, len(tokens))
+
+
+def test_rare_words_of_one_shape_score_apart(spark):
+    rnd = random.Random(13)
+    common = [f"c{i}" for i in range(800)]
+    rows = [(i, " ".join(rnd.choice(common) for _ in range(40))) for i in range(900)]
+    # both words are rarer than the softmax's and end alike
+    rows += [(1000 + i, "c1 c2 zebra c3") for i in range(9)] + [(2000, "c1 c2 umbra c3")]
+    got = {r["doc_id"]: r["sum_logprob"] for r in language_model.language_model_scores(frame(spark, rows)).collect()}
+    assert got[1000] - got[2000] > 1
 
 
 def test_warc_roundtrip(spark, tmp_path):
