@@ -83,7 +83,7 @@ class Vocabulary:
 
 def vocabulary(docs: DataFrame) -> Vocabulary:
     """Counts every word of all rows (column text).  The driver gets the
-    vocabulary's words only: HEAD and WORDS_PER_ROOT times the square root of the corpus' words."""
+    vocabulary's words only, at most HEAD and WORDS_PER_ROOT times the square root of the corpus' words."""
     def count(batches):
         held, size = [], 0
         for _, data, off in text_chunks(batches):
@@ -102,7 +102,11 @@ def vocabulary(docs: DataFrame) -> Vocabulary:
     for r in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d")).collect():  # at most SHAPES rows
         total[r["shape"]], distinct[r["shape"]] = r["n"], r["d"]
     size = HEAD + WORDS_PER_ROOT * math.ceil(math.sqrt(total.sum()))
-    top = counts.orderBy(F.desc("n"), "h").limit(size).toPandas()
+    # words of one count are in or out together; there are at most sqrt(2 n) different counts of n words
+    levels = counts.groupBy("n").agg(F.count(F.lit(1)).alias("d")).toPandas().sort_values("n", ascending=False)
+    levels = levels["n"][levels["d"].cumsum() <= size]
+    least = int(levels.iloc[-1]) if len(levels) else 1 << 62
+    top = counts.where(F.col("n") >= least).toPandas().sort_values(["n", "h"], ascending=[False, True])
     return listed(top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64), top["shape"].to_numpy(np.int64), total, distinct)
 
 
