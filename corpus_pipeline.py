@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from clickforge.llm import decontamination, exact_dedup, language_id, ngram_join, packing
 from clickforge.llm.common import keep_written, table
+from clickforge.llm.queries import VOCABULARY
 
 #: Texts whose language is this uncertain go, as do those without a letter.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -93,8 +94,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the byte-level tokens of what is left into sequences."""
-    return packing.best_fit_packing(docs, F.octet_length(F.coalesce("text", F.lit(""))))
+    """Packs the tokens of what is left into sequences."""
+    return packing.pack_tokens(docs, VOCABULARY)
 
 
 STAGES = [
