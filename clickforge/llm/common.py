@@ -96,6 +96,8 @@ _WORD_BYTE[[0x20, 9, 10, 11, 12, 13]] = False
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _ORDER = _rng.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
+_CASED = _BYTE.copy()
+_CASED[65:91] = _rng.integers(1, 2**63, 26, dtype=np.uint64) | np.uint64(1)
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -141,15 +143,15 @@ def words(data: np.ndarray, off: np.ndarray, word_byte: np.ndarray = _WORD_BYTE)
     return start, end, np.searchsorted(start, off)
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of the ASCII-lower-cased bytes, by differences
-    of a running polynomial sum (all arithmetic modulo 2**64)."""
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hash of each span of the bytes, ASCII-lower-cased if ``fold``, by
+    differences of a running polynomial sum (all arithmetic modulo 2**64)."""
     if len(start) == 0:
         return np.zeros(0, np.uint64)
     up, down = _powers(len(data) + 1)
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE[data] * up[:len(data)], out=total[1:])
+    np.cumsum((_BYTE if fold else _CASED)[data] * up[:len(data)], out=total[1:])
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * _ORDER[63])
 
 

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, text_chunks
+from .common import ship, text_chunks, word_hashes
 
 # The byte-level split pattern of the tokenizer's pre-tokenizer.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -249,7 +249,95 @@ class PrefixCounter:
         return at + int(np.flatnonzero(ahead <= budget - base)[-1])
 
 
+LETTER, NUMBER, SPACE, OTHER = range(4)
+
+
+def _kinds() -> np.ndarray:
+    """Class of every code point under the split pattern."""
+    out = np.full(0x110000, OTHER, np.uint8)
+    points = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for kind, p in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for m in regex.finditer(p, points):
+            out[ord(points[m.start()]):ord(points[m.end() - 1]) + 1] = kind
+    return out
+
+
+class TotalCounter:
+    """Token counts of whole texts without their prefixes: the pre-tokens of all
+    texts of a chunk are cut and looked up at once.  A table of fixed size holds
+    counts by the pre-token's 64-bit hash; a place taken by another one is
+    overwritten, so its memory is bounded and what is missing is counted again."""
+
+    SLOTS = 1 << 20
+
+    def __init__(self, prefixes: PrefixCounter):
+        self.prefixes = prefixes
+        self.kinds = _kinds()
+        self.keys = np.zeros(self.SLOTS, np.uint64)
+        self.held = np.zeros(self.SLOTS, np.int64)  # 0: empty, as every pre-token has a token
+
+    def starts(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First byte of each pre-token of concatenated texts, and each text's
+        first pre-token."""
+        if data.max() < 128:
+            points, text = data, off
+        else:
+            lead = np.flatnonzero((data & 0xC0) != 0x80)
+            points, text = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4"), np.searchsorted(lead, off)
+        kind, n = self.kinds[points], len(points)
+        new = np.zeros(n + 1, bool)
+        new[text] = True
+        start = new[:n].copy()
+        start[1:] |= kind[1:] != kind[:-1]
+        # of white space before something else the last character is apart; a blank leads what follows
+        after = np.flatnonzero(start[1:] & ~new[1:n] & (kind[:-1] == SPACE)) + 1
+        start[after - 1] = True
+        start[after[points[after - 1] == ord(" ")]] = False
+        # contractions: an apostrophe that begins a pre-token, and one or two letters
+        at = np.flatnonzero(start[:-1] & (points[:-1] == ord("'")))
+        at = at[(kind[at + 1] == LETTER) & ~new[at + 1]]
+        a, b = points[at + 1], np.where(new[at + 2], 0, points[np.minimum(at + 2, n - 1)])
+        is_two = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+        size = np.where(np.isin(a, [ord(c) for c in "stmd"]), 2, np.where(is_two, 3, 0))
+        at, size = at[size > 0], size[size > 0]
+        start[at + 1] = False
+        rest = (at + size)[~new[at + size]]
+        start[rest[kind[rest] == LETTER]] = True
+        found = np.flatnonzero(start)
+        first = np.searchsorted(found, text)
+        return (found if points is data else lead[found]), first
+
+    def counts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Tokens of each of the concatenated texts."""
+        if len(data) == 0:
+            return np.zeros(len(off) - 1, np.int64)
+        start, first = self.starts(data, off)
+        end = np.append(start[1:], len(data))
+        h = word_hashes(data, start, end, fold=False)
+        slot = (h & np.uint64(self.SLOTS - 1)).astype(np.int64)
+        n = np.where(self.keys[slot] == h, self.held[slot], 0)
+        raw, missing = data.tobytes(), np.flatnonzero(n == 0)
+        if len(missing):
+            _, at, of = np.unique(h[missing], return_index=True, return_inverse=True)
+            at = missing[at]
+            pieces = [raw[i:j] for i, j in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+            count = np.zeros(len(at), np.int64)
+            for k in sorted(range(len(at)), key=pieces.__getitem__):  # neighbours share prefixes
+                count[k] = self.prefixes.bytes_counts(pieces[k])[-1]
+            n[missing] = count[of]
+            self.keys[slot[at]], self.held[slot[at]] = h[at], count
+        total = np.concatenate(([0], np.cumsum(n)))
+        out = total[first[1:]] - total[first[:-1]]
+        special = self.prefixes.special
+        if special and special.search(raw.decode()):
+            for d, (i, j) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
+                if special.search(text := raw[i:j].decode()):
+                    out[d] = self.prefixes.count(text)
+        return out
+
+
 _COUNTERS: dict[str, PrefixCounter] = {}
+_TOTALS: dict[str, TotalCounter] = {}
 
 
 def counter(path: str) -> PrefixCounter:
@@ -259,6 +347,13 @@ def counter(path: str) -> PrefixCounter:
     return _COUNTERS[path]
 
 
+def total_counter(path: str) -> TotalCounter:
+    """Likewise for counts of whole texts."""
+    if path not in _TOTALS:
+        _TOTALS[path] = TotalCounter(counter(path))
+    return _TOTALS[path]
+
+
 def token_counts(docs: DataFrame, path: str, budget: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit and fit_chars (characters of the
     longest prefix within ``budget`` tokens) for every row.
@@ -292,16 +387,11 @@ def token_counts(docs: DataFrame, path: str, budget: int = 512, id_col: str = "d
 
 def token_lengths(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and n_tokens for every row: ``token_counts`` without the prefixes, for
-    operators that need the length only.  The same rules hold."""
+    operators that need the length only, by ``TotalCounter``.  The same rules hold."""
     def scan(batches):
-        c = counter(path)
+        c = total_counter(path)
         for b, data, off in text_chunks(batches):
-            raw = data.tobytes()
-            texts = [raw[i:j].decode() for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-            pieces = [None if c.special and c.special.search(t) else c.pieces(t) for t in texts]
-            c.learn(set().union(*(p for p in pieces if p)))
-            n = [c.count(t) if p is None else sum(map(c.total.__getitem__, p)) for t, p in zip(texts, pieces, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(c.counts(data, off), pa.int64())], ["doc_id", "n_tokens"])
 
     src = ship(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(scan, "doc_id long, n_tokens long")

@@ -178,6 +178,26 @@ def test_token_counts_equal_the_library(odd, empty):
     assert token_counts.token_counts(empty, VOCAB).count() == 0
 
 
+def test_whole_text_counts_equal_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(VOCAB)
+    rnd = random.Random(8)
+    texts = ["", "'s't", "x'll", "'", "a'", " 's", "\n're x'rex ''d 'l", "a\u3000b \u00a0c", "  ", "a \n b", "'ve'", "I'M y'all'd", "<|endoftext|> a", "", "\u00b2x'sé"]
+    texts += ["".join(rnd.choice("ab  \n\t''srelvtdm19!é你\u00a0\u3000A") for _ in range(rnd.randint(0, 40))) for _ in range(600)]
+    texts += ["<|endoftext|>".join(texts[-2:]), "word " * 5000, "", ""]
+    want = [len(lib.encode(t, add_special_tokens=False).ids) for t in texts]
+    for slots in (1 << 20, 2):  # with two places nearly everything is overwritten
+        monkeypatch.setattr(token_counts.TotalCounter, "SLOTS", slots)
+        c = token_counts.TotalCounter(token_counts.counter(VOCAB))
+        for part in (texts, [t for t in texts if t.isascii()], ["", ""]):
+            raw = [t.encode() for t in part]
+            off = np.cumsum([0, *map(len, raw)])
+            for _ in range(2):
+                got = c.counts(np.frombuffer(b"".join(raw), np.uint8), off).tolist()
+                assert got == [w for t, w in zip(texts, want, strict=True) if t in part][:len(part)] if part != ["", ""] else got == [0, 0]
+
+
 def test_packing_keeps_everything(odd, empty):
     got = packing.best_fit_packing(odd, F.octet_length(F.coalesce("text", F.lit(""))), (64, 256, 1024), shard=40).collect()
     size = collections.defaultdict(int)
