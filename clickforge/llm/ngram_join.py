@@ -25,6 +25,10 @@ bound.
 5. *Comparison.*  Hashed bitmaps of both sets bound the overlap from above by
    bit counts; pairs that pass are decided by exact intersection of sorted
    arrays.
+6. *Link counts.*  All links of a class are inside its component, also those the
+   stars had no need for.  Components are compared whole, by bitmaps and exact
+   intersection, block against block of bounded size, the blocks of a large one
+   cut by size band and hash; blocks return sums per class and never pairs.
 """
 
 from __future__ import annotations
@@ -54,6 +58,8 @@ STILL_OPEN = 0.8
 #: Open pairs from which on a tile is compared on its bitmaps, and members of a block.
 LARGE_TILE = 64
 BLOCK = 1024
+#: Copies of the block counts of a large component, so its members meet them in many tasks.
+COUNT_SALTS = 64
 
 
 def class_of(s: np.ndarray) -> int:
@@ -347,9 +353,10 @@ def _links(pairs: DataFrame, sets: DataFrame, signatures: DataFrame) -> DataFram
     return keep_written(allowed.join(i("a"), "a").join(i("b"), "b").mapInArrow(_verified, "a long, b long"), "join-links")
 
 
-def class_links(docs: DataFrame, n_bytes: int) -> DataFrame:
+def class_links(docs: DataFrame, n_bytes: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between classes of (doc_id, text) rows that connect every
-    pair of linked classes; n_bytes of text in all."""
+    pair of linked classes, and the reduced sets (cls, n, ids) of all classes that
+    can have a partner; n_bytes of text in all."""
     ship(docs)
     # about one shingle per six bytes
     ranges = max(16, math.ceil(n_bytes / 6 / RANGE_TOKENS))
@@ -407,30 +414,112 @@ def class_links(docs: DataFrame, n_bytes: int) -> DataFrame:
     large = large.join(facts, "cls").select("tile", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine",
                                             "cls", "label", "n", "k", "home", "sig", "home_tiles", "visit_tiles")
     pairs = pairs.union(large.groupBy("tile", "low", "high").applyInPandas(_tile_pairs, "a long, b long")).distinct()
-    return links.union(_links(pairs.join(done, ["a", "b"], "left_anti"), sets, signatures))
-
-
-def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return links.union(_links(pairs.join(done, ["a", "b"], "left_anti"), sets, signatures)), sets.select("cls", "n", "ids")
+
+
+def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Linked documents of each class within the pairs of blocks of one task."""
+    out = []
+    for (_, low_band, low, high_band, high), g in pdf.groupby(["label", "low_band", "low", "high_band", "high"], sort=False):
+        n, docs = g["n"].to_numpy(), g["docs"].to_numpy()
+        sets = [_from_six(x) for x in g["ids"]]
+        k = np.array([len(x) for x in sets], np.int64)
+        sig = [np.frombuffer(signature(x, c), np.uint64) for x, c in zip(sets, n.tolist(), strict=True)]
+        width = min(map(len, sig))
+        sig = np.stack([_fold(x, width) for x in sig])
+        _, place = np.unique(np.concatenate(sets), return_inverse=True)
+        place = np.split(place, np.cumsum(k)[:-1])
+        across = (low_band, low) != (high_band, high)
+        side = ((g["band"] == low_band) & (g["mine"] == low)).to_numpy()
+        held = np.zeros(int(max(x.max() for x in place)) + 1, np.uint8)
+        links = np.zeros(len(g), np.int64)
+        for i in range(len(g) - 1):
+            j = slice(i + 1, None)
+            bound = np.minimum((k[i] + k[j] - np.bitwise_count(sig[i] ^ sig[j]).sum(1, dtype=np.int64)) // 2, np.minimum(k[i], k[j]))
+            ok = linked(bound, n[i], n[j])
+            if across:
+                ok &= side[j] != side[i]
+            m = np.flatnonzero(ok) + i + 1
+            if len(m) == 0:
+                continue
+            held[place[i]] = 1
+            edge = np.concatenate(([0], np.cumsum(k[m])[:-1]))
+            common = np.add.reduceat(held[np.concatenate([place[x] for x in m])], edge, dtype=np.int64)
+            held[place[i]] = 0
+            m = m[linked(common, n[i], n[m])]
+            links[i] += docs[m].sum()
+            links[m] += docs[i]
+        out.append(pd.DataFrame({"cls": g["cls"].to_numpy(), "links": links}))
+    return pd.concat(out) if out else pd.DataFrame({"cls": [], "links": []}).astype("int64")
+
+
+def link_counts(sets: DataFrame, labels: DataFrame, copies: DataFrame) -> DataFrame:
+    """(cls, links): documents of other classes that link with those of a class.
+
+    sets: reduced sets (cls, n, ids); labels: (node, label) of the linked classes;
+    copies: (cls, docs), documents of each class.
+    """
+    band_of = F.floor(F.log(F.col("n")) / F.lit(math.log(4 / 3)) + 1e-9).cast("int")
+    member = keep_written(labels.join(sets.select("cls", "n"), F.col("node") == F.col("cls")).join(copies, "cls")
+                          .select("cls", "label", "n", "docs", band_of.alias("band")), "join-linked")
+    per = member.groupBy("label", "band").agg(F.count(F.lit(1)).alias("c"))
+    blocks = F.struct("band", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))  # one entry per size band
+    per = per.groupBy("label").agg(F.sum("c").alias("c"), F.map_from_entries(F.collect_list(blocks)).alias("blocks")).where(F.col("c") > BLOCK)
+    per = per.select("label", "blocks", F.explode(F.sequence(F.lit(0), F.lit(COUNT_SALTS - 1))).alias("salt"))
+    cut = member.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(COUNT_SALTS)).cast("int")).join(per, ["label", "salt"], "left")
+    within = lambda step: F.coalesce(F.try_element_at("blocks", F.col("band") + step), F.lit(0))
+    cut = cut.withColumn("mine", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("cls", F.lit(1)), F.greatest(within(0), F.lit(1)))).cast("int"))
+
+    def against(step: int):
+        """Pairs of the member's block with those of its band or the next."""
+        pair = lambda a, x, b, y: F.struct(a.alias("low_band"), x.alias("low"), b.alias("high_band"), y.alias("high"))
+        band, mine = F.col("band"), F.col("mine")
+        each = (lambda t: pair(band, F.least(mine, t), band, F.greatest(mine, t)), lambda t: pair(band, mine, band + 1, t),
+                lambda t: pair(band - 1, t, band, mine))[step]
+        return F.transform(F.slice(F.sequence(F.lit(0), F.greatest(within(step), F.lit(1)) - 1), F.lit(1), within(step)), each)
+
+    # step -1 is the band below
+    whole = F.array(F.struct(F.lit(0).alias("low_band"), F.lit(0).alias("low"), F.lit(0).alias("high_band"), F.lit(0).alias("high")))
+    work = F.when(F.col("blocks").isNull(), whole).otherwise(F.concat(against(0), against(1), against(-1)))
+    tasks = max(1, math.ceil(member.count() / (2 * BLOCK)))
+    cut = cut.withColumn("single", F.col("blocks").isNull()).select("cls", "label", "n", "docs", "band", "mine", "single", F.explode(work).alias("w"))
+    cut = cut.select("cls", "label", "n", "docs", "band", "mine", "w.*", F.when(F.col("single"), F.pmod(F.xxhash64("label"), F.lit(tasks)))
+                     .otherwise(F.xxhash64("label", "w.low_band", "w.low", "w.high_band", "w.high")).alias("task"))
+    found = cut.join(sets.select("cls", "ids"), "cls").groupBy("task").applyInPandas(_block_links, "cls long, links long")
+    return found.groupBy("cls").agg(F.sum("links").alias("links"))
+
+
+def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest
-    doc_id that its links reach, itself included), cls.
+    doc_id that its links reach, itself included), cls and, with ``count_links``,
+    n_links: how many other rows it links with, those with an equal set included.
 
     Words are runs of bytes other than blank, tab, line feed, vertical tab,
     form feed and return, with A-Z lower-cased; a text of fewer than five words
     is one shingle.  A null, empty or blank text has no shingles and links with
-    nothing, so its component is its own id.  Rows with equal sets are linked;
-    repeated rows repeat; null ids never name a component unless it has no
-    other id.  Other columns are not read; an empty table gives an empty result.
+    nothing, so its component is its own id and its n_links 0.  Rows with equal
+    sets are linked; repeated rows repeat; null ids never name a component unless
+    it has no other id.  Other columns are not read; an empty table gives an empty
+    result.
     """
     ship(docs)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     classes = keep_written(document_classes(src), "join-docs")
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    none = [F.lit(0).cast("long").alias("n_links")] if count_links else []
     if total == 0:
-        return classes.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "cls")
-    labels = connected_components(class_links(src, 6 * total))
-    named = classes.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low"))
-    named = named.join(labels, F.col("cls") == F.col("node"), "left").select("cls", "low", F.coalesce("label", "cls").alias("label"))
+        return classes.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "cls", *none)
+    links, sets = class_links(src, 6 * total)
+    labels = connected_components(links)
+    named = classes.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("docs"))
+    copies = keep_written(named, "join-classes")
+    named = copies.join(labels, F.col("cls") == F.col("node"), "left").select("cls", "low", "docs", F.coalesce("label", "cls").alias("label"))
     lowest = named.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = keep_written(named.join(lowest, "label").select(F.col("cls").alias("c"), "component_id"), "join-components")
+    named = named.join(lowest, "label").select("cls", "docs", "component_id")
+    if count_links:
+        named = named.join(link_counts(sets, labels, copies.select("cls", "docs")), "cls", "left").withColumn(
+            "n_links", F.coalesce("links", F.lit(0)) + F.col("docs") - 1)
+        none = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
+    named = keep_written(named.withColumnRenamed("cls", "c").drop("docs", "links"), "join-components")
     return classes.join(named, F.col("cls") == F.col("c"), "left").select(
-        "doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls")
+        "doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls", *none)

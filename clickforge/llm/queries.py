@@ -36,7 +36,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import ngram_jaccard_join
 
-    return ngram_jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"), count_links=True).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

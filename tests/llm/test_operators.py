@@ -54,11 +54,25 @@ def variants(seed=1, families=6, size=7):
     return [(100 + i, " ".join(w)) for i, w in enumerate(rows)]
 
 
-def brute_components(rows):
+def shingled(rows):
     sets = []
     for _, t in rows:
         w = (t or "").encode().lower().split()
         sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    return sets
+
+
+def brute_links(rows):
+    sets, n = shingled(rows), [0] * len(rows)
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            n[a] += 1
+            n[b] += 1
+    return collections.Counter((i, k) for (i, _), k in zip(rows, n, strict=True))
+
+
+def brute_components(rows):
+    sets = shingled(rows)
     low = [i for i, _ in rows]
     while True:
         old = list(low)
@@ -83,6 +97,22 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, large):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("block", [1024, 3])
+def test_ngram_join_counts_all_links(spark, odd, empty, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)  # with blocks of 3, components go over several blocks and bands
+    rnd = random.Random(4)
+    base = [f"b{i}" for i in range(120)]
+    # one group whose sizes go over several bands, so many of its members link with some others only
+    chain = [(1000 + k, " ".join(base[rnd.randrange(0, 12):60 + 5 * (k % 12)])) for k in range(40)]
+    rows = variants() + chain + [(2000, chain[3][1]), (2001, chain[3][1])]
+    result = ngram_join.ngram_jaccard_join(frame(spark, rows), count_links=True)
+    got, want = rows_of(result, "doc_id", "n_links"), brute_links(rows)
+    assert got == want and len({k for _, k in want}) > 8
+    assert rows_of(result, "doc_id", "n_shingles", "component_id") == brute_components(rows)
+    assert rows_of(ngram_join.ngram_jaccard_join(odd, count_links=True), "doc_id", "n_links") == brute_links(ODD)
+    assert ngram_join.ngram_jaccard_join(empty, count_links=True).count() == 0
+
+
 def test_ngram_join_odd_tables(odd, empty):
     got = rows_of(ngram_join.ngram_jaccard_join(odd), "doc_id", "n_shingles", "component_id")
     assert got == brute_components(ODD)
