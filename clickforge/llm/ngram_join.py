@@ -8,7 +8,8 @@ bound.
 1. *Document frequencies.*  Tasks deal the shingles of their classes out by
    hash range, packed per (task, range); a shingle that many classes of one task
    hold goes as one mark instead.  Each range counts in how many classes its
-   shingles occur and returns only those of two or more.
+   shingles occur and returns only those of two or more.  Ranges are dealt in
+   rounds of at most FAN, so what a task sends does not grow with their number.
 2. *Reduced sets.*  Shingles of one class only cannot be shared.  A class keeps
    its other shingles; if they are fewer than 75 in 100 of its set it has no
    partner.  Two sets meet exactly in what their reduced sets have in common.
@@ -39,6 +40,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,8 @@ from .components import connected_components
 SHINGLE = 5
 #: Shingles of the sets that one range is planned for.
 RANGE_TOKENS = 1_200_000
+#: Ranges that one dealing round tells apart.
+FAN = 512
 #: Classes of one task from which on a shingle is sent as a mark.
 LOCAL_HEAVY = 64
 #: Shingles held by a task before it sends them on.
@@ -96,11 +100,72 @@ def document_classes(docs: DataFrame) -> DataFrame:
 
 
 # rows of the first exchange: postings and marks of a shingle range, and facts of classes on their way to their bucket
-_ROWS = "part long, kind int, cls binary, counts binary, ids binary, freq binary"
+_NAMES = ["part", "lane", "kind", "cls", "counts", "ids", "freq"]
+_ROWS = "part long, lane long, kind int, cls binary, counts binary, ids binary, freq binary"
+
+
+def dealing(ranges: int) -> tuple[int, int]:
+    """(fan, rounds) with fan ** rounds ranges, at least as many as asked for."""
+    rounds = 1
+    while FAN ** rounds < ranges:
+        rounds += 1
+    fan = 1
+    while fan ** rounds < ranges:
+        fan += 1
+    return fan, rounds
+
+
+def _cuts(part: np.ndarray):
+    """(part, order) of the members of each part that has any."""
+    order = np.argsort(part, kind="stable")
+    edge = np.flatnonzero(np.diff(part[order])) + 1
+    return [(int(part[o[0]]), o) for o in np.split(order, edge) if len(o)]
+
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
+
+
+def _redealt(fan: int, rounds: int, level: int, by_class: bool):
+    """Reducer between two rounds: the rows of one part and lane, cut into the
+    parts of the next level, by shingle or by class.  Class facts wait in the rounds
+    by shingle, where their parts come after all others."""
+    before, after = fan ** (level + 1), fan ** (level + 2)
+    lanes = fan ** rounds // after
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        if not by_class and int(key[0]) >= before:
+            return pdf.assign(part=pdf["part"] - before + after)
+        rows, lane = [], int(key[1]) % lanes
+        for kind, g in pdf.groupby("kind"):
+            ids = np.concatenate([_from_six(x) for x in g["ids"]])
+            if kind == 1:
+                rows += [(p, lane, 1, b"", b"", _six(np.unique(ids[o])), b"") for p, o in _cuts(_range_of(ids, after, 48))]
+                continue
+            cls = np.concatenate([np.frombuffer(x, np.int64) for x in g["cls"]])
+            facts = np.concatenate([np.frombuffer(x, np.uint32) for x in g["counts"]]).reshape(len(cls), -1)
+            owner = np.repeat(np.arange(len(cls)), facts[:, -1])
+            bucket = _range_of(mix(cls.view(np.uint64)), after, 64)
+            if kind == 2:
+                bounds = np.concatenate(([0], np.cumsum(facts[:, -1], dtype=np.int64)))
+                for p, o in _cuts(bucket):
+                    mine = np.concatenate([ids[bounds[i]:bounds[i + 1]] for i in o.tolist()])
+                    rows.append((p, lane, 2, cls[o].tobytes(), facts[o].tobytes(), _six(mine), b""))
+                continue
+            freq = np.concatenate([np.frombuffer(x, np.uint8) for x in g["freq"]])
+            for p, o in _cuts(bucket[owner] if by_class else _range_of(ids, after, 48)):
+                first = _runs(owner[o])
+                rows.append((p, lane, 0, cls[owner[o][first]].tobytes(), np.diff(np.append(first, len(o))).astype(np.uint32).tobytes(),
+                             _six(ids[o]), freq[o].tobytes() if len(freq) else b""))
+        return pd.DataFrame(rows, columns=_NAMES)
 
+    return run
 
-def _dealt(ranges: int, buckets: int):
-    """Mapper: texts -> packed postings by shingle range, marks, class facts."""
+
+def _dealt(ranges: int, lanes: int):
+    """Mapper: texts -> packed postings by shingle range, marks, class facts, at the
+    first level of ``ranges`` parts of each."""
     def flush(held: dict[int, np.ndarray], sizes: dict[int, int]):
         cls = np.array(list(held), np.int64)
         sets = list(held.values())
@@ -108,42 +173,32 @@ def _dealt(ranges: int, buckets: int):
         ids = np.concatenate(sets) >> np.uint64(16)
         owner = np.repeat(np.arange(len(cls)), count)
         order = np.argsort(ids, kind="stable")
-        run = np.flatnonzero(np.concatenate(([True], ids[order][1:] != ids[order][:-1])))
+        run = _runs(ids[order])
         length = np.diff(np.append(run, len(ids)))
         heavy_run = length >= LOCAL_HEAVY
         heavy = np.zeros(len(ids), bool)
         heavy[order[np.repeat(heavy_run, length)]] = True
-        rows = []
+        rows, lane = [], TaskContext.get().partitionId() % lanes
 
         def pack(sel: np.ndarray) -> tuple[bytes, bytes, bytes]:
             o = owner[sel]
-            first = np.flatnonzero(np.concatenate(([True], o[1:] != o[:-1]))) if len(o) else np.zeros(0, np.int64)
+            first = _runs(o)
             return cls[o[first]].tobytes(), np.diff(np.append(first, len(o))).astype(np.uint32).tobytes(), _six(ids[sel])
 
         light = np.flatnonzero(~heavy)
-        part = _range_of(ids[light], ranges, 48)
-        by_part = np.argsort(part, kind="stable")
-        edge = np.searchsorted(part[by_part], np.arange(ranges + 1))
-        for p in range(ranges):
-            sel = light[by_part[edge[p]:edge[p + 1]]]
-            if len(sel):
-                rows.append((p, 0, *pack(sel), b""))
+        rows += [(p, lane, 0, *pack(light[o]), b"") for p, o in _cuts(_range_of(ids[light], ranges, 48))]
         marks = ids[order[run[heavy_run]]]
-        part = _range_of(marks, ranges, 48)
-        for p in np.unique(part).tolist():
-            rows.append((p, 1, b"", b"", _six(marks[part == p]), b""))
+        rows += [(p, lane, 1, b"", b"", _six(marks[o]), b"") for p, o in _cuts(_range_of(marks, ranges, 48))]
         # class facts: size, and the shingles sent as marks
-        bucket = _range_of(mix(cls.view(np.uint64)), buckets, 64)
+        bucket = _range_of(mix(cls.view(np.uint64)), ranges, 64)
         mine = np.flatnonzero(heavy)
         marked = [ids[mine[i:j]] for i, j in zip(*(lambda e: (e[:-1], e[1:]))(np.searchsorted(owner[mine], np.arange(len(cls) + 1)).tolist()), strict=True)]
-        for q in np.unique(bucket).tolist():
-            which = np.flatnonzero(bucket == q)
+        for q, which in _cuts(bucket):
             facts = np.array([[sizes[int(cls[i])], len(marked[i])] for i in which], np.uint32)
-            rows.append((ranges + q, 2, cls[which].tobytes(), facts.tobytes(), _six(np.concatenate([marked[i] for i in which])), b""))
+            rows.append((ranges + q, lane, 2, cls[which].tobytes(), facts.tobytes(), _six(np.concatenate([marked[i] for i in which])), b""))
         for i in range(0, len(rows), 64):
             cols = list(zip(*rows[i:i + 64], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[2:]]],
-                                             ["part", "kind", "cls", "counts", "ids", "freq"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[3:]]], _NAMES)
 
     def scan(batches):
         held, sizes, tokens = {}, {}, 0
@@ -161,7 +216,7 @@ def _dealt(ranges: int, buckets: int):
     return scan
 
 
-def _frequencies(ranges: int, buckets: int):
+def _frequencies(ranges: int, buckets: int, lanes: int):
     """Reducer of one shingle range: shingles of two or more classes, with their
     frequency class, packed by bucket of classes.  Class facts pass through."""
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -205,8 +260,8 @@ def _frequencies(ranges: int, buckets: int):
         for q in np.unique(bucket).tolist():
             i, j = edge[q], edge[q + 1]
             first = np.flatnonzero(np.concatenate(([True], cls[i + 1:j] != cls[i:j - 1])))
-            rows.append((q, 0, cls[i:j][first].tobytes(), np.diff(np.append(first, j - i)).astype(np.uint32).tobytes(), _six(ids[i:j]), freq[i:j].tobytes()))
-        return pd.DataFrame(rows, columns=["part", "kind", "cls", "counts", "ids", "freq"])
+            rows.append((q, int(pdf["part"].iloc[0]) % lanes, 0, cls[i:j][first].tobytes(), np.diff(np.append(first, j - i)).astype(np.uint32).tobytes(), _six(ids[i:j]), freq[i:j].tobytes()))
+        return pd.DataFrame(rows, columns=_NAMES)
 
     return reduce
 
@@ -360,9 +415,17 @@ def class_links(docs: DataFrame, n_bytes: int) -> tuple[DataFrame, DataFrame]:
     ship(docs)
     # about one shingle per six bytes
     ranges = max(16, math.ceil(n_bytes / 6 / RANGE_TOKENS))
-    dealt = docs.select("doc_id", "text").mapInArrow(_dealt(ranges, ranges), _ROWS)
-    shared = dealt.groupBy("part").applyInPandas(_frequencies(ranges, ranges), _ROWS)
-    sets = keep_written(shared.groupBy("part").applyInPandas(_reduced, "cls long, n long, ids binary, prefix binary"), "join-sets")
+    fan, rounds = dealing(ranges)
+    ranges, lanes = fan ** rounds, fan ** (rounds - 1)
+
+    def cut(rows: DataFrame, by_class: bool) -> DataFrame:
+        for level in range(rounds - 1):
+            rows = rows.groupBy("part", "lane").applyInPandas(_redealt(fan, rounds, level, by_class), _ROWS)
+        return rows.groupBy("part", "lane")
+
+    dealt = docs.select("doc_id", "text").mapInArrow(_dealt(fan, lanes), _ROWS)
+    shared = cut(dealt, False).applyInPandas(_frequencies(ranges, fan, lanes), _ROWS)
+    sets = keep_written(cut(shared, True).applyInPandas(_reduced, "cls long, n long, ids binary, prefix binary"), "join-sets")
 
     def sign(batches):
         for b in batches:

@@ -97,6 +97,23 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, large):
     assert got == brute_components(rows)
 
 
+def test_ngram_join_deals_ranges_in_rounds(spark, monkeypatch):
+    assert ngram_join.dealing(16) == (16, 1) and ngram_join.dealing(512) == (512, 1) and ngram_join.dealing(513) == (23, 2)
+    monkeypatch.setattr(ngram_join, "FAN", 3)  # 16 ranges take three rounds
+    monkeypatch.setattr(ngram_join, "LOCAL_HEAVY", 3)  # so that marks are dealt too
+    assert ngram_join.dealing(16) == (3, 3)
+    rows = variants()
+    got = rows_of(ngram_join.ngram_jaccard_join(frame(spark, rows).repartition(5), count_links=True), "doc_id", "n_shingles", "component_id", "n_links")
+    links = dict(brute_links(rows).keys())
+    assert got == collections.Counter((i, n, c, links[i]) for i, n, c in brute_components(rows))
+
+
+def test_ngram_join_sends_no_row_per_range():
+    part = np.random.default_rng(1).integers(0, 1 << 40, 1000)
+    cuts = ngram_join._cuts(part)
+    assert len(cuts) == 1000 and all((part[o] == p).all() for p, o in cuts) and ngram_join._cuts(part[:0]) == []
+
+
 @pytest.mark.parametrize("block", [1024, 3])
 def test_ngram_join_counts_all_links(spark, odd, empty, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)  # with blocks of 3, components go over several blocks and bands
