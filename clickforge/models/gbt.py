@@ -81,12 +81,23 @@ def numeric(df: DataFrame, predictors) -> DataFrame:
     return df.select(*[value(c) if c in predictors and c not in nominal else F.col(c) for c in df.columns])
 
 
+#: Partitions of a fit's rows, for each core.  Every level of every tree sends the
+#: statistics of all nodes (up to 100 MB at ten levels) from each partition.
+FIT_TASKS = 4
+
+
+def fit_rows(train: DataFrame) -> DataFrame:
+    """The rows of a fit in few partitions: what a level shuffles then does not
+    grow with the rows."""
+    return train.coalesce(FIT_TASKS * train.sparkSession.sparkContext.defaultParallelism)
+
+
 def fit(train: DataFrame, predictors, label: str = "label", params: dict | None = None) -> PipelineModel:
     """Assemble + weighted GBT in one Pipeline."""
     p = merge_params(params)
     data = with_weight(numeric(train, predictors), label, p["scale_pos_weight"]).withColumn(
         label, F.col(label).cast("double"))
-    return Pipeline(stages=[assembler(predictors), gbt_estimator(p, label)]).fit(data)
+    return Pipeline(stages=[assembler(predictors), gbt_estimator(p, label)]).fit(fit_rows(data))
 
 
 def with_trees(model: PipelineModel, which: list[int], weights: list[float] | None = None) -> PipelineModel:
@@ -187,7 +198,7 @@ def rf_pseudo_labels(train: DataFrame, unlabelled_flag, predictors, label: str =
         label, F.col(label).cast("double"))
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol=WEIGHT, numTrees=num_trees,
                                 maxDepth=max_depth, subsamplingRate=subsample, seed=seed)
-    model = Pipeline(stages=[assembler(predictors), rf]).fit(data)
+    model = Pipeline(stages=[assembler(predictors), rf]).fit(fit_rows(data))
     target = df if df is not None else train
     scored = model.transform(numeric(target, predictors)).withColumn("__p", vector_to_array("probability")[1])
     out = scored.withColumn(label, overwrite_unlabelled(F.col(label), unlabelled_flag, hard_label(F.col("__p"))))

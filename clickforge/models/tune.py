@@ -53,7 +53,7 @@ def successive_halving(spark: SparkSession, train: DataFrame, valid: DataFrame,
         @inheritable_thread_target(spark)
         def fit_one(i: int, rows=rows, rounds=rounds) -> float | None:
             p = G.merge_params(dict(trials[i], num_boost_round=rounds))
-            model = G.gbt_estimator(p, label).fit(G.with_weight(rows, label, p["scale_pos_weight"]))
+            model = G.gbt_estimator(p, label).fit(G.with_weight(G.fit_rows(rows), label, p["scale_pos_weight"]))
             scored = model.transform(valid).select(label, vector_to_array("rawPrediction")[1].alias("s"))
             return auc(scored, "s", label).first()["auc"]
 

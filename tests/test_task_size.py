@@ -1,8 +1,9 @@
-"""What one task of the window plan takes does not grow with the log."""
+"""What one task of the window plan and of a fit takes does not grow with the log."""
 
 from pyspark.sql import functions as F
 
 from clickforge import schema as S
+from clickforge.models import gbt as M
 from clickforge.plans import features as P
 from clickforge.plans.specs import FeatureSpec
 
@@ -38,3 +39,9 @@ def test_many_hot_keys_are_not_forced_into_a_broadcast(spark, monkeypatch):
     assert "strategy=broadcast" not in many._jdf.queryExecution().analyzed().toString()
     rows = lambda d: sorted(tuple(r) for r in d.select("row_id", "gap", "n", "nu", "gap2").collect())
     assert rows(many) == rows(plain)
+
+
+def test_a_fit_reads_its_rows_in_few_partitions(spark):
+    df = spark.range(1000).repartition(300)
+    assert M.fit_rows(df).rdd.getNumPartitions() == M.FIT_TASKS * spark.sparkContext.defaultParallelism
+    assert M.fit_rows(df).count() == 1000
