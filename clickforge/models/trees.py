@@ -15,22 +15,21 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickforge.models.auc import auc_by
+from clickforge.models.auc import auc_of_blocks
 from clickforge.session import shared_path
 
 # The scan below runs in Python workers that may lack this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def node_table(model: PipelineModel) -> DataFrame:
+def node_table(model: PipelineModel, spark: SparkSession | None = None) -> DataFrame:
     """One row per node: tree, node, feature, threshold (null at a categorical
     split), categories that go left (null at a threshold), arity, left and right
     child (-1 in leaves), prediction, gain, weight (weighted training rows)."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     path = shared_path(spark, "trees")
     model.stages[-1].write().save(path)
     n, split = F.col("nodeData"), F.col("nodeData.split")
@@ -98,51 +97,83 @@ def running_sums(weights: list[float], arrays: list[tuple], x: np.ndarray, start
     return out
 
 
-def packed_trees(model: PipelineModel) -> PackedTrees:
-    """The model's nodes as arrays (as large as the model, which is on the driver anyway)."""
-    return PackedTrees(node_table(model).collect(), list(model.stages[-1].treeWeights))
+def packed_trees(model: PipelineModel, spark: SparkSession | None = None) -> PackedTrees:
+    """The model's nodes as arrays (as large as the model, which is on the driver
+    anyway).  A thread without an active session gives its own."""
+    return PackedTrees(node_table(model, spark).collect(), list(model.stages[-1].treeWeights))
+
+
+def packed_rows(matrix: DataFrame, label: str = "label") -> DataFrame:
+    """Labelled rows of an assembled matrix as written blocks: number of rows,
+    labels as bytes, features as doubles, row by row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                y = np.asarray(b.column(0)).astype(np.int8)
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([y.tobytes()]),
+                                                  pa.array([np.asarray(b.column(1).flatten()).tobytes()], pa.binary())], ["n", "y", "x"])
+
+    rows = matrix.select((F.col(label) == 1).cast("int").alias("y"), vector_to_array("features").alias("x")).filter("y IS NOT NULL")
+    path = shared_path(matrix.sparkSession, "rows")
+    rows.mapInArrow(run, "n long, y binary, x binary").write.parquet(path)
+    return matrix.sparkSession.read.schema("n long, y binary, x binary").parquet(path)
+
+
+def scored_blocks(blocks: DataFrame, models: list[tuple[list[float], list[tuple]]], staged: bool = False) -> DataFrame:
+    """Written blocks with their scores: the sums of each of ``models`` (weights
+    and trees), or with ``staged`` those after each tree of the only one, carried
+    on from the last score of the blocks, if they have any."""
+    spark = blocks.sparkSession
+    sent = spark.sparkContext.broadcast(models)
+    carried = "scores" in blocks.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                n, x = b.column("n")[i].as_py(), np.frombuffer(b.column("x")[i].as_buffer(), np.float64)
+                x = x.reshape(n, -1)
+                start = np.frombuffer(b.column("scores")[i].as_buffer(), np.float64)[-n:] if carried else np.zeros(n)
+                sums = [running_sums(*m, x, start) for m in sent.value]
+                out = sums[0].T if staged else np.stack([m[:, -1] for m in sums])
+                row = b.slice(i, 1)
+                yield pa.RecordBatch.from_arrays([row.column("n"), row.column("y"), row.column("x"), pa.array([out.tobytes()], pa.binary())],
+                                                 ["n", "y", "x", "scores"])
+
+    path = shared_path(spark, "margins")
+    scored = blocks.mapInArrow(run, "n long, y binary, x binary, scores binary")
+    (scored if staged else scored.drop("x")).write.parquet(path)
+    sent.unpersist()
+    return spark.read.schema(scored.schema if staged else scored.drop("x").schema).parquet(path)
+
+
+def aucs_of(models: list[PackedTrees], blocks: DataFrame) -> list[float | None]:
+    """Exact AUC of every model's sums over ``packed_rows``, all in one pass."""
+    scored = scored_blocks(blocks, [(m.weights, m.trees) for m in models])
+    return auc_of_blocks(scored.select("n", "y", "scores"), len(models))
 
 
 def staged_auc(model: PipelineModel, matrix: DataFrame, label: str = "label", patience: int | None = None,
-               block_trees: int = 50) -> list[tuple[int, float | None]]:
+               block_trees: int = 50, rows: DataFrame | None = None) -> list[tuple[int, float | None]]:
     """(iteration, AUC) of the prefixes of the model on ``matrix`` (features,
     label), in order, until the best is ``patience`` iterations old (None: all).
+    ``rows``: the matrix by ``packed_rows``, where it is there already.
 
     Trees are evaluated in blocks: one pass over the rows per block carries each
     row's running sum on from the block before and writes the block's sums;
     blocks behind the stop are never evaluated.  AUC only needs ranks, so the
     sums stand for probabilities."""
-    spark = matrix.sparkSession
     trees = packed_trees(model)
-    rows = matrix.select(F.col(label).cast("int").alias("y"), vector_to_array("features").alias("x"), F.lit(0.0).alias("margin"))
+    rows = packed_rows(matrix, label) if rows is None else rows
     out: list[tuple[int, float | None]] = []
     best, best_at = -1.0, 0
     for first in range(0, len(trees.trees), block_trees):
         last = first + block_trees
-        block = spark.sparkContext.broadcast((trees.weights[first:last], trees.trees[first:last]))
-
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if b.num_rows:
-                    x = b.column(1)
-                    x = np.asarray(x.flatten()).reshape(b.num_rows, -1)
-                    m = running_sums(*block.value, x, np.asarray(b.column(2)))
-                    sums = pa.FixedSizeListArray.from_arrays(pa.array(m.ravel()), m.shape[1]).cast(pa.list_(pa.float64()))
-                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(m[:, -1]), sums], ["y", "x", "margin", "sums"])
-
-        path = shared_path(spark, "margins")
-        rows.mapInArrow(run, "y int, x array<double>, margin double, sums array<double>").write.parquet(path)
-        done = spark.read.parquet(path)
-        each = done.select("y", F.posexplode("sums").alias("i", "margin")).withColumn("iteration", F.col("i") + F.lit(first + 1))
-        # one number per tree of the block
-        got = {r["iteration"]: r["auc"] for r in auc_by(each, "margin", "y", "iteration").collect()}
-        block.unpersist()
-        for it in range(first + 1, min(first + block_trees, len(trees.trees)) + 1):
-            auc = got.get(it)
+        rows = scored_blocks(rows, [(trees.weights[first:last], trees.trees[first:last])], staged=True)
+        got = auc_of_blocks(rows.select("n", "y", "scores"), len(trees.trees[first:last]))
+        for it, auc in enumerate(got, first + 1):
             out.append((it, auc))
             if (auc if auc is not None else -1.0) > best:
                 best, best_at = auc, it
             elif patience is not None and it - best_at >= patience:
                 return out
-        rows = done.select("y", "x", "margin")
     return out

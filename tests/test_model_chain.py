@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,47 @@ def test_successive_halving(spark, fitted):
     best = TU.best_trial(table)
     params = TU.params_of(best, num_boost_round=2)
     assert params["max_depth"] == trials[best.first()["trial"]]["max_depth"] and M.merge_params(params)
+
+
+def test_auc_of_blocks_is_exact_over_ranges_ties_and_one_class(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows = [(int(rnd.random() < .3), [rnd.random(), float(rnd.randrange(4)), 1.0, -i * 1.0]) for i in range(700)]
+
+    def block(some):
+        return (len(some), bytes(y for y, _ in some), np.array([s for _, s in some]).T.tobytes())
+
+    def brute(k, ys):
+        pos, neg = ([s[k] for (_, s), y in zip(rows, ys) if y == c] for c in (1, 0))
+        return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+
+    frame = lambda some: spark.createDataFrame([block(some[a:a + 90]) for a in range(0, len(some), 90)], AUC.BLOCK_SCHEMA).repartition(3)
+    want = [brute(k, [y for y, _ in rows]) for k in range(4)]
+    for most, ranges in ((1 << 20, 2048), (64, 2048), (64, 0)):  # one range; many; row by row
+        monkeypatch.setattr(AUC, "SORT_ROWS", most)
+        monkeypatch.setattr(AUC, "MAX_RANGES", ranges)
+        got = AUC.auc_of_blocks(frame(rows), 4)
+        assert all(abs(a - b) < 1e-12 for a, b in zip(got, want))
+        assert AUC.auc_of_blocks(frame([(1, s) for _, s in rows]), 4) == [None] * 4
+        assert AUC.auc_of_blocks(frame(rows).limit(0), 2) == [None] * 2
+
+
+def test_a_rung_scores_the_validation_rows_once_and_large_fits_run_alone(spark, fitted, monkeypatch):
+    _, _, coded, _ = fitted
+    matrix = TU.written_matrix(coded, PREDS, "label", "row_id")
+    passes, workers = [], []
+    scored, pool = TR.scored_blocks, TU.ThreadPoolExecutor
+    monkeypatch.setattr(TR, "scored_blocks", lambda blocks, models, **k: (passes.append(len(models)), scored(blocks, models, **k))[1])
+    monkeypatch.setattr(TU, "ThreadPoolExecutor", lambda n: (workers.append(n), pool(n))[1])
+    monkeypatch.setattr(TU, "ROWS_AT_ONCE", 100)
+    trials = M.sample_params(3, seed=3, space={"max_depth": (2, 4), "min_child_samples": (1, 5), "subsample": (0.4, 0.8)})
+    table = TU.successive_halving(spark, matrix, matrix, trials, rungs=((1, 2), (9, 3)))
+    assert passes == [3, 1]
+    # 134 rows in the first rung, then 1,200; 400 at once in four cores
+    assert workers == [2, 1]
+    # the AUC is that of MLlib's own scores of the same fit
+    for r in table.collect():
+        rows = matrix if r["slices"] == 9 else matrix.where("row_id % 9 < 1")
+        p = M.merge_params(dict(trials[r["trial"]], num_boost_round=r["num_boost_round"]))
+        model = M.gbt_estimator(p, "label").fit(M.with_weight(M.fit_rows(rows), "label", p["scale_pos_weight"]))
+        own = M.score_matrix(M.of_matrix(model), matrix, keep=["label"])
+        assert abs(AUC.auc(own, "p", "label").first()["auc"] - r["auc"]) < 1e-12
